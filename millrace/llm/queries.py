@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontamination import decontamination_report
 from .token_counts import token_counts
 
 
@@ -15,8 +16,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
