@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import decontamination_report
+from .packing import packed
 from .token_counts import token_counts
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -21,6 +26,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op7_token_counts": op7_token_counts,
     "op9_decontamination": op9_decontamination,
 }

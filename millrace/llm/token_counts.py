@@ -10,120 +10,67 @@ repeated rows; other columns of the input are ignored, whatever their names; tex
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NONE = np.iinfo(np.int64).max
-SPACE = r"\t-\r \x85\xa0  -     　"
-#: Fixed value: the split pattern of byte-level BPE vocabularies.
-SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Pre-tokens whose counts a worker remembers, and the longest of them.
-CACHE_ENTRIES, CACHE_CHARS = 1 << 19, 48
+from .bpe import RankedMerges
+from .pretokens import Numbered, split
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = iter(range(256, 512))
-    return [chr(b) if b in set(shown) else chr(next(rest)) for b in range(256)]
 
+class TokenCounter:
+    """Counts by text; a worker remembers the counts of up to a million pre-tokens."""
 
-class RankedMerges:
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        ids = dict(spec["model"]["vocab"])
-        self.special = [x["content"] for x in spec["added_tokens"]]
-        self.size = len(ids) + len(self.special) + 1
-        pairs = [x if isinstance(x, list) else x.split(" ") for x in spec["model"]["merges"]]
-        left, right, made = (np.array([ids[f(a, b)] for a, b in pairs], np.int64) for f in (lambda a, b: a, lambda a, b: b, lambda a, b: a + b))
-        keys = left * self.size + right
-        by = np.argsort(keys)
-        self.keys, self.ranks, self.made = keys[by], by.astype(np.int64), made
-        self.of_byte = np.array([ids[c] for c in byte_symbols()], np.int64)
-        self.split = regex.compile(SPLIT)
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.known: dict[str, int] = {}
-
-    def _ranks(self, symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
-        out = np.full(len(symbols), NONE)
-        pair = symbols[:-1] * self.size + symbols[1:]
-        at = np.searchsorted(self.keys, pair)
-        at[at == len(self.keys)] = 0
-        out[:-1] = np.where(self.keys[at] == pair, self.ranks[at], NONE)
-        out[last] = NONE
-        return out
-
-    def merge(self, tokens: list[bytes]) -> np.ndarray:
-        """How many symbols survive in each pre-token."""
-        lengths = np.array([len(x) for x in tokens], np.int64)
-        counts = lengths.copy()
-        alive = np.flatnonzero(lengths > 1)
-        symbols = self.of_byte[np.frombuffer(b"".join(tokens[i] for i in alive), np.uint8)]
-        lengths = lengths[alive]
-        while len(alive):
-            first = np.cumsum(lengths) - lengths
-            rank = self._ranks(symbols, first + lengths - 1)
-            least = np.minimum.reduceat(rank, first)
-            live = least < NONE
-            counts[alive[~live]] = lengths[~live]
-            within = np.repeat(live, lengths)
-            symbols, rank = symbols[within], rank[within]
-            alive, lengths, least = alive[live], lengths[live], least[live]
-            if not len(alive):
-                break
-            owner = np.repeat(np.arange(len(alive)), lengths)
-            hit = rank == least[owner]
-            # a run of one symbol gives overlapping places: take every second, from the left
-            at = np.arange(len(hit))
-            begun = hit.copy()
-            begun[1:] &= ~hit[:-1]
-            hit &= (at - np.maximum.accumulate(np.where(begun, at, 0))) % 2 == 0
-            symbols[hit] = self.made[rank[hit]]
-            stay = np.ones(len(symbols), bool)
-            stay[np.flatnonzero(hit) + 1] = False
-            symbols = symbols[stay]
-            lengths = lengths - np.bincount(owner[hit], minlength=len(alive))
-        return counts
+        self.merges = RankedMerges(path)
+        self.special = self.merges.special
+        self.known = Numbered()
+        self.counts = np.empty(0, np.int64)
 
     def count(self, texts: list[str]) -> list[int]:
-        specials = [0] * len(texts)
-        pieces = []
-        for i, text in enumerate(texts):
-            if self.cut and any(s in text for s in self.special):
-                parts = self.cut.split(text)
-                specials[i] = len(parts) // 2
-                pieces.append([t for part in parts[::2] for t in self.split.findall(part)])
-            else:
-                pieces.append(self.split.findall(text))
-        known = self.known
-        new = list({t for tokens in pieces for t in tokens if t not in known})
-        here = dict(zip(new, self.merge([t.encode() for t in new]).tolist())) if new else {}
-        out = [n + sum([known[t] if t in known else here[t] for t in tokens]) for n, tokens in zip(specials, pieces)]
-        if len(known) + len(here) > CACHE_ENTRIES:
-            known.clear()
-        known.update((t, n) for t, n in here.items() if len(t) <= CACHE_CHARS)
-        return out
+        """Special strings inside a text are one token each, and cut it."""
+        parts, owner, specials = list(texts), np.arange(len(texts)), 0
+        for special in self.special:
+            if any(special in x for x in parts):
+                cut = [x.split(special) for x in parts]
+                specials = specials + np.bincount(owner, [len(x) - 1 for x in cut], len(texts))
+                owner = np.repeat(owner, [len(x) for x in cut])
+                parts = [y for x in cut for y in x]
+        joined, starts, ends, keys, offsets = split(parts, spaced=True)
+        number = self.known.find(keys)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            new, first = np.unique(keys[missing], return_index=True)
+            if self.known.full(len(new)):
+                self.known.clear()
+                self.counts = np.empty(0, np.int64)
+                new, first = np.unique(keys, return_index=True)
+                missing = np.arange(len(keys))
+            first = missing[first]
+            tokens = [joined[a:b].encode() for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+            self.known.add(new)
+            self.counts = np.concatenate([self.counts, self.merges.merge(tokens)[1]])
+            number = self.known.find(keys)
+        sums = np.concatenate([[0], np.cumsum(self.counts[number])])[offsets]
+        return (np.bincount(owner, np.diff(sums), len(texts)) + specials).astype(np.int64).tolist()
 
 
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row; a map without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = RankedMerges(vocabulary)
+        counter = TokenCounter(vocabulary)
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             counts: list[int] = []
             begin = size = 0
             for i, x in enumerate([*texts, None]):
                 if x is None or size + len(x) > 1 << 20 and i > begin:
-                    counts += merges.count(texts[begin:i])
+                    counts += counter.count(texts[begin:i])
                     begin, size = i, 0
                 size += len(x or "")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])
