@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import decontamination_report
+from .near_dedup import near_duplicates
 from .packing import packed
 from .token_counts import token_counts
 
@@ -17,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -27,6 +32,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_near_dedup": op2_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op9_decontamination": op9_decontamination,
 }
