@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import decontamination_report
+from .lm_scoring import lm_scores
 from .near_dedup import near_duplicates
 from .packing import packed
 from .token_counts import token_counts
@@ -26,6 +27,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_near_dedup": op2_near_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
 }
 
