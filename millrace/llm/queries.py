@@ -13,6 +13,7 @@ from .lm_scoring import lm_scores
 from .near_dedup import near_duplicates
 from .packing import packed
 from .token_counts import token_counts
+from .toxicity import toxicity_report
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,10 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,6 +43,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_near_dedup": op2_near_dedup,
+    "op5_toxicity": op5_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
