@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import decontamination_report
+from .licenses import license_blocks
 from .lm_scoring import lm_scores
 from .near_dedup import near_duplicates
 from .packing import packed
+from .pseudonyms import pseudonym_report
 from .token_counts import token_counts
 from .toxicity import toxicity_report
 
@@ -24,6 +26,14 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_blocks(table(spark, sf_dir, "documents"))
+
+
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonym_report(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +53,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_near_dedup": op2_near_dedup,
+    "op3_license_scans": op3_license_scans,
+    "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op5_toxicity": op5_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_lm_scoring": op8_lm_scoring,
