@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import decontamination_report
+from .fingerprints import fingerprint_report
 from .licenses import license_blocks
 from .lm_scoring import lm_scores
 from .near_dedup import near_duplicates
@@ -50,6 +51,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_near_dedup": op2_near_dedup,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
+    "op10_document_fingerprints": op10_document_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {}
