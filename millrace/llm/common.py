@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -59,6 +60,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def freed(sc) -> None:
+    """Lets Spark's cleaner delete the shuffle files of frames that nothing holds any more; else they stay until the
+    driver happens to collect its garbage."""
+    gc.collect()
+    sc._jvm.System.gc()
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, budget: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with at most budget bytes of text, or one row, and their texts; null reads as empty."""
     for batch in batches:

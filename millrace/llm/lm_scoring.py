@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import checkpointed, chunks, crc32_of_id
+from .common import checkpointed, chunks, crc32_of_id, freed
 
 CLASS_BITS = 20
 START = 1 << CLASS_BITS
@@ -41,6 +41,8 @@ FOLDS, TEST, DELETED = 7, 2, 3
 HOT_SHARE = 1 / 2048
 CHUNK, CHUNK_DOCS = 4 << 20, 1 << 14
 TOKENS_A_PARTITION, CELLS_A_PARTITION = 2_000_000, 4
+#: Sums by document that a task gathers from its cells before it passes them on.
+HELD_SUMS = 1_000_000
 EM_ROUNDS, STEPS_AN_OCTAVE, ABSENT = 60, 4, -(10**6)
 
 
@@ -167,8 +169,8 @@ def _dealt(hot_words: Table, hot_pairs: Table, cells: int):
             out = []
             for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
                 first = np.flatnonzero(np.concatenate([[True], token[a + 1 : b] != token[a : b - 1]]))
-                data = [token[a:b][first], np.diff(np.append(first, b - a)).astype(np.uint32), context[a:b].astype(np.uint32), size[a:b].astype(np.uint32), code[entry[a] : entry[b]], times[entry[a] : entry[b]]]
-                out.append((int(cell[a]), squeeze(np.array([len(first), b - a, entry[b] - entry[a]], np.int64).tobytes() + b"".join(x.tobytes() for x in data))))
+                data = [np.diff(token[a:b][first], prepend=np.uint64(0)), np.diff(np.append(first, b - a)).astype(np.uint32), context[a:b].astype(np.uint32), size[a:b].astype(np.uint32), code[entry[a] : entry[b]], times[entry[a] : entry[b]]]
+                out.append((int(cell[a]), squeeze(np.array([len(first), b - a, entry[b] - entry[a]], np.int64).tobytes() + b"".join(_planes(x) for x in data))))
             if any(x is None for x in ids):
                 ids = [x if x is not None else np.iinfo(np.int64).min for x in ids]
             out.append((-1, squeeze(np.array([ids, lengths], np.int64).tobytes())))
@@ -177,14 +179,25 @@ def _dealt(hot_words: Table, hot_pairs: Table, cells: int):
     return run
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """All first bytes, then all second ones, and so on: they compress better."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind: type, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).reshape(-1).view(kind)
+
+
 def _opened(data: bytes) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     nw, nt, ne = np.frombuffer(raw, np.int64, 3).tolist()
     out, at = [], 24
     for kind, n in ((np.uint64, nw), (np.uint32, nw), (np.uint32, nt), (np.uint32, nt), (np.uint16, ne), (np.uint32, ne)):
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += out[-1].nbytes
-    return tuple(out)
+        size = np.dtype(kind).itemsize
+        out.append(_from_planes(raw, kind, n, at))
+        at += n * size
+    return np.cumsum(out[0], dtype=np.uint64), *out[1:]
 
 
 class Cell:
@@ -281,6 +294,23 @@ def _scored(contexts_, totals, weights: np.ndarray, hot_words: Table, hot_pairs:
         every = contexts_.value.sum(1)
         squeeze = zstandard.ZstdCompressor(level=1).compress
         total, distinct = totals[0] + totals[1], totals[2]
+        held: list[tuple[np.ndarray, ...]] = []
+        number: dict[str, int] = {}
+
+        def sums() -> Iterator[pa.RecordBatch]:
+            """What the cells since the last time have of each chunk."""
+            if held:
+                key, known, base, score = (np.concatenate(x) for x in zip(*held))
+                kinds, of = np.unique(key, return_inverse=True)
+                parts = [np.bincount(of, v, len(kinds)) for v in (known, base, score)]
+                cut = np.searchsorted(kinds >> 16, np.arange(len(number) + 1))
+                out = []
+                for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                    out.append(squeeze(np.array([j - i], np.int64).tobytes() + (kinds[i:j] & 0xFFFF).astype(np.uint16).tobytes() + _planes(parts[0][i:j].astype(np.uint32)) + _planes(parts[1][i:j]) + _planes(parts[2][i:j])))
+                yield pa.RecordBatch.from_arrays([pa.array(list(number)), pa.array([False] * len(out)), pa.array(out, pa.binary())], names=["chunk", "whole", "data"])
+                held.clear()
+                number.clear()
+
         for cell, names, blobs in _by_cell(batches):
             if cell < 0:
                 data = [zstandard.ZstdDecompressor().decompress(b) for b in blobs]
@@ -292,14 +322,12 @@ def _scored(contexts_, totals, weights: np.ndarray, hot_words: Table, hot_pairs:
             mix = weights[bucket(about)]
             p = mix[:, 0] * pair / np.maximum(about, 1) + mix[:, 1] * word / max(total, 1) + mix[:, 2] / (distinct + 1)
             score = np.log10(p) if total else np.zeros(len(p))
-            doc = (x.code >> 2).astype(np.int64)
-            out = []
-            for k, part in enumerate(np.split(np.arange(len(doc)), np.searchsorted(x.chunk, np.arange(1, len(blobs))))):
-                docs, of = np.unique(doc[part], return_inverse=True)
-                of_kind, n = x.of[part], x.times[part]
-                sums = [np.bincount(of, n * v[of_kind], len(docs)) for v in (word > 0, base, score)]
-                out.append(squeeze(np.array([len(docs)], np.int64).tobytes() + docs.astype(np.uint16).tobytes() + sums[0].astype(np.uint32).tobytes() + sums[1].tobytes() + sums[2].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([False] * len(names)), pa.array(out, pa.binary())], names=["chunk", "whole", "data"])
+            spot = np.array([number.setdefault(n, len(number)) for n in names])
+            kinds, of = np.unique((spot[x.chunk] << 16) | (x.code >> 2).astype(np.int64), return_inverse=True)
+            held.append((kinds, *(np.bincount(of, x.times * v[x.of], len(kinds)) for v in (word > 0, base, score))))
+            if sum(len(h[0]) for h in held) > HELD_SUMS:
+                yield from sums()
+        yield from sums()
 
     return run
 
@@ -314,9 +342,10 @@ def _sum_chunk(group: pa.Table) -> pa.Table:
             raw = zstandard.ZstdDecompressor().decompress(x)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
             docs = np.frombuffer(raw, np.uint16, n, 8).astype(np.int64)
-            sums[0, docs] += np.frombuffer(raw, np.uint32, n, 8 + 2 * n)
-            sums[1, docs] += np.frombuffer(raw, np.float64, n, 8 + 6 * n)
-            sums[2, docs] += np.frombuffer(raw, np.float64, n, 8 + 14 * n)
+            at = 8 + 2 * n
+            for k, kind in enumerate((np.uint32, np.float64, np.float64)):
+                sums[k, docs] += _from_planes(raw, kind, n, at)
+                at += n * np.dtype(kind).itemsize
     missing = ids == np.iinfo(np.int64).min
     return pa.table({"id": pa.array(ids, pa.int64(), mask=missing), "n_tokens": pa.array(lengths), "n_known": pa.array(sums[0].astype(np.int64)), "base_score": pa.array(sums[1]), "score": pa.array(sums[2])})
 
@@ -354,6 +383,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     cells = partitions * CELLS_A_PARTITION
     dealt = asked.mapInArrow(_dealt(hot_words, hot_pairs, cells), "cell long, chunk string, data binary")
     dealt = checkpointed(dealt.repartition(partitions, "cell").sortWithinPartitions("cell"))
+    freed(sc)
     shares = dealt.mapInArrow(_deleted_shares(contexts_, totals, hot_words, hot_pairs), "b long, s2 long, s1 long, n double").groupBy("b", "s2", "s1").agg(F.sum("n").alias("n"))
     weights = learned([tuple(r) for r in shares.collect()], distinct)  # a bounded grid
 
