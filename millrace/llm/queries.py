@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .decontamination import decontamination_report
@@ -16,6 +17,7 @@ from .near_dedup import near_duplicates
 from .packing import packed
 from .pseudonyms import pseudonym_report
 from .token_counts import token_counts
+from .tool_calls import conversation_calls
 from .toxicity import toxicity_report
 
 
@@ -35,6 +37,11 @@ def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonym_report(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = conversation_calls(table(spark, sf_dir, "conversations"))
+    return out.withColumn("problems", F.array_join("problems", ","))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
     "op3_license_scans": op3_license_scans,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_toxicity": op5_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_lm_scoring": op8_lm_scoring,
