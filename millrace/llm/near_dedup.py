@@ -4,8 +4,9 @@ Words are `[^\x20\x09-\x0D]+` with A-Z lower-cased; a document's set holds its d
 word sequence if it has fewer words. Two documents are linked if their sets' Jaccard similarity is 0.75 or more.
 
 Method: documents with the same set make a class (128-bit digest of the set). Each class has 128 universal hash minima,
-banded 32 by 4; a pair at 0.75 shares a band with a chance of 1 - 5e-6. In every band bucket the least class is compared
-with all others; minima first, then the full sets. Components come from alternating large-star and small-star. What
+banded 32 by 4; a pair at 0.75 shares a band with a chance of 1 - 5e-6. In every band bucket one class, the center, is compared
+with all others; minima first, then the full sets. (The center is the class that meets most others in all its buckets,
+so the text that a group's copies come from, if it is there.) Components come from alternating large-star and small-star. What
 these stars leave open, members of one bucket in different components, is then compared in blocks of bounded size
 against all others of its bucket, so a star's miss loses no link and no task holds a whole bucket.
 
@@ -34,7 +35,7 @@ MINIMA = BANDS * ROWS
 #: Pairs whose minima agree less go: at a similarity of 0.75 that is five standard deviations.
 AGREE = 0.55
 #: Members of a bucket that one task compares with as many others.
-BLOCK = 64
+BLOCK = 256
 
 _a = W.stream(11, MINIMA) | np.uint64(1)
 _b = W.stream(12, MINIMA)
@@ -141,8 +142,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_class = written(has_set.select("id", "d0", "d1").distinct().join(classes, ["d0", "d1"]).select("id", "rep"), "classes")
 
     first = has_set.join(classes, ["d0", "d1"]).filter("id = rep").select("rep", F.explode("bands").alias("key"))
-    buckets = first.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("far"), F.count("*").alias("size")).filter("center <> far")
-    member = written(first.join(buckets, "key").select("key", "rep", "center", "size").distinct(), "buckets")
+    shared = first.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count("*").alias("size")).filter("least <> most")
+    met = written(first.join(shared, "key").select("key", "rep", "size"), "met")
+    degree = met.groupBy("rep").agg(F.sum("size").alias("degree"))
+    center = met.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("rep"))).alias("c")).select("key", (-F.col("c.rep")).alias("center"))
+    member = written(met.join(center, "key").select("key", "rep", "center", "size"), "buckets")
 
     star = member.filter("rep <> center").select("center", "rep").distinct()
     wanted = member.select(F.col("rep").alias("id")).distinct()
@@ -153,8 +157,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # what the stars left open: members that are not in the component of their bucket's center
     placed = member.filter("size > 2").join(linked, F.col("rep") == F.col("node"), "left").select("key", "rep", "center", F.coalesce("component", "rep").alias("comp"))
-    state = placed.groupBy("key").agg(F.min(F.struct("rep", "comp")).alias("c"), F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("sign"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    open_ = state.filter("lo <> hi").groupBy("n", "sign").agg(F.min(F.struct("key", F.col("c.comp").alias("comp"))).alias("k")).select(F.col("k.key").alias("key"), F.col("k.comp").alias("ccomp"))
+    state = placed.groupBy("key").agg(F.max(F.when(F.col("rep") == F.col("center"), F.col("comp"))).alias("ccomp"), F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("sign"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    open_ = state.filter("lo <> hi").groupBy("n", "sign").agg(F.min(F.struct("key", "ccomp")).alias("k")).select("k.key", "k.ccomp")
     rest = placed.filter("rep <> center").join(open_, "key")
     rest = written(rest.filter("comp <> ccomp").select(F.col("key").alias("grp"), F.lit(True).alias("asks"), "rep", "comp").unionByName(rest.select(F.col("key").alias("grp"), F.lit(False).alias("asks"), "rep", "comp")), "open")
     more = written(_blocks(rest, sets), "more")
@@ -167,7 +171,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = seen.select("id", "n").join(final, "id", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )
-    drop_written(member, sets, rest)
+    drop_written(met, member, sets, rest)
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
