@@ -494,6 +494,11 @@ def _frame(rows) -> pd.DataFrame:
     return pd.DataFrame(list(rows), columns=["content", "error"], dtype=object)
 
 
+def once(run):
+    """A function that the optimizer neither copies into other expressions nor runs again in a filter."""
+    return run.asNondeterministic()
+
+
 def wikitext(text: Column, strict: bool = False) -> Column:
     """struct<content, error> of strip_wikitext."""
 
@@ -501,7 +506,7 @@ def wikitext(text: Column, strict: bool = False) -> Column:
     def run(texts: pd.Series) -> pd.DataFrame:
         return _frame((None, None) if t is None else strip_wikitext(t, strict) for t in texts)
 
-    return run(text)
+    return once(run)(text)
 
 
 def plain_text(tree: Column, strict: bool = False) -> Column:
@@ -511,7 +516,7 @@ def plain_text(tree: Column, strict: bool = False) -> Column:
     def run(trees: pd.Series) -> pd.DataFrame:
         return _frame((None, None) if t is None else tree_text(t, strict) for t in trees)
 
-    return run(tree)
+    return once(run)(tree)
 
 
 def unformatted(text: Column, markup: str, strict: bool = False) -> Column:
@@ -521,4 +526,4 @@ def unformatted(text: Column, markup: str, strict: bool = False) -> Column:
     def run(texts: pd.Series) -> pd.DataFrame:
         return _frame((None, None) if t is None else unformat(t, markup, strict) for t in texts)
 
-    return run(text)
+    return once(run)(text)

@@ -5,6 +5,8 @@ Null in, null out, for every function here. Regular expressions are literals, so
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ WORD = rf"\A{A}{X}*{A}{X}*\z"
 LETTER = rf"\A{A}\z"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def tokens(text: Column) -> Column:
     """Words between white space; a context break is a token of its own."""
     return F.filter(F.split(text, f"[{WS}]+"), lambda w: w != "")
@@ -53,7 +60,7 @@ def cleaned(text: Column, stopwords: list[str] | None = None) -> Column:
 def text2words(text: Column, stopwords: list[str] | None = None) -> Column:
     """Words with single spaces, a line for each context, a line feed at the end; empty if nothing is kept."""
     joined = F.regexp_replace(F.array_join(cleaned(text, stopwords), " "), " ?\n ?", "\n")
-    return F.when((joined == "") | joined.endswith("\n"), joined).otherwise(F.concat(joined, F.lit("\n")))
+    return let(joined, lambda j: F.when((j == "") | j.endswith("\n"), j).otherwise(F.concat(j, F.lit("\n"))))
 
 
 def parse_stopwords(text: str | None) -> list[str]:
@@ -74,15 +81,12 @@ def normalize_parliament(text: Column) -> Column:
     c = F.regexp_replace(c, r"\A\s+", "")
     c = F.regexp_replace(c, r"\n\s+", "\n")
     c = F.regexp_replace(c, r"[ \t]+", " ")
-    parts = F.split(c, "\n", -1)
-    last = F.size(parts) - 1
 
-    def lowered(p: Column, i: Column) -> Column:
+    def lowered(p: Column) -> Column:
         word = F.regexp_extract(p, r"(?<!\S)\S+\z", 0)
-        low = F.concat(F.regexp_replace(p, r"(?<!\S)\S+\z", ""), F.lower(F.substring(word, 1, 1)), F.substring(word, F.lit(2), F.length(word)))
-        return F.when((i < last) & p.rlike(r"\S\z"), low).otherwise(p)
+        return let(word, lambda w: F.concat(F.substring(p, F.lit(1), F.length(p) - F.length(w)), F.lower(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w))))
 
-    return F.array_join(F.transform(parts, lowered), "\n")
+    return let(F.split(c, "\n", -1), lambda parts: F.array_join(F.transform(parts, lambda p, i: F.when(i < F.size(parts) - 1, lowered(p)).otherwise(p)), "\n"))
 
 
 #: The marks of a book's text.
@@ -99,19 +103,22 @@ def skip_paragraphs(text: Column, n: int = SKIPPED_PARAGRAPHS) -> Column:
 
 def book_text(text: Column) -> Column:
     """struct<content, error> of a book between its marks, without the first paragraphs; dashes in pairs become a space."""
+    failed = lambda message: F.struct(F.lit(None).cast("string").alias("content"), F.lit(message).alias("error"))
+    fine = lambda content: F.struct(content.alias("content"), F.lit(None).cast("string").alias("error"))
+    dashes = lambda c: F.replace(c, F.lit("--"), F.lit(" "))
+
+    def until_end(body: Column) -> Column:
+        ends = F.filter(F.array(*(F.instr(body, m) for m in END_MARKS)), lambda p: p > 0)
+        return let(F.array_min(ends), lambda end: F.when(end.isNull(), failed("no end delimiter found")).otherwise(fine(dashes(F.substring(body, F.lit(1), end - 1)))))
+
+    def from_line(rest: Column) -> Column:
+        line = F.instr(rest, "\n")
+        body = skip_paragraphs(F.substring(rest, line, F.length(rest)))
+        return F.when(line == 0, failed("no newline after the start delimiter")).otherwise(let(body, until_end))
+
     start = F.instr(text, START_MARK)
-    rest = F.substring(text, start, F.length(text))
-    line = F.instr(rest, "\n")
-    body = skip_paragraphs(F.substring(rest, line, F.length(rest)))
-    ends = F.filter(F.array(*(F.instr(body, m) for m in END_MARKS)), lambda p: p > 0)
-    end = F.array_min(ends)
-    error = (
-        F.when(start == 0, "no start delimiter found")
-        .when(line == 0, "no newline after the start delimiter")
-        .when(F.size(ends) == 0, "no end delimiter found")
-    )
-    content = F.when(error.isNull(), F.replace(F.substring(body, F.lit(1), end - 1), F.lit("--"), F.lit(" ")))
-    return F.when(text.isNotNull(), F.struct(content.alias("content"), error.alias("error")))
+    found = let(F.substring(text, start, F.length(text)), from_line)
+    return F.when(text.isNull(), None).when(start == 0, failed("no start delimiter found")).otherwise(found)
 
 
 def is_redirect(text: Column) -> Column:
