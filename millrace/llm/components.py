@@ -27,7 +27,7 @@ def small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of the edges (u, v): component is the least node that it reaches.
+    """(node, component) for every node of the edges (u, v) that is not the least one that it reaches itself: component is.
 
     A hub's edges are spread by skewed-join splitting and its minimum is summed up by task first; each round is
     checkpointed. The rounds grow with the logarithm of the longest chain.
