@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import checkpointed, chunks, crc32_of_id, freed
+from .common import checkpointed, chunks, crc32_of_id, drop_written, freed, written
 
 CLASS_BITS = 20
 START = 1 << CLASS_BITS
@@ -173,7 +173,7 @@ def _dealt(hot_words: Table, hot_pairs: Table, cells: int):
                 out.append((int(cell[a]), squeeze(np.array([len(first), b - a, entry[b] - entry[a]], np.int64).tobytes() + b"".join(_planes(x) for x in data))))
             if any(x is None for x in ids):
                 ids = [x if x is not None else np.iinfo(np.int64).min for x in ids]
-            out.append((-1, squeeze(np.array([ids, lengths], np.int64).tobytes())))
+            out.append((-1 - int(salt % np.uint64(cells)), squeeze(np.array([ids, lengths], np.int64).tobytes())))
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([name] * len(out)), pa.array([d for _, d in out], pa.binary())], names=["cell", "chunk", "data"])
 
     return run
@@ -356,7 +356,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     asked = docs.select(F.col(id_col).cast("long").alias("id"), F.pmod(F.coalesce(crc32_of_id(id_col), F.lit(0)), F.lit(FOLDS)).cast("int").alias("fold"), F.col(text_col).alias("text"))
 
     counted = asked.mapInArrow(_count, "kind int, key long, main long, deleted long").groupBy("kind", "key").agg(F.sum("main").alias("main"), F.sum("deleted").alias("deleted"))
-    counted = checkpointed(counted)
+    counted = written(counted, "words")
+    freed(sc)
     of_words = counted.filter("kind = 0")
     n_main, n_deleted, distinct = (int(x or 0) for x in of_words.agg(F.sum("main"), F.sum("deleted"), F.count("*")).first())
     totals = (n_main, n_deleted, distinct)
@@ -378,6 +379,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     by_class[START] = [int(x or 0) for x in starts]
     by_class[end] -= by_class[START]  # nothing follows an end
     contexts_ = sc.broadcast(by_class)
+    drop_written(counted)
+    freed(sc)
 
     partitions = max(1, -(-(n_main + n_deleted) // TOKENS_A_PARTITION))
     cells = partitions * CELLS_A_PARTITION
