@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import table
 from .decontamination import decontamination_report
 from .fingerprints import fingerprint_report
@@ -75,4 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_near_dedup": oracles.NEAR_DEDUP,
+    "op4_chat_formatting": oracles.CHAT_FORMATTING,
+    "op9_decontamination": oracles.DECONTAMINATION,
+}
