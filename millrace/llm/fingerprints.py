@@ -84,8 +84,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     if n <= SLICE_ROWS * QUANTILES:  # then fewer quantiles are enough
         step = max(1, len(edges) * SLICE_ROWS // max(n, 1))
         edges = [edges[0], *edges[1:-1:step], edges[-1]]
-    starts = F.array(*(F.lit(e).cast("decimal(20,0)") for e in edges[:-1]))
-    widths = F.array(*(F.lit(max(1, -(-(b - a) // per))).cast("decimal(20,0)") for a, b in zip(edges, edges[1:])))
+    starts = F.array(*(F.lit(str(e)).cast("decimal(20,0)") for e in edges[:-1]))
+    widths = F.array(*(F.lit(str(max(1, -(-(b - a) // per)))).cast("decimal(20,0)") for a, b in zip(edges, edges[1:])))
     wide = F.col("sid").cast("decimal(20,0)")
     coarse = F.size(F.filter(starts, lambda e: e <= wide))
     rows = rows.withColumn("coarse", coarse).withColumn("slice", (F.col("coarse") * per + F.floor((wide - F.element_at(starts, F.col("coarse"))) / F.element_at(widths, F.col("coarse")))).cast("long")).drop("coarse")
