@@ -5,6 +5,7 @@ Null in, null out, for every function here. Regular expressions are literals, so
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -57,10 +58,34 @@ def cleaned(text: Column, stopwords: list[str] | None = None) -> Column:
     return F.filter(words, lambda w: (w == "\n") | keeps(w))
 
 
+#: One letter or digit of at most two bytes.
+SMALL = r"[0-9\p{IsAlphabetic}&&[\x00-\x{7FF}]]"
+_BEGIN, _END = r"(?<![^ \n])", r"(?![^ \n])"
+
+
 def text2words(text: Column, stopwords: list[str] | None = None) -> Column:
-    """Words with single spaces, a line for each context, a line feed at the end; empty if nothing is kept."""
-    joined = F.regexp_replace(F.array_join(cleaned(text, stopwords), " "), " ?\n ?", "\n")
-    return let(joined, lambda j: F.when((j == "") | j.endswith("\n"), j).otherwise(F.concat(j, F.lit("\n"))))
+    """Words with single spaces, a line for each context, a line feed at the end; empty if nothing is kept.
+
+    The same as joining cleaned(), but a chain of replacements over the whole text: that is compiled code, where functions
+    over arrays are interpreted, and half as long.
+    """
+    keep = rf"{A}{X}*{A}{X}*|{SMALL}"
+    if stopwords:
+        literal = "|".join(re.escape(w) for w in stopwords)
+        keep = rf"(?!(?:{literal}){_END})(?:{keep})"
+    steps = (
+        (f"[{WS}]+", " "),
+        (r"(?<![^ ])\x07(?![^ ])", "\n"),
+        (rf"{P}+{_END}", ""),
+        (rf"{E}+{_END}|{_BEGIN}{E}+", ""),
+        (rf"{P}+{_END}", ""),
+        (rf"{_BEGIN}(?!(?:{keep}){_END})[^ \n]++", ""),
+        (r" *\n *", "\n"),
+        (r" {2,}", " "),
+    )
+    for pattern, by in steps:
+        text = F.regexp_replace(text, pattern, by)
+    return F.regexp_replace(F.trim(text), r"([^\n])\z", "$1\n")
 
 
 def parse_stopwords(text: str | None) -> list[str]:
