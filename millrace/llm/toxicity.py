@@ -3,9 +3,10 @@ r"""Toxicity scores from the nearest labelled examples.
 Terms are words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` with A-Z lower-cased, and the first four, five and six bytes of longer
 words. Examples are a sample of at most `examples` labelled rows, of which none has crc32(id) mod 5 = 0. The vocabulary
 has the terms that separate their labels by a likelihood-ratio test (G >= 30, at most `vocabulary` of them); a term
-counts once for each distinct pair of neighbours, so copies of one text lend it no weight.
+counts once for each document but no more than it has distinct pairs of neighbours, so copies of one text lend it no weight.
 
-Method: documents and examples are TF-IDF vectors over that vocabulary, with document frequencies from all documents. An
+Method: documents and examples are TF-IDF vectors (root frequencies) over that vocabulary and one term that all words
+share, with document frequencies from all documents. An
 inverted index holds the examples in blocks with each term's largest weight in each block; blocks whose bound is under
 the k-th cosine so far are passed over, so the k nearest are exact. They vote with weights that fall with distance, and
 a logistic curve fitted to the examples' own leave-one-out votes makes the vote a probability. The nearest are the
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import words as W
 from .common import chunks, crc32_of_id
@@ -56,7 +58,7 @@ def terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _evidence_by_term(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts of each term, as 64 bits for each label."""
+    """Contexts of each term, as 64 bits for each label, and its documents."""
     for part, texts in chunks(batches, "text"):
         toxic = np.array(part.column(1).to_pylist(), bool)
         term, owner, context = terms(texts)
@@ -66,7 +68,12 @@ def _evidence_by_term(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         for k in (0, 1):
             some = toxic[owner] == bool(k)
             np.bitwise_or.at(bits[k], inverse[some], bit[some])
-        yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(bits[0].view(np.int64)), pa.array(bits[1].view(np.int64))], names=["term", "clean", "toxic"])
+        pairs = np.unique(inverse * len(texts) + owner)
+        marked = toxic[pairs % len(texts)]
+        n_toxic = np.bincount(pairs[marked] // len(texts), minlength=len(kinds))
+        n_clean = np.bincount(pairs[~marked] // len(texts), minlength=len(kinds))
+        columns = [kinds.view(np.int64), bits[0].view(np.int64), bits[1].view(np.int64), n_clean, n_toxic]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["term", "clean", "toxic", "n_clean", "n_toxic"])
 
 
 class Vocabulary:
@@ -75,7 +82,7 @@ class Vocabulary:
         self.seen = np.zeros(1 << 16, bool)
         self.seen[self.keys >> np.uint64(48)] = True
 
-    def vectors(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, times), in order, of the terms that are in the vocabulary."""
         term, owner, _ = terms(texts)
         if not len(self.keys):
@@ -87,6 +94,17 @@ class Vocabulary:
         key, times = np.unique(owner[hit] * len(self.keys) + at[hit], return_counts=True)
         return key // len(self.keys), key % len(self.keys), times
 
+    def vectors(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(terms, times) of each text. The last term, after those of the vocabulary, stands for every word, so that a
+        few finds in a long text weigh less; a text without finds has no terms."""
+        text, term, times = self.counts(texts)
+        cut = np.searchsorted(text, np.arange(1, len(texts)))
+        every = np.diff(W.words(texts, W.ALNUM)[1]) if len(text) else np.zeros(len(texts), np.int64)
+        out = []
+        for t, n, all_ in zip(np.split(term, cut), np.split(times, cut), every.tolist()):
+            out.append((np.append(t, len(self.keys)), np.append(n, all_)) if len(t) else (t, n))
+        return out
+
 
 class Vote(NamedTuple):
     share: float
@@ -186,7 +204,7 @@ class Model:
             self.curve = logistic(votes, labels[at].astype(float))
 
     def unit(self, cols: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = (1 + np.log(times)) * self.idf[cols]
+        w = np.sqrt(times) * self.idf[cols]
         return cols, w / np.sqrt(w @ w) if len(w) else w
 
     def score(self, cols: np.ndarray, times: np.ndarray) -> tuple[float, list]:
@@ -206,7 +224,7 @@ def _frequencies(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, rows = np.zeros(len(vocabulary.keys), np.int64), 0
         for part, texts in chunks(batches, "text"):
-            found += np.bincount(vocabulary.vectors(texts)[1], minlength=len(found))
+            found += np.bincount(vocabulary.counts(texts)[1], minlength=len(found))
             rows += len(texts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(found)), -1)), pa.array(np.append(found, rows))], names=["term", "n"])
 
@@ -216,9 +234,8 @@ def _frequencies(vocabulary: Vocabulary):
 def _example_vectors(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
-            text, term, times = vocabulary.vectors(texts)
-            cut = np.searchsorted(text, np.arange(1, len(texts)))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.split(term, cut), pa.list_(pa.int64())), pa.array(np.split(times, cut), pa.list_(pa.int64())), part.column(3)], names=["id", "toxic", "cols", "times", "tie"])
+            cols, times = zip(*vocabulary.vectors(texts))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(cols, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64())), part.column(3)], names=["id", "toxic", "cols", "times", "tie"])
 
     return run
 
@@ -229,20 +246,23 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     # bounded: at most `examples` rows; those whose document is missing here go
     chosen = clean.orderBy(F.xxhash64("__id"), "__id").limit(examples)
     sample = known.join(F.broadcast(chosen), "__id").select(F.col("__id").alias("id"), "toxic", "text", F.xxhash64("text").alias("tie"))
-    counted = sample.mapInArrow(_evidence_by_term, "term long, clean long, toxic long").groupBy("term").agg(F.bit_or("clean").alias("clean"), F.bit_or("toxic").alias("toxic"))
+    counted = sample.mapInArrow(_evidence_by_term, "term long, clean long, toxic long, n_clean long, n_toxic long")
+    counted = counted.groupBy("term").agg(F.bit_or("clean").alias("clean"), F.bit_or("toxic").alias("toxic"), F.sum("n_clean").alias("n_clean"), F.sum("n_toxic").alias("n_toxic"))
     n = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n:
         return None
     total = [n.get(0, 0), n.get(1, 0)]
-    seen = lambda c: F.when(F.bit_count(c) < 64, -64 * F.log(1 - F.bit_count(c) / 64)).otherwise(266.0)  # noqa: E731  linear counting
+    # documents, but no more than contexts; these are estimated by linear counting while their bits tell
+    estimate = lambda c: F.when(F.bit_count(c) < 56, -64 * F.log(1 - F.bit_count(c) / 64))
+    seen = lambda c: F.least(F.col(f"n_{c}").cast("double"), F.coalesce(estimate(c), F.col(f"n_{c}").cast("double")))
     both = F.col("a") + F.col("b")
     g = lambda x, k: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / both * (sum(total) / max(total[k], 1)))).otherwise(0.0)
     scored = counted.select("term", seen("clean").alias("a"), seen("toxic").alias("b")).filter(both >= LEAST_CONTEXTS).withColumn("g", 2 * (g("a", 0) + g("b", 1)))
     best = scored.filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "term").limit(vocabulary).collect()
     words_ = Vocabulary([r.term for r in best])
-    idf = np.ones(len(words_.keys))
+    idf = np.ones(len(words_.keys) + 1)  # every document has words, so the last stays 1
     frequency = {r.term: r.n for r in known.select("text").mapInArrow(_frequencies(words_), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    for t in range(len(idf)):
+    for t in range(len(words_.keys)):
         idf[t] = np.log((1 + frequency[-1]) / (1 + frequency[t])) + 1
     rows = sample.select("id", "toxic", "text", "tie").mapInArrow(_example_vectors(words_), f"id {docs.schema[id_col].dataType.simpleString()}, toxic int, cols array<long>, times array<long>, tie long").collect()
     rows.sort(key=lambda r: (r.tie, r.cols, r.times, r.toxic))
@@ -263,10 +283,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             if model is None:
                 out = [(0.0, [])] * len(texts)
             else:
-                text, term, times = model.vocabulary.vectors(texts)
-                cut = np.searchsorted(text, np.arange(1, len(texts)))
-                out = [model.score(c, n) for c, n in zip(np.split(term, cut), np.split(times, cut))]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], pa.list_(pa.int64()) if kind.simpleString() == "bigint" else None)], names=["row", "score", "evidence"])
+                out = [model.score(c, n) for c, n in model.vocabulary.vectors(texts)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], pa.list_(to_arrow_type(kind)))], names=["row", "score", "evidence"])
 
     rows = docs.select(F.struct("*").alias("row"))
     scored = rows.mapInArrow(run, f"row {docs.schema.simpleString()}, score double, evidence array<{kind.simpleString()}>")
