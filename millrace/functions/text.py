@@ -15,9 +15,9 @@ BREAK = "\x07"
 #: Unicode white space, punctuation, enclosing characters, apostrophes.
 WS = r"\x09-\x0D\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 P = r"[.,:;?!…–]"
-E = r"[()\[\]{}\"„”“‚’‘«»]"
+E = r"[()\[\]{}\x22„”“‚’‘«»]"
 A = r"[0-9\p{IsAlphabetic}]"
-X = r"[0-9\p{IsAlphabetic}'`‚‘’\-]"
+X = r"[0-9\p{IsAlphabetic}\x27`‚‘’\-]"
 WORD = rf"\A{A}{X}*{A}{X}*\z"
 LETTER = rf"\A{A}\z"
 
@@ -69,11 +69,18 @@ def text2words(text: Column, stopwords: list[str] | None = None) -> Column:
     The same as joining cleaned(), but a chain of replacements over the whole text: that is compiled code, where functions
     over arrays are interpreted, and half as long.
     """
+    for pattern, by in word_steps(stopwords):
+        text = F.regexp_replace(text, pattern, by)
+    return F.regexp_replace(F.trim(text), r"([^\n])\z", "$1\n")
+
+
+def word_steps(stopwords: list[str] | None = None) -> list[tuple[str, str]]:
+    """The replacements of text2words, in order."""
     keep = rf"{A}{X}*{A}{X}*|{SMALL}"
     if stopwords:
         literal = "|".join(re.escape(w) for w in stopwords)
         keep = rf"(?!(?:{literal}){_END})(?:{keep})"
-    steps = (
+    return [
         (f"[{WS}]+", " "),
         (r"(?<![^ ])\x07(?![^ ])", "\n"),
         (rf"{P}+{_END}", ""),
@@ -82,10 +89,7 @@ def text2words(text: Column, stopwords: list[str] | None = None) -> Column:
         (rf"{_BEGIN}(?!(?:{keep}){_END})[^ \n]++", ""),
         (r" *\n *", "\n"),
         (r" {2,}", " "),
-    )
-    for pattern, by in steps:
-        text = F.regexp_replace(text, pattern, by)
-    return F.regexp_replace(F.trim(text), r"([^\n])\z", "$1\n")
+    ]
 
 
 def parse_stopwords(text: str | None) -> list[str]:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import ISO_639
+
 #: The marks and patterns of the two index formats.
 TABLE_BEGIN, TABLE_END, LIST_END = "TITLE and AUTHOR", "ETEXT NO.", "<==End of GUTINDEX.ALL"
 LANGUAGE = r"(?U)\[Language: (\w+?)\]"
@@ -106,3 +108,28 @@ def archive_link(links: DataFrame, lang: str) -> DataFrame:
     some = links.where(F.col("link").rlike(r"\w{2}-\w{2}\.tgz") if lang == "en" else F.col("link").contains(f"{lang}-"))
     pick = F.max_by if lang == "en" else F.min_by
     return some.agg(pick("link", "pos").alias("link")).select(F.coalesce("link", F.raise_error(F.lit(f"no archive for language {lang}"))).alias("link"))
+
+
+def zip_links(links: DataFrame) -> DataFrame:
+    """Links to zip files, whatever the case of their ending."""
+    return links.where(F.lower("link").endswith(".zip"))
+
+
+def language_folders(links: DataFrame, lang: str | None = None) -> DataFrame:
+    """Links to folders that are called by a three-letter language in capitals; lang: only that one, whatever its case.
+
+    An error if a language is asked for and there is none.
+    """
+    found = links.where(F.col("link").rlike("^[A-Z]{3}/?$"))
+    if lang is None:
+        return found
+    hit = found.where(F.lower(F.regexp_replace("link", "/$", "")) == lang.lower())
+    missing = F.raise_error(F.lit(f"no folder for language {lang}"))
+    one = hit.agg(F.min("link").alias("link"))
+    return one.select(F.coalesce("link", missing).alias("link"))
+
+
+def newest_dump(lang: str, base: str = "dumps") -> str:
+    """Where the newest dump of an encyclopedia lies under a folder of dumps, by ISO 639-3 code."""
+    code = ISO_639[lang]
+    return f"{base}/{code}wiki/latest/{code}wiki-latest-pages-articles.xml.bz2"

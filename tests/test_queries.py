@@ -60,3 +60,13 @@ def test_archive_links(spark):
 def test_stale(spark):
     files = spark.sql("select 'a' as path, current_timestamp() - interval 3 days as modificationTime union all select 'b', current_timestamp()")
     assert [r.path for r in catalog.stale(files).collect()] == ["a"]
+
+
+def test_crawled_links(spark):
+    found = spark.createDataFrame([("a/b.ZIP",), ("DEU/",), ("FRA",), ("Deu/",), ("x.txt",)], "link string")
+    assert [r.link for r in catalog.zip_links(found).collect()] == ["a/b.ZIP"]
+    assert sorted(r.link for r in catalog.language_folders(found).collect()) == ["DEU/", "FRA"]
+    assert catalog.language_folders(found, "fra").first().link == "FRA"
+    with pytest.raises(Exception, match="no folder"):
+        catalog.language_folders(found, "spa").collect()
+    assert catalog.newest_dump("deu", "/d") == "/d/dewiki/latest/dewiki-latest-pages-articles.xml.bz2"
