@@ -1,6 +1,7 @@
 r"""SimHash fingerprints, with DataFrame operations only.
 
-Method: terms are pairs of neighbouring words of the lower-cased text (the last word stands alone). Every occurrence of
+Method: terms are pairs of neighbouring words of the lower-cased text, with what stands between them; a text of fewer
+words is one term. Every occurrence of
 a term votes with a weight of 1 to 4, by its length, on each of 64 bits, for or against as its hash has it; a fingerprint
 has the bits with a majority. Two counters share a long, so 32 sums hold all votes, summed up by task before they are
 shuffled. The search puts each fingerprint into a table for every choice of blocks that an error of the given radius
@@ -22,15 +23,26 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 BITS, LANES = 64, 32
 SLICE_ROWS, QUANTILES = 4096, 256
+#: Up to so many slices, their first documents are broadcast; beyond, Spark joins as it sees fit.
+BROADCAST_SLICES = 1 << 20
 RADIUS, BLOCKS = 3, 5
 LEAST = -(1 << 63)
 
 
+#: Two words in a row; the lookbehind keeps a long text without spaces from being tried at every place.
+PAIR = r"(?<!\S)\S++\s++\S++"
+
+
 def terms(text: Column) -> Column:
-    words = F.split(F.lower(text), r"\s+")
-    return F.transform(F.arrays_zip(words.alias("a"), F.slice(words, 2, F.size(words)).alias("b")), lambda p: F.concat_ws(" ", p["a"], p["b"]))
+    low = F.lower(text)
+    shifted = F.regexp_replace(low, r"\A\s*+\S++", "")
+    pairs = F.concat(F.regexp_extract_all(low, F.lit(PAIR), F.lit(0)), F.regexp_extract_all(shifted, F.lit(PAIR), F.lit(0)))
+    # through a lambda, so that the pairs are found once
+    return F.transform(F.array(pairs), lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(low)))[0]
 
 
 def votes(rows: DataFrame, keys: list[str], text: Column) -> DataFrame:
@@ -94,6 +106,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     up = Window.orderBy("slice")  # a row for each slice
     all_ = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select(F.coalesce(F.lead("slice").over(up), F.first("slice").over(all_)).alias("to"), "head.sid", "head.tie")
+    if n // SLICE_ROWS + len(edges) * per <= BROADCAST_SLICES:
+        heads = F.broadcast(heads)  # a row of three numbers for each slice
     ghosts = rows.drop("slice").withColumn("tie", F.xxhash64("text")).join(heads, ["sid", "tie"]).select("id", "sid", "text", F.col("to").alias("slice"), "tie", F.lit(True).alias("ghost"))
     both = rows.withColumn("tie", F.xxhash64("text")).withColumn("ghost", F.lit(False)).unionByName(ghosts)
     return both.withColumn("next", F.lead("text").over(order()))
@@ -115,7 +129,8 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     voted = votes(two, [*keys, "k"], F.col("t"))
     # both fingerprints of a row in one: the votes are summed by rid already
     one = voted.groupBy(*keys).agg(F.max(F.when(F.col("k") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("k") == 1, F.col("fp"))).alias("efp"))
-    out = one.withColumn("nfp", F.lead("fp").over(order())).filter("not ghost")
+    # written: the search reads it three times
+    out = written(one.withColumn("nfp", F.lead("fp").over(order())).filter("not ghost"), "fingerprints")
     asked = F.col("id") % 50 == 0
     near = within_radius(out.filter(asked), out, radius).groupBy("query").agg((F.sum("documents") - 1).alias("n_near"))
     out = out.join(near, asked & (out["fp"] == near["query"]), "left")

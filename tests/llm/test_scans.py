@@ -108,10 +108,12 @@ def signed(x):
 
 
 def fingerprint(text):
-    words = re.split(r"[ \t\n\x0b\f\r]+", text.lower())
+    low = text.lower()
+    word = r"[^ \t\n\x0b\f\r]+"
+    found = list(re.finditer(word, low))
+    terms = [low[a.start() : b.end()] for a, b in zip(found, found[1:])] or [low]
     total, votes = 0, [0] * 64
-    for a, b in zip(words, [*words[1:], None]):
-        term = a if b is None else f"{a} {b}"
+    for term in terms:
         w = min(4, 1 + len(term.encode()) // 6)
         h = xxhash.xxh64(term.encode(), seed=42).intdigest()
         total += w
