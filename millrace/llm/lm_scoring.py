@@ -5,14 +5,18 @@ than 2; of these, remainder 3 is deleted from the counts while the mixture weigh
 
 Method: P(w | v) = a c(v, w) / c(v) + b c(w) / N + c / (V + 1), maximum-likelihood estimates whose weights (a, b, c) belong
 to a bucket of the context's frequency (its bit length). They are learned by expectation-maximisation on the counts of
-the deleted documents against those of the others; the scores use the counts of all training documents. Contexts are
-words hashed to 2**20 classes, so their frequencies are an array of fixed size; words and pairs are counted exactly.
+the deleted documents against those of the others; the scores use the counts of all training documents. Words, contexts
+and pairs are counted by whole 64-bit hashes.
 
 A pass over the documents counts words, another the pairs that are suspected to be frequent. A third deals what the
 documents hold of each pair to cells by word, as compressed arrays: a cell then has its words' and pairs' counts and all
 documents to score with them. Words above a share of all tokens are dealt by pair, pairs above it by document too; both
 lists are bounded by that share, and their counts are broadcast. Only sums by document leave a cell.
 
+A cell by word does not hold its contexts' frequencies. Those of the `HEAD` most frequent words are broadcast. What
+follows any other word is dealt a second time, to cells by context, which have that word's frequency and its pairs; there
+a word outside the head lacks its own count and gets it by a join.
+
 Defined cases: null text counts as empty (one token, the end); a null id counts as crc32 0; an empty table gives no
 rows; repeated rows are counted as often as they occur; without training tokens every token has the probability 1;
 other columns are ignored, whatever their names; texts are read whole.
@@ -33,14 +37,19 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import checkpointed, chunks, crc32_of_id, drop_written, freed, written
 
-CLASS_BITS = 20
+#: A context is the whole hash of its word; a document's begin has a number beyond.
+CLASS_BITS = 64
 START = 1 << CLASS_BITS
 END = W.stream(21, 1)[0]
+#: Among hashes of contexts: a document's begin, and any word outside the head.
+BEGIN, OTHER = W.stream(22, 2)
 FOLDS, TEST, DELETED = 7, 2, 3
 #: Words and pairs above this share of all tokens are dealt apart; a suspect has half of it in a chunk.
 HOT_SHARE = 1 / 2048
 CHUNK, CHUNK_DOCS = 4 << 20, 1 << 14
 TOKENS_A_PARTITION, CELLS_A_PARTITION = 2_000_000, 4
+#: So many words at most, and those above HOT_SHARE, have their counts broadcast as contexts; tokens after others in a cell by context.
+HEAD, RARE_A_CELL = 1 << 20, 250_000
 #: Sums by document that a task gathers from its cells before it passes them on.
 HELD_SUMS = 1_000_000
 EM_ROUNDS, STEPS_AN_OCTAVE, ABSENT = 60, 4, -(10**6)
@@ -53,14 +62,14 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contexts(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    out = np.empty(len(hashes), np.int64)
-    out[1:] = hashes[:-1] >> np.uint64(64 - CLASS_BITS)
-    out[np.cumsum(lengths) - lengths] = START
+    out = np.empty(len(hashes), np.uint64)
+    out[1:] = hashes[:-1]
+    out[np.cumsum(lengths) - lengths] = BEGIN
     return out
 
 
 def pair_keys(hashes: np.ndarray, context: np.ndarray) -> np.ndarray:
-    return W.mix(hashes + context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return W.mix(hashes + context * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[int], np.ndarray, np.ndarray]]:
@@ -138,39 +147,85 @@ class Table:
         return np.where((self.keys[at] == keys) & (not self.empty), at, -1)
 
 
-def _dealt(hot_words: Table, hot_pairs: Table, cells: int):
-    """Blobs by chunk and cell, and a row for the chunk itself."""
+class Head:
+    """Frequent words as contexts, numbered by frequency from 1; 0 is a document's begin, `rare` any other word."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, starts: list[int]):
+        by = np.lexsort((keys, -counts.sum(1)))
+        self.hash_of = np.concatenate([[BEGIN], keys[by], [OTHER]]).astype(np.uint64)
+        self.counts = np.concatenate([[starts], counts[by], [[0, 0]]]).astype(np.int64)
+        self.rare = len(keys) + 1
+        self.number = np.argsort(keys[by]) + 1
+        self.keys = self.hash_of[self.number]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each word."""
+        if not len(self.keys):
+            return np.full(len(keys), self.rare)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.number[at], self.rare)
+
+
+def _kinds(group: np.ndarray, member: np.ndarray, n: int, codes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs of numbers below n in order, how many codes each has, and all codes with their times."""
+    pair, places = group * n + member, None
+    if n * n >= 1 << 47:
+        places, pair = np.unique(pair, return_inverse=True)
+    key, times = np.unique((pair << 16) | codes, return_counts=True)
+    begun = np.flatnonzero(np.diff(key >> 16, prepend=-1))
+    kind = key[begun] >> 16 if places is None else places[key[begun] >> 16]
+    return kind // n, kind % n, np.diff(np.append(begun, len(key))), (key & 0xFFFF).astype(np.uint16), times.astype(np.uint32)
+
+
+def _blobs(cell: np.ndarray, group: np.ndarray, member: np.ndarray, extra: np.ndarray, has_extra: np.ndarray, size: np.ndarray, code: np.ndarray, times: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(cell, data): runs of a group's hash, their members' numbers, the hashes of members that have none, and the codes."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    by = np.argsort(cell, kind="stable")
+    row = W.expand((np.cumsum(size) - size)[by], size[by])
+    cell, group, member, extra, has_extra, size, code, times = cell[by], group[by], member[by].astype(np.uint32), extra[by], has_extra[by], size[by].astype(np.uint32), code[row], times[row]
+    edge = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(cell))
+    entry = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        first = np.flatnonzero(np.concatenate([[True], group[a + 1 : b] != group[a : b - 1]]))
+        more = extra[a:b][has_extra[a:b]]
+        data = [np.diff(group[a:b][first], prepend=np.uint64(0)), np.diff(np.append(first, b - a)).astype(np.uint32), member[a:b], size[a:b], code[entry[a] : entry[b]], times[entry[a] : entry[b]], more]
+        yield int(cell[a]), squeeze(np.array([len(first), b - a, entry[b] - entry[a], len(more)], np.int64).tobytes() + b"".join(_planes(x) for x in data))
+
+
+def _share_of(hashes: np.ndarray, cells: int) -> np.ndarray:
+    return (((W.mix(hashes) >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.int64)
+
+
+def _dealt(head_, hot_words: Table, hot_pairs: Table, cells: int, rare_cells: int):
+    """Blobs by chunk and cell, first cells by word, then cells by context; and a row for the chunk itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = head_.value
         squeeze = zstandard.ZstdCompressor(level=1).compress
         task = TaskContext.get().partitionId()
         for nth, (ids, folds, hashes, lengths) in enumerate(_documents(batches)):
             name = f"{task}-{nth}"  # the same when the task runs again
             salt = W.mix(np.array([(task << 20) + nth], np.uint64))[0]
             word, inverse = np.unique(hashes, return_inverse=True)
-            codes = np.arange(len(ids)) * 4 + np.array([2 if f == TEST else int(f == DELETED) for f in folds])
-            key = (inverse.astype(np.int64) << np.int64(CLASS_BITS + 1)) | contexts(hashes, lengths)
-            key = (key << np.int64(16)) | np.repeat(codes, lengths)
-            key, times = np.unique(key, return_counts=True)
-            begun = np.flatnonzero(np.diff(key >> np.int64(16), prepend=-1))
-            kinds = key[begun] >> np.int64(16)
-            context, token = kinds & ((1 << (CLASS_BITS + 1)) - 1), word[kinds >> np.int64(CLASS_BITS + 1)]
-            pair = pair_keys(token, context)
-            to = np.where(hot_words.find(token) >= 0, pair, token)
-            to = np.where(hot_pairs.find(pair) >= 0, W.mix(pair + salt), to)
-            cell = (((W.mix(to) >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.int64)
-            size = np.diff(np.append(begun, len(key)))
-            by = np.argsort(cell, kind="stable")
-            cell, context, token, size, begun = cell[by], context[by], token[by], size[by], begun[by]
-            row = W.expand(begun, size)
-            code, times = (key[row] & 0xFFFF).astype(np.uint16), times[row].astype(np.uint32)
-            edge = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(cell))
-            entry = np.concatenate([[0], np.cumsum(size)])
-            out = []
-            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                first = np.flatnonzero(np.concatenate([[True], token[a + 1 : b] != token[a : b - 1]]))
-                data = [np.diff(token[a:b][first], prepend=np.uint64(0)), np.diff(np.append(first, b - a)).astype(np.uint32), context[a:b].astype(np.uint32), size[a:b].astype(np.uint32), code[entry[a] : entry[b]], times[entry[a] : entry[b]]]
-                out.append((int(cell[a]), squeeze(np.array([len(first), b - a, entry[b] - entry[a]], np.int64).tobytes() + b"".join(_planes(x) for x in data))))
+            inverse = inverse.astype(np.int64)
+            codes = np.repeat(np.arange(len(ids)) * 4 + np.array([2 if f == TEST else int(f == DELETED) for f in folds]), lengths)
+            number = np.append(head.find(word), [0, head.rare])
+            # contexts as places in number: a document's begin and any rare word are the last two
+            before = np.empty(len(hashes), np.int64)
+            before[1:] = inverse[:-1]
+            before[np.cumsum(lengths) - lengths] = len(word)
+            rare = number[before] == head.rare
+            token, about, size, code, times = _kinds(inverse, np.where(rare, len(word) + 1, before), len(number), codes)
+            token, context = word[token], number[about]
+            hot = hot_words.find(token) >= 0
+            pair = pair_keys(token, head.hash_of[context])
+            to = np.where(hot, pair, token)
+            # what follows rare words has its pairs elsewhere
+            to = np.where((hot_pairs.find(pair) >= 0) | hot & (context == head.rare), W.mix(pair + salt), to)
+            out = list(_blobs(_share_of(to, cells), token, context, token, np.zeros(len(token), bool), size, code, times))
+            if rare.any():
+                about, token, size, code, times = _kinds(before[rare], inverse[rare], len(number), codes[rare])
+                out += _blobs(cells + _share_of(word[about], rare_cells), word[about], number[token], word[token], number[token] == head.rare, size, code, times)
             if any(x is None for x in ids):
                 ids = [x if x is not None else np.iinfo(np.int64).min for x in ids]
             out.append((-1 - int(salt % np.uint64(cells)), squeeze(np.array([ids, lengths], np.int64).tobytes())))
@@ -191,48 +246,48 @@ def _from_planes(raw: bytes, kind: type, n: int, at: int) -> np.ndarray:
 
 def _opened(data: bytes) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    nw, nt, ne = np.frombuffer(raw, np.int64, 3).tolist()
-    out, at = [], 24
-    for kind, n in ((np.uint64, nw), (np.uint32, nw), (np.uint32, nt), (np.uint32, nt), (np.uint16, ne), (np.uint32, ne)):
+    nw, nt, ne, nx = np.frombuffer(raw, np.int64, 4).tolist()
+    out, at = [], 32
+    for kind, n in ((np.uint64, nw), (np.uint32, nw), (np.uint32, nt), (np.uint32, nt), (np.uint16, ne), (np.uint32, ne), (np.uint64, nx)):
         size = np.dtype(kind).itemsize
         out.append(_from_planes(raw, kind, n, at))
         at += n * size
-    return np.cumsum(out[0], dtype=np.uint64), *out[1:]
+    return np.repeat(np.cumsum(out[0], dtype=np.uint64), out[1]), *out[2:]
 
 
 class Cell:
-    """All that a cell holds: its pairs with their counts, and the documents of each chunk that has them."""
-
-    def __init__(self, blobs: list[bytes], hot_words: Table, hot_pairs: Table):
-        words, contexts_, sizes, codes, times, kinds = [], [], [], [], [], []
-        for data in blobs:
-            w, nw, c, nt, code, n = _opened(data)
-            words.append(np.repeat(w, nw))
-            contexts_.append(c.astype(np.int64))
-            sizes.append(nt)
-            codes.append(code)
-            times.append(n.astype(np.int64))
-            kinds.append(len(code))
-        self.code, self.times, self.chunk = np.concatenate(codes), np.concatenate(times), np.repeat(np.arange(len(blobs)), kinds)
-        token, context, size = np.concatenate(words), np.concatenate(contexts_), np.concatenate(sizes)
-        pair = pair_keys(token, context)
-        kind, first, inverse = np.unique(pair, return_index=True, return_inverse=True)
+    """All that a cell holds: its pairs with the counts of pair, context and word, and the documents of each chunk that has them."""
+
+    def __init__(self, blobs: list[bytes], head: Head, hot_words: Table, hot_pairs: Table, by_context: bool):
+        groups, members, sizes, codes, times, extra = zip(*map(_opened, blobs))
+        self.code, self.times, self.chunk = np.concatenate(codes), np.concatenate(times).astype(np.int64), np.repeat(np.arange(len(blobs)), [len(x) for x in codes])
+        group, member, size = np.concatenate(groups), np.concatenate(members).astype(np.int64), np.concatenate(sizes)
+        other = head.hash_of[member]
+        if by_context:
+            other[member == head.rare] = np.concatenate(extra)
+        kind, first, inverse = np.unique(pair_keys(other, group) if by_context else pair_keys(group, other), return_index=True, return_inverse=True)
         self.of = np.repeat(inverse, size)
-        self.context = context[first]
-        fold = self.code & 3
-        self.pair = self._counts(self.of, len(kind), fold)
-        hot = hot_pairs.find(kind)
-        self.pair[hot >= 0] = hot_pairs.counts[hot[hot >= 0]]
-        self.deleted = np.bincount(self.of, self.times * (fold == 1), len(kind))
-        word, spot = np.unique(token[first], return_inverse=True)
-        # a word's own count: from its entries here, or from the broadcast list
-        own = self._counts(spot[self.of], len(word), fold)
-        hot = hot_words.find(word)
-        own[hot >= 0] = hot_words.counts[hot[hot >= 0]]
-        self.word = own[spot]
-
-    def _counts(self, of: np.ndarray, n: int, fold: np.ndarray) -> np.ndarray:
-        return np.stack([np.bincount(of, self.times * (fold == k), n) for k in (0, 1)], 1).astype(np.int64)
+        self.fold = self.code & 3
+        self.pair = self._counts(self.of, len(kind))
+        self.deleted = np.bincount(self.of, self.times * (self.fold == 1), len(kind))
+        member, other = member[first], other[first]
+        own, spot = np.unique(group[first], return_inverse=True)
+        counts = self._counts(spot[self.of], len(own))
+        #: Pairs all of whose counts are here.
+        self.whole = member != head.rare
+        self.token = other if by_context else group[first]
+        if by_context:
+            self.about, self.word = counts[spot], head.counts[member]
+        else:
+            hot = hot_pairs.find(kind)
+            self.pair[hot >= 0] = hot_pairs.counts[hot[hot >= 0]]
+            # a word's own count: from its entries here, or from the broadcast list
+            hot = hot_words.find(own)
+            counts[hot >= 0] = hot_words.counts[hot[hot >= 0]]
+            self.about, self.word = head.counts[member], counts[spot]
+
+    def _counts(self, of: np.ndarray, n: int) -> np.ndarray:
+        return np.stack([np.bincount(of, self.times * (self.fold == k), n) for k in (0, 1)], 1).astype(np.int64)
 
 
 def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str], list[bytes]]]:
@@ -247,22 +302,52 @@ def bucket(count: np.ndarray) -> np.ndarray:
     return np.frexp(count.astype(np.float64))[1] * (count > 0)
 
 
-def _deleted_shares(contexts_, totals, hot_words: Table, hot_pairs: Table):
-    """How often deleted tokens have which two estimates, against main counts; in steps of a logarithm."""
+def _shares(about: np.ndarray, pair: np.ndarray, word: np.ndarray, times: np.ndarray, totals: tuple[int, int, int]) -> pa.RecordBatch:
+    """How often deleted tokens have which two estimates, by main counts; in steps of a logarithm."""
+    base = 1 / (totals[2] + 1)
+    step = lambda x: np.where(x > 0, np.rint(np.log2(np.maximum(x, 1e-300) / base) * STEPS_AN_OCTAVE), ABSENT).astype(np.int64)
+    rows = np.stack([bucket(about), step(pair / np.maximum(about, 1)), step(word / max(totals[0], 1))], 1)
+    kinds, inverse = np.unique(rows, axis=0, return_inverse=True)
+    return pa.RecordBatch.from_arrays([*(pa.array(kinds[:, k], pa.int64()) for k in range(3)), pa.array(np.bincount(inverse.ravel(), times, len(kinds)), pa.float64())], names=["b", "s2", "s1", "n"])
+
 
+def _deleted_shares(head_, totals, hot_words: Table, hot_pairs: Table, cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        main = contexts_.value[:, 0]
-        n_main, base = totals[0], 1 / (totals[2] + 1)
-        step = lambda x: np.where(x > 0, np.rint(np.log2(np.maximum(x, 1e-300) / base) * STEPS_AN_OCTAVE), ABSENT).astype(np.int64)
         for cell, _, blobs in _by_cell(batches):
-            if cell < 0:
-                continue
-            x = Cell(blobs, hot_words, hot_pairs)
-            some = np.flatnonzero(x.deleted)
-            about = main[x.context[some]]
-            rows = np.stack([bucket(about), step(x.pair[some, 0] / np.maximum(about, 1)), step(x.word[some, 0] / max(n_main, 1))], 1)
-            kinds, inverse = np.unique(rows, axis=0, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([*(pa.array(kinds[:, k]) for k in range(3)), pa.array(np.bincount(inverse.ravel(), x.deleted[some], len(kinds)))], names=["b", "s2", "s1", "n"])
+            if cell >= 0:
+                x = Cell(blobs, head_.value, hot_words, hot_pairs, cell >= cells)
+                some = np.flatnonzero((x.deleted > 0) & x.whole)
+                yield _shares(x.about[some, 0], x.pair[some, 0], x.word[some, 0], x.deleted[some], totals)
+
+    return run
+
+
+LACKING = "word long, chunk string, code int, times long, about0 long, about1 long, pair0 long, pair1 long"
+
+
+def _lacking(head_, hot_words: Table, hot_pairs: Table, cells: int):
+    """What the cells by context hold of words whose own counts are not there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, names, blobs in _by_cell(batches):
+            x = Cell(blobs, head_.value, hot_words, hot_pairs, True)
+            at = np.flatnonzero(~x.whole[x.of])
+            of = x.of[at]
+            numbers = [x.times[at], x.about[of, 0], x.about[of, 1], x.pair[of, 0], x.pair[of, 1]]
+            chunk = pa.array(names, pa.string()).take(pa.array(x.chunk[at]))
+            out = pa.RecordBatch.from_arrays([pa.array(x.token[of].view(np.int64)), chunk, pa.array(x.code[at].astype(np.int32)), *map(pa.array, numbers)], names=[c.split()[0] for c in LACKING.split(", ")])
+            for k in range(0, len(at), 1 << 16):
+                yield out.slice(k, 1 << 16)
+
+    return run
+
+
+def _lacking_shares(totals):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code, times, about, pair, word = (batch.column(c).to_numpy() for c in ("code", "times", "about0", "pair0", "word0"))
+            some = np.flatnonzero((code & 3) == 1)
+            yield _shares(about[some], pair[some], word[some], times[some], totals)
 
     return run
 
@@ -289,45 +374,75 @@ def learned(rows: list[tuple[int, int, int, float]], vocabulary: int) -> np.ndar
     return out
 
 
-def _scored(contexts_, totals, weights: np.ndarray, hot_words: Table, hot_pairs: Table):
+class Sums:
+    """Sums by document, gathered from many cells and passed on by chunk."""
+
+    def __init__(self):
+        self.squeeze = zstandard.ZstdCompressor(level=1).compress
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.number: dict[str, int] = {}
+
+    def add(self, names: list[str], chunk: np.ndarray, code: np.ndarray, *values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        spot = np.array([self.number.setdefault(n, len(self.number)) for n in names], np.int64)
+        kinds, of = np.unique((spot[chunk] << 16) | (code >> 2).astype(np.int64), return_inverse=True)
+        self.held.append((kinds, *(np.bincount(of, v, len(kinds)) for v in values)))
+        if sum(len(h[0]) for h in self.held) > HELD_SUMS:
+            yield from self.rows()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """What there is since the last time of each chunk."""
+        if self.held:
+            key, *values = (np.concatenate(x) for x in zip(*self.held))
+            kinds, of = np.unique(key, return_inverse=True)
+            parts = [np.bincount(of, v, len(kinds)) for v in values]
+            cut = np.searchsorted(kinds >> 16, np.arange(len(self.number) + 1))
+            out = []
+            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                out.append(self.squeeze(np.array([j - i], np.int64).tobytes() + (kinds[i:j] & 0xFFFF).astype(np.uint16).tobytes() + _planes(parts[0][i:j].astype(np.uint32)) + _planes(parts[1][i:j]) + _planes(parts[2][i:j])))
+            yield pa.RecordBatch.from_arrays([pa.array(list(self.number)), pa.array([False] * len(out)), pa.array(out, pa.binary())], names=["chunk", "whole", "data"])
+            self.held.clear()
+            self.number.clear()
+
+
+def _logs(about: np.ndarray, pair: np.ndarray, word: np.ndarray, totals: tuple[int, int, int], weights: np.ndarray) -> np.ndarray:
+    total, distinct = totals[0] + totals[1], totals[2]
+    if not total:
+        return np.zeros(len(word))
+    mix = weights[bucket(about)]
+    return np.log10(mix[:, 0] * pair / np.maximum(about, 1) + mix[:, 1] * word / total + mix[:, 2] / (distinct + 1))
+
+
+def _scored(head_, totals, weights: np.ndarray, hot_words: Table, hot_pairs: Table, cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = contexts_.value.sum(1)
-        squeeze = zstandard.ZstdCompressor(level=1).compress
         total, distinct = totals[0] + totals[1], totals[2]
-        held: list[tuple[np.ndarray, ...]] = []
-        number: dict[str, int] = {}
-
-        def sums() -> Iterator[pa.RecordBatch]:
-            """What the cells since the last time have of each chunk."""
-            if held:
-                key, known, base, score = (np.concatenate(x) for x in zip(*held))
-                kinds, of = np.unique(key, return_inverse=True)
-                parts = [np.bincount(of, v, len(kinds)) for v in (known, base, score)]
-                cut = np.searchsorted(kinds >> 16, np.arange(len(number) + 1))
-                out = []
-                for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
-                    out.append(squeeze(np.array([j - i], np.int64).tobytes() + (kinds[i:j] & 0xFFFF).astype(np.uint16).tobytes() + _planes(parts[0][i:j].astype(np.uint32)) + _planes(parts[1][i:j]) + _planes(parts[2][i:j])))
-                yield pa.RecordBatch.from_arrays([pa.array(list(number)), pa.array([False] * len(out)), pa.array(out, pa.binary())], names=["chunk", "whole", "data"])
-                held.clear()
-                number.clear()
-
+        sums = Sums()
         for cell, names, blobs in _by_cell(batches):
             if cell < 0:
                 data = [zstandard.ZstdDecompressor().decompress(b) for b in blobs]
                 yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([True] * len(names)), pa.array(data, pa.binary())], names=["chunk", "whole", "data"])
                 continue
-            x = Cell(blobs, hot_words, hot_pairs)
-            word, pair, about = x.word.sum(1), x.pair.sum(1), every[x.context]
-            base = np.log10((word + 1) / (total + distinct + 1)) if total else np.zeros(len(word))
-            mix = weights[bucket(about)]
-            p = mix[:, 0] * pair / np.maximum(about, 1) + mix[:, 1] * word / max(total, 1) + mix[:, 2] / (distinct + 1)
-            score = np.log10(p) if total else np.zeros(len(p))
-            spot = np.array([number.setdefault(n, len(number)) for n in names])
-            kinds, of = np.unique((spot[x.chunk] << 16) | (x.code >> 2).astype(np.int64), return_inverse=True)
-            held.append((kinds, *(np.bincount(of, x.times * v[x.of], len(kinds)) for v in (word > 0, base, score))))
-            if sum(len(h[0]) for h in held) > HELD_SUMS:
-                yield from sums()
-        yield from sums()
+            x = Cell(blobs, head_.value, hot_words, hot_pairs, cell >= cells)
+            word = x.word.sum(1)
+            score = np.where(x.whole, _logs(x.about.sum(1), x.pair.sum(1), word, totals, weights), 0)
+            # words are counted and have their base scores where they are dealt by word
+            known = (word > 0) & (cell < cells)
+            base = np.log10((word + 1) / (total + distinct + 1)) if total and cell < cells else np.zeros(len(word))
+            yield from sums.add(names, x.chunk, x.code, *(x.times * v[x.of] for v in (known, base, score)))
+        yield from sums.rows()
+
+    return run
+
+
+def _lacking_scored(totals, weights: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums()
+        for batch in batches:
+            code, times, *counts = (batch.column(c).to_numpy() for c in ("code", "times", "about0", "about1", "pair0", "pair1", "word0", "word1"))
+            score = _logs(counts[0] + counts[1], counts[2] + counts[3], counts[4] + counts[5], totals, weights)
+            chunk = batch.column("chunk").dictionary_encode()
+            none = np.zeros(len(code))
+            yield from sums.add(chunk.dictionary.to_pylist(), chunk.indices.to_numpy(), code, none, none, times * score)
+        yield from sums.rows()
 
     return run
 
@@ -371,27 +486,42 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         rows = asked.mapInArrow(_count_only(keys), "key long, main long, deleted long").groupBy("key").agg(F.sum("main").alias("main"), F.sum("deleted").alias("deleted"))
         hot_pairs = Table(rows.filter(F.col("main") + F.col("deleted") >= least).collect())
 
-    by_class = np.zeros((START + 1, 2), np.int64)
-    classes = of_words.groupBy(F.shiftrightunsigned("key", 64 - CLASS_BITS).alias("c")).agg(F.sum("main").alias("main"), F.sum("deleted").alias("deleted")).toArrow()  # at most 2**20 rows
-    end = int(END >> np.uint64(64 - CLASS_BITS))
-    by_class[classes.column("c").to_numpy()] = np.stack([classes.column("main").to_numpy(), classes.column("deleted").to_numpy()], 1)
-    starts = counted.filter("kind = 2").agg(F.sum("main"), F.sum("deleted")).first()
-    by_class[START] = [int(x or 0) for x in starts]
-    by_class[end] -= by_class[START]  # nothing follows an end
-    contexts_ = sc.broadcast(by_class)
-    drop_written(counted)
+    total = n_main + n_deleted
+    # how many words have which count: less than the root of twice all tokens
+    of_count = of_words.groupBy((F.col("main") + F.col("deleted")).alias("n")).count().toArrow().to_pydict()
+    fewest, room = max(of_count["n"], default=0) + 1, HEAD
+    for n, times in sorted(zip(of_count["n"], of_count["count"]), reverse=True):
+        room -= times
+        if room < 0 and n < least:
+            break
+        fewest = n
+    head = of_words.filter(F.col("main") + F.col("deleted") >= fewest).select("key", "main", "deleted").toArrow()  # at most HEAD rows, and the hot words
+    starts = [int(x or 0) for x in counted.filter("kind = 2").agg(F.sum("main"), F.sum("deleted")).first()]
+    counts = np.stack([head.column("main").to_numpy(), head.column("deleted").to_numpy()], 1)
+    rare = total - int(counts.sum())
+    head_ = sc.broadcast(Head(head.column("key").to_numpy().view(np.uint64), counts, starts))
+    del head, counts
     freed(sc)
 
-    partitions = max(1, -(-(n_main + n_deleted) // TOKENS_A_PARTITION))
+    partitions = max(1, -(-total // TOKENS_A_PARTITION))
     cells = partitions * CELLS_A_PARTITION
-    dealt = asked.mapInArrow(_dealt(hot_words, hot_pairs, cells), "cell long, chunk string, data binary")
+    # documents that are not counted have rare words as well
+    rare_cells = max(1, -(-(rare + total // 16) // RARE_A_CELL))
+    dealt = asked.mapInArrow(_dealt(head_, hot_words, hot_pairs, cells, rare_cells), "cell long, chunk string, data binary")
     dealt = checkpointed(dealt.repartition(partitions, "cell").sortWithinPartitions("cell"))
     freed(sc)
-    shares = dealt.mapInArrow(_deleted_shares(contexts_, totals, hot_words, hot_pairs), "b long, s2 long, s1 long, n double").groupBy("b", "s2", "s1").agg(F.sum("n").alias("n"))
-    weights = learned([tuple(r) for r in shares.collect()], distinct)  # a bounded grid
+    lacking = dealt.filter(F.col("cell") >= cells).mapInArrow(_lacking(head_, hot_words, hot_pairs, cells), LACKING)
+    own = of_words.select(F.col("key").alias("word"), F.col("main").alias("word0"), F.col("deleted").alias("word1"))
+    lacking = written(lacking.join(own, "word", "left").fillna(0, ["word0", "word1"]), "lacking")
+    drop_written(counted)
+    freed(sc)
+    grid = "b long, s2 long, s1 long, n double"
+    shares = dealt.mapInArrow(_deleted_shares(head_, totals, hot_words, hot_pairs, cells), grid).unionByName(lacking.mapInArrow(_lacking_shares(totals), grid))
+    weights = learned([tuple(r) for r in shares.groupBy("b", "s2", "s1").agg(F.sum("n").alias("n")).collect()], distinct)  # a bounded grid
 
-    parts = dealt.mapInArrow(_scored(contexts_, totals, weights, hot_words, hot_pairs), "chunk string, whole boolean, data binary")
+    part = "chunk string, whole boolean, data binary"
+    parts = dealt.mapInArrow(_scored(head_, totals, weights, hot_words, hot_pairs, cells), part).unionByName(lacking.mapInArrow(_lacking_scored(totals, weights), part))
     scores = parts.groupBy("chunk").applyInArrow(_sum_chunk, "id long, n_tokens long, n_known long, base_score double, score double")
     return scores.select(
-        F.col("id").alias(id_col), (F.pmod(F.coalesce(crc32_of_id("id"), F.lit(0)), F.lit(FOLDS)) == TEST).alias("held_out"), "n_tokens", "n_known", F.lit(n_main + n_deleted).cast("long").alias("train_tokens"), "base_score", "score"
+        F.col("id").alias(id_col), (F.pmod(F.coalesce(crc32_of_id("id"), F.lit(0)), F.lit(FOLDS)) == TEST).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )

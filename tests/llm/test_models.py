@@ -72,6 +72,30 @@ def test_scores(spark, sf, monkeypatch, tokens_a_partition, share):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("head,share", [(1 << 20, 1 / 2048), (5, 1 / 8)])
+def test_scores_by_whole_contexts(spark, monkeypatch, head, share):
+    monkeypatch.setattr(L, "HEAD", head, raising=False)
+    monkeypatch.setattr(L, "RARE_A_CELL", 2000, raising=False)
+    monkeypatch.setattr(L, "TOKENS_A_PARTITION", 3000)
+    monkeypatch.setattr(L, "HOT_SHARE", share)
+    words = [f"w{i}" for i in range(6000)]
+    begin = L.tokens([" ".join(words).encode()])[0][:-1] >> np.uint64(44)
+    by = collections.defaultdict(list)
+    for w, b in zip(words, begin.tolist()):
+        by[b].append(w)
+    alike = [some for some in by.values() if len(some) > 1]
+    assert len(alike) > 5  # their hashes begin with the same 20 bits
+    rng = random.Random(1)
+    texts = [" ".join(f"{w} after{k}x{j}" for j, some in enumerate(alike) for k, w in enumerate(some) for _ in range(rng.randrange(4))) + f" {words[i]} {words[i + 1]} the" for i in range(300)]
+    table = docs(spark, texts)
+    with monkeypatch.context() as whole:
+        whole.setattr(L, "CLASS_BITS", 64)
+        want, n = model(table.collect())
+    for r in L.lm_scores(table.repartition(3, "doc_id")).collect():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (*want[r.doc_id][:2], n)
+        assert (r.base_score, r.score) == pytest.approx(want[r.doc_id][2:], abs=1e-6)
+
+
 def test_scores_edges(spark):
     assert L.lm_scores(empty(spark)).count() == 0
     check_scores(docs(spark, [None]).withColumn("doc_id", F.lit(None).cast("long")).withColumn("score", F.lit("x")))
