@@ -4,9 +4,10 @@ Candidate blocks are runs of lines with license wording, at most `GAP` other lin
 characters is read as overlapping windows around its cues, all of them.
 
 Method: a block is compressed alone and with each template as zstandard raw dictionary; templates rank by how much
-smaller that makes it. The first few are compared word by word: a template wins if its words stand in the block, with
-the fewest missing and foreign ones, and the verdict is exact if there is none. Placeholders, in angle brackets, stand
-for any words.
+smaller that makes it. Those most of whose words the block has are compared word by word: a template is confirmed if its
+words stand in the block, with few missing and foreign ones. Of those whose words no other one covers the one with the fewest differences
+wins, and the verdict is exact if there is none. The words of a winner are taken out and what remains is ranked again,
+until nothing is confirmed: a block has a row for each of its notices. Placeholders, in angle brackets, stand for any words.
 
 Defined cases: null and empty texts and texts without license wording give no rows; equal ranks go by template name;
 repeated documents give repeated rows; an empty table gives no rows; other columns are ignored, whatever their names;
@@ -16,6 +17,7 @@ texts are read whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -77,7 +79,7 @@ TEMPLATES = {
     "reserved-copyright": "Copyright <year> <owner>. All rights reserved.",
 }
 CUES = ("licens", "licenc", "copyright", "permission", "warrant", "redistribut", "public domain", "spdx", "creative commons", "rights reserved")
-GAP, SPAN, RANKED, LEVEL = 3, 4096, 4, 9
+GAP, SPAN, LEVEL = 3, 4096, 9
 #: A winner misses at most this share of its words, and has at most as many foreign ones among them.
 MISSING = 0.2
 WORD = re.compile(r"<\w+>|\w+(?:\.\w+)*")
@@ -122,56 +124,68 @@ class Scanner:
             data = zstandard.ZstdCompressionDict(" ".join(self.words[name]).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.given[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
 
-    def ranked(self, block: list[str]) -> list[tuple[float, str]]:
-        """(reduction, name), largest first."""
-        data = " ".join(block).encode()
+    def ranked(self, block: list[str | None]) -> list[tuple[float, str]]:
+        """(reduction, name), largest first; None stands for a word that is taken."""
+        data = " ".join(w for w in block if w is not None).encode()
         size = len(self.alone.compress(data))
         return sorted(((1 - len(c.compress(data)) / size, n) for n, c in self.given.items()), key=lambda x: (-x[0], x[1]))
 
-    def differences(self, name: str, block: list[str]) -> tuple[int, int]:
-        """(missing, foreign) words of the template's closest stretch of the block."""
+    def possible(self, block: list[str | None]) -> set[str]:
+        """Templates that miss few words wherever those stand in the block: no other one can be confirmed."""
+        have = Counter(block)
+        return {n for n, want in self.words.items() if sum((Counter(w for w in want if w[0] != "<") - have).values()) <= MISSING * len(want)}
+
+    def differences(self, name: str, block: list[str | None]) -> tuple[int, int, frozenset[int]]:
+        """(missing, foreign) words of the template's closest stretch of the block, and the places of those found."""
         want = self.words[name]
         match = SequenceMatcher(None, want, block, autojunk=False)
         parts = [m for m in match.get_matching_blocks() if m.size]
         if not parts:
-            return len(want), 0
+            return len(want), 0, frozenset()
         # the stretch about the longest match that is as long as the template, with some room
         main = max(parts, key=lambda m: (m.size, -m.b))
         loose = sum(w[0] == "<" for w in want)
         room = len(want) // 4 + 4 * loose
         begin, end = main.b - main.a - room, main.b - main.a + len(want) + room + 1
         inside = [m for m in parts if begin <= m.b and m.b + m.size <= end]
-        found = sum(m.size for m in inside)
-        loose = sum(w[0] == "<" for w in want)
-        missing = len(want) - found - loose
-        foreign = inside[-1].b + inside[-1].size - inside[0].b - found
-        # words between the ends that stand where a placeholder does are its own
-        if loose:
-            foreign = sum(b.b - (a.b + a.size) for a, b in zip(inside, inside[1:]) if not any(w[0] == "<" for w in want[a.a + a.size : b.a]))
-        return max(0, missing), foreign
+        found = frozenset(k for m in inside for k in range(m.b, m.b + m.size))
+        missing = len(want) - len(found) - loose
+        # words between the ends that stand where a placeholder does are its own, taken ones another notice's
+        gaps = [(a, b) for a, b in zip(inside, inside[1:]) if not any(w[0] == "<" for w in want[a.a + a.size : b.a])]
+        foreign = sum(w is not None for a, b in gaps for w in block[a.b + a.size : b.b])
+        return max(0, missing), foreign, found
+
+    def confirmed(self, rank: list[tuple[float, str]], block: list[str | None], possible: set[str]) -> tuple | None:
+        """(license, reduction, missing, foreign, places) of the best template."""
+        some = []
+        for gain, name in rank:
+            if name in possible:
+                missing, foreign, places = self.differences(name, block)
+                if max(missing, foreign) <= MISSING * len(self.words[name]):
+                    some.append((missing + foreign, -len(self.words[name]), name, gain, missing, foreign, places))
+        some = [x for x in some if not any(x[-1] < y[-1] for y in some)]
+        return min(some, key=lambda x: x[:3])[2:] if some else None
 
     def scan(self, text: str) -> Iterator[tuple]:
-        """(begin, length, license, reduction, missing, foreign, verdict) of each block."""
+        """(begin, length, license, reduction, missing, foreign, verdict) of each notice, or of a block without one."""
         for begin, end in blocks(text):
-            block = words(text[begin:end])
+            block: list[str | None] = list(words(text[begin:end]))
             if not block:
                 continue
-            rank = self.ranked(block)
-            # a block may hold several notices: every confirmed template whose words no better one has
-            found = []
-            for gain, name in rank[:RANKED]:
-                missing, foreign = self.differences(name, block)
-                if max(missing, foreign) <= MISSING * len(self.words[name]):
-                    found.append((missing + foreign, -len(self.words[name]), name, gain, missing, foreign))
-            if found:
-                _, _, name, gain, missing, foreign = min(found)
-                yield begin, end - begin, name, gain, missing, foreign, "modified" if missing or foreign else "exact"
-            else:
+            rank, possible = self.ranked(block), self.possible(block)
+            best = self.confirmed(rank, block, possible)
+            if best is None:
                 yield begin, end - begin, None, rank[0][0], None, None, "unknown"
+            while best is not None:
+                name, gain, missing, foreign, places = best
+                yield begin, end - begin, name, gain, missing, foreign, "modified" if missing or foreign else "exact"
+                block = [None if k in places else w for k, w in enumerate(block)]
+                possible = self.possible(block)
+                best = self.confirmed(self.ranked(block), block, possible) if possible else None
 
 
 def license_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """One row per candidate block: (id, start, length, license, reduction, missing, foreign, verdict); a map without a shuffle."""
+    """One row per notice, or candidate block without one: (id, start, length, license, reduction, missing, foreign, verdict); a map without a shuffle."""
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["id", "start", "length", "license", "reduction", "missing", "foreign", "verdict"]
 

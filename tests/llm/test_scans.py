@@ -93,6 +93,24 @@ def test_modified_and_unknown():
     assert "apache-2.0" in [r[0] for r in scan(long)]
 
 
+SIX = ["mit", "gpl-3.0", "lgpl-3.0", "cc-by-4.0", "cc-by-nc-4.0", "mpl-2.0"]
+
+
+@pytest.mark.parametrize("names", [["apache-2.0", "mit"], SIX, SIX[::-1], ["apache-2.0-header", "mit-permission"], ["mit", "mit"], ["isc", "reserved-copyright", "cc0-1.0"]])
+def test_adjacent_notices(names):
+    text = "\n".join(L.TEMPLATES[n].replace("<year>", "2020").replace("<owner>", "A. Person") for n in names)
+    rows = list(L.Scanner(L.TEMPLATES).scan(f"some words before\n{text}\nand after"))
+    assert sorted((r[2], r[6]) for r in rows) == sorted((n, "exact") for n in names)
+
+
+def test_notices_within_and_instead():
+    scan = lambda t: sorted((r[2], r[6]) for r in L.Scanner(L.TEMPLATES).scan(t))
+    bsd = L.TEMPLATES["bsd-3-clause"]
+    assert scan(bsd.replace("2. Redis", L.TEMPLATES["mit"] + " 2. Redis")) == [("bsd-3-clause", "exact"), ("mit", "exact")]
+    # a long notice with changes is not its first line as well
+    assert scan(L.TEMPLATES["apache-2.0-header"].replace("either express or implied", "of any sort")) == [("apache-2.0-header", "modified")]
+
+
 def test_license_blocks(spark):
     table = docs(spark, [*ODD, *ODD, "a\nLicensed under CC BY-NC 4.0."]).withColumn("license", F.lit(3))
     rows = L.license_blocks(table).collect()
