@@ -9,7 +9,9 @@ Validated: payment cards (13 to 19 digits with a Luhn check digit; the first dig
 anew), IBANs (mod 97, made anew; country stays), US social security numbers, telephone numbers (8 to 15 digits with a
 plus, or the North American form; the country code stays), calendar dates (ISO, and day-month-year or month-day-year;
 the century stays), IPv4 addresses (private, loopback, multicast and other stay what they are), the local part of mail
-addresses (case apart), access keys and values assigned to password, token, secret or key.
+addresses (case apart), access keys and values assigned to password, token, secret or key. What follows a card or
+an IBAN after a blank or hyphen may look like more of it: where the longest match is not valid, shorter ones that end
+with a group are tried.
 
 Defined cases: null text stays null, with no finds; empty text stays empty; overlapping finds go to the one that begins
 first, then to the order above; repeated rows give repeated rows; an empty table gives no rows; other columns stay
@@ -43,10 +45,13 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "date": r"(?<![\d./-])(?:(?P<iso>\d{4}-\d{2}-\d{2})|(?P<dmy>\d{1,2}(?P<sep>[./-])\d{1,2}(?P=sep)\d{4}))(?![\d/-])",
     "ipv4": r"(?<![\d.])(?P<ipv4>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\.?\d)",
-    "card": r"(?<![\d.+-])(?P<card>\d(?:[ -]?\d){12,18})(?![ -]?\d)",
+    "card": r"(?<![\d.+-])(?P<card>\d(?:[ -]?\d){12,18})(?!\d)",
     "ssn": r"(?<![\d-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])",
     "phone": r"(?<![\d+])(?:\+(?P<cc>\d{1,3})(?P<tail>(?:[ .-]?(?:\(\d{1,4}\)|\d{1,4})){2,6})|(?P<nanp>(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}))(?!\d)",
 }
+#: The groups that hold a kind's value, where it isn't one of its own name.
+GROUPS = {"mail": ("local",), "secret": ("access", "hub", "value"), "date": ("iso", "dmy"), "phone": ("tail", "nanp")}
+GROUPED = ("iban", "card")
 FIND = re.compile("|".join(f"(?P<{k}_>{PATTERNS[k]})" for k in KINDS))
 #: No find is without a digit, an at sign or one of these.
 HINT = re.compile(r"[0-9@]|(?i:pass|pwd|secret|token|key)|gh[pousr]_")
@@ -227,33 +232,46 @@ class Pseudonyms:
         out, done, at = [], 0, 0
         while m := FIND.search(text, at):
             kind = next(k for k in KINDS if m[f"{k}_"] is not None)
-            groups = {"mail": ("local",), "secret": ("access", "hub", "value"), "date": ("iso", "dmy"), "phone": ("tail", "nanp")}.get(kind, (kind,))
-            group = next(g for g in groups if m[g] is not None)
-            new = self.value(kind, group, m[group])
+            new, span = self._tried(text, kind, m)
             if new is None:
                 # not valid as this kind: another kind may begin here or within
                 new, kind, span = self._other(text, m)
                 if new is None:
                     at = m.start() + 1
                     continue
-            else:
-                span = m.span(group)
             counts[KINDS.index(kind)] += 1
             out += [text[done : span[0]], new]
             done = span[1]
             at = max(done, m.start() + 1)
         return "".join([*out, text[done:]]), counts
 
+    def _tried(self, text: str, kind: str, m: re.Match) -> tuple[str | None, tuple[int, int]]:
+        """The pseudonym of the longest valid match that begins where m does, and its place."""
+        for n in _ends(text, kind, m):
+            group = next(g for g in GROUPS.get(kind, (kind,)) if n[g] is not None)
+            new = self.value(kind, group, n[group])
+            if new is not None:
+                return new, n.span(group)
+        return None, (0, 0)
+
     def _other(self, text: str, m: re.Match) -> tuple[str | None, str, tuple[int, int]]:
         for kind in KINDS[KINDS.index(next(k for k in KINDS if m[f"{k}_"] is not None)) + 1 :]:
             if n := _ALONE[kind].match(text, m.start()):
-                group, value = next((g, v) for g, v in n.groupdict().items() if v is not None and g not in ("cc", "sep"))
-                new = self.value(kind, group, value)
+                new, span = self._tried(text, kind, n)
                 if new is not None:
-                    return new, kind, n.span(group)
+                    return new, kind, span
         return None, "", (0, 0)
 
 
+def _ends(text: str, kind: str, m: re.Match) -> Iterator[re.Match]:
+    """The match and, for kinds that the next word may look like a part of, shorter ones that end with a group."""
+    yield m
+    if kind in GROUPED:
+        for end in range(m.end() - 1, m.start(), -1):
+            if text[end] in " -" and (n := _ALONE[kind].match(text, m.start(), end)) and n.end() == end:
+                yield n
+
+
 _ALONE = {k: re.compile(v) for k, v in PATTERNS.items()}
 
 

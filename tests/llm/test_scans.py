@@ -65,6 +65,28 @@ def test_not_valid(text):
     assert made.replace(text) == (text, [0] * len(P.KINDS))
 
 
+CARD, IBAN = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+
+
+@pytest.mark.parametrize(
+    "value,after,kind",
+    [
+        (CARD, " 12/27", "card"), (CARD, " 123", "card"), ("4111111111111111", " 123", "card"), ("4111-1111-1111-1111", "-12", "card"), ("4111111111111111", " 12/27 123", "card"), ("378282246310005", " 1234", "card"),
+        (IBAN, " EUR", "iban"), (IBAN, " 2024", "iban"), (IBAN, " BIC GEBABEBB", "iban"), ("BE68539007547034", " 100 EUR", "iban"),
+    ],
+)
+def test_values_before_other_numbers(value, after, kind):
+    alone = made.replace(value)[0]
+    new, counts = made.replace(f"x {value}{after} y")
+    assert new == f"x {alone}{after} y" and alone != value and counts[P.KINDS.index(kind)] == 1 == sum(counts)
+
+
+def test_values_in_a_row():
+    cards = ["4012888888881881", "5555555555554444", "4111111111111111"]
+    for sep in (" ", "\n"):
+        assert made.replace(sep.join(cards)) == (sep.join(made.replace(c)[0] for c in cards), [3 * (k == "card") for k in P.KINDS])
+
+
 def test_pseudonym_report(spark):
     table = docs(spark, [*ODD, *(t for t, _, _ in FINDS)]).withColumn("clean", F.lit(1)).withColumn("row", F.lit(2))
     got = {r.doc_id: r for r in P.pseudonym_report(table, b"k").collect()}
