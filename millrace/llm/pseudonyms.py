@@ -11,7 +11,8 @@ plus, or the North American form; the country code stays), calendar dates (ISO,
 the century stays), IPv4 addresses (private, loopback, multicast and other stay what they are), the local part of mail
 addresses (case apart), access keys and values assigned to password, token, secret or key. What follows a card or
 an IBAN after a blank or hyphen may look like more of it: where the longest match is not valid, shorter ones that end
-with a group are tried.
+with a group are tried. A telephone number with a plus ends with the group that gives its country's fixed length, if there
+is one, else with the last one that leaves a valid length; the North American form has one pseudonym with and without +1.
 
 Defined cases: null text stays null, with no finds; empty text stays empty; overlapping finds go to the one that begins
 first, then to the order above; repeated rows give repeated rows; an empty table gives no rows; other columns stay
@@ -47,11 +48,16 @@ PATTERNS = {
     "ipv4": r"(?<![\d.])(?P<ipv4>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\.?\d)",
     "card": r"(?<![\d.+-])(?P<card>\d(?:[ -]?\d){12,18})(?!\d)",
     "ssn": r"(?<![\d-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])",
-    "phone": r"(?<![\d+])(?:\+(?P<cc>\d{1,3})(?P<tail>(?:[ .-]?(?:\(\d{1,4}\)|\d{1,4})){2,6})|(?P<nanp>(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}))(?!\d)",
+    "phone": r"(?<![\d+])(?:\+(?P<tail>\d{1,3}(?:[ .-]?(?:\(\d{1,4}\)|\d{1,4})){2,6})|(?P<nanp>(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}))(?!\d)",
 }
 #: The groups that hold a kind's value, where it isn't one of its own name.
 GROUPS = {"mail": ("local",), "secret": ("access", "hub", "value"), "date": ("iso", "dmy"), "phone": ("tail", "nanp")}
-GROUPED = ("iban", "card")
+#: What may stand between a value's groups and before another word.
+SEPARATORS = {"iban": " ", "card": " -", "phone": " .-("}
+#: Country codes of one and of two digits; all others have three.
+SHORT_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+#: Digits after the country code, where a country's numbers all have as many.
+NATIONAL = {"1": 10, "7": 10, "27": 9, "30": 10, "31": 9, "33": 9, "34": 9, "41": 9, "45": 8, "48": 9, "52": 10, "61": 9, "90": 10, "91": 10, "351": 9, "420": 9, "421": 9, "380": 9}
 FIND = re.compile("|".join(f"(?P<{k}_>{PATTERNS[k]})" for k in KINDS))
 #: No find is without a digit, an at sign or one of these.
 HINT = re.compile(r"[0-9@]|(?i:pass|pwd|secret|token|key)|gh[pousr]_")
@@ -143,6 +149,11 @@ def mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def country_code(digits: str) -> str:
+    """The country code that a telephone number with a plus begins with."""
+    return next((digits[:n] for n in (1, 2) if digits[:n] in SHORT_CODES), digits[:3])
+
+
 def _fill(form: str, digits: str) -> str:
     """The digits in the places that letters and digits have in the form."""
     it = iter(digits)
@@ -189,9 +200,12 @@ class Pseudonyms:
 
     def _phone(self, group: str, text: str) -> str | None:
         digits = re.sub(r"\D", "", text)
-        if group == "tail" and not 6 <= len(digits) <= 13:
+        code = country_code(digits) if group == "tail" else ""
+        tail = digits[len(code) :]
+        if group == "tail" and not (len(tail) >= 6 and 8 <= len(digits) <= 15):
             return None
-        return _fill(text, self.feistel.text(f"phone {group}", digits + "-")[:-1])
+        label = "nanp" if code == "1" and len(tail) == NATIONAL[code] else group
+        return _fill(text, code + self.feistel.text(f"phone {label}", tail + "-")[:-1])
 
     def _ipv4(self, _: str, text: str) -> str | None:
         try:
@@ -263,13 +277,19 @@ class Pseudonyms:
         return None, "", (0, 0)
 
 
-def _ends(text: str, kind: str, m: re.Match) -> Iterator[re.Match]:
+def _ends(text: str, kind: str, m: re.Match) -> list[re.Match]:
     """The match and, for kinds that the next word may look like a part of, shorter ones that end with a group."""
-    yield m
-    if kind in GROUPED:
+    found = [m]
+    if kind in SEPARATORS:
         for end in range(m.end() - 1, m.start(), -1):
-            if text[end] in " -" and (n := _ALONE[kind].match(text, m.start(), end)) and n.end() == end:
-                yield n
+            if text[end] in SEPARATORS[kind] and (n := _ALONE[kind].match(text, m.start(), end)) and n.end() == end:
+                found.append(n)
+    if kind == "phone" and len(found) > 1 and m["tail"]:
+        digits = [re.sub(r"\D", "", n["tail"]) for n in found]
+        code = country_code(digits[0])
+        # a number of the country's length goes first
+        found = [found[k] for k in sorted(range(len(found)), key=lambda k: len(digits[k]) - len(code) != NATIONAL.get(code))]
+    return found
 
 
 _ALONE = {k: re.compile(v) for k, v in PATTERNS.items()}

@@ -87,6 +87,28 @@ def test_values_in_a_row():
         assert made.replace(sep.join(cards)) == (sep.join(made.replace(c)[0] for c in cards), [3 * (k == "card") for k in P.KINDS])
 
 
+@pytest.mark.parametrize(
+    "phone,after",
+    [
+        ("+1 (487) 555-7209", " 42"), ("+1 (826) 555-4081", " 1 2 3"), ("+1.487.555.7209", " 2024"), ("+14875557209", " 42"), ("+33 1 42 68 53 00", " 75"), ("+48 601 234 567", " 1234 5678"),
+        ("+1 (487) 555-7209", "(2)"), ("+353 1234 5678 901", " 1234 5678"),
+    ],
+)
+def test_phones_before_other_numbers(phone, after):
+    alone = made.replace(phone)[0]
+    new, counts = made.replace(f"x {phone}{after} y")
+    assert new == f"x {alone}{after} y" and alone != phone and counts[P.KINDS.index("phone")] == 1 == sum(counts)
+
+
+def test_one_phone_one_pseudonym():
+    digits = lambda t: re.sub(r"\D", "", made.replace(t)[0])[-10:]
+    forms = ["+1 (487) 555-7209", "+1 487 555 7209", "+1-487-555-7209", "+14875557209", "(487) 555-7209", "487-555-7209"]
+    assert len({digits(f) for f in forms}) == 1 and digits(forms[0]) != "4875557209"
+    address = made.replace("190.137.223.204")[0]
+    assert made.replace("+1 (826) 555-4081 190.137.223.204")[0] == made.replace("+1 (826) 555-4081")[0] + " " + address
+    assert made.replace("+48 601 234 567")[0].startswith("+48 ") and made.replace("+48601234567")[0] == made.replace("+48 601 234 567")[0].replace(" ", "")
+
+
 def test_pseudonym_report(spark):
     table = docs(spark, [*ODD, *(t for t, _, _ in FINDS)]).withColumn("clean", F.lit(1)).withColumn("row", F.lit(2))
     got = {r.doc_id: r for r in P.pseudonym_report(table, b"k").collect()}
