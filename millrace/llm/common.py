@@ -20,10 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset, as in tests, a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset and all run in one
+    process, as in tests, a temporary one. A cluster must name its folder."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: scratch tables need a folder that driver and executors share")
         folder = getattr(sc, "_millrace_shared", None)
         if folder is None:
             folder = sc._millrace_shared = tempfile.mkdtemp(prefix="millrace-")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import drop_written, written
 
 
 def _sign(edges: DataFrame) -> tuple:
@@ -30,13 +30,17 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (u, v) that is not the least one that it reaches itself: component is.
 
     A hub's edges are spread by skewed-join splitting and its minimum is summed up by task first; each round is
-    checkpointed. The rounds grow with the logarithm of the longest chain.
+    written, and the round before it deleted. The rounds grow with the logarithm of the longest chain.
     """
-    now = checkpointed(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "stars")
     sign = _sign(now)
     while sign[0]:
-        now = checkpointed(small_star(large_star(now)))
-        last, sign = sign, _sign(now)
+        last, before = sign, now
+        now = written(small_star(large_star(before)), "stars")
+        drop_written(before)
+        sign = _sign(now)
         if last == sign:
             break
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    out._millrace_path = now._millrace_path
+    return out

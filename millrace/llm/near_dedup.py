@@ -5,11 +5,18 @@ word sequence if it has fewer words. Two documents are linked if their sets' Jac
 
 Method: documents with the same set make a class (128-bit digest of the set). Each class has 128 universal hash minima,
 banded 32 by 4; a pair at 0.75 shares a band with a chance of 1 - 5e-6. In every band bucket one class, the center, is compared
-with all others; minima first, then the full sets. (The center is the class that meets most others in all its buckets,
+with all others. (The center is the class that meets most others in all its buckets,
 so the text that a group's copies come from, if it is there.) Components come from alternating large-star and small-star. What
 these stars leave open, members of one bucket in different components, is then compared in blocks of bounded size
 against all others of its bucket, so a star's miss loses no link and no task holds a whole bucket.
 
+Verification: candidates are taken by how many minima of their signatures agree, most first, so that links are found
+early; every one is then decided on the full sets, unless its components are joined by then. `agree` may be raised to
+pass over pairs whose signatures agree less; by default none is.
+
+Buckets and stars have any size: their narrow rows meet in joins against written tables, which Spark splits where a key
+is skewed, and sets meet in blocks of BLOCK by BLOCK.
+
 Defined cases: a null, empty or blank text has no set, links with nothing and is kept; a null id takes no part
 (component null, kept); rows that share an id are one node; repeated rows give repeated rows; an empty table gives no
 rows; other columns are ignored, whatever their names; texts are read whole.
@@ -32,10 +39,12 @@ from .components import components
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
-#: Pairs whose minima agree less go: at a similarity of 0.75 that is five standard deviations.
-AGREE = 0.55
+#: Pairs whose minima agree less are not compared: 0 compares all.
+AGREE = 0.0
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 256
+#: Dropped ids that are broadcast at once, some 64 bytes each, and passes over the documents for as many each.
+IDS_AT_ONCE, PASSES = 1 << 21, 4
 
 _a = W.stream(11, MINIMA) | np.uint64(1)
 _b = W.stream(12, MINIMA)
@@ -108,7 +117,8 @@ def _compare(group: pa.Table) -> pa.Table:
     others = np.array([i for i, x in enumerate(asks) if not x], np.int64)
     for q in [i for i, x in enumerate(asks) if x]:
         agree = (least[others] == least[q]).mean(1)
-        for o in others[agree >= AGREE].tolist():
+        by = np.argsort(-agree, kind="stable")
+        for o in others[by[agree[by] >= AGREE]].tolist():
             a, b = find(comps[q]), find(comps[o])
             if a != b and similar(sets[q], sets[o]):
                 root[max(a, b)] = min(a, b)
@@ -120,11 +130,12 @@ def _compare(group: pa.Table) -> pa.Table:
 def _blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of rows (grp, asks, rep, comp): askers and others of a group meet in blocks of about BLOCK by BLOCK."""
     count = pairs.groupBy("grp").agg(*(F.ceil(F.count_if(F.col("asks") == x) / BLOCK).cast("int").alias(n) for x, n in ((True, "qs"), (False, "os"))))
-    count = count.filter("qs > 0 and os > 0")
+    # written: at most a row for each BLOCK members, so the join is a broadcast or, by shuffled files on both sides, split where skewed
+    large = written(count.filter("qs > 1 or os > 1"), "large")
     own = lambda n: F.array(F.pmod(F.xxhash64("rep"), F.col(n)).cast("int"))
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     dealt = (
-        pairs.join(count, "grp")
+        pairs.join(large, "grp", "left").fillna(1, ["qs", "os"])
         .withColumn("q", F.explode(F.when(F.col("asks"), own("qs")).otherwise(every("qs"))))
         .withColumn("o", F.explode(F.when(F.col("asks"), every("os")).otherwise(own("os"))))
         .select("grp", "q", "o", "asks", "rep", "comp")
@@ -140,20 +151,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has_set = seen.filter("n > 0 and id is not null")
     classes = has_set.groupBy("d0", "d1").agg(F.min("id").alias("rep"))
     of_class = written(has_set.select("id", "d0", "d1").distinct().join(classes, ["d0", "d1"]).select("id", "rep"), "classes")
+    sizes = written(seen.select("id", "n"), "sizes")
 
     first = has_set.join(classes, ["d0", "d1"]).filter("id = rep").select("rep", F.explode("bands").alias("key"))
-    shared = first.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count("*").alias("size")).filter("least <> most")
+    shared = first.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count("*").alias("size"))
+    shared = written(shared.filter("least <> most").select("key", "size"), "shared")
     met = written(first.join(shared, "key").select("key", "rep", "size"), "met")
+    drop_written(seen, shared)
     degree = met.groupBy("rep").agg(F.sum("size").alias("degree"))
     center = met.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("rep"))).alias("c")).select("key", (-F.col("c.rep")).alias("center"))
+    center = written(center, "centers")
     member = written(met.join(center, "key").select("key", "rep", "center", "size"), "buckets")
+    drop_written(met, center)
 
     star = member.filter("rep <> center").select("center", "rep").distinct()
     wanted = member.select(F.col("rep").alias("id")).distinct()
     sets = written(asked.filter("id is not null").join(wanted, "id", "left_semi").mapInArrow(_full_sets, "id long, data binary").dropDuplicates(["id", "data"]), "sets")
     asking = star.select("center").distinct().select(F.col("center").alias("grp"), F.lit(True).alias("asks"), F.col("center").alias("rep"), F.col("center").alias("comp"))
     pairs = asking.unionByName(star.select(F.col("center").alias("grp"), F.lit(False).alias("asks"), "rep", F.col("rep").alias("comp")))
-    linked = components(written(_blocks(pairs, sets), "links"))
+    links = written(_blocks(pairs, sets), "links")
+    linked = components(links)
 
     # what the stars left open: members that are not in the component of their bucket's center
     placed = member.filter("size > 2").join(linked, F.col("rep") == F.col("node"), "left").select("key", "rep", "center", F.coalesce("component", "rep").alias("comp"))
@@ -164,18 +181,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = written(_blocks(rest, sets), "more")
     of = lambda n: linked.select(F.col("node").alias(n), F.col("component").alias(f"{n}c"))
     over = more.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("uc", "u").alias("u"), F.coalesce("vc", "v").alias("v"))
-    joined = components(over).select(F.col("node").alias("comp"), F.col("component").alias("top"))
+    joined = components(over)
+    top = joined.select(F.col("node").alias("comp"), F.col("component").alias("top"))
 
     final = of_class.join(linked, F.col("rep") == F.col("node"), "left").select("id", F.coalesce("component", "rep").alias("comp"))
-    final = final.join(joined, "comp", "left").groupBy("id").agg(F.min(F.coalesce("top", "comp")).alias("component"))
-    out = seen.select("id", "n").join(final, "id", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
-    )
-    drop_written(met, member, sets, rest)
-    return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+    final = final.join(top, "comp", "left").groupBy("id").agg(F.min(F.coalesce("top", "comp")).alias("component"))
+    out = sizes.join(final, "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    out = written(out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))), "near-duplicates")
+    drop_written(of_class, sizes, member, sets, links, linked, rest, more, joined)
+    return out
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without those that near_duplicates does not keep."""
-    gone = near_duplicates(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """docs without those that near_duplicates does not keep.
+
+    The dropped ids are broadcast, in several passes if there are many, so that no text is shuffled. Beyond PASSES, where
+    that would read and write more than a shuffle does, ids and rows meet in a shuffled anti join; ids spread evenly.
+    """
+    found = near_duplicates(docs, id_col, text_col)
+    gone = written(found.filter("not kept").select(F.col(id_col).alias("__gone")).distinct(), "dropped")
+    drop_written(found)
+    parts = max(1, -(-gone.count() // IDS_AT_ONCE))
+    if parts > PASSES:
+        return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    for k in range(parts):
+        some = gone.filter(F.pmod(F.xxhash64("__gone"), F.lit(parts)) == k) if parts > 1 else gone
+        docs = written(docs, "left") if k else docs
+        docs = docs.join(F.broadcast(some), docs[id_col] == some["__gone"], "left_anti")
+    return docs
