@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import re
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,7 +18,66 @@ RESULT = "content string, error string"
 
 # --- wikitext before parsing -------------------------------------------------------------------------------------------
 
-_RUN = re.compile(r"[|{}]|[<>]|[^|{}<>]+", re.S)
+#: What a page is made of. A tag begins with b, r, / or a table sign; before anything else an opening sign stands for
+#: itself. Opening signs within a tag that could begin one belong to it, at any other one it is given up.
+_PAGE = re.compile(
+    r"<(?=[br/|{}<>])(?P<tag>(?>[^<>]+|<(?=[br/|{}<>]))*+)>"
+    r"|(?P<odd><[^br/|{}<>])"
+    r"|<(?>[^<>]+|<(?=[br/|{}<>]))*+(?=<)"
+    r"|(?P<open><.*)"
+    r"|(?P<signs>[|{}]+)"
+    r"|(?P<text>[^<|{}]+)",
+    re.S,
+)
+_SIGNS = re.compile(r"[|{}]+")
+_KINDS = re.compile(r"\|+|\{+|\}+")
+
+
+class _Shown:
+    """What is left of a page. Notes and tables hide what is added while they last."""
+
+    def __init__(self) -> None:
+        self.parts: list[str] = []
+        self.hidden = False
+
+    def add(self, text: str, always: bool = False) -> None:
+        if text and (always or not self.hidden):
+            self.parts.append(text)
+
+    def second_of_a_line(self) -> bool:
+        """Whether at most one character stands on the last line."""
+        end = "".join(self.parts[-2:])[-2:]
+        return len(end) < 2 or end[0] == "\n"
+
+    def without_last(self, sign: str) -> None:
+        if self.parts and self.parts[-1].endswith(sign):
+            rest = self.parts.pop()[:-1]
+            self.add(rest, True)
+
+    def signs(self, run: str) -> None:
+        """Equal signs are text. Where one kind follows another, what is hidden ends, or a table begins on a new line."""
+        kinds = _KINDS.findall(run)
+        self.add(kinds[0])
+        for last, now in zip(kinds, kinds[1:]):
+            if self.hidden:
+                self.hidden = False
+                self.add(now[1:])
+            elif self.second_of_a_line():
+                self.without_last(last[0])
+                self.hidden = True
+            else:
+                self.add(now)
+
+    def tag(self, body: str, strict: bool) -> None:
+        for run in _SIGNS.findall(body):
+            self.signs(run)
+        name = re.sub(r"[|{}<]+", "", body)
+        single = name.startswith("references") or name.startswith("ref") and name.endswith("/")
+        if name.startswith(("ref", "/ref")):
+            if not (strict and single):
+                self.hidden = name[0] != "/"
+        elif not name.startswith(("blockquote", "/blockquote")):
+            self.add(f"<{name}>", not strict)
 
 
 def strip_wikitext(text: str, strict: bool = False) -> tuple[str | None, str | None]:
@@ -25,88 +85,52 @@ def strip_wikitext(text: str, strict: bool = False) -> tuple[str | None, str | N
 
     exact: a tag that begins with `ref` starts a note, whatever its end, and a note ends at `/ref` only; other tags stay,
     even inside notes; two different table signs in a row open or close a table. strict: self-closing notes and
-    `references` lists are single tags, and tags inside notes go.
+    `references` lists are single tags, and tags inside notes go. A tag that is never closed is an error.
     """
-    out: list[str] = []
-    hidden = in_tag = False
-    tag, before = "", "a"
-
-    for m in _RUN.finditer(text):
-        run = m[0]
-        if run in "|{}":
-            if before in "|{}" and before != run:
-                if hidden:
-                    hidden = False
-                elif _line_begins(out):
-                    hidden = True
-                    if out and out[-1][-1] == before:
-                        _pop(out)
-                else:
-                    out.append(run)
-            elif not hidden:
-                out.append(run)
-        elif run == "<":
-            in_tag = True
-        elif run == ">":
-            if in_tag:
-                in_tag = False
-                name = tag
-                tag = ""
-                if strict and (name.startswith("references") or (name.startswith("ref") and name.endswith("/"))):
-                    pass
-                elif name.startswith("ref"):
-                    hidden = True
-                elif name.startswith("/ref"):
-                    hidden = False
-                elif not name.startswith(("blockquote", "/blockquote")) and not (strict and hidden):
-                    out.append(f"<{name}>")
-            elif not hidden:
-                out.append(run)
-        else:
-            rest = run
-            if in_tag:
-                if before == "<" and run[0] not in "br/":
-                    in_tag = False
-                    if not (strict and hidden):
-                        out.append("<" + run[0])
-                    rest = run[1:]
-                else:
-                    tag += run
-                    rest = ""
-            if rest and not hidden:
-                out.append(rest)
-        before = run[-1]
-    if in_tag:
-        return None, f"text after opening <: {tag}"
-    return "".join(out), None
-
-
-def _line_begins(out: list[str]) -> bool:
-    """Whether the sign before the last one of the output ends a line, or there is none."""
-    tail = ""
-    for part in reversed(out):
-        tail = part[-2:] + tail
-        if len(tail) >= 2:
-            break
-    return len(tail) < 2 or tail[-2] == "\n"
+    out = _Shown()
+    for m in _PAGE.finditer(text):
+        kind = m.lastgroup
+        if kind == "text":
+            out.add(m["text"])
+        elif kind == "signs":
+            out.signs(m["signs"])
+        elif kind == "tag":
+            out.tag(m["tag"], strict)
+        elif kind == "odd":
+            out.add(m["odd"], not strict)
+        elif kind == "open":
+            return None, f"text after opening <: {re.sub(r'[|{}<]+', '', m['open'])}"
+    return "".join(out.parts), None
+
 
+# --- document trees ----------------------------------------------------------------------------------------------------
+
+#: Signs among the nodes that are still to be read.
+_GAP, _END, _LABEL, _CAPTION = (object() for _ in range(4))
+CAPTION_WORDS = 3
 
-def _pop(out: list[str]) -> None:
-    last = out.pop()
-    if len(last) > 1:
-        out.append(last[:-1])
 
+class Rule(NamedTuple):
+    """Where a node has its text: all of its content, or one part of so many. What is to be done after it."""
+
+    part: int | None = None
+    size: int = 0
+    after: object = None
 
-# --- document trees ----------------------------------------------------------------------------------------------------
 
 #: How the kinds of nodes are read.
 SPACES = {"Space", "LineBreak", "SoftBreak"}
-BLOCKS = {"Para", "Plain", "BlockQuote", "BulletList", "DefinitionList", "Quoted"}
-INLINES = {"Emph", "Strong", "Strikeout", "SmallCaps", "Note"}
-WITH_ATTRIBUTES = {"OrderedList", "Div", "Span"}
-REFERENCES = {"Link", "Image"}
 SILENT = {"CodeBlock", "RawBlock", "HorizontalRule", "Table", "Superscript", "Subscript", "Cite", "Code", "Math", "RawInline", "Null", "DoubleQuote", "LineBlock"}
-CAPTION_WORDS = 3
+RULES = {
+    **dict.fromkeys(("Str", "Emph", "Strong", "Strikeout", "SmallCaps", "Note"), Rule()),
+    **dict.fromkeys(("Para", "Plain", "BlockQuote", "BulletList", "DefinitionList", "Quoted"), Rule(after=_END)),
+    "Header": Rule(2, 3, _END),
+    "OrderedList": Rule(1, 2, _END),
+    "Div": Rule(1, 2, _END),
+    "Span": Rule(1, 2),
+    "Link": Rule(1, 3, _LABEL),
+    "Image": Rule(1, 3, _CAPTION),
+}
 
 
 class BadTree(ValueError):
@@ -121,7 +145,7 @@ class _Text:
     def add(self, text: str) -> None:
         if text:
             self.parts.append(text)
-            self.tail = (self.tail + text)[-2:]
+            self.tail = (self.tail + text[-2:])[-2:]
 
     def space(self) -> None:
         if self.tail and not self.tail[-1].isspace():
@@ -135,50 +159,50 @@ class _Text:
         return "".join(self.parts)
 
 
-def _walk(node, out: _Text) -> None:
-    if isinstance(node, str):
-        out.add(node)
-    elif isinstance(node, bool):
-        out.add("true" if node else "false")
-    elif isinstance(node, (int, float)):
-        out.add(f"{node:g}" if isinstance(node, float) else str(node))
-    elif isinstance(node, list):
-        for left, item in zip(range(len(node) - 1, -1, -1), node):
-            _walk(item, out)
-            if left:
+def _read(tree) -> str:
+    """The text of a tree, without recursion: nodes that are still to be read wait on a stack, texts of links and images
+    are gathered apart."""
+    texts = [_Text()]
+    todo = [tree]
+    while todo:
+        node = todo.pop()
+        out = texts[-1]
+        if isinstance(node, dict):
+            kind = node.get("t")
+            if kind in SPACES:
                 out.space()
-    elif isinstance(node, dict):
-        _visit(node.get("t"), node.get("c"), out)
-
-
-def _visit(kind, content, out: _Text) -> None:
-    if kind in SPACES:
-        out.space()
-    elif kind == "Str" or kind in INLINES:
-        _walk(content, out)
-    elif kind == "Header":
-        _walk(_item(kind, content, 3, 2), out)
-        out.end_context()
-    elif kind in BLOCKS:
-        _walk(content, out)
-        out.end_context()
-    elif kind in WITH_ATTRIBUTES:
-        _walk(_item(kind, content, 2, 1), out)
-        if kind != "Span":
+            elif kind not in SILENT:
+                rule = RULES.get(kind)
+                if rule is None:
+                    raise BadTree(f"unknown node type: {kind}")
+                content = node.get("c")
+                if rule.part is not None:
+                    if not isinstance(content, list) or len(content) != rule.size:
+                        raise BadTree(f"{kind}: expected an array of {rule.size}")
+                    content = content[rule.part]
+                if rule.after is not None:
+                    todo.append(rule.after)
+                    if rule.after is not _END:
+                        texts.append(_Text())
+                todo.append(content)
+        elif isinstance(node, list):
+            for k in range(len(node) - 1, -1, -1):
+                todo.append(node[k])
+                if k:
+                    todo.append(_GAP)
+        elif node is _GAP:
+            out.space()
+        elif node is _END:
             out.end_context()
-    elif kind in REFERENCES:
-        inner = _Text()
-        _walk(_item(kind, content, 3, 1), inner)
-        if kind == "Link" or len(str(inner).split()) >= CAPTION_WORDS:
-            out.add(str(inner))
-    elif kind not in SILENT:
-        raise BadTree(f"unknown node type: {kind}")
-
-
-def _item(kind: str, content, size: int, at: int):
-    if not isinstance(content, list) or len(content) != size:
-        raise BadTree(f"{kind}: expected an array of {size}")
-    return content[at]
+        elif node is _LABEL or node is _CAPTION:
+            inner = str(texts.pop())
+            if node is _LABEL or len(inner.split()) >= CAPTION_WORDS:
+                texts[-1].add(inner)
+        elif isinstance(node, str):
+            out.add(node)
+        elif isinstance(node, (bool, int, float)):
+            out.add(json.dumps(node) if isinstance(node, bool) else f"{node:g}" if isinstance(node, float) else str(node))
+    return str(texts[0])
 
 
 def tree_text(tree: str, strict: bool = False) -> tuple[str | None, str | None]:
@@ -187,20 +211,20 @@ def tree_text(tree: str, strict: bool = False) -> tuple[str | None, str | None]:
         data = json.loads(tree)
     except ValueError as e:
         return None, f"JsonError: {e}"
+    except RecursionError:
+        return None, "ErroneousStructure: nested too deeply"
     return blocks_text(data, strict)
 
 
 def blocks_text(data, strict: bool = False) -> tuple[str | None, str | None]:
     if not isinstance(data, dict) or "blocks" not in data:
         return None, "ErroneousStructure: expected an object with blocks"
-    out = _Text()
     try:
-        _walk(_without_single_quotes(data["blocks"]) if strict else data["blocks"], out)
+        return _read(_without_single_quotes(data["blocks"]) if strict else data["blocks"]), None
     except BadTree as e:
         return None, f"ErroneousStructure: {e}"
     except RecursionError:
         return None, "ErroneousStructure: nested too deeply"
-    return str(out), None
 
 
 def _without_single_quotes(node):
@@ -215,12 +239,13 @@ def _without_single_quotes(node):
 
 
 def _strings(text: str) -> list[dict]:
-    out: list[dict] = []
-    for k, word in enumerate(re.split(r"(\s+)", text)):
-        if k % 2:
-            out.append({"t": "SoftBreak" if "\n" in word else "Space"})
-        elif word:
-            out.append({"t": "Str", "c": word})
+    """A text as one string with single spaces, and what white space stands at its ends."""
+    words = text.split()
+    out: list[dict] = [{"t": "Str", "c": " ".join(words)}] if words else []
+    if text[:1].isspace():
+        out.insert(0, {"t": "Space"})
+    if words and text[-1:].isspace():
+        out.append({"t": "Space"})
     return out
 
 
@@ -484,7 +509,11 @@ def unformat(text: str, markup: str, strict: bool) -> tuple[str | None, str | No
         if error:
             return None, f"ErroneousStructure: {error}"
         text = cleaned or ""
-    return blocks_text(READERS[markup](text), strict)
+    try:
+        tree = READERS[markup](text)
+    except RecursionError:
+        return None, "ErroneousStructure: nested too deeply"
+    return blocks_text(tree, strict)
 
 
 # --- column functions --------------------------------------------------------------------------------------------------

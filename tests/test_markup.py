@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from millrace.functions import markup as M
 
 WIKI = [
-    ("Washington<ref>Capital</ref>.", "Washington."), ("ab<blockquote useless='attribute'>cd</blockquote>ef", "abcdef"), ("ab<blockquote></blockquote>cd", "abcd"),
-    ("before\n{|blabla\n...\n}|after", "before\nafter"), ("dskgj |{ dkjfkd\nk |}", "dskgj |{ dkjfkd\nk |}"), ("Obviously, 4 < 5!", "Obviously, 4 < 5!"),
-    ('a<ref name="x"/>b c</ref>d', "ad"), ("a<references/>b", "a"), ("x<ref><i>y</i></ref>z", "x<i</i>z"), ("x<REF>y</REF>z", "x<REF>y</REF>z"), ("a<<c", "a<c"), ("<>", "<>"),
-    ("a <|b> c", "a |<b> c"), ("{| t\n{{f}}| leak\n|}x", " leak\n"), ("<ref>a |} b</ref>c", " bc"), ('<a href="fooo">bar</a>', '<a href="fooo">bar</a>'),
-    ("|{blabla\n|-invalid, but who cares\n...\n|}", ""), ('{{WP-hjælpesider}}\n{| align="right" …\n|}\n', "{{WP-hjælpesider}}\n\n"),
+    ("Lima<ref>Census of 1993</ref>, Peru", "Lima, Peru"), ('she said <blockquote class="q">no more</blockquote> to it', "she said no more to it"), ("<blockquote></blockquote>", ""),
+    ("above\n{| class=x\n! head\n|-\n| cell\n|}below", "above\nbelow"), ("sets {|x| : x in A|} of a line", "sets {|x| : x in A|} of a line"), ("if 3 < 7 and 9 > 2", "if 3 < 7 and 9 > 2"),
+    ('one<ref name="k"/>two</ref>three', "onethree"), ("end<references/>of it", "end"), ("k<ref><em>m</em></ref>n", "k<e</em>n"), ("a<REF>b</REF>", "a<REF>b</REF>"),
+    ("3<<4", "3<4"), ("<>", "<>"), ("p <}r> q", "p }<r> q"), ("{|\n{{x}}| seen\n|}y", " seen\n"), ("u<ref>v {| w</ref>x", "u wx"), ('see <a href="k">l</a>', 'see <a href="k">l</a>'),
+    ("|{ odd\n| table\n|}", ""), ("{{stub}}\n{|\n|}\nrest", "{{stub}}\n\nrest"), ("", ""), ("|", "|"), ("{{a|b}}", "{{a|b}}"), ("x\n\n{|a|}{|b|}c", "x\n\nb|}c"),
 ]
 
 
@@ -20,9 +20,22 @@ def test_wikitext(text, plain):
 
 
 def test_wikitext_error_and_strict():
-    assert M.strip_wikitext("a<b") == (None, "text after opening <: b")
-    assert M.strip_wikitext('a<ref name="x"/>b', True)[0] == "ab" and M.strip_wikitext("a<references/>b", True)[0] == "ab"
-    assert M.strip_wikitext("x<ref><b>y</b></ref>z", True)[0] == "xz"
+    assert M.strip_wikitext("no end <ref x") == (None, "text after opening <: ref x") and M.strip_wikitext("k<")[1] == "text after opening <: "
+    assert M.strip_wikitext('one<ref name="k"/>two', True)[0] == "onetwo" and M.strip_wikitext("end<references/>of it", True)[0] == "endof it"
+    assert M.strip_wikitext("k<ref><em>l</em><b>m</b></ref>n", True)[0] == "kn"
+
+
+def test_wikitext_of_any_length():
+    assert M.strip_wikitext("<ref>n</ref>m" * 50_000)[0] == "m" * 50_000 and M.strip_wikitext("<b" * 50_000)[0] is None
+    assert M.strip_wikitext("{" * 100_000)[0] == "{" * 100_000
+
+
+def test_deep_nesting():
+    assert M.unformat(">" * 30_000 + " deep", "markdown", False)[1] in (None, "ErroneousStructure: nested too deeply")
+    tree: list = [s("inner")]
+    for _ in range(5000):
+        tree = [{"t": "Emph", "c": tree}]
+    assert M.blocks_text({"blocks": tree}) == ("inner", None)
 
 
 def s(x):
@@ -42,14 +55,17 @@ def image(*words):
 
 
 TREES = [
-    ([para(s("simplestr"))], "simplestr\n"), ([para({"t": "Emph", "c": [s("emphasized")]})], "emphasized\n"), ([para(s("a")), para(s("bc"))], "a bc\n"),
-    ([para(s("un"), {"t": "Emph", "c": [s("believ")]}, s("able"))], "un believ able\n"),
-    ([para(s("x1"), {"t": "Quoted", "c": [{"t": "DoubleQuote"}, [s("hi"), SPACE, s("yo")]]}, s("end"))], "x1 hi yo\nend\n"),
-    ([{"t": "BlockQuote", "c": [para(s("never"))]}, para(s("zz"))], "never\nzz\n"), ([para(s("H"), {"t": "Subscript", "c": [s("2")]}, s("O"))], "H O\n"),
-    ([para(s("t"), {"t": "Note", "c": [para(s("foot"))]}, s("u"))], "t foot\nu\n"), ([para(image("this", "is", "ok"))], "this is ok\n"), ([para(image("logo"))], ""),
-    ([{"t": "OrderedList", "c": [[1], [[para(s("shoe"))], [para(s("jeans"))]]]}], "shoe\njeans\n"), ([{"t": "Header", "c": [1, ATTR, [s("h1")]]}, {"t": "Header", "c": [1, ATTR, [s("h2")]]}], "h1\nh2\n"),
-    ([{"t": "Div", "c": [ATTR, [para(s("content"))]]}], "content\n"), ([{"t": "Table", "c": []}, {"t": "Null"}, {"t": "CodeBlock", "c": [ATTR, "x"]}], ""),
-    ([para({"t": "Link", "c": [ATTR, [s("shown")], ["u", ""]]})], "shown\n"), ([para({"t": "Code", "c": [ATTR, "b"]}, s("cc"))], "cc\n"),
+    ([para(s("lone"))], "lone\n"), ([para({"t": "Emph", "c": [s("slanted")]})], "slanted\n"), ([para(s("k")), para(s("mn"))], "k mn\n"),
+    ([para(s("re"), {"t": "Strong", "c": [s("think")]}, s("ing"))], "re think ing\n"),
+    ([para(s("he1"), {"t": "Quoted", "c": [{"t": "DoubleQuote"}, [s("oh"), SPACE, s("no")]]}, s("said"))], "he1 oh no\nsaid\n"),
+    ([{"t": "BlockQuote", "c": [para(s("cited"))]}, para(s("after"))], "cited\nafter\n"), ([para(s("CO"), {"t": "Subscript", "c": [s("2")]}, s("gas"))], "CO gas\n"),
+    ([para(s("to"), {"t": "Note", "c": [para(s("aside"))]}, s("be"))], "to aside\nbe\n"), ([para(image("three", "cats", "asleep"))], "three cats asleep\n"), ([para(image("two", "cats"))], ""),
+    ([{"t": "OrderedList", "c": [[1], [[para(s("first"))], [para(s("second"))]]]}], "first\nsecond\n"), ([{"t": "Header", "c": [1, ATTR, [s("top")]]}, {"t": "Header", "c": [2, ATTR, [s("sub")]]}], "top\nsub\n"),
+    ([{"t": "Div", "c": [ATTR, [para(s("boxed"))]]}], "boxed\n"), ([{"t": "Table", "c": []}, {"t": "Null"}, {"t": "CodeBlock", "c": [ATTR, "x"]}], ""),
+    ([para({"t": "Link", "c": [ATTR, [s("label")], ["u", ""]]})], "label\n"), ([para({"t": "Code", "c": [ATTR, "q"]}, s("rest"))], "rest\n"), ([para({"t": "Span", "c": [ATTR, [s("some"), SPACE, s("span")]]})], "some span\n"),
+    ([{"t": "DefinitionList", "c": [[[s("term")], [[para(s("meaning"))]]]]}], "term meaning\n"), ([para({"t": "SmallCaps", "c": [s("caps")]}, SPACE, {"t": "Strikeout", "c": [s("gone")]})], "caps gone\n"),
+    ([para({"t": "Superscript", "c": [s("2")]}, {"t": "Math", "c": [{}, "x"]}, {"t": "RawInline", "c": ["html", "y"]}, {"t": "Cite", "c": [[], [s("z")]]}, s("left"))], "left\n"),
+    ([{"t": "BulletList", "c": [[para(s("one"))], [{"t": "Plain", "c": [s("two")]}]]}, {"t": "HorizontalRule"}, {"t": "RawBlock", "c": ["html", "<p>"]}], "one\ntwo\n"), ([para(s("x")), {"t": "LineBlock", "c": [[s("verse")]]}], "x "),
 ]
 
 
@@ -76,6 +92,6 @@ def test_readers():
 
 
 def test_columns(spark):
-    df = spark.createDataFrame([("<ref>a</ref>b",), (None,), ("a<b",)], "x string")
+    df = spark.createDataFrame([("<ref>p</ref>q",), (None,), ("r<b",)], "x string")
     got = [(r.r.content, r.r.error) for r in df.select(M.wikitext(F.col("x")).alias("r")).collect()]
-    assert got == [("b", None), (None, None), (None, "text after opening <: b")]
+    assert got == [("q", None), (None, None), (None, "text after opening <: b")]
