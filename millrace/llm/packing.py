@@ -1,7 +1,9 @@
 """Packing of tokenised documents into sequences of a fixed length.
 
 Method: Martello-Toth dominance reduction, then best fit. Only the number of pieces of each length matters for the
-plan, and there are at most `limit` lengths, so the instance is a histogram of bounded size whatever the corpus. The
+plan, and there are at most `limit` lengths, so the instance is a histogram of bounded size whatever the corpus, and so
+are the plan and the work on it: a step of the reduction uses up a length or all but one of its pieces, a step of best
+fit a length or a group of equal bins. The
 reduction fixes bins that provably dominate every other choice for their largest piece and takes them off the
 histogram, again and again until none is left to fix; best fit in decreasing order packs what remains. Pieces then
 find their places from their rank among the pieces of their length: ranks come from counts by task and length, so no
@@ -164,16 +166,14 @@ def plan(counts: dict[int, int], limit: int) -> tuple[list[Placement], int, int]
                 partners = dominant(hist, length, limit)
                 if partners is None:
                     break
-                # the same set again, as long as what proves it stays: no partner, or an exact one, stays while both last
-                times = 1
+                # the same set again while its pieces last: with fewer pieces about, the sets that it dominates only get
+                # fewer, so what proves it stays true
                 if not partners:
-                    times = int(hist.n[length]) if 2 * length > limit or hist.n.sum() == hist.n[length] == 1 else 1
-                elif partners[0] == limit - length:
-                    times = int(hist.n[length]) // 2 if partners[0] == length else int(min(hist.n[length], hist.n[partners[0]]))
-                elif len(partners) == 1 and 2 * length > limit and partners[0] != length:
-                    low = hist.smallest(2)
-                    if len(low) == 2 and low[0] + low[1] > limit - length:  # fewer pieces keep that true
-                        times = int(min(hist.n[length], hist.n[partners[0]]))
+                    times = int(hist.n[length]) if 2 * length > limit else 1
+                elif partners[0] == length:
+                    times = int(hist.n[length]) // 2
+                else:
+                    times = int(min(hist.n[length], hist.n[partners[0]]))
                 out.append(Placement(length, hist.take(length, times), times, 1, bins, 0))
                 if partners:
                     out.append(Placement(partners[0], hist.take(partners[0], times), times, 1, bins, length))
