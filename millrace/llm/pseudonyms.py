@@ -5,7 +5,7 @@ mixed radices (a digit stays a digit, a letter a letter of its case, punctuation
 rules, the network walks its cycle until the rules hold again: a permutation of exactly the values that pass. So equal
 values have equal pseudonyms in all documents, different values have different ones, and who holds the key can go back.
 
-Validated: payment cards (13 to 19 digits with a Luhn check digit; the first digit stays and the check digit is made
+Validated: payment cards (13 to 19 digits with a Luhn check digit, first digits and length of a network; the first digit stays and the check digit is made
 anew), IBANs (mod 97, made anew; country stays), US social security numbers, telephone numbers (8 to 15 digits with a
 plus, or the North American form; the country code stays), calendar dates (ISO, and day-month-year or month-day-year;
 the century stays), IPv4 addresses (private, loopback, multicast and other stay what they are), the local part of mail
@@ -14,6 +14,9 @@ an IBAN after a blank or hyphen may look like more of it: where the longest matc
 with a group are tried. A telephone number with a plus ends with the group that gives its country's fixed length, if there
 is one, else with the last one that leaves a valid length; the North American form has one pseudonym with and without +1.
 
+Key: the setting spark.millrace.pseudonyms.key, else one drawn at random for the application; none is published. Values of
+more than AT_ONCE letters and digits are permuted in parts, each keyed by those before it, forth and back.
+
 Defined cases: null text stays null, with no finds; empty text stays empty; overlapping finds go to the one that begins
 first, then to the order above; repeated rows give repeated rows; an empty table gives no rows; other columns stay
 inside the struct `row`, whatever their names; texts are read whole.
@@ -23,19 +26,22 @@ from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 from collections.abc import Callable, Iterator
 from datetime import date
 from functools import lru_cache
 from ipaddress import IPv4Address
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("mail", "secret", "iban", "date", "ipv4", "card", "ssn", "phone")
 ROUNDS = 10
-#: Used where a deployment names no key of its own, as in tests.
-DEFAULT_KEY = b"replace this key"
+#: Letters and digits that the network takes at once; longer values are chained.
+AT_ONCE = 64
+#: The setting that holds the key.
+KEY_SETTING = "spark.millrace.pseudonyms.key"
 
 LOWER_CASE = "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "0123456789"
@@ -58,6 +64,12 @@ SEPARATORS = {"iban": " ", "card": " -", "phone": " .-("}
 SHORT_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 #: Digits after the country code, where a country's numbers all have as many.
 NATIONAL = {"1": 10, "7": 10, "27": 9, "30": 10, "31": 9, "33": 9, "34": 9, "41": 9, "45": 8, "48": 9, "52": 10, "61": 9, "90": 10, "91": 10, "351": 9, "420": 9, "421": 9, "380": 9}
+#: The first digits of the card networks' numbers, from and to, and how long these are.
+NETWORKS = (
+    ("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)), ("34", "34", (15,)), ("37", "37", (15,)), ("300", "305", range(14, 20)), ("36", "36", range(14, 20)),
+    ("38", "39", range(14, 20)), ("3528", "3589", range(16, 20)), ("50", "50", range(13, 20)), ("56", "58", range(13, 20)), ("60", "60", range(16, 20)), ("62", "62", range(16, 20)),
+    ("644", "649", range(16, 20)), ("65", "65", range(16, 20)), ("67", "67", range(13, 20)),
+)
 FIND = re.compile("|".join(f"(?P<{k}_>{PATTERNS[k]})" for k in KINDS))
 #: No find is without a digit, an at sign or one of these.
 HINT = re.compile(r"[0-9@]|(?i:pass|pwd|secret|token|key)|gh[pousr]_")
@@ -80,7 +92,7 @@ class Feistel:
     def _f(self, label: str, nth: int, half: int, modulus: int) -> int:
         size = (modulus.bit_length() + 7) // 8 + 8
         out, k = b"", 0
-        text = f"{label}|{nth}|{half}|"
+        text = f"{label}|{nth}|{half:x}|"
         while len(out) < size:
             out += hashlib.blake2b(f"{text}{k}".encode(), key=self.key, digest_size=64).digest()
             k += 1
@@ -120,21 +132,41 @@ class Feistel:
         at = [i for i, s in enumerate(sets) if s]
         if not at:
             return text
+        out = list(text)
+        while True:
+            self._pass(label, out, sets, at, back)
+            new = "".join(out)
+            if hex_digits(new) == hexed and allowed(new):
+                return new
+
+    def _pass(self, label: str, out: list[str], sets: list[str | None], at: list[int], back: bool) -> None:
+        """Permutes the places `at` of out: all together, or, where they are many, in parts that each depend on those
+        before it, and once more in the opposite direction, so that every part depends on all of them."""
+        parts = [at[k : k + AT_ONCE] for k in range(0, len(at), AT_ONCE)]
+        if len(parts) == 1:
+            self._part(f"{label}|{''.join('-' if s is None else str(len(s)) + s[0] for s in sets)}", out, sets, at, back)
+            return
+        for forth in (False, True) if back else (True, False):
+            order = parts if forth else parts[::-1]
+            told = hashlib.blake2b(f"{label}|{len(out)}|{forth}".encode(), digest_size=32)
+            for part in order:
+                tweak = told.hexdigest()
+                before = "".join(out[i] for i in part)
+                self._part(f"{label}|{tweak}|{','.join(str(len(sets[i])) + sets[i][0] for i in part)}", out, sets, part, back)
+                # what a part was made of in one direction is known again in the other
+                told.update((before if back else "".join(out[i] for i in part)).encode())
+
+    def _part(self, label: str, out: list[str], sets: list[str | None], at: list[int], back: bool) -> None:
         half = len(at) // 2
         sizes = [1, 1]
         value = 0
         for k, i in enumerate(at):
             sizes[k >= half] *= len(sets[i])
-            value = value * len(sets[i]) + sets[i].index(text[i])
-        form = "".join("-" if s is None else str(len(s)) + s[0] for s in sets)
-        while True:
-            value = self.step(f"{label}|{form}", value, *sizes, back)
-            out, rest = list(text), value
-            for i in reversed(at):
-                rest, d = divmod(rest, len(sets[i]))
-                out[i] = sets[i][d]
-            if hex_digits("".join(out)) == hexed and allowed("".join(out)):
-                return "".join(out)
+            value = value * len(sets[i]) + sets[i].index(out[i])
+        value = self.step(label, value, *sizes, back)
+        for i in reversed(at):
+            value, d = divmod(value, len(sets[i]))
+            out[i] = sets[i][d]
 
 
 def luhn(digits: str) -> bool:
@@ -145,6 +177,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def issued(digits: str) -> bool:
+    """Whether a network issues card numbers that begin so and are as long."""
+    return any(low <= digits[: len(low)] <= high and len(digits) in sizes for low, high, sizes in NETWORKS)
+
+
 def mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
@@ -182,9 +219,9 @@ class Pseudonyms:
 
     def _card(self, _: str, text: str) -> str | None:
         digits = re.sub(r"\D", "", text)
-        if not luhn(digits) or digits[0] == "0":
+        if not luhn(digits) or not issued(digits):
             return None
-        body = digits[0] + self.feistel.text("card", digits[1:-1] + "-")[:-1]
+        body = digits[0] + self.feistel.text("card", digits[1:-1] + "-", lambda x: issued(digits[0] + x))[:-1]
         return _fill(text, body + next(c for c in DIGITS if luhn(body + c)))
 
     def _iban(self, _: str, text: str) -> str | None:
@@ -295,9 +332,22 @@ def _ends(text: str, kind: str, m: re.Match) -> list[re.Match]:
 _ALONE = {k: re.compile(v) for k, v in PATTERNS.items()}
 
 
-def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
+def key_of(spark: SparkSession) -> bytes:
+    """The key of the setting; where it is not set, one drawn at random for this application: values are then linked
+    within it alone, and nobody can go back."""
+    given = spark.conf.get(KEY_SETTING, None)
+    if given:
+        return given.encode()
+    sc = spark.sparkContext
+    if not hasattr(sc, "_millrace_key"):
+        sc._millrace_key = secrets.token_bytes(32)
+    return sc._millrace_key
+
+
+def pseudonymised(docs: DataFrame, key: bytes | None = None, text_col: str = "text") -> DataFrame:
     """docs as struct `row`, with clean, the text with pseudonyms, and finds, their number by kind."""
     at = docs.columns.index(text_col)
+    key = key_of(docs.sparkSession) if key is None else key
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Pseudonyms(key)
@@ -308,14 +358,14 @@ def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY, text_col: str = "te
     return docs.select(F.struct("*").alias("row")).mapInArrow(run, f"row {docs.schema.simpleString()}, clean string, finds array<long>")
 
 
-def pseudonym_report(docs: DataFrame, key: bytes = DEFAULT_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudonym_report(docs: DataFrame, key: bytes | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text with pseudonyms, number of finds by kind) of every row."""
     out = pseudonymised(docs.select(id_col, text_col), key, text_col)
     counts = [F.col("finds")[k].alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return out.select(F.col("row").getField(id_col).alias(id_col), F.col("clean").alias("text"), *counts)
 
 
-def with_pseudonyms(docs: DataFrame, key: bytes = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
+def with_pseudonyms(docs: DataFrame, key: bytes | None = None, text_col: str = "text") -> DataFrame:
     """docs, their texts with pseudonyms."""
     out = pseudonymised(docs, key, text_col)
     return out.select(*(F.col("clean").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))
