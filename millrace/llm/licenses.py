@@ -1,7 +1,9 @@
 r"""License scans by conditional compression.
 
-Candidate blocks are runs of lines with license wording, at most `GAP` other lines apart; a block longer than `SPAN`
-characters is read as overlapping windows around its cues, all of them.
+Candidate blocks are runs of lines with license wording, at most `GAP` other lines apart; of a line longer than `SPAN`
+characters those around its cues are read. A block of many words is read in windows that overlap by half; words of a notice
+that is found are taken for all of them, and a notice that begins in the second half waits for the next window, so none is
+cut and none found twice.
 
 Method: a block is compressed alone and with each template as zstandard raw dictionary; templates rank by how much
 smaller that makes it. Those most of whose words the block has are compared word by word: a template is confirmed if its
@@ -55,7 +57,35 @@ TEMPLATES = {
     ),
     "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "gpl-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    ),
+    "lgpl-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "agpl-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."
+    ),
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+        "this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "bsd-2-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+        "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution."
+    ),
     "bsd-3-clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
         "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
@@ -67,6 +97,15 @@ TEMPLATES = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
         "the above copyright notice and this permission notice appear in all copies."
     ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions:"
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
     "cc-by-4.0": "Licensed under CC BY 4.0.",
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
@@ -79,7 +118,7 @@ TEMPLATES = {
     "reserved-copyright": "Copyright <year> <owner>. All rights reserved.",
 }
 CUES = ("licens", "licenc", "copyright", "permission", "warrant", "redistribut", "public domain", "spdx", "creative commons", "rights reserved")
-GAP, SPAN, LEVEL = 3, 4096, 9
+GAP, SPAN, LEVEL, STEP = 3, 4096, 9, 256
 #: A winner misses at most this share of its words, and has at most as many foreign ones among them.
 MISSING = 0.2
 WORD = re.compile(r"<\w+>|\w+(?:\.\w+)*")
@@ -95,8 +134,6 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
     low = text.lower()
     if len(low) != len(text):
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-    if not any(c in low for c in CUES):
-        return
     runs: list[list[int]] = []
     for m in CUE.finditer(low):
         begin = text.rfind("\n", 0, m.start()) + 1
@@ -107,17 +144,18 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
         if runs and (begin <= runs[-1][1] or text.count("\n", runs[-1][1], begin) <= GAP and begin - runs[-1][1] <= SPAN):
             runs[-1][1] = max(runs[-1][1], end)
         else:
-            runs.append([begin, end])
+            if runs:
+                yield runs[-1][0], runs[-1][1]
+            runs = [[begin, end]]
     for begin, end in runs:
-        while end - begin > SPAN:
-            yield begin, begin + SPAN
-            begin += SPAN // 2
         yield begin, end
 
 
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.words = {n: words(t) for n, t in templates.items()}
+        #: Words from one window to the next: a notice that begins in the first half of a window ends within it.
+        self.step = max([STEP, *(2 * len(w) for w in self.words.values())])
         self.alone = zstandard.ZstdCompressor(level=LEVEL)
         self.given = {}
         for name, text in templates.items():
@@ -155,13 +193,13 @@ class Scanner:
         foreign = sum(w is not None for a, b in gaps for w in block[a.b + a.size : b.b])
         return max(0, missing), foreign, found
 
-    def confirmed(self, rank: list[tuple[float, str]], block: list[str | None], possible: set[str]) -> tuple | None:
-        """(license, reduction, missing, foreign, places) of the best template."""
+    def confirmed(self, rank: list[tuple[float, str]], block: list[str | None], possible: set[str], before: int) -> tuple | None:
+        """(license, reduction, missing, foreign, places) of the best template among those that begin before a place."""
         some = []
         for gain, name in rank:
             if name in possible:
                 missing, foreign, places = self.differences(name, block)
-                if max(missing, foreign) <= MISSING * len(self.words[name]):
+                if places and max(missing, foreign) <= MISSING * len(self.words[name]) and min(places) < before:
                     some.append((missing + foreign, -len(self.words[name]), name, gain, missing, foreign, places))
         some = [x for x in some if not any(x[-1] < y[-1] for y in some)]
         return min(some, key=lambda x: x[:3])[2:] if some else None
@@ -169,19 +207,31 @@ class Scanner:
     def scan(self, text: str) -> Iterator[tuple]:
         """(begin, length, license, reduction, missing, foreign, verdict) of each notice, or of a block without one."""
         for begin, end in blocks(text):
-            block: list[str | None] = list(words(text[begin:end]))
-            if not block:
-                continue
-            rank, possible = self.ranked(block), self.possible(block)
-            best = self.confirmed(rank, block, possible)
-            if best is None:
-                yield begin, end - begin, None, rank[0][0], None, None, "unknown"
-            while best is not None:
-                name, gain, missing, foreign, places = best
-                yield begin, end - begin, name, gain, missing, foreign, "modified" if missing or foreign else "exact"
-                block = [None if k in places else w for k, w in enumerate(block)]
-                possible = self.possible(block)
-                best = self.confirmed(self.ranked(block), block, possible) if possible else None
+            every: list[str | None] = list(words(text[begin:end]))
+            gains = [0.0]
+            found = False
+            for at in range(0, len(every), self.step):
+                window = slice(at, at + 2 * self.step)
+                last = window.stop >= len(every)
+                while True:
+                    block = every[window]
+                    possible = self.possible(block)
+                    if not possible and (found or at):
+                        break  # no template can be confirmed
+                    rank = self.ranked(block)
+                    gains.append(rank[0][0])
+                    best = self.confirmed(rank, block, possible, len(block) if last else self.step)
+                    if best is None:
+                        break
+                    found = True
+                    name, gain, missing, foreign, places = best
+                    yield begin, end - begin, name, gain, missing, foreign, "modified" if missing or foreign else "exact"
+                    for k in places:
+                        every[at + k] = None
+                if last:
+                    break
+            if every and not found:
+                yield begin, end - begin, None, max(gains[1:]), None, None, "unknown"
 
 
 def license_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
