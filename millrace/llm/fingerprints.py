@@ -9,15 +9,17 @@ leaves alone, under these blocks' bits; fingerprints within the radius meet in o
 distinct fingerprints, so copies do not multiply.
 
 The next document, in descending order of ids, is found in slices of that order: a slice also gets the first document of
-the next slice. Slices follow quantiles of the ids and have some thousand rows each.
+the next slice. Slices follow quantiles of the ids and have some thousand rows each; an id that many rows share, such as
+null, has several, by text.
 
 Defined cases: null text counts as empty; a null id counts as the least; of equal ids the larger text hash comes first;
-repeated rows follow each other; one row is its own next; an empty table gives no rows; other columns are ignored,
+repeated rows follow each other (rows alike in id and text stay together); one row is its own next; an empty table gives no rows; other columns are ignored,
 whatever their names; texts are read whole.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +31,7 @@ BITS, LANES = 64, 32
 SLICE_ROWS, QUANTILES = 4096, 256
 #: Up to so many slices, their first documents are broadcast; beyond, Spark joins as it sees fit.
 BROADCAST_SLICES = 1 << 20
-RADIUS, BLOCKS = 3, 5
+RADIUS, BLOCKS, MOST_BLOCKS = 3, 5, 12
 LEAST = -(1 << 63)
 
 
@@ -78,6 +80,12 @@ def tables(fp: Column, radius: int = RADIUS, blocks: int = BLOCKS) -> Column:
     return F.array(*out)
 
 
+def blocks_for(rows: int, radius: int = RADIUS) -> int:
+    """The least number of blocks whose tables have keys with a bit for each doubling of the rows: as an index grows, its
+    buckets stay small and its tables become more."""
+    return next((b for b in range(radius + 2, MOST_BLOCKS) if 1 << (BITS * (b - radius) // b) >= rows), MOST_BLOCKS)
+
+
 def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """(query, fp, documents) of every distinct fingerprint of the index within the radius of a distinct query; both have a column fp."""
     some = queries.select(F.col("fp").alias("query")).distinct().select("query", F.explode(tables(F.col("query"), radius, blocks)).alias("key"))
@@ -89,6 +97,7 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS, bl
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, sid, tie, slice, ghost, text, next): next is the text of the next document; ghosts are copies that only serve as next."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("sid"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = rows.withColumn("tie", F.xxhash64("text"))
     marks = [k / QUANTILES for k in range(1, QUANTILES)]
     n, low, high, marked = rows.agg(F.count("*"), F.min("sid"), F.max("sid"), F.percentile_approx("sid", marks)).first()
     edges = [low or 0, *sorted(set(marked or []) - {low}), (high or 0) + 1]
@@ -96,20 +105,29 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     if n <= SLICE_ROWS * QUANTILES:  # then fewer quantiles are enough
         step = max(1, len(edges) * SLICE_ROWS // max(n, 1))
         edges = [edges[0], *edges[1:-1:step], edges[-1]]
+    # an id that is several quantiles, such as null, has slices of its own, by text: 2**parts of them
+    often = {sid: n * (times + 1) // QUANTILES // SLICE_ROWS for sid, times in Counter(marked or []).items() if times > 1}
+    parts = {sid: slices.bit_length() for sid, slices in often.items() if slices}
+    edges = sorted({*edges, *parts, *(min(sid + 1, edges[-1]) for sid in parts)})
+    most = max(per, 1 << max(parts.values(), default=0))
     starts = F.array(*(F.lit(str(e)).cast("decimal(20,0)") for e in edges[:-1]))
     widths = F.array(*(F.lit(str(max(1, -(-(b - a) // per)))).cast("decimal(20,0)") for a, b in zip(edges, edges[1:])))
+    shifts = F.array(*(F.lit(BITS - parts[e] if parts.get(e) else 0) for e in edges[:-1]))
     wide = F.col("sid").cast("decimal(20,0)")
     coarse = F.size(F.filter(starts, lambda e: e <= wide))
-    rows = rows.withColumn("coarse", coarse).withColumn("slice", (F.col("coarse") * per + F.floor((wide - F.element_at(starts, F.col("coarse"))) / F.element_at(widths, F.col("coarse")))).cast("long")).drop("coarse")
-    first = F.struct("sid", F.xxhash64("text").alias("tie"))
-    heads = rows.groupBy("slice").agg(F.max(first).alias("head"))
+    # within a range: by id, or by text, whose order is that of its hash without sign
+    by_id = F.floor((wide - F.element_at(starts, F.col("coarse"))) / F.element_at(widths, F.col("coarse"))).cast("long")
+    by_text = F.call_function("shiftrightunsigned", F.col("tie").bitwiseXOR(F.lit(LEAST)), F.col("shift"))
+    fine = F.when(F.col("shift") > 0, by_text).otherwise(by_id)
+    rows = rows.withColumn("coarse", coarse).withColumn("shift", F.element_at(shifts, F.col("coarse"))).withColumn("slice", F.col("coarse") * F.lit(most).cast("long") + fine).drop("coarse", "shift")
+    heads = rows.groupBy("slice").agg(F.max(F.struct("sid", "tie")).alias("head"))
     up = Window.orderBy("slice")  # a row for each slice
     all_ = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select(F.coalesce(F.lead("slice").over(up), F.first("slice").over(all_)).alias("to"), "head.sid", "head.tie")
-    if n // SLICE_ROWS + len(edges) * per <= BROADCAST_SLICES:
+    if n // SLICE_ROWS + len(edges) * most <= BROADCAST_SLICES:
         heads = F.broadcast(heads)  # a row of three numbers for each slice
-    ghosts = rows.drop("slice").withColumn("tie", F.xxhash64("text")).join(heads, ["sid", "tie"]).select("id", "sid", "text", F.col("to").alias("slice"), "tie", F.lit(True).alias("ghost"))
-    both = rows.withColumn("tie", F.xxhash64("text")).withColumn("ghost", F.lit(False)).unionByName(ghosts)
+    ghosts = rows.drop("slice").join(heads, ["sid", "tie"]).select("id", "sid", "text", F.col("to").alias("slice"), "tie", F.lit(True).alias("ghost"))
+    both = rows.withColumn("ghost", F.lit(False)).unionByName(ghosts)
     return both.withColumn("next", F.lead("text").over(order()))
 
 
@@ -132,7 +150,7 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # written: the search reads it three times
     out = written(one.withColumn("nfp", F.lead("fp").over(order())).filter("not ghost"), "fingerprints")
     asked = F.col("id") % 50 == 0
-    near = within_radius(out.filter(asked), out, radius).groupBy("query").agg((F.sum("documents") - 1).alias("n_near"))
+    near = within_radius(out.filter(asked), out, radius, blocks_for(out.count(), radius)).groupBy("query").agg((F.sum("documents") - 1).alias("n_near"))
     out = out.join(near, asked & (out["fp"] == near["query"]), "left")
     return out.select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", shown(F.col("fp")).alias("fingerprint"), shown(F.col("efp")).alias("edited_fingerprint"),
