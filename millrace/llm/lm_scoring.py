@@ -4,14 +4,15 @@ Tokens are the words `[^\x20\x09-\x0D]+` with A-Z lower-cased, then one end. Tra
 than 2; of these, remainder 3 is deleted from the counts while the mixture weights are learned.
 
 Method: P(w | v) = a c(v, w) / c(v) + b c(w) / N + c / (V + 1), maximum-likelihood estimates whose weights (a, b, c) belong
-to a bucket of the context's frequency (its bit length). They are learned by expectation-maximisation on the counts of
-the deleted documents against those of the others; the scores use the counts of all training documents. Words, contexts
+to a bucket of the context's frequency (its bit length). They are learned by expectation-maximisation, until they stand
+still, on the counts of the deleted documents against those of the others; of these, estimates within a quarter of an
+octave of each other are summed up to their mean. The scores use the counts of all training documents. Words, contexts
 and pairs are counted by whole 64-bit hashes.
 
 A pass over the documents counts words, another the pairs that are suspected to be frequent. A third deals what the
 documents hold of each pair to cells by word, as compressed arrays: a cell then has its words' and pairs' counts and all
-documents to score with them. Words above a share of all tokens are dealt by pair, pairs above it by document too; both
-lists are bounded by that share, and their counts are broadcast. Only sums by document leave a cell.
+documents to score with them. Words of HOT_TOKENS and more are dealt by pair, such pairs by document too; both
+lists are bounded by shares of all tokens, and their counts are broadcast. Only sums by document leave a cell.
 
 A cell by word does not hold its contexts' frequencies. Those of the `HEAD` most frequent words are broadcast. What
 follows any other word is dealt a second time, to cells by context, which have that word's frequency and its pairs; there
@@ -37,22 +38,20 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import checkpointed, chunks, crc32_of_id, drop_written, freed, written
 
-#: A context is the whole hash of its word; a document's begin has a number beyond.
-CLASS_BITS = 64
-START = 1 << CLASS_BITS
 END = W.stream(21, 1)[0]
 #: Among hashes of contexts: a document's begin, and any word outside the head.
 BEGIN, OTHER = W.stream(22, 2)
 FOLDS, TEST, DELETED = 7, 2, 3
-#: Words and pairs above this share of all tokens are dealt apart; a suspect has half of it in a chunk.
-HOT_SHARE = 1 / 2048
 CHUNK, CHUNK_DOCS = 4 << 20, 1 << 14
 TOKENS_A_PARTITION, CELLS_A_PARTITION = 2_000_000, 4
-#: So many words at most, and those above HOT_SHARE, have their counts broadcast as contexts; tokens after others in a cell by context.
+#: Words and pairs of so many tokens are dealt apart. Their lists are broadcast, so a word has at least this share of all
+#: tokens besides, and a pair that one; a suspected pair has half of it in a chunk.
+HOT_TOKENS, WORD_SHARE, PAIR_SHARE = 250_000, 1 / (1 << 20), 1 / 16384
+#: So many words at most, and the hot ones, have their counts broadcast as contexts; tokens after others in a cell by context.
 HEAD, RARE_A_CELL = 1 << 20, 250_000
 #: Sums by document that a task gathers from its cells before it passes them on.
 HELD_SUMS = 1_000_000
-EM_ROUNDS, STEPS_AN_OCTAVE, ABSENT = 60, 4, -(10**6)
+EM_ROUNDS, STILL, STEPS_AN_OCTAVE, ABSENT = 5000, 1e-8, 4, -(10**6)
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,9 +102,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = fold != TEST
         word, inverse, count = np.unique(hashes[known], return_inverse=True, return_counts=True)
         deleted = np.bincount(inverse[fold[known] == DELETED], minlength=len(word))
-        common = (count >= total * HOT_SHARE / 2)[inverse]
+        common = (count >= total * PAIR_SHARE / 2)[inverse]
         keys, n = np.unique(pair_keys(hashes[known][common], contexts(hashes, lengths)[known][common]), return_counts=True)
-        keys, n = keys[n >= total * HOT_SHARE / 2], n[n >= total * HOT_SHARE / 2]
+        keys, n = keys[n >= total * PAIR_SHARE / 2], n[n >= total * PAIR_SHARE / 2]
         starts = [int(np.sum(np.array(folds) != TEST) - np.sum(np.array(folds) == DELETED)), folds.count(DELETED)]
         yield pa.RecordBatch.from_arrays(
             [
@@ -302,13 +301,17 @@ def bucket(count: np.ndarray) -> np.ndarray:
     return np.frexp(count.astype(np.float64))[1] * (count > 0)
 
 
+GRID = "b long, s2 long, s1 long, n double, x2 double, x1 double"
+
+
 def _shares(about: np.ndarray, pair: np.ndarray, word: np.ndarray, times: np.ndarray, totals: tuple[int, int, int]) -> pa.RecordBatch:
-    """How often deleted tokens have which two estimates, by main counts; in steps of a logarithm."""
+    """How often deleted tokens have which two estimates, by main counts: by steps of their logarithms, with their sums."""
     base = 1 / (totals[2] + 1)
     step = lambda x: np.where(x > 0, np.rint(np.log2(np.maximum(x, 1e-300) / base) * STEPS_AN_OCTAVE), ABSENT).astype(np.int64)
-    rows = np.stack([bucket(about), step(pair / np.maximum(about, 1)), step(word / max(totals[0], 1))], 1)
-    kinds, inverse = np.unique(rows, axis=0, return_inverse=True)
-    return pa.RecordBatch.from_arrays([*(pa.array(kinds[:, k], pa.int64()) for k in range(3)), pa.array(np.bincount(inverse.ravel(), times, len(kinds)), pa.float64())], names=["b", "s2", "s1", "n"])
+    two, one = pair / np.maximum(about, 1), word / max(totals[0], 1)
+    kinds, inverse = np.unique(np.stack([bucket(about), step(two), step(one)], 1), axis=0, return_inverse=True)
+    sums = [np.bincount(inverse.ravel(), times * x, len(kinds)) for x in (np.ones(len(times)), two, one)]
+    return pa.RecordBatch.from_arrays([*(pa.array(kinds[:, k], pa.int64()) for k in range(3)), *(pa.array(x, pa.float64()) for x in sums)], names=[c.split()[0] for c in GRID.split(", ")])
 
 
 def _deleted_shares(head_, totals, hot_words: Table, hot_pairs: Table, cells: int):
@@ -352,19 +355,21 @@ def _lacking_shares(totals):
     return run
 
 
-def learned(rows: list[tuple[int, int, int, float]], vocabulary: int) -> np.ndarray:
-    """(a, b, c) by bucket; a bucket without deleted tokens has the weights of all together."""
-    data = np.array(rows or [(0, ABSENT, ABSENT, 1.0)], np.float64)
-    base = 1 / (vocabulary + 1)
-    share = np.stack([np.where(data[:, k] > ABSENT, np.exp2(data[:, k] / STEPS_AN_OCTAVE) * base, 0) for k in (1, 2)] + [np.full(len(data), base)], 1)
+def learned(rows: list[tuple], vocabulary: int) -> np.ndarray:
+    """(a, b, c) by bucket, of rows (bucket, tokens, sums of both estimates); a bucket without deleted tokens has the
+    weights of all together."""
+    data = np.array(rows or [(0, 1.0, 0.0, 0.0)], np.float64)
+    share = np.concatenate([data[:, 2:] / data[:, 1:2], np.full((len(data), 1), 1 / (vocabulary + 1))], 1)
 
     def fit(some: np.ndarray) -> np.ndarray:
-        weight = np.full(3, 1 / 3)
+        weight, own, times = np.full(3, 1 / 3), share[some], data[some, 1:2]
         for _ in range(EM_ROUNDS):
-            part = share[some] * weight
+            part = own * weight
             part /= part.sum(1, keepdims=True)
-            weight = (part * data[some, 3:]).sum(0) + 1e-3
+            last, weight = weight, (part * times).sum(0) + 1e-3
             weight /= weight.sum()
+            if np.abs(weight - last).max() < STILL:
+                break
         return weight
 
     out = np.tile(fit(np.ones(len(data), bool)), (64, 1))
@@ -476,15 +481,16 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     of_words = counted.filter("kind = 0")
     n_main, n_deleted, distinct = (int(x or 0) for x in of_words.agg(F.sum("main"), F.sum("deleted"), F.count("*")).first())
     totals = (n_main, n_deleted, distinct)
-    least = max(1, (n_main + n_deleted) * HOT_SHARE)
-    hot_words = Table(of_words.filter(F.col("main") + F.col("deleted") >= least).collect())  # at most 1 / HOT_SHARE rows
-    # counted in chunks where they are frequent, suspects have half of the share at least: at most 2 / HOT_SHARE rows
-    suspects = counted.filter("kind = 1").filter(F.col("main") >= least / 2).select("key").collect()
+    least = max(1, HOT_TOKENS, (n_main + n_deleted) * WORD_SHARE)
+    hot_words = Table(of_words.filter(F.col("main") + F.col("deleted") >= least).collect())  # at most 1 / WORD_SHARE rows
+    # counted in chunks where they are frequent, suspects have half of the share at least: at most 2 / PAIR_SHARE rows
+    least_pair = max(1, HOT_TOKENS, (n_main + n_deleted) * PAIR_SHARE)
+    suspects = counted.filter("kind = 1").filter(F.col("main") >= least_pair / 2).select("key").collect()
     keys = np.sort(np.array([r.key for r in suspects], np.int64).view(np.uint64))
     hot_pairs = Table([])
     if len(keys):
         rows = asked.mapInArrow(_count_only(keys), "key long, main long, deleted long").groupBy("key").agg(F.sum("main").alias("main"), F.sum("deleted").alias("deleted"))
-        hot_pairs = Table(rows.filter(F.col("main") + F.col("deleted") >= least).collect())
+        hot_pairs = Table(rows.filter(F.col("main") + F.col("deleted") >= least_pair).collect())
 
     total = n_main + n_deleted
     # how many words have which count: less than the root of twice all tokens
@@ -515,9 +521,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     lacking = written(lacking.join(own, "word", "left").fillna(0, ["word0", "word1"]), "lacking")
     drop_written(counted)
     freed(sc)
-    grid = "b long, s2 long, s1 long, n double"
-    shares = dealt.mapInArrow(_deleted_shares(head_, totals, hot_words, hot_pairs, cells), grid).unionByName(lacking.mapInArrow(_lacking_shares(totals), grid))
-    weights = learned([tuple(r) for r in shares.groupBy("b", "s2", "s1").agg(F.sum("n").alias("n")).collect()], distinct)  # a bounded grid
+    shares = dealt.mapInArrow(_deleted_shares(head_, totals, hot_words, hot_pairs, cells), GRID).unionByName(lacking.mapInArrow(_lacking_shares(totals), GRID))
+    grid = shares.groupBy("b", "s2", "s1").agg(F.sum("n"), F.sum("x2"), F.sum("x1")).collect()  # a bounded grid
+    weights = learned([(r[0], *r[3:]) for r in grid], distinct)
 
     part = "chunk string, whole boolean, data binary"
     parts = dealt.mapInArrow(_scored(head_, totals, weights, hot_words, hot_pairs, cells), part).unionByName(lacking.mapInArrow(_lacking_scored(totals, weights), part))
