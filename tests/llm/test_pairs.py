@@ -90,6 +90,30 @@ def test_near_duplicates_edges(spark):
     assert sorted((r.doc_id, r.component_id) for r in N.near_duplicates(twice).collect()) == [(0, 0), (0, 0), (1, 0), (1, 0)]
 
 
+@pytest.mark.parametrize("at_once,passes", [(1, 9), (1, 1), (3, 4)])
+def test_one_of_each_in_passes(spark, monkeypatch, at_once, passes):
+    monkeypatch.setattr(N, "IDS_AT_ONCE", at_once)
+    monkeypatch.setattr(N, "PASSES", passes)
+    table = docs(spark, ["p q r s t u v"] * 4 + ["k l m n o", None, "k l m n o"])
+    assert sorted(r.doc_id for r in N.one_of_each(table).collect()) == [0, 4, 5]
+
+
+def test_recall_of_the_bands():
+    """Pairs at and above the threshold share a band: all of 400, measured on random sets."""
+    rng = random.Random(3)
+    for k in range(400):
+        n = rng.randrange(40, 400)
+        both = [rng.getrandbits(64) for _ in range(-(-75 * 2 * n // 175))]
+        one, two = (N.np.array(both + [rng.getrandbits(64) for _ in range(n - len(both))], N.np.uint64) for _ in "ab")
+        assert set(N.bands(N.minima(one))) & set(N.bands(N.minima(two)))
+
+
+def test_long_texts_are_whole(spark):
+    rng = random.Random(5)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(60_000))
+    check_groups(docs(spark, [long, long + " and more", long[: len(long) // 2], "w1 w2 " * 30_000]))
+
+
 @pytest.mark.parametrize("edges", [[(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)], [(5, 3), (3, 9), (7, 8), (8, 8)], []])
 def test_components(spark, edges):
     rng = random.Random(1)
@@ -150,6 +174,26 @@ def test_decontamination(spark, block_bytes):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(k for k, x in want.items() if not x[4]) and clean.columns == table.columns
 
 
+def test_repeated_words_and_passages(spark):
+    """Ties everywhere: one word, periods of two and three words, passages that many items share, and long texts."""
+    items = [(1, "a " * 300), (2, "a b " * 40), (3, "x y z " * 30), (4, "q " + "a b " * 7), (5, "long passage of words that many items share here and there again " * 2)]
+    items += [(10 + i, f"head{i} long passage of words that many items share here and there again tail{i}") for i in range(30)]
+    texts = ["a " * 3000, "a " * 9, "a " * 10, "c " + "a b " * 5 + "c", "b " + "a b " * 4 + "a", "y z " + "x y z " * 200, "q a b a b a b a b a", "w " * 30 + "items share here and there again long passage of words", items[7][1], "v " * 20000 + "a " * 12]
+    bench = spark.createDataFrame(items * 2, "item_id long, text string")
+    table = docs(spark, texts)
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in D.decontamination_report(table, bench).collect()}
+    assert got == hits(table, items)
+
+
+def test_matches_of_repeated_words_are_few():
+    """20,000 times one word against 1,000 times the same: places meet passages, not places."""
+    index = D.Items(["i"], [b"a " * 1000], 10)
+    assert len(index.place) < 30
+    hashes, offsets, *_ = D.W.words([b"a " * 20000], D.W.ALNUM)
+    edges, found = index.hits(hashes, D.owners(offsets))
+    assert edges.cumsum()[:-1].min() > 0 and found.tolist() == [[0, 0]]
+
+
 def test_decontamination_edges(spark, sf):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
     assert D.decontamination_report(empty(spark), bench).count() == 0

@@ -1,5 +1,6 @@
 import collections
 import random
+import re
 
 import corpus_pipeline as C
 import pytest
@@ -8,12 +9,15 @@ from test_models import labelled
 from test_pairs import groups, hits, near_copies
 from test_tokens import check_packing
 
-from millrace.llm import pseudonyms as P
 from millrace.llm import toxicity as T
 
 ITEMS = [(1, "this is a passage of the benchmark that nobody should have in a training text at all"), (2, "short item")]
 
 
+def form(value):
+    return re.sub("[a-z]", "[a-z]", re.sub(r"(?<!\\)\d", lambda _: r"\d", re.escape(value)))
+
+
 @pytest.fixture
 def folder(spark, tmp_path):
     toxic, labels = labelled(spark, 400)
@@ -41,8 +45,13 @@ def test_stages(spark, folder):
         elif name == "decontamination":
             assert sorted(ids) == sorted(i for i, x in hits(now, ITEMS).items() if not x[4]) and len(ids) == len(before) - 2
         elif name == "pii":
-            plain = P.Pseudonyms(P.DEFAULT_KEY)
-            assert {r.doc_id: r.text for r in after} == {r.doc_id: None if r.text is None else plain.replace(r.text)[0] for r in before}
+            # which values are personal is known here; their pseudonyms have the same form and all else is as it was
+            now_texts = {r.doc_id: r.text for r in after}
+            for r in before:
+                parts = re.split(r"(\+1 \(\d{3}\) \d{3}-\d{4}|[\w.]+(?=@))", r.text or "")
+                new = re.fullmatch("".join(re.escape(x) if k % 2 == 0 else f"({form(x)})" for k, x in enumerate(parts)), now_texts[r.doc_id] or "", re.S)
+                assert new and all(a != b for a, b in zip(new.groups(), parts[1::2])) and (r.text is None) == (now_texts[r.doc_id] is None)
+            assert any("@" in (r.text or "") for r in before)
         else:
             bins, least = check_packing(now, after)
             assert bins <= least + 1

@@ -124,3 +124,10 @@ def test_registered():
 def test_plan_edges(sizes):
     _, bins, _ = plan(sizes, 2048)
     assert bins >= -(-sum(k * v for k, v in sizes.items()) // 2048)
+
+
+def test_plans_do_not_grow_with_the_rows():
+    """Counts a thousand times as large make a plan of the same order."""
+    for sizes in ({700: 10**8}, {1024: 10**8, 1025: 10**8, 700: 10**8}, {k: 10**7 + k for k in range(1, 2049, 7)}):
+        placements, bins, _ = plan(sizes, 2048)
+        assert len(placements) <= 4 * 2048 and bins >= -(-sum(k * v for k, v in sizes.items()) // 2048)
