@@ -35,16 +35,27 @@ DECONTAMINATION = f"""
     from d left join x using (doc_id) left join y using (doc_id)"""
 
 CHAT_FORMATTING = """
-    with m as (select cast(conv_id as varchar) as conv, turn, role, text from conversations),
-    c as (select conv, conv || ':' || turn as id, turn, case when role = 'user' then 'reply' else 'set_context' end as name, text from m where role in ('user', 'system')),
+    with recursive m as (select cast(conv_id as varchar) as conv, turn, role, text, conv_id + turn as nth, conv_id % 3 as kind from conversations),
+    c as (select conv, conv || ':' || turn as id, turn, case when role = 'user' then 'reply' else 'set_context' end as name,
+        nth % 13 = 0 as raw, nth % 5 = 0 as other, nth % 11 = 0 as odd, nth % 7 = 0 or text is null as bare, text,
+        case when role = 'user' then conv || ':' || (turn + case when kind = 1 or kind = 2 and turn % 4 < 2 then 2 else -2 end) end as waits
+      from m where role in ('user', 'system')),
+    e as (select x.conv, x.id, x.waits from c x join c y on x.conv = y.conv and x.waits = y.id),
+    k as (select conv, count(*) as n from c group by conv),
+    w as (select conv, id, 0 as depth from c union all select e.conv, e.id, depth + 1 from w join e on e.conv = w.conv and e.waits = w.id join k on k.conv = w.conv where depth < k.n),
+    l as (select w.conv, id, max(depth) as deepest, any_value(n) as n from w join k on k.conv = w.conv group by w.conv, id),
+    d as (select c.*, case when deepest < n then cast(deepest as integer) end as level,
+        case when raw then 'json' else array_to_string(list_filter([case when bare then 'missing text' end, case when other then 'type turn' end, case when odd then 'unknown mood' end], lambda x: x is not null), ',') end as problems,
+        case when raw then '{"text":' || cast(to_json('no json: ' || coalesce(text, '')) as varchar) || '}' else '{' || case when odd then '"mood":"odd",' else '' end
+          || case when bare then '' else '"text":' || cast(to_json(text) as varchar) || ',' end || '"turn":' || case when other then '"' || turn || '"' else cast(turn as varchar) end || '}' end as arguments
+      from c join l on c.conv = l.conv and c.id = l.id),
     r as (select conv, conv || ':' || (turn - 1) as id, turn as result_turn, text as result from m where role not in ('user', 'system') or role is null),
-    j as (select conv, id, turn, name, result_turn, result, text, turn is not null as is_call,
-        case when turn is null then 'no call' when result_turn is null then 'no result' else 'linked' end as status
-      from c full join r using (conv, id))
-    select conv, id, turn, name, result_turn, case when is_call then 0 end as level, status,
-      case when is_call then text is not null end as valid, case when is_call then case when text is null then 'missing text' else '' end end as problems,
-      '{' || case when is_call then '"arguments":{' || coalesce('"text":' || cast(to_json(text) as varchar) || ',', '') || '"turn":' || turn || '},' else '' end
-        || '"conversation":"' || conv || '","id":"' || id || '"' || case when is_call then ',"level":0,"name":"' || name || '","problems":[' || case when text is null then '"missing text"' else '' end || ']' else '' end
+    j as (select conv, id, turn, name, result_turn, result, level, problems, arguments, turn is not null as is_call,
+        case when turn is null then 'no call' when level is null then 'cycle' when result_turn is null then 'no result' else 'linked' end as status
+      from d full join r using (conv, id))
+    select conv, id, turn, name, result_turn, level, status, case when is_call then problems = '' end as valid, problems,
+      '{' || case when is_call then '"arguments":' || arguments || ',' else '' end || '"conversation":"' || conv || '","id":"' || id || '"' || coalesce(',"level":' || level, '')
+        || case when is_call then ',"name":"' || name || '","problems":[' || case when problems = '' then '' else '"' || replace(problems, ',', '","') || '"' end || ']' else '' end
         || coalesce(',"result":' || cast(to_json(result) as varchar), '') || coalesce(',"result_turn":' || result_turn, '') || ',"status":"' || status || '"'
-        || case when is_call then ',"turn":' || turn || ',"valid":' || (text is not null) else '' end || '}' as json
+        || case when is_call then ',"turn":' || turn || ',"valid":' || (problems = '') else '' end || '}' as json
     from j"""

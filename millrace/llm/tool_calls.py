@@ -1,11 +1,15 @@
 r"""Tool calls of conversations: linked to their results, ordered, validated and serialised. DataFrame operations only.
 
-Method: calls and results meet in a shuffled hash join on conversation and identifier. Calls are put in a topological
-order of what they depend on: where every call follows its dependencies already, turn order is one (level 0); the other
-conversations are resolved level by level, and what never resolves is in a cycle. Arguments are parsed to variants,
-taken apart and held against the tool's fields. Every record becomes canonical JSON: sorted keys, no spaces, no nulls.
+Method: calls and results meet in a shuffled hash join on conversation and identifier. Every call has its place in a
+topological order of what the calls of its conversation depend on: its level, the length of the longest chain of
+dependencies below it. Levels come from pointer doubling: a call that waits for one other takes over what that one waits
+for, so a chain is half as long after each round, and a call that waits for several has its level once these do. What
+never resolves is in a cycle, or waits for one. Arguments are parsed to variants and held against the tool's fields, row
+by row. Every record becomes canonical JSON: sorted keys, no spaces, no nulls.
 
-A row is one call or one stray result, so no conversation meets in one task.
+Texts are written once and shuffled once; links, levels and all that decides about them are narrow. A row is one call or
+one stray result, so no conversation meets in one task; of an identifier that more than HOT rows share, those that can't
+link are set apart before the join.
 
 Tables: calls (conv, id, turn, name, arguments, depends: array of ids), results (conv, id, turn, content), schemas (name,
 field, type: string, integer, number, boolean, object, array or any; required).
@@ -21,8 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import drop_written, written
 
+#: Rows of one identifier, above which those that can't link are set apart.
+HOT = 10_000
 CALLS = "conv string, id string, turn long, name string, arguments string, depends array<string>"
 KIND = {"STRING": "string", "BIGINT": "integer", "DOUBLE": "number", "BOOLEAN": "boolean", "VOID": "null"}
 
@@ -36,77 +42,106 @@ def kind_of(value: Column) -> Column:
     return out.otherwise("null")
 
 
+def _sign(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64(*edges.columns).cast("decimal(38,0)"))).first())
+
+
 def levels(calls: DataFrame) -> DataFrame:
-    """(conv, id, level) of the calls in conversations whose turn order does not follow the dependencies; null: in a cycle, or after one."""
-    node = calls.select("conv", "id", "turn")
-    edges = calls.select("conv", "id", "turn", F.explode(F.array_distinct("depends")).alias("on")).join(
-        node.select("conv", F.col("id").alias("on"), F.col("turn").alias("on_turn")), ["conv", "on"]
-    )
-    late = edges.filter("not coalesce(on_turn < turn, false)").select("conv").distinct()
-    todo = checkpointed(node.join(late, "conv", "left_semi").select("conv", "id", F.lit(None).cast("int").alias("level")))
-    edges = checkpointed(edges.join(late, "conv", "left_semi").select("conv", "id", "on"))
-    level, left = 0, todo.count()
-    while left:
-        open_ = todo.filter("level is null").select("conv", F.col("id").alias("on"))
-        waits = edges.join(open_, ["conv", "on"], "left_semi").select("conv", "id").distinct().withColumn("waits", F.lit(True))
-        todo = checkpointed(todo.join(waits, ["conv", "id"], "left").select("conv", "id", F.coalesce("level", F.when(F.col("waits").isNull(), level)).alias("level")))
-        now = todo.filter("level is null").count()
-        if now == left:
-            break
-        left, level = now, level + 1
-    return todo
+    """(conv, id, level) of calls (conv, id, depends), identifiers distinct in each conversation; null: in a cycle, or after one."""
+    node = calls.select("conv", "id")
+    edges = calls.select("conv", "id", F.explode(F.array_distinct("depends")).alias("on")).join(node.withColumnRenamed("id", "on"), ["conv", "on"])
+    edges = written(edges.select("conv", "id", "on", F.lit(1).cast("long").alias("w")), "edges")
+    # level: of what is known so far; stuck: waits for itself
+    known = written(node.select("conv", "id", F.lit(0).cast("long").alias("level"), F.lit(False).alias("stuck")), "levels")
+    sign = _sign(edges)
+    most = sign[0]  # a longer chain goes in circles
+    while sign[0]:
+        # what each call waits for, and the one call if it is one
+        waits = edges.groupBy("conv", "id").agg(F.count("*").alias("n"), F.min("on").alias("next"), F.min("w").alias("more"))
+        told = known.join(waits, ["conv", "id"], "left").withColumnRenamed("id", "on")
+        seen = edges.join(told, ["conv", "on"])
+        jumps = F.col("n") == 1
+        circle = (F.col("on") == F.col("id")) | jumps & ((F.col("next") == F.col("id")) | (F.col("w") + F.col("more") > most))
+        seen = seen.select(
+            "conv", "id", F.when(F.col("n").isNull() | jumps, F.col("level") + F.col("w")).alias("level"), (F.col("stuck") | F.coalesce(circle, F.lit(False))).alias("stuck"),
+            F.when(jumps, F.col("next")).when(F.col("n") > 1, F.col("on")).alias("on"), F.when(jumps, F.col("w") + F.col("more")).otherwise(F.col("w")).alias("w"),
+        )
+        seen = written(seen, "jumps")
+        found = seen.groupBy("conv", "id").agg(F.max("level").alias("at_least"), F.bool_or("stuck").alias("is_stuck"))
+        now = known.join(found, ["conv", "id"], "left").select("conv", "id", F.greatest("level", "at_least").alias("level"), (F.col("stuck") | F.coalesce("is_stuck", F.lit(False))).alias("stuck"))
+        now = written(now, "levels")
+        gone = found.filter("is_stuck").select("conv", "id")
+        left = seen.filter("on is not null").groupBy("conv", "id", "on").agg(F.max("w").alias("w")).join(gone, ["conv", "id"], "left_anti")
+        left = written(left, "edges")
+        drop_written(seen, known, edges)
+        known, edges, last, sign = now, left, sign, _sign(left)
+        if sign == last:
+            break  # all that is left waits for several calls in cycles
+    waiting = edges.select("conv", "id", F.lit(True).alias("waits")).distinct()
+    return known.join(waiting, ["conv", "id"], "left").select("conv", "id", F.when(~F.col("stuck") & F.col("waits").isNull(), F.col("level")).cast("int").alias("level"))
 
 
 def problems(calls: DataFrame, schemas: DataFrame) -> DataFrame:
-    """(row, problems): what is wrong with the arguments of each call, sorted."""
-    parsed = calls.select("row", "name", F.try_parse_json("arguments").alias("v"))
-    parsed = parsed.withColumn("is_object", F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False)))
-    given = parsed.filter("is_object").select("row", "name", F.explode(F.expr("cast(v as map<string, variant>)")).alias("field", "value"))
-    given = given.select("row", "name", "field", kind_of(F.col("value")).alias("kind"))
-    # the tools of a deployment: one row a field; Spark broadcasts them if they are small
-    tools = schemas.select("name").distinct().withColumn("known", F.lit(True))
-    wanted = schemas.select("name", "field", F.col("type").alias("want"), F.col("required").alias("must"))
-    asked = parsed.filter("is_object").join(wanted, "name").select("row", "name", "field", "want", "must")
-    both = asked.join(given, ["row", "name", "field"], "full_outer")
-    wrong = (
-        F.when(F.col("want").isNull(), F.concat(F.lit("unknown "), "field"))
-        .when(F.coalesce("kind", F.lit("null")) == "null", F.when(F.col("must"), F.concat(F.lit("missing "), "field")))
-        .when(~F.col("want").isin("any") & (F.col("want") != F.col("kind")) & ~((F.col("want") == "number") & (F.col("kind") == "integer")), F.concat(F.lit("type "), "field"))
+    """calls with problems: what is wrong with their arguments, sorted. A map over the calls, where the tools are few enough
+    for Spark to broadcast them."""
+    v = F.try_parse_json("text")
+    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    kinds = F.when(is_object, F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), lambda _, x: kind_of(x)))
+    tools = schemas.groupBy("name").agg(F.collect_set(F.struct("field", F.col("type").alias("want"), F.col("required").alias("must"))).alias("__fields"))
+    rows = calls.withColumn("__kinds", kinds).join(tools, "name", "left")
+    kind = lambda f: F.coalesce(F.col("__kinds")[f["field"]], F.lit("null"))
+    wrong = lambda f: (kind(f) != "null") & (f["want"] != "any") & (f["want"] != kind(f)) & ~((f["want"] == "number") & (kind(f) == "integer"))
+    told = lambda what, fields: F.transform(fields, lambda f: F.concat(F.lit(what), f))
+    names = lambda fields: F.transform(fields, lambda f: f["field"])
+    found = F.concat(
+        told("missing ", names(F.filter("__fields", lambda f: (kind(f) == "null") & F.coalesce(f["must"], F.lit(False))))),
+        told("type ", names(F.filter("__fields", wrong))),
+        told("unknown ", F.filter(F.map_keys("__kinds"), lambda k: ~F.array_contains(names(F.col("__fields")), k))),
     )
-    fields = both.join(tools, "name", "left_semi").select("row", wrong.alias("p"))
-    whole = parsed.join(tools, "name", "left").select("row", F.when(F.col("known").isNull(), "tool").when(~F.col("is_object"), "json").alias("p"))
-    return fields.unionByName(whole).groupBy("row").agg(F.array_sort(F.collect_set("p")).alias("problems"))
-
-
-def first_of_each(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows that may link, repeated rows): the least row of each conversation and identifier links; a row without them stands alone."""
-    every = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
-    place = F.struct(*by, F.xxhash64(*rows.columns).alias("h"))
-    least = every.groupBy("conv", "id").agg(F.min(place).alias("least")).filter("conv is not null and id is not null")
-    nth = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("nth")
-    dealt = every.withColumn("place", place).join(least, ["conv", "id"], "left").select(*rows.columns, "place", "least", nth)
-    dealt = dealt.withColumn("links", F.coalesce((F.col("place") == F.col("least")) & (F.col("nth") == 1), F.lit(True)))
-    return dealt.filter("links").select(*rows.columns), dealt.filter("not links").select(*rows.columns)
+    what = F.when(F.col("__fields").isNull(), F.array(F.lit("tool"))).when(F.col("__kinds").isNull(), F.array(F.lit("json"))).otherwise(F.array_sort(F.array_distinct(found)))
+    return rows.withColumn("problems", F.when(F.col("is_call"), what)).drop("__kinds", "__fields")
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per call or stray result: conv, id, turn, name, result_turn, level, status, valid, problems, json."""
-    c, c_rest = first_of_each(calls.select("conv", "id", "turn", "name", "arguments", F.coalesce("depends", F.array()).alias("depends")), ["turn", "arguments"])
-    r, r_rest = first_of_each(results.select("conv", "id", F.col("turn").alias("result_turn"), F.col("content").alias("result")), ["result_turn", "result"])
-    both = lambda rows: rows.withColumn("is_call", F.lit(True))
-    told = lambda rows: rows.withColumn("is_result", F.lit(True))
-    known = "conv is not null and id is not null"
-    met = both(c.filter(known)).hint("shuffle_hash").join(told(r.filter(known)), ["conv", "id"], "full_outer").withColumn("repeated", F.lit(False))
-    alone = lambda first, rest: first.filter(f"not ({known})").withColumn("repeated", F.lit(False)).unionByName(rest.withColumn("repeated", F.lit(True)))
-    met = met.unionByName(both(alone(c, c_rest)), allowMissingColumns=True).unionByName(told(alone(r, r_rest)), allowMissingColumns=True)
-    met = checkpointed(met.withColumn("row", F.monotonically_increasing_id()))
-    asked = met.filter("is_call")
-    placed = levels(asked.filter(f"not repeated and {known}")).withColumn("late", F.lit(True))
-    out = met.join(problems(asked, schemas), "row", "left").join(placed, ["conv", "id"], "left")
-    late = F.coalesce(F.col("late") & F.col("is_call") & ~F.col("repeated"), F.lit(False))
-    out = out.withColumn("level", F.when(late, F.col("level")).when(F.col("is_call") & ~F.col("repeated"), 0))
+    none = F.lit(None).cast("array<string>")
+    c = calls.select(F.lit(True).alias("is_call"), "conv", "id", "turn", "name", F.col("arguments").alias("text"), "depends")
+    r = results.select(F.lit(False).alias("is_call"), "conv", "id", "turn", F.lit(None).cast("string").alias("name"), F.col("content").alias("text"), none.alias("depends"))
+    rows = problems(c, schemas).unionByName(r.withColumn("problems", none)).withColumn("tie", F.xxhash64("text"))
+    # written: each row keeps its number
+    rows = written(rows.withColumn("rid", F.monotonically_increasing_id()), "calls")
+    has_key = rows.filter("conv is not null and id is not null")
+
+    least = lambda of: F.min(F.when(of, F.struct("turn", "tie", "rid", "depends")))
+    first = has_key.groupBy("conv", "id").agg(least(F.col("is_call")).alias("c"), least(~F.col("is_call")).alias("r"), F.count("*").alias("n"))
+    first = written(first.select("conv", "id", F.col("c.rid").alias("call_rid"), F.col("c.depends").alias("depends"), F.col("r.rid").alias("result_rid"), "n"), "first")
+    placed = levels(first.filter("call_rid is not null"))
+    first_level = first.drop("depends", "n").join(placed, ["conv", "id"], "left")
+
+    # at most 1 << 20 of them, whatever the table
+    hot = first.filter(F.col("n") > F.lit(max(HOT, rows.count() >> 20))).select("conv", "id", F.col("call_rid").alias("hot_call"), F.col("result_rid").alias("hot_result"), F.lit(True).alias("hot"))
+    marked = has_key.join(F.broadcast(hot), ["conv", "id"], "left")
+    apart = F.col("hot").isNotNull() & ~F.coalesce(F.col("rid").isin(F.col("hot_call"), F.col("hot_result")), F.lit(False))
+    near = marked.filter(~apart).drop("hot", "hot_call", "hot_result").join(first_level.hint("shuffle_hash"), ["conv", "id"])
+    links = F.col("rid") == F.when(F.col("is_call"), F.col("call_rid")).otherwise(F.col("result_rid"))
+    near = near.withColumn("links", F.coalesce(links, F.lit(False)))
+
+    asked = lambda some: some.select("conv", "id", "turn", "name", F.col("text").alias("arguments"), "problems", F.lit(True).alias("is_call"))
+    told = lambda some: some.select("conv", "id", F.col("turn").alias("result_turn"), F.col("text").alias("result"), F.lit(True).alias("is_result"))
+    with_level = near.filter("links and is_call").select("conv", "id", "turn", "name", F.col("text").alias("arguments"), "problems", F.lit(True).alias("is_call"), "level")
+    met = with_level.join(told(near.filter("links and not is_call")).hint("shuffle_hash"), ["conv", "id"], "full_outer").withColumn("repeated", F.lit(False))
+    late = [marked.filter(apart), near.filter("not links")]
+    alone = rows.filter("conv is null or id is null")
+    parts = [met]
+    for some, repeated in ((late[0], True), (late[1], True), (alone, False)):
+        level = F.lit(None if repeated else 0).cast("int").alias("level")
+        parts += [x.withColumn("repeated", F.lit(repeated)) for x in (asked(some.filter("is_call")).select("*", level), told(some.filter("not is_call")))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+
     status = (
-        F.when(F.col("repeated"), "repeated").when(F.col("is_call").isNull(), "no call").when(late & F.col("level").isNull(), "cycle")
+        F.when(F.col("repeated"), "repeated").when(F.col("is_call").isNull(), "no call").when(F.col("level").isNull(), "cycle")
         .when(F.col("is_result").isNull(), "no result").otherwise("linked")
     )
     out = out.withColumn("status", status).withColumn("valid", F.when(F.col("is_call"), F.size("problems") == 0))
@@ -126,21 +161,35 @@ def embedded(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def turns_as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(calls, results, schemas) of plain conversations (conv, turn, role, text): a user's turn calls for a reply, and depends
-    on the user's turn before; the assistant's next turn is the result; a system turn sets the context."""
-    ident = lambda back: F.concat_ws(":", F.col("conv"), (F.col("turn") - back).cast("string"))
-    known = F.col("conv").isNotNull() & F.col("turn").isNotNull()
+    """(calls, results, schemas) of plain conversations (conv, turn, role, text), which have no calls of their own.
+
+    A user's turn calls for a reply, the assistant's next turn is the result; a system turn sets the context. So that order
+    and validation have something to do, conversations are of three kinds by their number: a user's turn depends on the
+    user's turn before; or on the one after; or turns wait for each other in pairs. Arguments are right or, by
+    numbers of conversation and turn, lack a field, have one too many, one of another type, or are no JSON.
+    """
+    ident = lambda ahead: F.concat_ws(":", F.col("conv"), (F.col("turn") + ahead).cast("string"))
+    number = F.try_to_number("conv", F.lit("999999999999999999")).cast("long")
+    turn, kind, nth = F.col("turn"), F.pmod(number, F.lit(3)), number + F.col("turn")
+    known = F.col("conv").isNotNull() & turn.isNotNull()
+    on = F.when(kind == 1, ident(2)).when(kind == 2, F.when(F.pmod(turn, F.lit(4)) < 2, ident(2)).otherwise(ident(-2))).otherwise(ident(-2))
+    text = F.when(F.pmod(nth, F.lit(7)) == 0, None).otherwise(F.col("text")).alias("text")
+    mood = F.when(F.pmod(nth, F.lit(11)) == 0, "odd").alias("mood")
+    right, other = F.to_json(F.struct(mood, text, turn)), F.to_json(F.struct(mood, text, turn.cast("string").alias("turn")))
+    arguments = F.when(F.pmod(nth, F.lit(13)) == 0, F.concat(F.lit("no json: "), F.coalesce("text", F.lit("")))).when(F.pmod(nth, F.lit(5)) == 0, other).otherwise(right)
     calls = messages.filter("role in ('user', 'system')").select(
         "conv", F.when(known, ident(0)).alias("id"), "turn", F.when(F.col("role") == "user", "reply").otherwise("set_context").alias("name"),
-        F.to_json(F.struct("text", "turn")).alias("arguments"), F.when(known & (F.col("role") == "user"), F.array(ident(2))).alias("depends"),
+        arguments.alias("arguments"), F.when(known & (F.col("role") == "user"), F.array(on)).alias("depends"),
     )
-    results = messages.filter("role not in ('user', 'system') or role is null").select("conv", F.when(known, ident(1)).alias("id"), "turn", F.col("text").alias("content"))
+    results = messages.filter("role not in ('user', 'system') or role is null").select("conv", F.when(known, ident(-1)).alias("id"), "turn", F.col("text").alias("content"))
     spark = messages.sparkSession
     schemas = spark.sql("select * from values ('reply','text','string',true), ('reply','turn','integer',true), ('set_context','text','string',true), ('set_context','turn','integer',true) as t(name, field, type, required)")
     return calls, results, schemas
 
 
 def conversation_calls(messages: DataFrame) -> DataFrame:
-    """linked() over a table (conv_id, turn, role, text)."""
+    """linked() over a table (conv_id, turn, role, text): its turns as calls, and the calls that stand in its texts."""
     plain = messages.select(F.col("conv_id").cast("string").alias("conv"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    return linked(*turns_as_calls(plain))
+    calls, results, schemas = turns_as_calls(plain)
+    more_calls, more_results = embedded(plain.filter(F.ltrim("text").startswith("{")))
+    return linked(calls.unionByName(more_calls), results.unionByName(more_results), schemas)
