@@ -47,38 +47,52 @@ def _sign(edges: DataFrame) -> tuple:
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """(conv, id, level) of calls (conv, id, depends), identifiers distinct in each conversation; null: in a cycle, or after one."""
+    """(conv, id, level) of calls (conv, id, depends), identifiers distinct in each conversation; null: in a cycle, or after one.
+
+    A round touches only calls that still wait, and what was resolved in the round before: most leave after the first ones.
+    """
     node = calls.select("conv", "id")
     edges = calls.select("conv", "id", F.explode(F.array_distinct("depends")).alias("on")).join(node.withColumnRenamed("id", "on"), ["conv", "on"])
     edges = written(edges.select("conv", "id", "on", F.lit(1).cast("long").alias("w")), "edges")
-    # level: of what is known so far; stuck: waits for itself
-    known = written(node.select("conv", "id", F.lit(0).cast("long").alias("level"), F.lit(False).alias("stuck")), "levels")
+    waiting = edges.select("conv", "id").distinct()
+    start = lambda rows: written(rows.select("conv", "id", F.lit(0).cast("long").alias("level"), F.lit(False).alias("stuck")), "levels")
+    done, live = [start(node.join(waiting, ["conv", "id"], "left_anti"))], start(waiting)
     sign = _sign(edges)
     most = sign[0]  # a longer chain goes in circles
-    while sign[0]:
-        # what each call waits for, and the one call if it is one
-        waits = edges.groupBy("conv", "id").agg(F.count("*").alias("n"), F.min("on").alias("next"), F.min("w").alias("more"))
-        told = known.join(waits, ["conv", "id"], "left").withColumnRenamed("id", "on")
-        seen = edges.join(told, ["conv", "on"])
-        jumps = F.col("n") == 1
-        circle = (F.col("on") == F.col("id")) | jumps & ((F.col("next") == F.col("id")) | (F.col("w") + F.col("more") > most))
-        seen = seen.select(
-            "conv", "id", F.when(F.col("n").isNull() | jumps, F.col("level") + F.col("w")).alias("level"), (F.col("stuck") | F.coalesce(circle, F.lit(False))).alias("stuck"),
-            F.when(jumps, F.col("next")).when(F.col("n") > 1, F.col("on")).alias("on"), F.when(jumps, F.col("w") + F.col("more")).otherwise(F.col("w")).alias("w"),
+    both = [F.max("level").alias("level"), F.bool_or("stuck").alias("stuck")]
+    while live.head(1):
+        # what the calls resolved last add to those that wait for them
+        told = done[-1].select("conv", F.col("id").alias("on"), F.col("level").alias("below"), F.col("stuck").alias("is_stuck"))
+        seen = written(edges.join(told, ["conv", "on"], "left"), "folded")
+        added = seen.filter("is_stuck is not null").select("conv", "id", (F.col("below") + F.col("w")).alias("level"), F.col("is_stuck").alias("stuck"))
+        left = seen.filter("is_stuck is null").select("conv", "id", "on", "w")
+        # for how many others each call waits now, and for which one if it is one
+        waits = left.groupBy("conv", "id").agg(F.count("*").alias("n"), F.min("on").alias("next"), F.min("w").alias("more"))
+        state = live.unionByName(added).unionByName(waits, allowMissingColumns=True).groupBy("conv", "id").agg(*both, F.max("n").alias("n"), F.min("next").alias("next"), F.min("more").alias("more"))
+        state = written(state, "state")
+        drop_written(live, edges)
+        done.append(written(state.filter("n is null").select("conv", "id", "level", "stuck"), "levels"))
+        # a call that waits for one which waits for one: it waits for the latter, by a longer way
+        one = state.filter("n = 1").select("conv", F.col("id").alias("on"), F.col("level").alias("below"), "next", "more")
+        far = F.col("w") + F.col("more")
+        jumps = F.col("next").isNotNull()
+        circle = (F.col("on") == F.col("id")) | jumps & ((F.col("next") == F.col("id")) | (far > most))
+        moved = left.join(one, ["conv", "on"], "left").select(
+            "conv", "id", F.when(circle, None).otherwise(F.coalesce("next", "on")).alias("on"), F.coalesce(far, F.col("w")).alias("w"),
+            F.when(jumps, F.col("below") + F.col("w")).alias("level"), circle.alias("stuck"),
         )
-        seen = written(seen, "jumps")
-        found = seen.groupBy("conv", "id").agg(F.max("level").alias("at_least"), F.bool_or("stuck").alias("is_stuck"))
-        now = known.join(found, ["conv", "id"], "left").select("conv", "id", F.greatest("level", "at_least").alias("level"), (F.col("stuck") | F.coalesce("is_stuck", F.lit(False))).alias("stuck"))
-        now = written(now, "levels")
-        gone = found.filter("is_stuck").select("conv", "id")
-        left = seen.filter("on is not null").groupBy("conv", "id", "on").agg(F.max("w").alias("w")).join(gone, ["conv", "id"], "left_anti")
-        left = written(left, "edges")
-        drop_written(seen, known, edges)
-        known, edges, last, sign = now, left, sign, _sign(left)
-        if sign == last:
+        moved = written(moved, "jumps")
+        edges = written(moved.filter("on is not null").groupBy("conv", "id", "on").agg(F.max("w").alias("w")), "edges")
+        rest = state.filter("n is not null").select("conv", "id", "level", "stuck").unionByName(moved.filter("level is not null or stuck").select("conv", "id", "level", "stuck"))
+        live = written(rest.groupBy("conv", "id").agg(*both), "levels")
+        drop_written(seen, state, moved)
+        last, sign = sign, _sign(edges)
+        if sign == last and not done[-1].head(1):
             break  # all that is left waits for several calls in cycles
-    waiting = edges.select("conv", "id", F.lit(True).alias("waits")).distinct()
-    return known.join(waiting, ["conv", "id"], "left").select("conv", "id", F.when(~F.col("stuck") & F.col("waits").isNull(), F.col("level")).cast("int").alias("level"))
+    every = live.select("conv", "id", F.lit(None).cast("int").alias("level"))
+    for part in done:
+        every = every.unionByName(part.select("conv", "id", F.when(~F.col("stuck"), F.col("level")).cast("int").alias("level")))
+    return every
 
 
 def problems(calls: DataFrame, schemas: DataFrame) -> DataFrame:
