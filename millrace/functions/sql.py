@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .markup import RESULT, strip_wikitext, tree_text, unformat
-from .text import word_steps
+from .text import ANCHOR, ATTRIBUTE, HREF, HREF_VALUE, word_steps
 
 
 def register(spark: SparkSession) -> None:
@@ -19,7 +19,8 @@ def register(spark: SparkSession) -> None:
     native = {
         "text2words(t string) returns string": f"regexp_replace(trim({words}), r'([^\\n])\\z', '$1\\n')",
         "is_redirect(t string) returns boolean": "startswith(t, '#REDIRECT')",
-        "links(t string) returns array<string>": "regexp_extract_all(t, r'<a\\s[^>]*href=\"([^\"]*)\"', 1)",
+        "links(t string) returns array<string>": f"""flatten(transform(regexp_extract_all(t, r'{ANCHOR}', 0), a ->
+          transform(filter(regexp_extract_all(a, r'{ATTRIBUTE}', 0), x -> x rlike r'{HREF}'), x -> regexp_replace(x, r'{HREF_VALUE}', '$1$2$3'))))""",
         "base_name(t string) returns string": "element_at(split(t, '/'), -1)",
     }
     for name, body in native.items():

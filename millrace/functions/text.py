@@ -126,8 +126,8 @@ SKIPPED_PARAGRAPHS = 10
 
 def skip_paragraphs(text: Column, n: int = SKIPPED_PARAGRAPHS) -> Column:
     """What follows the n-th run of an even number of line feeds; all of it if there are fewer, or none stands after the n-th."""
-    skipped = F.regexp_extract(text, rf"(?s)\A(?>.*?(?<!\n)(?:\n\n)+(?=[^\n])){{{n}}}(.*)\z", 1)
-    return F.when(text.rlike(rf"(?s)\A(?>.*?(?<!\n)(?:\n\n)+(?=[^\n])){{{n}}}"), skipped).otherwise(text)
+    # what follows is never empty, so an empty match is none
+    return let(F.regexp_extract(text, rf"(?s)\A(?>.*?(?<!\n)(?:\n\n)+(?=[^\n])){{{n}}}(.*)\z", 1), lambda rest: F.when(rest == "", text).otherwise(rest))
 
 
 def book_text(text: Column) -> Column:
@@ -154,9 +154,22 @@ def is_redirect(text: Column) -> Column:
     return text.startswith("#REDIRECT")
 
 
-def links(html: Column) -> Column:
-    """Every quoted href of an anchor, in order."""
-    return F.regexp_extract_all(html, F.lit(r'<a\s[^>]*href="([^"]*)"'), F.lit(1))
+#: An anchor with its attributes, whose quoted values may hold any sign, one attribute, and whether that is a link.
+ANCHOR = r"(?i)<a[\s/](?:[^>\x22\x27]|\x22[^\x22]*\x22|\x27[^\x27]*\x27)*+>"
+ATTRIBUTE = r"[^\s/=>\x22\x27]+\s*=\s*(?:\x22[^\x22]*\x22|\x27[^\x27]*\x27|[^\s>\x22\x27][^\s>]*)"
+HREF = r"(?is)\Ahref\s*="
+HREF_VALUE = r"(?is)\Ahref\s*=\s*(?:\x22([^\x22]*)\x22|\x27([^\x27]*)\x27|(.*))\z"
+
+
+def links(html: Column, last: bool = False) -> Column:
+    """The hrefs of the anchors in order, of any case, in quotes of both kinds or in none; last: one of each anchor, its last."""
+
+    def of(tag: Column) -> Column:
+        found = F.filter(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), lambda x: x.rlike(HREF))
+        some = F.when(F.size(found) > 0, F.slice(found, F.lit(-1), F.lit(1))).otherwise(found) if last else found
+        return F.transform(some, lambda x: F.regexp_replace(x, HREF_VALUE, "$1$2$3"))
+
+    return F.flatten(F.transform(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0)), of))
 
 
 def base_name(path: Column) -> Column:

@@ -32,7 +32,9 @@ def to_corpus(entities: DataFrame, stopwords: dict[str, list[str]] | None = None
     words: Column = T.text2words(F.col("content"))
     for lang, some in (stopwords or {}).items():
         words = F.when(F.col("lang") == lang, T.text2words(F.col("content"), some)).otherwise(words)
-    return accepted(entities).select("lang", "source", "entity_id", words.alias("words")).where("words <> ''")
+    # a filter on the words would be computed below the projection, all over again; a generator is not moved
+    kept = F.filter(F.array(words), lambda w: w != "")
+    return accepted(entities).select("lang", "source", "entity_id", F.explode(kept).alias("words"))
 
 
 def to_contexts(corpus: DataFrame, *keys: str) -> DataFrame:

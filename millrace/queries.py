@@ -10,10 +10,7 @@ from pyspark.sql import functions as F
 from .functions import markup as M
 from .functions import text as T
 from .operators import catalog, corpus
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from .sources.tables import table
 
 
 def broken_lines(text):
@@ -21,7 +18,7 @@ def broken_lines(text):
     return F.replace(text, F.lit("\n"), F.lit(f" {T.BREAK} "))
 
 
-STOPWORDS = "der, die, das, und, in, zu, den, ist, von, mit, auf, für"
+STOPWORDS = {"de": "der, die, das, und, in, zu, den, ist, von, mit, auf, für", "en": "the, of, and, to, in, a, is", "fr": "de, la, le, et, les, des, en", "es": "de, la, que, el, en, y, a"}
 
 # --- SQL building blocks -----------------------------------------------------------------------------------------------
 
@@ -70,13 +67,16 @@ def text2words(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.text2words(broken_lines(F.col("text"))).alias("words"))
 
 
-_STOP = "and w not in (" + ", ".join(f"'{w}'" for w in T.parse_stopwords(STOPWORDS)) + ")"
+_STOP = "and not (" + " or ".join("coalesce(lang, '') = '%s' and w in (%s)" % (lang, ", ".join(f"'{w}'" for w in T.parse_stopwords(some))) for lang, some in STOPWORDS.items()) + ")"
 
 
-@query(f"select doc_id, {_words(_BROKEN, _STOP)} as words from documents where lang = 'de'")
+@query(f"select doc_id, {_words(_BROKEN, _STOP)} as words from documents")
 def text2words_stopwords(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where("lang = 'de'")
-    return docs.select("doc_id", T.text2words(broken_lines(F.col("text")), T.parse_stopwords(STOPWORDS)).alias("words"))
+    text = broken_lines(F.col("text"))
+    words = T.text2words(text)
+    for lang, some in STOPWORDS.items():
+        words = F.when(F.col("lang") == lang, T.text2words(text, T.parse_stopwords(some))).otherwise(words)
+    return table(spark, sf_dir, "documents").select("doc_id", words.alias("words"))
 
 
 @query(f"""
@@ -94,8 +94,9 @@ def contexts(spark, sf_dir):
     select lang, count(*) as n_tokens, count(*) filter (where {_keeps("w")}) as n_kept from c group by lang""")
 def token_keep_stats(spark, sf_dir):
     words = table(spark, sf_dir, "documents").select("lang", F.explode(T.tokens(F.col("text"))).alias("w"))
-    cleaned = words.select("lang", T.keeps(T.clean_word(F.col("w"))).alias("kept"))
-    return cleaned.groupBy("lang").agg(F.count("*").alias("n_tokens"), F.count_if("kept").alias("n_kept"))
+    counted = words.groupBy("lang", "w").agg(F.count("*").alias("n"))  # each distinct token is cleaned once
+    kept = F.when(T.keeps(T.clean_word(F.col("w"))), F.col("n")).otherwise(0)
+    return counted.groupBy("lang").agg(F.sum("n").alias("n_tokens"), F.sum(kept).alias("n_kept"))
 
 
 @query(f"""
@@ -299,10 +300,10 @@ def availability(spark, sf_dir):
     return catalog.availability(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id", "lang")
 
 
-@query("select d.doc_id, lang from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id) and lang = 'en'")
+@query("select d.doc_id, lang from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)")
 def not_present(spark, sf_dir):
     have = table(spark, sf_dir, "labels").select("doc_id")
-    return table(spark, sf_dir, "documents").where("lang = 'en'").join(have, "doc_id", "left_anti").select("doc_id", "lang")
+    return table(spark, sf_dir, "documents").join(have, "doc_id", "left_anti").select("doc_id", "lang")
 
 
 @query(f"""

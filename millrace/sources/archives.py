@@ -1,6 +1,6 @@
 """Archives: translation memories in zip files, parallel texts in tar files.
 
-A file is read as one row, so it must fit in memory; members and segments leave one by one.
+A file is read as one row, so it must fit in memory; members are opened one by one and segments leave in batches.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import tarfile
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from ..functions.text import BREAK, ISO_639
 from .files import binary_files, entities, position
 
 SEGMENTS = "path string, member string, seg_no long, lang string, text string, error_kind string, error string"
+SEGMENTS_AT_ONCE = 4096
 LANG = ("lang", "{http://www.w3.org/XML/1998/namespace}lang")
 
 
@@ -64,8 +66,9 @@ def memory_segments(spark: SparkSession, path: str, lang: str, only_tmx: bool =
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file, data in zip(batch["path"], batch["content"]):
-                rows = [(file, *s) for s in segments(bytes(data), prefix, only_tmx)]
-                yield pd.DataFrame(rows, columns=["path", "member", "seg_no", "lang", "text", "error_kind", "error"]).astype({"seg_no": "Int64"})
+                found = ((file, *s) for s in segments(bytes(data), prefix, only_tmx))
+                while rows := list(islice(found, SEGMENTS_AT_ONCE)):
+                    yield pd.DataFrame(rows, columns=["path", "member", "seg_no", "lang", "text", "error_kind", "error"]).astype({"seg_no": "Int64"})
 
     return binary_files(spark, path, "zip").select("path", "content").mapInPandas(run, SEGMENTS)
 
@@ -73,29 +76,38 @@ def memory_segments(spark: SparkSession, path: str, lang: str, only_tmx: bool =
 def translation_memories(spark: SparkSession, path: str, lang: str, source: str = "dgt", cap: int | None = None) -> DataFrame:
     """One entity per member with text: its segments with context breaks; an error row for what can't be read."""
     rows = memory_segments(spark, path, lang)
-    good = rows.where("error is null")
     if cap is not None:
         from ..operators.corpus import capped
 
-        good = capped(good, ["path", "member"], "seg_no", "text", cap)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_no", "text"))), lambda s: F.concat(s["text"], F.lit(f" {BREAK} "))), "")
-    joined = good.groupBy("path", "member").agg(text.alias("content")).where("content <> ''")
-    joined = joined.withColumn("content", F.when(F.col("content").endswith("\n"), F.col("content")).otherwise(F.concat("content", F.lit("\n"))))
-    joined = joined.withColumn("error", F.lit(None).cast(schema.ERROR))
-    bad = rows.where("error is not null").select("path", "member", F.lit(None).cast("string").alias("content"), F.struct(F.col("error_kind").alias("kind"), F.col("error").alias("message"), F.lit(None).cast("string").alias("lang")).alias("error"))
-    out = joined.unionByName(bad).select(F.concat_ws("#", "path", "member").alias("entity_id"), position(F.col("path")).alias("position"), "content", "error")
-    return entities(out, lang, source)
+        rows = capped(rows.where("error is null"), ["path", "member"], "seg_no", "text", cap).unionByName(rows.where("error is not null"))
+    # a member with text and an error has a row for each; one pass over the archives
+    segment = F.collect_list(F.when(F.col("error").isNull(), F.struct("seg_no", "text")))
+    failed = F.struct(F.col("error_kind").alias("kind"), F.col("error").alias("message"), F.lit(None).cast("string").alias("lang"))
+    members = rows.groupBy("path", "member").agg(F.array_sort(segment).alias("s"), F.collect_list(F.when(F.col("error").isNotNull(), failed)).alias("errors"))
+    text = F.array_join(F.transform("s", lambda s: F.concat(s["text"], F.lit(f" {BREAK} "))), "")
+    members = members.withColumn("text", text).withColumn("text", F.when(F.col("text").endswith("\n"), F.col("text")).otherwise(F.concat("text", F.lit("\n"))))
+    good = F.when(F.size("s") > 0, F.array(F.struct(F.col("text").alias("content"), F.lit(None).cast(schema.ERROR).alias("error")))).otherwise(F.array())
+    bad = F.transform("errors", lambda e: F.struct(F.lit(None).cast("string").alias("content"), e.cast(schema.ERROR).alias("error")))
+    out = members.select("path", "member", F.explode(F.concat(good, bad)).alias("x"))
+    return entities(out.select(F.concat_ws("#", "path", "member").alias("entity_id"), position(F.col("path")).alias("position"), "x.content", "x.error"), lang, source)
 
 
 def parallel_texts(spark: SparkSession, path: str, lang: str) -> DataFrame:
-    """(path, text): the first member of each tar file whose name ends in the language."""
+    """(path, text, error): the first member of each tar file whose name ends in the language; an error for a file or a
+    member that can't be read."""
+
+    def read(data: bytes) -> tuple[str | None, str | None] | None:
+        try:
+            with tarfile.open(fileobj=io.BytesIO(data)) as archive:
+                member = next((m for m in archive if m.isfile() and m.name.endswith(f".{lang}")), None)
+                return member and (archive.extractfile(member).read().decode("utf-8"), None)
+        except (tarfile.TarError, OSError, EOFError, ValueError) as e:
+            return None, f"{type(e).__name__}: {e}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file, data in zip(batch["path"], batch["content"]):
-                with tarfile.open(fileobj=io.BytesIO(bytes(data))) as archive:
-                    member = next((m for m in archive if m.isfile() and m.name.endswith(f".{lang}")), None)
-                    if member is not None:
-                        yield pd.DataFrame({"path": [file], "text": [archive.extractfile(member).read().decode("utf-8")]})
+                if found := read(bytes(data)):
+                    yield pd.DataFrame([(file, *found)], columns=["path", "text", "error"], dtype=object)
 
-    return binary_files(spark, path, "tgz").select("path", "content").mapInPandas(run, "path string, text string")
+    return binary_files(spark, path, "tgz").select("path", "content").mapInPandas(run, "path string, text string, error string")

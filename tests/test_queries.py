@@ -37,10 +37,25 @@ def test_query(spark, duck, sf, name):
 
 
 def test_filters_reach_the_scan(spark, sf):
-    plan = Q.not_present(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    plan = Q.not_present(spark, sf).where("lang = 'en'")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan and "text" not in plan
 
 
+def test_small_scans_are_spread(spark, tmp_path, monkeypatch):
+    from millrace.sources import tables
+
+    spark.range(3000).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    assert tables.table(spark, str(tmp_path), "t").groupBy(tables.F.spark_partition_id()).count().count() == cores or cores == 1
+    monkeypatch.setattr(tables, "FEW", 5000)
+    assert "Exchange" not in tables.table(spark, str(tmp_path), "t")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_made_once(spark, sf):
+    plan = Q.corpus_union(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan or all("regexp_replace" not in x for x in plan.splitlines() if "Filter" in x)
+
+
 def test_to_fetch(spark):
     books = spark.createDataFrame([(2, "German", "b"), (1, "German", "a"), (3, "French", "c"), (4, "German", "d")], "book_no long, lang string, title string")
     files = spark.createDataFrame([(1, "1/1.txt"), (2, "2/2.txt"), (3, "3/3.txt")], "book_no long, path string")

@@ -86,7 +86,16 @@ def test_memories(spark, tree):
 
 
 def test_parallel_texts(spark, tree):
-    assert [r.text for r in parallel_texts(spark, str(tree / "tars"), "de").collect()] == ["größer"]
+    assert [(r.text, r.error) for r in parallel_texts(spark, str(tree / "tars"), "de").collect()] == [("größer", None)]
+    bad = tree / "bad-tars"
+    bad.mkdir()
+    (bad / "a.tgz").write_bytes(b"no archive")
+    with tarfile.open(bad / "b.tgz", "w:gz") as t:
+        info = tarfile.TarInfo("x.de")
+        info.size = 2
+        t.addfile(info, io.BytesIO(b"\xff\xfe"))
+    rows = parallel_texts(spark, str(bad), "de").collect()
+    assert len(rows) == 2 and all(r.text is None and r.error for r in rows)
 
 
 def config(tree, text):
