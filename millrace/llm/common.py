@@ -11,14 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import table  # noqa: F401
+
 #: Bytes of text that one vectorised step holds; its arrays take some forty times as much.
 CHUNK_BYTES = 1 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset and all run in one
     process, as in tests, a temporary one. A cluster must name its folder."""
