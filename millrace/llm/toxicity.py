@@ -3,7 +3,8 @@ r"""Toxicity scores from the nearest labelled examples.
 Terms are words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` with A-Z lower-cased, and the first four, five and six bytes of longer
 words. Examples are a sample of at most `examples` labelled rows, of which none has crc32(id) mod 5 = 0. The vocabulary
 has the terms that separate their labels by a likelihood-ratio test (G >= 30, at most `vocabulary` of them); a term
-counts once for each document but no more than it has distinct pairs of neighbours, so copies of one text lend it no weight.
+counts once for each document but, while these are few (a bitmap of 64 tells them), no more than it has distinct pairs of
+neighbours, so copies of one text lend a rare term no weight.
 
 Method: documents and examples are TF-IDF vectors (root frequencies) over that vocabulary and one term that all words
 share, with document frequencies from all documents. An
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import words as W
-from .common import chunks, crc32_of_id
+from .common import chunks, crc32_of_id, drop_written, written
 
 EXAMPLES, VOCABULARY, NEIGHBOURS, BLOCK = 8192, 4096, 24, 64
 PREFIXES = (4, 5, 6)
@@ -245,7 +246,8 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     known = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
     # bounded: at most `examples` rows; those whose document is missing here go
     chosen = clean.orderBy(F.xxhash64("__id"), "__id").limit(examples)
-    sample = known.join(F.broadcast(chosen), "__id").select(F.col("__id").alias("id"), "toxic", "text", F.xxhash64("text").alias("tie"))
+    # written: it is read three times
+    sample = written(known.join(F.broadcast(chosen), "__id").select(F.col("__id").alias("id"), "toxic", "text", F.xxhash64("text").alias("tie")), "examples")
     counted = sample.mapInArrow(_evidence_by_term, "term long, clean long, toxic long, n_clean long, n_toxic long")
     counted = counted.groupBy("term").agg(F.bit_or("clean").alias("clean"), F.bit_or("toxic").alias("toxic"), F.sum("n_clean").alias("n_clean"), F.sum("n_toxic").alias("n_toxic"))
     n = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -265,6 +267,7 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     for t in range(len(words_.keys)):
         idf[t] = np.log((1 + frequency[-1]) / (1 + frequency[t])) + 1
     rows = sample.select("id", "toxic", "text", "tie").mapInArrow(_example_vectors(words_), f"id {docs.schema[id_col].dataType.simpleString()}, toxic int, cols array<long>, times array<long>, tie long").collect()
+    drop_written(sample)
     rows.sort(key=lambda r: (r.tie, r.cols, r.times, r.toxic))
     return Model(words_, idf, rows)
 
