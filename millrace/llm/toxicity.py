@@ -2,9 +2,9 @@ r"""Toxicity scores from the nearest labelled examples.
 
 Terms are words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` with A-Z lower-cased, and the first four, five and six bytes of longer
 words. Examples are a sample of at most `examples` labelled rows, of which none has crc32(id) mod 5 = 0. The vocabulary
-has the terms that separate their labels by a likelihood-ratio test (G >= 30, at most `vocabulary` of them); a term
-counts once for each document but, while these are few (a bitmap of 64 tells them), no more than it has distinct pairs of
-neighbours, so copies of one text lend a rare term no weight.
+has all terms of theirs that separate their labels by a likelihood-ratio test (G >= 30); `vocabulary` may bound their
+number. A term counts once for each document but, while fewer than 56 bits of a bitmap of 64 are set (some 130 contexts),
+no more than it has distinct pairs of neighbours, so copies of one text lend a rare term no weight.
 
 Method: documents and examples are TF-IDF vectors (root frequencies) over that vocabulary and one term that all words
 share, with document frequencies from all documents. An
@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from . import words as W
 from .common import chunks, crc32_of_id, drop_written, written
 
-EXAMPLES, VOCABULARY, NEIGHBOURS, BLOCK = 8192, 4096, 24, 64
+EXAMPLES, NEIGHBOURS, BLOCK = 8192, 24, 64
 PREFIXES = (4, 5, 6)
 LEAST_G, LEAST_CONTEXTS = 30.0, 8
 FOLDS = 5
@@ -241,7 +241,7 @@ def _example_vectors(vocabulary: Vocabulary):
     return run
 
 
-def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, examples: int, vocabulary: int) -> Model | None:
+def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, examples: int, vocabulary: int | None) -> Model | None:
     clean = labels.filter(F.col(label_col).isNotNull() & (F.pmod(crc32_of_id(id_col), F.lit(FOLDS)) != 0)).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("toxic"))
     known = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
     # bounded: at most `examples` rows; those whose document is missing here go
@@ -260,7 +260,8 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     both = F.col("a") + F.col("b")
     g = lambda x, k: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / both * (sum(total) / max(total[k], 1)))).otherwise(0.0)
     scored = counted.select("term", seen("clean").alias("a"), seen("toxic").alias("b")).filter(both >= LEAST_CONTEXTS).withColumn("g", 2 * (g("a", 0) + g("b", 1)))
-    best = scored.filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "term").limit(vocabulary).collect()
+    best = scored.filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "term")
+    best = (best if vocabulary is None else best.limit(vocabulary)).select("term").collect()
     words_ = Vocabulary([r.term for r in best])
     idf = np.ones(len(words_.keys) + 1)  # every document has words, so the last stays 1
     frequency = {r.term: r.n for r in known.select("text").mapInArrow(_frequencies(words_), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
@@ -272,7 +273,7 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     return Model(words_, idf, rows)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", examples: int = EXAMPLES, vocabulary: int = VOCABULARY) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", examples: int = EXAMPLES, vocabulary: int | None = None) -> DataFrame:
     """docs as struct `row`, with score, predicted and evidence, the ids of the nearest examples."""
     model = fitted(docs, labels, id_col, text_col, label_col, examples, vocabulary)
     shared = docs.sparkSession.sparkContext.broadcast(model)
