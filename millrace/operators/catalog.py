@@ -130,6 +130,7 @@ def language_folders(links: DataFrame, lang: str | None = None) -> DataFrame:
 
 
 def newest_dump(lang: str, base: str = "dumps") -> str:
-    """Where the newest dump of an encyclopedia lies under a folder of dumps, by ISO 639-3 code."""
-    code = ISO_639[lang]
+    """Where the newest dump of an encyclopedia lies under a folder of dumps, by ISO 639-3 code, which
+    stands for itself where there is no shorter one."""
+    code = ISO_639.get(lang, lang)
     return f"{base}/{code}wiki/latest/{code}wiki-latest-pages-articles.xml.bz2"

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import argparse
 import logging
+import logging.config
 import sys
 
-from .config import ConfigError, read_config
+from .config import ConfigError, expanded, read_config, read_logging
 
-WRITE_FAILED = 23
+NOT_WRITABLE, WRITE_FAILED = 22, 23
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -21,20 +22,30 @@ def main(argv: list[str] | None = None) -> int:
         args = parser.parse_args(argv)
     except SystemExit as e:
         return 1 if e.code else 0
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     try:
-        config = read_config(args.config)
+        config, messages = read_config(args.config), read_logging(args.config)
+        if messages is None:
+            logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+        else:
+            try:
+                logging.config.dictConfig(messages)
+            except (ValueError, TypeError, AttributeError, ImportError) as e:
+                raise ConfigError(f"{args.config}: logging: {e}", 2) from e
     except ConfigError as e:
         print(e, file=sys.stderr)
         return e.exit_code
     from pyspark.errors import PySparkException
     from pyspark.sql import SparkSession
 
-    from .pipeline import build
+    from .pipeline import build, is_writable
 
     spark = SparkSession.builder.appName("millrace").getOrCreate()
+    output = expanded(args.output)
+    if not is_writable(spark, output):
+        print(f"can't write {output}", file=sys.stderr)
+        return NOT_WRITABLE
     try:
-        for row in build(spark, config, args.output, args.strict, args.ordered).orderBy("lang", "source").collect():
+        for row in build(spark, config, output, args.strict, args.ordered).orderBy("lang", "source").collect():
             logging.info("%s %s: %d entities, %d erroneous", row.lang, row.source, row.entities_read, row.erroneous)
     except ConfigError as e:
         print(e, file=sys.stderr)

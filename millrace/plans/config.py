@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import yaml
 
-from ..functions.text import ISO_639, parse_stopwords
+from ..functions.text import is_language, parse_stopwords
 from ..sources.registry import REGISTRY
 
 
@@ -34,8 +34,7 @@ def expanded(path: str) -> str:
     return os.path.expanduser(path) if path == "~" or path.startswith("~/") else path
 
 
-def read_config(path: str, section: str = "corpus") -> dict[str, LanguageConfig]:
-    """Languages by ISO 639-3 code, sorted."""
+def _read(path: str) -> dict:
     try:
         with open(path, encoding="utf-8") as f:
             data = yaml.safe_load(f)
@@ -43,12 +42,26 @@ def read_config(path: str, section: str = "corpus") -> dict[str, LanguageConfig]
         raise ConfigError(f"can't read {path}: {e}") from e
     except yaml.YAMLError as e:
         raise ConfigError(f"{path} is not YAML: {e}", 2) from e
-    if not isinstance(data, dict) or not isinstance(data.get(section), dict):
+    return data if isinstance(data, dict) else {}
+
+
+def read_logging(path: str, section: str = "logging") -> dict | None:
+    """The section that says where messages go (file, console, thresholds), as the standard library's dictConfig has it."""
+    given = _read(path).get(section)
+    if given is not None and not isinstance(given, dict):
+        raise ConfigError(f"{path}: section {section} is no mapping", 2)
+    return given and {"version": 1, "disable_existing_loggers": False, **given}
+
+
+def read_config(path: str, section: str = "corpus") -> dict[str, LanguageConfig]:
+    """Languages by ISO 639-3 code, sorted."""
+    data = _read(path)
+    if not isinstance(data.get(section), dict):
         raise ConfigError(f"{path} has no section {section}", 2)
     out = {}
     for code, given in sorted(data[section].items()):
-        if code not in ISO_639:
-            raise ConfigError(f"{code} is no known ISO 639-3 code", 24)
+        if not (isinstance(code, str) and is_language(code)):
+            raise ConfigError(f"{code} is no ISO 639-3 code", 24)
         given = given or {}
         unknown = set(given) - set(REGISTRY) - {"stopwords"}
         if unknown:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.corpus import run_stats, to_corpus, union_all, write_text
 from ..sources.registry import REGISTRY
@@ -30,9 +33,39 @@ def corpus(spark: SparkSession, config: dict[str, LanguageConfig], strict: bool
     return to_corpus(entities(spark, config, strict), {lang: c.stopwords for lang, c in config.items() if c.stopwords})
 
 
+def is_writable(spark: SparkSession, output: str) -> bool:
+    """Whether a folder can be made at this path, or written where there is one: tried with an empty file beside it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(output)
+    probe = spark._jvm.org.apache.hadoop.fs.Path(f"{output.rstrip('/')}.probe-{uuid.uuid4().hex}")
+    try:
+        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(target) and not files.getFileStatus(target).isDirectory():
+            return False
+        files.create(probe).close()
+        files.delete(probe, False)
+    except Py4JJavaError:
+        return False
+    return True
+
+
 def build(spark: SparkSession, config: dict[str, LanguageConfig], output: str, strict: bool = False, ordered: bool = False) -> DataFrame:
-    """Writes the corpus as text lines; the counts of each language and source."""
+    """Writes the corpus as text lines; the counts of each language and source that has entities.
+
+    They are taken while it is written, in its last stage, whose tasks count once. ordered: not so, as a range shuffle
+    reads the sources again to sample its bounds, and so do tasks that are repeated before it; they are counted apart.
+    """
     every = entities(spark, config, strict)
     stopwords = {lang: c.stopwords for lang, c in config.items() if c.stopwords}
-    write_text(to_corpus(every, stopwords), output, ordered=ordered)
-    return run_stats(every)
+    if ordered:
+        write_text(to_corpus(every, stopwords), output, ordered=True)
+        return run_stats(every)
+    keys = [(lang, name) for lang, given in config.items() for name in given.sources]
+    counts = []
+    for k, (lang, name) in enumerate(keys):
+        here = (F.col("lang") == lang) & (F.col("source") == name)
+        counts += [F.count_if(here).alias(f"read_{k}"), F.count_if(here & F.col("error").isNotNull()).alias(f"failed_{k}")]
+    seen = Observation()
+    write_text(to_corpus(every.observe(seen, *counts), stopwords), output)
+    found = seen.get
+    rows = [(*key, found.get(f"read_{k}", 0), found.get(f"failed_{k}", 0)) for k, key in enumerate(keys)]
+    return spark.createDataFrame([r for r in rows if r[2]], "lang string, source string, entities_read long, erroneous long")

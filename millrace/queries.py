@@ -362,3 +362,133 @@ def markdown_words(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("md", F.concat(F.lit("# Title\n\n"), F.replace("text", F.lit("\n"), F.lit("\n\n"))))
     plain = docs.select("doc_id", M.unformatted(F.col("md"), "markdown").alias("r"))
     return plain.select("doc_id", T.text2words(F.col("r.content")).alias("words"), "r.error")
+
+
+_PLAIN = r"regexp_replace(text, '[<>{}|]', '', 'g')"
+
+
+@query(f"""
+    with t as (select doc_id, {_PLAIN} as t from documents)
+    select doc_id, case doc_id % 8 when 0 then t || ' tail' when 1 then 'k ' || t || ' l' when 2 then t || chr(10) || 'after' when 5 then t || chr(10) || 'x </table> y'
+      when 4 then null when 6 then 'm' || t || ' {{|n|}}' when 7 then t else t || ' 3 < 4 and 5 > 4' end as content,
+      case when doc_id % 8 = 4 then 'text after opening <: ref ' || t end as error from t""")
+def wiki_notes(spark, sf_dir):
+    """Notes, quotations, tables at the beginning of a line and within one, signs, unclosed tags, put around every text."""
+    t, nl = F.regexp_replace("text", "[<>{}|]", ""), F.lit("\n")
+    forms = [
+        F.concat(t, F.lit('<ref name="k">'), t, F.lit("</ref> tail")),
+        F.concat(F.lit('k <blockquote class="c">'), t, F.lit("</blockquote> l")),
+        F.concat(t, nl, F.lit("{| class=w"), nl, t, nl, F.lit("|}after")),
+        F.concat(t, F.lit(" 3 < 4 and 5 > 4")),
+        F.concat(F.lit("<ref "), t),
+        F.concat(t, nl, F.lit("x </table> y")),
+        F.concat(F.lit("m"), t, F.lit(" {|n|}")),
+        F.concat(F.lit("<references/></references>"), t),
+    ]
+    markup = F.element_at(F.array(*forms), (F.col("doc_id") % 8 + 1).cast("int"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", markup.alias("markup"))
+    return docs.select("doc_id", M.wikitext(F.col("markup")).alias("r")).select("doc_id", "r.content", "r.error")
+
+
+_LETTERS = r"list_filter(list_transform(string_split(regexp_replace(text, '[^a-zA-Z\n ]', '', 'g'), chr(10)), lambda x: trim(regexp_replace(x, ' +', ' ', 'g'))), lambda x: x <> '')"
+_SHOWN = f"'Title ' || chr(7) || ' ' || coalesce(array_to_string(list_transform({_LETTERS}, lambda x: x || ' ' || chr(7) || ' '), ''), '')"
+
+
+def _marked(spark, sf_dir, marks, title):
+    """Every line of letters in the marks of one kind of block or span, kinds in turn."""
+    lines = F.filter(F.transform(F.split(F.regexp_replace("text", "[^a-zA-Z\n ]", ""), "\n", -1), lambda x: F.trim(F.regexp_replace(x, " +", " "))), lambda x: x != "")
+
+    def mark(x, i):
+        return F.concat(F.element_at(F.array(*(F.lit(a) for a, _ in marks)), (i % len(marks) + 1).cast("int")), x, F.element_at(F.array(*(F.lit(b) for _, b in marks)), (i % len(marks) + 1).cast("int")))
+
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit(f"{title}\n\n"), F.array_join(F.transform(lines, mark), "\n\n")).alias("markup"))
+
+
+@query(f"select doc_id, {_words(_SHOWN)} as words from documents")
+def markdown_blocks(spark, sf_dir):
+    marks = [("", ""), ("**", "**"), ("> ", ""), ("_", "_"), ("- ", ""), ("[", "](http://u.v/w)"), ("### ", " ###"), ("~~", "~~"), ("7. ", ""), ("", "\n\n---"), ("<b>", "</b>"), ("", " `code`"), ("", "\n\n```\ncode\n```"), ("", "\n===")]
+    docs = _marked(spark, sf_dir, marks, "# Title")
+    return docs.select("doc_id", M.unformatted(F.col("markup"), "markdown").alias("r")).select("doc_id", T.text2words(F.col("r.content")).alias("words"))
+
+
+@query(f"select doc_id, {_words(_SHOWN)} as words from documents")
+def wiki_blocks(spark, sf_dir):
+    marks = [("", ""), ("'''", "'''"), ("* ", ""), ("''", "''"), ("# ", ""), ("[[target|", "]]"), ("=== ", " ==="), ("[http://u.v/w ", "]"), ("", "\n\n----"), ("{{template|x}}", ""), ("", "<ref>note</ref>"), ("<blockquote>", "</blockquote>"), ("", "[[Category:K]]"), ("", "\n\n{|\n|cell\n|}")]
+    docs = _marked(spark, sf_dir, marks, "== Title ==")
+    return docs.select("doc_id", M.unformatted(F.col("markup"), "mediawiki").alias("r")).select("doc_id", T.text2words(F.col("r.content")).alias("words"))
+
+
+#: Trees around a string: JSON before and after it, and what is read before and after it (none: an error).
+_ATTR = '["",[],[]]'
+_TREES = [
+    ('{"t":"Header","c":[1,%s,["ab",' % _ATTR, "]]}", "ab ", " \x07 "),
+    ('{"t":"BulletList","c":[[{"t":"Plain","c":["ab"]}],[{"t":"Plain","c":["cd",', "]}]]}", "ab \x07 cd ", " \x07 "),
+    ('{"t":"OrderedList","c":[[1,"",""],[[{"t":"Para","c":["ab",', "]}]]]}", "ab ", " \x07 "),
+    ('{"t":"Div","c":[%s,[{"t":"Para","c":[{"t":"Emph","c":["ab"]},{"t":"Space"},' % _ATTR, "]}]]}", "ab ", " \x07 "),
+    ('{"t":"Para","c":["ab",{"t":"Link","c":[%s,["cd",' % _ATTR, '],["",""]]}]}', "ab cd ", " \x07 "),
+    ('{"t":"Para","c":["ab",{"t":"Image","c":[%s,["three more words",' % _ATTR, '],["",""]]},"yz"]}', "ab three more words ", " yz \x07 "),
+    ('{"t":"Para","c":["ab",{"t":"Code","c":[%s,' % _ATTR, ']},"yz"]}', None, "ab yz \x07 "),
+    ('{"t":"CodeBlock","c":[%s,' % _ATTR, "]}", None, ""),
+    ('{"t":"Para","c":["ab",{"t":"Quoted","c":[{"t":"DoubleQuote"},["cd",', ']]},"yz"]}', "ab cd ", " \x07 yz \x07 "),
+    ('{"t":"BlockQuote","c":[{"t":"Para","c":[{"t":"Strong","c":["ab"]},{"t":"SoftBreak"},', "]}]}", "ab ", " \x07 "),
+    ('{"t":"Para","c":["ab",{"t":"Span","c":[%s,["cd",' % _ATTR, "]]}]}", "ab cd ", " \x07 "),
+    ('{"t":"Nothing","c":[', "]}", None, None),
+]
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("\x07", "' || chr(7) || '") + "'"
+
+
+_TREE_TEXT = " ".join(f"when {k} then {'null' if last is None else _quoted(last) if first is None else _quoted(first) + ' || s || ' + _quoted(last)}" for k, (_, _, first, last) in enumerate(_TREES))
+
+
+@query(f"""
+    with t as (select doc_id, 'x' || text || 'xyz' as s from documents)
+    select doc_id, case doc_id % {len(_TREES)} {_TREE_TEXT} end as content, case when doc_id % {len(_TREES)} = {len(_TREES) - 1} then 'ErroneousStructure: unknown node type: Nothing' end as error from t""")
+def tree_kinds(spark, sf_dir):
+    """Every text within a node of another kind."""
+    whole = F.to_json(F.struct(F.concat(F.lit("x"), "text", F.lit("xyz")).alias("s")))
+    text = F.expr("substring(s, 6, length(s) - 6)")  # the string of {"s":"..."}
+    at = (F.col("doc_id") % len(_TREES) + 1).cast("int")
+    pick = lambda n: F.element_at(F.array(*(F.lit(x[n]) for x in _TREES)), at)
+    docs = table(spark, sf_dir, "documents").select("doc_id", whole.alias("s"))
+    docs = docs.select("doc_id", F.concat(F.lit('{"blocks":['), pick(0), text, pick(1), F.lit("]}")).alias("tree"))
+    return docs.select("doc_id", M.plain_text(F.col("tree")).alias("r")).select("doc_id", "r.content", "r.error")
+
+
+_ARCHIVES = "select doc_id, 'a/' || lang || '-en' || case when doc_id % 3 = 0 then '.txt' else '.tgz' end as link from documents"
+
+
+@query(rf"""
+    with l as ({_ARCHIVES})
+    select lang, (select case when lang = 'en' then max_by(link, doc_id) else min_by(link, doc_id) end from l where case when lang = 'en' then ends_with(link, '.tgz') else contains(link, lang || '-') end) as link
+    from (select distinct regexp_extract(link, '(\w\w)-\w\w\.tgz', 1) as lang from l where ends_with(link, '.tgz') union select 'en') where lang <> ''""")
+def archive_links(spark, sf_dir):
+    found = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.expr("'a/' || lang || '-en' || case when doc_id % 3 = 0 then '.txt' else '.tgz' end").alias("link"))
+    langs = catalog.language_of_archives(found)
+    # one row for each language of a fixed list
+    links = [catalog.archive_link(found, lang).select(F.lit(lang).alias("lang"), "link") for lang in ("de", "en", "es", "fr")]
+    return langs.join(corpus.union_all(links), "lang")
+
+
+@query("""
+    select doc_id as book_no, lang, 'd/' || doc_id % 10 || '/' || doc_id || '.txt' as path from documents d
+    where doc_id % 3 <> 0 and not exists (select 1 from labels l where l.doc_id = d.doc_id)""")
+def to_fetch(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    books = docs.select(F.col("doc_id").alias("book_no"), "lang")
+    files = docs.where("doc_id % 3 <> 0").select(F.col("doc_id").alias("book_no"), F.expr("'d/' || doc_id % 10 || '/' || doc_id || '.txt'").alias("path"))
+    present = table(spark, sf_dir, "labels").select(F.expr("doc_id || '.txt'").alias("name"))
+    return corpus.union_all([catalog.to_fetch(books, files, lang, present).select("book_no", "lang", "path") for lang in ("de", "en", "es", "fr")])
+
+
+@query("""
+    with l as (select doc_id, case doc_id % 4 when 0 then upper(lang) || 'X/' when 1 then lang || 'x/' when 2 then 'v/' || doc_id || '.ZIP' else upper(lang) || 'Y.zip/' end as link from documents)
+    select link, case when regexp_matches(link, '^[A-Z]{3}/?$') then 'folder' else 'archive' end as kind, count(*) as n from l
+    where regexp_matches(link, '^[A-Z]{3}/?$') or ends_with(lower(link), '.zip') group by link""")
+def crawled_links(spark, sf_dir):
+    link = "case doc_id % 4 when 0 then upper(lang) || 'X/' when 1 then lang || 'x/' when 2 then 'v/' || doc_id || '.ZIP' else upper(lang) || 'Y.zip/' end"
+    found = table(spark, sf_dir, "documents").select(F.expr(link).alias("link"))
+    both = catalog.language_folders(found).withColumn("kind", F.lit("folder")).unionByName(catalog.zip_links(found).withColumn("kind", F.lit("archive")))
+    return both.groupBy("link", "kind").agg(F.count("*").alias("n"))

@@ -9,6 +9,7 @@ import io
 import tarfile
 import xml.etree.ElementTree as ET
 import zipfile
+import zlib
 from collections.abc import Iterator
 from itertools import islice
 
@@ -111,3 +112,29 @@ def parallel_texts(spark: SparkSession, path: str, lang: str) -> DataFrame:
                     yield pd.DataFrame([(file, *found)], columns=["path", "text", "error"], dtype=object)
 
     return binary_files(spark, path, "tgz").select("path", "content").mapInPandas(run, "path string, text string, error string")
+
+
+def zip_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """(path, member, data, error): the files within the zip files of a folder whose names end so, whatever the case; an
+    error for an archive or a member that can't be read."""
+
+    def read(data: bytes) -> Iterator[tuple]:
+        try:
+            archive = zipfile.ZipFile(io.BytesIO(data))
+        except zipfile.BadZipFile as e:
+            yield None, None, str(e)
+            return
+        for name in archive.namelist():
+            if not name.endswith("/") and name.lower().endswith(suffix.lower()):
+                try:
+                    yield name, archive.read(name), None
+                except (zipfile.BadZipFile, zlib.error, OSError, RuntimeError) as e:
+                    yield name, None, f"{type(e).__name__}: {e}"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, data in zip(batch["path"], batch["content"]):
+                for found in read(bytes(data)):
+                    yield pd.DataFrame([(file, *found)], columns=["path", "member", "data", "error"], dtype=object)
+
+    return binary_files(spark, path, "zip").select("path", "content").mapInPandas(run, "path string, member string, data binary, error string")

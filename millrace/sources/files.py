@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,16 +26,20 @@ def entities(rows: DataFrame, lang: str, source: str) -> DataFrame:
     return rows.select(F.lit(lang).alias("lang"), F.lit(source).alias("source"), "entity_id", "position", "content", "error")
 
 
-def binary_files(spark: SparkSession, path: str, extension: str, recursive: bool = False, stream: bool = False) -> DataFrame:
-    """Files with this extension, its case as given; a file that is called like the extension alone has none."""
+def binary_files(spark: SparkSession, path: str, extension: str, recursive: bool = False, stream: bool = False, exclude: str | None = None) -> DataFrame:
+    """Files with this extension, its case as given; a file that is called like the extension alone has none.
+
+    exclude: a pattern of paths to leave out, such as `*/.git/*`.
+    """
     reader = spark.readStream.schema("path string, modificationTime timestamp, length long, content binary") if stream else spark.read
     files = reader.format("binaryFile").option("pathGlobFilter", f"*.{extension}").option("recursiveFileLookup", str(recursive).lower()).load(path)
-    return files.where(~F.col("path").endswith(f"/.{extension}"))
+    files = files.where(~F.col("path").endswith(f"/.{extension}"))
+    return files if exclude is None else files.where(~F.col("path").rlike("^" + fnmatch.translate(exclude)))
 
 
-def text_files(spark: SparkSession, path: str, lang: str, source: str, extension: str = "txt", recursive: bool = False, stream: bool = False) -> DataFrame:
+def text_files(spark: SparkSession, path: str, lang: str, source: str, extension: str = "txt", recursive: bool = False, stream: bool = False, exclude: str | None = None) -> DataFrame:
     """Whole files as entities; a file that is not UTF-8 has an error."""
-    files = binary_files(spark, path, extension, recursive, stream)
+    files = binary_files(spark, path, extension, recursive, stream, exclude)
     text = F.try_validate_utf8(F.col("content").cast("string"))
     rows = files.select(F.col("path").alias("entity_id"), position(F.col("path")).alias("position"), text.alias("content"))
     return entities(rows.withColumn("error", error(schema.IO, "the file is not UTF-8", F.col("content").isNull())), lang, source)

@@ -1,6 +1,8 @@
 import bz2
 import io
 import json
+import logging
+import os
 import tarfile
 import zipfile
 
@@ -10,7 +12,7 @@ from millrace.operators import corpus
 from millrace.plans.cli import main
 from millrace.plans.config import ConfigError, read_config
 from millrace.plans.pipeline import build
-from millrace.sources.archives import memory_segments, parallel_texts, translation_memories
+from millrace.sources.archives import memory_segments, parallel_texts, translation_memories, zip_members
 from millrace.sources.files import lines, text_files
 from millrace.sources.newspaper import newspapers
 from millrace.sources.wiki import wiki_pages
@@ -114,7 +116,7 @@ def test_pipeline(spark, tree, tmp_path):
     assert got == sorted(["erste Worte", "erste Worte", "Anfang", "One two", "Three four", "Ein Text hier", "Titre", "Le premier article"])
 
 
-@pytest.mark.parametrize("text,code", [("x: 1", 2), ("corpus: {xx: {}}", 24), ("corpus: {deu: {nosuch: a}}", 2), ("corpus: [", 2)])
+@pytest.mark.parametrize("text,code", [("x: 1", 2), ("corpus: {xx: {}}", 24), ("corpus: {deu: {nosuch: a}}", 2), ("corpus: [", 2), ("corpus: {qqq: {}}", 24), ("corpus: {1: {}}", 24)])
 def test_bad_configs(tree, text, code):
     with pytest.raises(ConfigError) as e:
         read_config(config(tree, text))
@@ -126,6 +128,40 @@ def test_command_line(tree, capsys):
     assert main([config(tree, "corpus: {xx: {}}"), "out"]) == 24
 
 
+def test_any_language_and_messages(spark, tree, tmp_path):
+    log = tmp_path / "run.log"
+    handlers = f"handlers: {{f: {{class: logging.FileHandler, filename: {log}}}}}\n  root: {{level: INFO, handlers: [f]}}"
+    assert main([config(tree, f"corpus:\n  yue:\n    gutenberg: {tree}/books\nlogging:\n  {handlers}\n"), str(tmp_path / "o")]) == 0
+    assert "yue gutenberg: 3 entities, 2 erroneous" in log.read_text()
+    logging.getLogger().handlers.clear()
+    assert main([config(tree, "corpus: {yue: {}}\nlogging: {handlers: {f: {class: nothing.Here}}}"), "o"]) == 2
+    assert main([config(tree, "corpus: {yue: {}}\nlogging: 3"), "o"]) == 2
+
+
+def test_output_that_cannot_be_written(spark, tree, tmp_path):
+    (tmp_path / "file").write_text("x")
+    good = config(tree, f"corpus:\n  deu:\n    gutenberg: {tree}/books\n")
+    assert main([good, str(tmp_path / "file")]) == 22 and main([good, str(tmp_path / "file" / "below")]) == 22
+    assert sorted(os.listdir(tmp_path)) == ["file"] and (tmp_path / "file").read_text() == "x"
+
+
+def test_counts_are_taken_while_writing(spark, tree, tmp_path):
+    read = read_config(config(tree, f"corpus:\n  deu:\n    gutenberg: {tree}/books\n    europeana: {tree}/code\n"))
+    assert [tuple(r) for r in build(spark, read, str(tmp_path / "o")).collect()] == [("deu", "gutenberg", 3, 2)]
+
+
+def test_excluded_paths(spark, tree):
+    found = text_files(spark, str(tree / "books"), "deu", "gutenberg", exclude="*/[12].txt").collect()
+    assert [r.entity_id.rsplit("/", 1)[1] for r in found] == ["3.txt"]
+
+
+def test_members_of_archives(spark, tree):
+    rows = {(r.path.rsplit("/", 1)[1], r.member): r for r in zip_members(spark, str(tree / "memory")).collect()}
+    assert set(rows) == {("v.zip", "a.tmx"), ("v.zip", "b.tmx"), ("v.zip", "c.txt"), ("v.zip", "d.tmx"), ("bad.zip", None)}
+    assert bytes(rows["v.zip", "c.txt"].data) == b"other" and rows["bad.zip", None].error
+    assert [r.member for r in zip_members(spark, str(tree / "memory"), ".TXT").collect() if r.member] == ["c.txt"]
+
+
 def test_stream_equals_batch(spark, tree, tmp_path):
     batch = text_files(spark, str(tree / "books"), "deu", "gutenberg")
     corpus_stream(text_files(spark, str(tree / "books"), "deu", "gutenberg", stream=True), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
