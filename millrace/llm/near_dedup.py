@@ -166,7 +166,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     star = member.filter("rep <> center").select("center", "rep").distinct()
     wanted = member.select(F.col("rep").alias("id")).distinct()
-    sets = written(asked.filter("id is not null").join(wanted, "id", "left_semi").mapInArrow(_full_sets, "id long, data binary").dropDuplicates(["id", "data"]), "sets")
+    # only rows that share an id can repeat a set, so no other set is shuffled to be made distinct
+    repeated = written(sizes.filter("n > 0 and id is not null").groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select("id"), "repeated")
+    sets_of = lambda ids: asked.filter("id is not null").join(ids, "id", "left_semi").mapInArrow(_full_sets, "id long, data binary")
+    if repeated.isEmpty():
+        sets = sets_of(wanted)
+    else:
+        distinct = sets_of(wanted.join(repeated, "id", "left_semi")).dropDuplicates(["id", "data"])
+        sets = sets_of(wanted.join(repeated, "id", "left_anti")).unionByName(distinct)
+    sets = written(sets, "sets")
     asking = star.select("center").distinct().select(F.col("center").alias("grp"), F.lit(True).alias("asks"), F.col("center").alias("rep"), F.col("center").alias("comp"))
     pairs = asking.unionByName(star.select(F.col("center").alias("grp"), F.lit(False).alias("asks"), "rep", F.col("rep").alias("comp")))
     links = written(_blocks(pairs, sets), "links")
@@ -188,7 +196,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = final.join(top, "comp", "left").groupBy("id").agg(F.min(F.coalesce("top", "comp")).alias("component"))
     out = sizes.join(final, "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     out = written(out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))), "near-duplicates")
-    drop_written(of_class, sizes, member, sets, links, linked, rest, more, joined)
+    drop_written(of_class, sizes, member, repeated, sets, links, linked, rest, more, joined)
     return out
 
 
