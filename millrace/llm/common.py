@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import table  # noqa: F401
 
 #: Bytes of text that one vectorised step holds; its arrays take some forty times as much.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def shared_dir(spark: SparkSession) -> str:
