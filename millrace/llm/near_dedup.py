@@ -43,6 +43,8 @@ MINIMA = BANDS * ROWS
 AGREE = 0.0
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 256
+#: What a member of a group does: asks, answers, or both.
+ASKS, ANSWERS = 1, 2
 #: Dropped ids that are broadcast at once, some 64 bytes each, and passes over the documents for as many each.
 IDS_AT_ONCE, PASSES = 1 << 21, 4
 
@@ -87,7 +89,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in chunks(batches, "text"):
-        data = [minima(s).tobytes() + s.tobytes() for s in shingle_sets(texts)]
+        data = [s.tobytes() for s in shingle_sets(texts)]
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(data, pa.binary())], names=["id", "data"])
 
 
@@ -101,11 +103,12 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _compare(group: pa.Table) -> pa.Table:
-    """Links that join different components, each component pair at most once, of asking with all members."""
-    asks, ids, comps = (group.column(c).to_pylist() for c in ("asks", "rep", "comp"))
-    data = group.column("data").to_pylist()
-    least = np.stack([np.frombuffer(x, np.uint32, MINIMA) for x in data])
-    sets = [np.frombuffer(x, np.uint64, offset=4 * MINIMA) for x in data]
+    """Links that join different components, each component pair at most once, of asking with answering members."""
+    ids, comps = (group.column(c).to_pylist() for c in ("rep", "comp"))
+    role = group.column("role").to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in group.column("data").to_pylist()]
+    # made here again: moved with the sets, they would be a fifth of what is shuffled
+    least = np.stack([minima(x) for x in sets])
     root = {c: c for c in comps}
 
     def find(c):
@@ -114,8 +117,8 @@ def _compare(group: pa.Table) -> pa.Table:
         return c
 
     left, right = [], []
-    others = np.array([i for i, x in enumerate(asks) if not x], np.int64)
-    for q in [i for i, x in enumerate(asks) if x]:
+    others = np.flatnonzero(role & ANSWERS)
+    for q in np.flatnonzero(role & ASKS).tolist():
         agree = (least[others] == least[q]).mean(1)
         by = np.argsort(-agree, kind="stable")
         for o in others[by[agree[by] >= AGREE]].tolist():
@@ -128,19 +131,25 @@ def _compare(group: pa.Table) -> pa.Table:
 
 
 def _blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of rows (grp, asks, rep, comp): askers and others of a group meet in blocks of about BLOCK by BLOCK."""
-    count = pairs.groupBy("grp").agg(*(F.ceil(F.count_if(F.col("asks") == x) / BLOCK).cast("int").alias(n) for x, n in ((True, "qs"), (False, "os"))))
+    """Links of rows (grp, role, rep, comp): those that ask and those that answer in a group meet in blocks of about
+    BLOCK by BLOCK. One that does both has one row in the block where it meets itself, so a small group moves each set once."""
+    plays = lambda x: F.col("role").bitwiseAND(F.lit(x)) > 0
+    count = pairs.groupBy("grp").agg(*(F.ceil(F.count_if(plays(x)) / BLOCK).cast("int").alias(n) for x, n in ((ASKS, "qs"), (ANSWERS, "os"))))
     # written: at most a row for each BLOCK members, so the join is a broadcast or, by shuffled files on both sides, split where skewed
     large = written(count.filter("qs > 1 or os > 1"), "large")
-    own = lambda n: F.array(F.pmod(F.xxhash64("rep"), F.col(n)).cast("int"))
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    place = lambda q, o, role: F.struct(q.alias("q"), o.alias("o"), role.alias("role"))
+    none = F.array().cast("array<struct<q: int, o: int, role: int>>")
+    asks = F.transform(every("os"), lambda o: place(own("qs"), o, F.when(o == own("os"), F.col("role")).otherwise(F.lit(ASKS))))
+    answers = F.transform(every("qs"), lambda q: place(q, own("os"), F.lit(ANSWERS)))
+    answers = F.filter(answers, lambda x: ~plays(ASKS) | (x["q"] != own("qs")))
     dealt = (
         pairs.join(large, "grp", "left").fillna(1, ["qs", "os"])
-        .withColumn("q", F.explode(F.when(F.col("asks"), own("qs")).otherwise(every("qs"))))
-        .withColumn("o", F.explode(F.when(F.col("asks"), every("os")).otherwise(own("os"))))
-        .select("grp", "q", "o", "asks", "rep", "comp")
+        .withColumn("at", F.explode(F.concat(F.when(plays(ASKS), asks).otherwise(none), F.when(plays(ANSWERS), answers).otherwise(none))))
+        .select("grp", "at.q", "at.o", "at.role", "rep", "comp")
     )
-    full = dealt.join(sets, dealt["rep"] == sets["id"]).select("grp", "q", "o", "asks", "rep", "comp", "data")
+    full = dealt.join(sets, dealt["rep"] == sets["id"]).select("grp", "q", "o", "role", "rep", "comp", "data")
     return full.groupBy("grp", "q", "o").applyInArrow(_compare, "u long, v long")
 
 
@@ -153,18 +162,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_class = written(has_set.select("id", "d0", "d1").distinct().join(classes, ["d0", "d1"]).select("id", "rep"), "classes")
     sizes = written(seen.select("id", "n"), "sizes")
 
-    first = has_set.join(classes, ["d0", "d1"]).filter("id = rep").select("rep", F.explode("bands").alias("key"))
+    first = has_set.join(classes, ["d0", "d1"]).filter("id = rep").select("rep", "n", F.explode("bands").alias("key"))
     shared = first.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count("*").alias("size"))
     shared = written(shared.filter("least <> most").select("key", "size"), "shared")
-    met = written(first.join(shared, "key").select("key", "rep", "size"), "met")
+    met = written(first.join(shared, "key").select("key", "rep", "n", "size"), "met")
     drop_written(seen, shared)
     degree = met.groupBy("rep").agg(F.sum("size").alias("degree"))
-    center = met.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("rep"))).alias("c")).select("key", (-F.col("c.rep")).alias("center"))
+    center = met.join(degree, "rep").groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("rep"), "n")).alias("c")).select("key", (-F.col("c.rep")).alias("center"), F.col("c.n").alias("center_n"))
     center = written(center, "centers")
-    member = written(met.join(center, "key").select("key", "rep", "center", "size"), "buckets")
+    member = written(met.join(center, "key").select("key", "rep", "n", "center", "center_n", "size"), "buckets")
     drop_written(met, center)
 
-    star = member.filter("rep <> center").select("center", "rep").distinct()
+    # sizes that differ by more than 0.75 rule a link out, whatever the sets hold
+    star = member.filter("rep <> center and 100 * least(n, center_n) >= 75 * greatest(n, center_n)").select("center", "rep").distinct()
     wanted = member.select(F.col("rep").alias("id")).distinct()
     # only rows that share an id can repeat a set, so no other set is shuffled to be made distinct
     repeated = written(sizes.filter("n > 0 and id is not null").groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select("id"), "repeated")
@@ -175,8 +185,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         distinct = sets_of(wanted.join(repeated, "id", "left_semi")).dropDuplicates(["id", "data"])
         sets = sets_of(wanted.join(repeated, "id", "left_anti")).unionByName(distinct)
     sets = written(sets, "sets")
-    asking = star.select("center").distinct().select(F.col("center").alias("grp"), F.lit(True).alias("asks"), F.col("center").alias("rep"), F.col("center").alias("comp"))
-    pairs = asking.unionByName(star.select(F.col("center").alias("grp"), F.lit(False).alias("asks"), "rep", F.col("rep").alias("comp")))
+    asking = star.select("center").distinct().select(F.col("center").alias("grp"), F.lit(ASKS).alias("role"), F.col("center").alias("rep"), F.col("center").alias("comp"))
+    pairs = asking.unionByName(star.select(F.col("center").alias("grp"), F.lit(ANSWERS).alias("role"), "rep", F.col("rep").alias("comp")))
     links = written(_blocks(pairs, sets), "links")
     linked = components(links)
 
@@ -185,7 +195,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     state = placed.groupBy("key").agg(F.max(F.when(F.col("rep") == F.col("center"), F.col("comp"))).alias("ccomp"), F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("sign"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     open_ = state.filter("lo <> hi").groupBy("n", "sign").agg(F.min(F.struct("key", "ccomp")).alias("k")).select("k.key", "k.ccomp")
     rest = placed.filter("rep <> center").join(open_, "key")
-    rest = written(rest.filter("comp <> ccomp").select(F.col("key").alias("grp"), F.lit(True).alias("asks"), "rep", "comp").unionByName(rest.select(F.col("key").alias("grp"), F.lit(False).alias("asks"), "rep", "comp")), "open")
+    rest = written(rest.select(F.col("key").alias("grp"), F.when(F.col("comp") != F.col("ccomp"), ASKS + ANSWERS).otherwise(ANSWERS).alias("role"), "rep", "comp"), "open")
     more = written(_blocks(rest, sets), "more")
     of = lambda n: linked.select(F.col("node").alias(n), F.col("component").alias(f"{n}c"))
     over = more.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("uc", "u").alias("u"), F.coalesce("vc", "v").alias("v"))
