@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ AGREE = 0.0
 BLOCK = 256
 #: What a member of a group does: asks, answers, or both.
 ASKS, ANSWERS = 1, 2
-#: Dropped ids that are broadcast at once, some 64 bytes each, and passes over the documents for as many each.
+#: Ids that are broadcast at once, some 64 bytes each, and passes over the documents for as many each.
 IDS_AT_ONCE, PASSES = 1 << 21, 4
 
 _a = W.stream(11, MINIMA) | np.uint64(1)
@@ -153,6 +154,14 @@ def _blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return full.groupBy("grp", "q", "o").applyInArrow(_compare, "u long, v long")
 
 
+def _parts(ids: DataFrame, column: str) -> list[DataFrame]:
+    """Written ids in parts of about IDS_AT_ONCE, each to be broadcast in a pass of its own; none if PASSES do not hold them."""
+    n = max(1, -(-ids.count() // IDS_AT_ONCE))
+    if n > PASSES:
+        return []
+    return [F.broadcast(ids.filter(F.pmod(F.xxhash64(column), F.lit(n)) == k) if n > 1 else ids) for k in range(n)]
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row; ids are whole numbers."""
     asked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -176,15 +185,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # sizes that differ by more than 0.75 rule a link out, whatever the sets hold
     star = member.filter("rep <> center and 100 * least(n, center_n) >= 75 * greatest(n, center_n)").select("center", "rep").distinct()
     wanted = member.select(F.col("rep").alias("id")).distinct()
+    wanted = written(wanted, "wanted")
     # only rows that share an id can repeat a set, so no other set is shuffled to be made distinct
     repeated = written(sizes.filter("n > 0 and id is not null").groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select("id"), "repeated")
-    sets_of = lambda ids: asked.filter("id is not null").join(ids, "id", "left_semi").mapInArrow(_full_sets, "id long, data binary")
+
+    def sets_of(ids: DataFrame, repeat: bool) -> list[DataFrame]:
+        found = (asked.filter("id is not null").join(some, "id", "left_semi").mapInArrow(_full_sets, "id long, data binary") for some in _parts(ids, "id") or [ids])
+        return [written(x.dropDuplicates(["id", "data"]) if repeat else x, "sets") for x in found]
+
     if repeated.isEmpty():
-        sets = sets_of(wanted)
+        held = sets_of(wanted, False)
     else:
-        distinct = sets_of(wanted.join(repeated, "id", "left_semi")).dropDuplicates(["id", "data"])
-        sets = sets_of(wanted.join(repeated, "id", "left_anti")).unionByName(distinct)
-    sets = written(sets, "sets")
+        once, twice = (written(wanted.join(repeated, "id", how), "wanted") for how in ("left_anti", "left_semi"))
+        held = sets_of(once, False) + sets_of(twice, True)
+        drop_written(once, twice)
+    sets = reduce(DataFrame.unionByName, held)
     asking = star.select("center").distinct().select(F.col("center").alias("grp"), F.lit(ASKS).alias("role"), F.col("center").alias("rep"), F.col("center").alias("comp"))
     pairs = asking.unionByName(star.select(F.col("center").alias("grp"), F.lit(ANSWERS).alias("role"), "rep", F.col("rep").alias("comp")))
     links = written(_blocks(pairs, sets), "links")
@@ -206,7 +221,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = final.join(top, "comp", "left").groupBy("id").agg(F.min(F.coalesce("top", "comp")).alias("component"))
     out = sizes.join(final, "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     out = written(out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))), "near-duplicates")
-    drop_written(of_class, sizes, member, repeated, sets, links, linked, rest, more, joined)
+    drop_written(of_class, sizes, member, wanted, repeated, *held, links, linked, rest, more, joined)
     return out
 
 
@@ -219,11 +234,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = near_duplicates(docs, id_col, text_col)
     gone = written(found.filter("not kept").select(F.col(id_col).alias("__gone")).distinct(), "dropped")
     drop_written(found)
-    parts = max(1, -(-gone.count() // IDS_AT_ONCE))
-    if parts > PASSES:
+    parts = _parts(gone, "__gone")
+    if not parts:
         return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
-    for k in range(parts):
-        some = gone.filter(F.pmod(F.xxhash64("__gone"), F.lit(parts)) == k) if parts > 1 else gone
+    for k, some in enumerate(parts):
         docs = written(docs, "left") if k else docs
-        docs = docs.join(F.broadcast(some), docs[id_col] == some["__gone"], "left_anti")
+        docs = docs.join(some, docs[id_col] == some["__gone"], "left_anti")
     return docs
