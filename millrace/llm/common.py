@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -68,6 +69,14 @@ def freed(sc) -> None:
     sc._jvm.System.gc()
 
 
+def released() -> None:
+    """Gives memory that a finished step has freed back to the system, so that waiting Python workers hold little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, budget: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with at most budget bytes of text, or one row, and their texts; null reads as empty."""
     for batch in batches:
@@ -80,6 +89,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, budget: int = CHUNK_B
             size += len(text)
         if begin < len(texts):
             yield batch.slice(begin), texts[begin:]
+    released()
 
 
 def crc32_of_id(column: str = "doc_id"):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .bpe import RankedMerges
-from .common import written
+from .common import CHUNK_BYTES, released, written
 from .pretokens import Numbered, split
 
 #: Characters for which normalising and lower-casing are the same, letter by letter, here and in the library.
@@ -221,10 +221,11 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, limit:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             begin = size = 0
             for i, x in enumerate([*texts, None]):
-                if x is None or size + len(x) > 1 << 20 and i > begin:
+                if x is None or size + len(x) > CHUNK_BYTES and i > begin:
                     yield cut(batch.slice(begin, i - begin).column(0), coder.encode(texts[begin:i]), seen, task)
                     begin, size = i, 0
                 size += len(x or "")
+        released()
 
     def cut(ids: pa.Array, coded: list[np.ndarray], seen: np.ndarray, task: int) -> pa.RecordBatch:
         rows = []
