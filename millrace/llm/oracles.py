@@ -59,3 +59,16 @@ CHAT_FORMATTING = """
         || coalesce(',"result":' || cast(to_json(result) as varchar), '') || coalesce(',"result_turn":' || result_turn, '') || ',"status":"' || status || '"'
         || case when is_call then ',"turn":' || turn || ',"valid":' || (problems = '') else '' end || '}' as json
     from j"""
+
+_UINT = "cast('0x' || substr(h, {}, 8) as ubigint)"
+_JOIN = "coalesce(array_to_string({}, ''), '')"
+
+FILL_IN_MIDDLE = rf"""
+    with d as (select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+    u as (select doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as us, {_UINT.format(1)} as h1, {_UINT.format(9)} as h2, {_UINT.format(17)} as h3, {_UINT.format(25)} as h4 from d),
+    c as (select *, len(us) as n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) as x, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) as y,
+        case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50 then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form from u),
+    p as (select *, {_JOIN.format("us[1:x]")} as a, {_JOIN.format("us[x + 1:y]")} as m, {_JOIN.format("us[y + 1:]")} as z from c)
+    select doc_id, n, form, case when form <> 'plain' then length(a) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+      sha256(case form when 'plain' then t when 'psm' then '<P>' || a || '<S>' || z || '<M>' || m else '<S>' || z || '<P>' || a || '<M>' || m end) as output_sha256, sha256(t) as restored_sha256
+    from p"""

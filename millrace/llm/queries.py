@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from . import oracles
 from .common import table
 from .decontamination import decontamination_report
+from .fill_in_middle import fill_in_middle_report
 from .fingerprints import fingerprint_report
 from .licenses import license_blocks
 from .lm_scoring import lm_scores
 from .near_dedup import near_duplicates
 from .packing import packed
+from .pieces import piece_report
 from .pseudonyms import pseudonym_report
 from .token_counts import token_counts
 from .tool_calls import conversation_calls
@@ -63,6 +65,14 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_report(table(spark, sf_dir, "documents"))
+
+
+def op13_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_near_dedup": op2_near_dedup,
@@ -74,10 +84,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_decontamination": op9_decontamination,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_piece_encoding": op13_piece_encoding,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_near_dedup": oracles.NEAR_DEDUP,
     "op4_chat_formatting": oracles.CHAT_FORMATTING,
     "op9_decontamination": oracles.DECONTAMINATION,
+    "op11_fill_in_middle": oracles.FILL_IN_MIDDLE,
 }
