@@ -72,3 +72,15 @@ FILL_IN_MIDDLE = rf"""
     select doc_id, n, form, case when form <> 'plain' then length(a) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
       sha256(case form when 'plain' then t when 'psm' then '<P>' || a || '<S>' || z || '<M>' || m else '<S>' || z || '<P>' || a || '<M>' || m end) as output_sha256, sha256(t) as restored_sha256
     from p"""
+
+CONVERSATION_TRIE = """
+    with k as (select list_transform(range(256), lambda x: list_reduce(range(8), lambda a, i: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end, x)) as t),
+    s as (select conv_id as c, list(md5(coalesce(role, '')) || md5(coalesce(text, '')) order by turn nulls first, role, text) as g, list(octet_length(encode(coalesce(text, ''))) order by turn nulls first, role, text) as b
+      from conversations where conv_id is not null group by conv_id),
+    h as (select c, g, b, xor(list_reduce(list_transform(string_split(cast(c as varchar), ''), lambda x: cast(ascii(x) as bigint)), lambda a, x: xor(a // 256, k.t[xor(a, x) % 256 + 1]), 4294967295), 4294967295) % 9 as h from s, k),
+    r as (select h.c, coalesce(z.g[1:h.h], []) || h.g[h.h + 1:] as g, coalesce(z.b[1:h.h], []) || h.b[h.h + 1:] as b from h left join s z on z.c = h.c - h.c % 5),
+    p as (select c, d, md5(array_to_string(g[1:d], '')) || d as key, case when d > 0 then md5(array_to_string(g[1:d - 1], '')) || (d - 1) end as above, coalesce(b[d], 0) as bytes, d = len(g) as is_end from (select *, unnest(range(0, len(g) + 1)) as d from r)),
+    n as (select key, any_value(above) as above, any_value(d) as depth, min(c) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(bytes) as saved, coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where is_end), '') as ends from p group by key),
+    w as (select n.*, m.conv_id as parent_conv_id, coalesce(x.n, 0) as n_children from n left join n m on m.key = n.above left join (select above, count(*) as n from n group by above) x on x.above = n.key),
+    u as (select p.key, sum(w.saved) as saved_tokens, count(*) filter (where w.n_children = 0) as n_leaves from w join p on p.c = w.conv_id and p.d <= w.depth group by p.key)
+    select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, cast(saved_tokens as bigint) as saved_tokens, sha256(ends) as ends_sha256 from w join u using (key)"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .common import table
+from .conversation_trie import trie_report
 from .decontamination import decontamination_report
 from .fill_in_middle import fill_in_middle_report
 from .fingerprints import fingerprint_report
@@ -69,6 +70,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle_report(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_report(table(spark, sf_dir, "conversations"))
+
+
 def op13_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_document_fingerprints": op10_document_fingerprints,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_piece_encoding": op13_piece_encoding,
 }
 
@@ -93,4 +99,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_chat_formatting": oracles.CHAT_FORMATTING,
     "op9_decontamination": oracles.DECONTAMINATION,
     "op11_fill_in_middle": oracles.FILL_IN_MIDDLE,
+    "op12_conversation_trie": oracles.CONVERSATION_TRIE,
 }
