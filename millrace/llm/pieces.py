@@ -21,10 +21,8 @@ U+2581 of a text comes back as a space.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -37,8 +35,9 @@ from .words import expand
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Characters of the parts that a worker remembers, and how many parts.
-SHORT, REMEMBERED = 48, 1 << 18
+#: Characters of the parts that a worker remembers, how many parts in each of two generations, and characters of a text
+#: that are held as parts at once.
+SHORT, REMEMBERED, WINDOW = 48, 1 << 18, 1 << 20
 NEVER = float("inf")
 
 
@@ -69,16 +68,19 @@ class PieceModel:
         self.known = {c for piece in self.ids for c in piece}
         odd = "".join(map(re.escape, sorted(self.known)))
         self.unknown = re.compile(f"[^{odd}]" if odd else "(?s:.)")
-        inner = any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
-        self.parts = re.compile("(?s:.+)" if inner else f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+" if "\n" not in self.known else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        # the finest of these cuts that leaves every piece whole, and so every bound between two parts unmerged
+        letters, others = r"[^\W\d_²]", rf"(?:[^\w{SPACE}\n]|[\d_²])"
+        cuts = [rf"{SPACE}*{letters}+|{SPACE}*{others}+|{SPACE}+|\n+", rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+", f"{SPACE}*[^{SPACE}]+|{SPACE}+", "(?s:.+)"]
+        self.parts = next(x for x in map(re.compile, cuts) if all(x.findall(piece) == [piece] for piece in self.ids))
         spelled = [bytes([self.to_byte[i]]) if i in self.to_byte else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
         self.lengths = np.array([len(x) for x in spelled])
         self.begins = np.cumsum(self.lengths) - self.lengths
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
         self.silent = np.array([k in (UNKNOWN, CONTROL) for k in self.kinds])
         self._edges()
-        self.tried: dict[tuple[str, str], bool] = {}
-        self.remembered: dict[str, tuple[str, int]] = {}
+        self.tried: dict[int, bool] = {}
+        self.remembered: dict[str, str] = {}
+        self.older: dict[str, str] = {}
 
     # --- merges ---
 
@@ -106,9 +108,12 @@ class PieceModel:
                 self.halves[piece] = left, right
                 here = self.rank[piece]
                 self.calm[piece] = all(len(x) == 1 or self.calm[x] and self.rank[x] < here for x in (left, right))
-            self.matches.add_word(piece, piece)
-        for c in self.known - set(self.ids):  # a character that is no piece of its own may still be merged
-            self.matches.add_word(c, c)
+        # a character that is no piece of its own may still be merged
+        self.entered = [x for x in self.ids if len(x) == 1 or x in self.halves] + sorted(self.known - set(self.ids))
+        self.sizes = list(map(len, self.entered))
+        self.numbers = [[self.ids[x]] if x in self.ids else [self.of_byte[b] for b in x.encode()] for x in self.entered]
+        for nth, x in enumerate(self.entered):
+            self.matches.add_word(x, nth)
         self.matches.make_automaton()
 
     def compatible(self, a: str, b: str) -> bool:
@@ -132,77 +137,88 @@ class PieceModel:
 
     # --- texts to ids ---
 
-    def pieces_of(self, part: str) -> list[str]:
-        """The pieces of a text whose characters all are known."""
-        last: list[str | None] = [None] * len(part)
-        tried, compatible = self.tried, self.compatible
+    def _table(self, part: str) -> list[int]:
+        """The pieces, by number, of a text whose characters all are known, from the last to the first."""
+        last = [-1] * len(part)
+        tried, sizes, entered = self.tried, self.sizes, self.entered
         for end, piece in self.matches.iter(part):
-            if last[end] is not None:
-                continue
-            begin = end - len(piece)
-            if begin < 0:
-                last[end] = piece
+            if last[end] >= 0:
                 continue
-            pair = last[begin], piece
-            fits = tried.get(pair)
-            if fits is None:
-                if len(tried) >= REMEMBERED:
-                    tried.clear()
-                fits = tried[pair] = compatible(*pair)
-            if fits:
-                last[end] = piece
+            begin = end - sizes[piece]
+            if begin >= 0:
+                pair = last[begin] << 32 | piece
+                fits = tried.get(pair)
+                if fits is None:
+                    if len(tried) >= REMEMBERED:
+                        tried.clear()
+                    fits = tried[pair] = self.compatible(entered[pair >> 32], entered[piece])
+                if not fits:
+                    continue
+            last[end] = piece
         out, at = [], len(part) - 1
         while at >= 0:
             out.append(last[at])
-            at -= len(last[at])
-        out.reverse()
+            at -= sizes[last[at]]
         return out
 
-    def part_ids(self, part: str) -> array:
-        out, at = array("i"), 0
+    def pieces_of(self, part: str) -> list[str]:
+        return [self.entered[x] for x in reversed(self._table(part))]
+
+    def part_ids(self, part: str) -> list[int]:
+        out: list[int] = []
+        at = 0
         for odd in self.unknown.finditer(part):
-            out.extend(self._known_ids(part[at : odd.start()]))
+            self._add(out, part[at : odd.start()])
             out.extend(self.of_byte[b] for b in odd[0].encode())
             at = odd.end()
-        out.extend(self._known_ids(part[at:]))
+        self._add(out, part[at:] if at else part)
         return out
 
-    def _known_ids(self, part: str) -> Iterator[int]:
-        for piece in self.pieces_of(part):
-            number = self.ids.get(piece)
-            if number is None:
-                yield from (self.of_byte[b] for b in piece.encode())
-            else:
-                yield number
-
-    def shown(self, part: str) -> tuple[str, int]:
-        """(decimal ids with commas, their number) of a part."""
-        found = self.remembered.get(part)
-        if found is None:
-            ids = self.part_ids(part)
-            found = ",".join(map(str, ids)), len(ids)
-            if len(part) <= SHORT:
-                if len(self.remembered) >= REMEMBERED:
-                    self.remembered.clear()
-                self.remembered[part] = found
+    def _add(self, out: list[int], part: str) -> None:
+        for x in reversed(self._table(part)):
+            out += self.numbers[x]
+
+    def shown(self, part: str) -> str:
+        """Decimal ids with commas of a part that was not met lately."""
+        found = self.older.get(part) or ",".join(map(str, self.part_ids(part)))
+        if len(part) <= SHORT:
+            if len(self.remembered) >= REMEMBERED:  # parts that are met again move on, the others go
+                self.older, self.remembered = self.remembered, {}
+            self.remembered[part] = found
         return found
 
-    def _parts(self, text: str) -> Iterator[str]:
-        return (m[0] for m in self.parts.finditer(self.prefix + text.replace(" ", SPACE))) if text else iter(())
+    def _windows(self, text: str) -> Iterator[list[str]]:
+        """The parts of a text, so many characters at once, cut where a part begins."""
+        text = self.prefix + text.replace(" ", SPACE) if text else ""
+        at = 0
+        while len(text) - at > WINDOW:
+            # the part that the window's end cuts is left to the next one
+            some = [m.span() for m in self.parts.finditer(text, at, at + WINDOW)]
+            if len(some) == 1:
+                some = [self.parts.match(text, at).span()]
+            else:
+                some.pop()
+            yield [text[x:y] for x, y in some]
+            at = some[-1][1]
+        yield self.parts.findall(text, at)
 
     def encode(self, text: str) -> list[int]:
-        out = array("i")
-        for part in self._parts(text):
-            out.extend(self.part_ids(part))
-        return out.tolist()
-
-    def encode_shown(self, text: str) -> tuple[str, int]:
-        """The same as decimal ids joined by commas, and their number; so many parts at once."""
-        joined, total, parts = [], 0, self._parts(text)
-        while shown := [self.shown(p) for p in islice(parts, 1 << 16)]:
-            joined.append(",".join([s for s, _ in shown]))
-            total += sum([n for _, n in shown])
-        return ",".join(joined), total
+        out: list[int] = []
+        for parts in self._windows(text):
+            for part in parts:
+                out += self.part_ids(part)
+        return out
+
+    def encode_shown(self, text: str) -> str:
+        """The same as decimal ids joined by commas."""
+        joined = []
+        for parts in self._windows(text):
+            found = list(map(self.remembered.get, parts))
+            if None in found:
+                found = [self.shown(part) if ids is None else ids for part, ids in zip(parts, found)]
+            if found:
+                joined.append(",".join(found))
+        return ",".join(joined)
 
     # --- ids to texts ---
 
@@ -272,8 +288,9 @@ def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         m = model_of(model)
         for batch, texts in chunks(batches, "text"):
             shown = [m.encode_shown(t.decode(errors="replace")) for t in texts]
-            back = [m.decode(np.fromstring(s, np.int64, sep=",")) for s, _ in shown]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, n in shown], pa.int64()), pa.array([s for s, _ in shown], pa.string()), pa.array(back, pa.string())], names=["id", "n_tokens", "ids", "decoded"])
+            back = [m.decode(np.fromstring(s, np.int64, sep=",")) for s in shown]
+            many = [s.count(",") + 1 if s else 0 for s in shown]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(many, pa.int64()), pa.array(shown, pa.string()), pa.array(back, pa.string())], names=["id", "n_tokens", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     asked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
