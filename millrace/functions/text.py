@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .html import links  # noqa: F401
+
 BREAK = "\x07"
 #: Unicode white space, punctuation, enclosing characters, apostrophes.
 WS = r"\x09-\x0D\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -154,24 +156,6 @@ def is_redirect(text: Column) -> Column:
     return text.startswith("#REDIRECT")
 
 
-#: An anchor with its attributes, whose quoted values may hold any sign, one attribute, and whether that is a link.
-ANCHOR = r"(?i)<a[\s/](?:[^>\x22\x27]|\x22[^\x22]*\x22|\x27[^\x27]*\x27)*+>"
-ATTRIBUTE = r"[^\s/=>\x22\x27]+\s*=\s*(?:\x22[^\x22]*\x22|\x27[^\x27]*\x27|[^\s>\x22\x27][^\s>]*)"
-HREF = r"(?is)\Ahref\s*="
-HREF_VALUE = r"(?is)\Ahref\s*=\s*(?:\x22([^\x22]*)\x22|\x27([^\x27]*)\x27|(.*))\z"
-
-
-def links(html: Column, last: bool = False) -> Column:
-    """The hrefs of the anchors in order, of any case, in quotes of both kinds or in none; last: one of each anchor, its last."""
-
-    def of(tag: Column) -> Column:
-        found = F.filter(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), lambda x: x.rlike(HREF))
-        some = F.when(F.size(found) > 0, F.slice(found, F.lit(-1), F.lit(1))).otherwise(found) if last else found
-        return F.transform(some, lambda x: F.regexp_replace(x, HREF_VALUE, "$1$2$3"))
-
-    return F.flatten(F.transform(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0)), of))
-
-
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/", -1), -1)
 

@@ -457,6 +457,60 @@ def tree_kinds(spark, sf_dir):
     return docs.select("doc_id", M.plain_text(F.col("tree")).alias("r")).select("doc_id", "r.content", "r.error")
 
 
+#: Markup around a page, and the links that a browser finds in it ({i}: the page's number).
+_FORMS = [
+    ('<!-- <a href="hidden/{i}"> -->', []),
+    ('<script>f("<a href=js/{i}>")</script><style><a href=css></style>', []),
+    ('<a href="x{i}?a=1&amp;b=2&#38;c=&#x26;&eacute;&copy=1">', ["x{i}?a=1&b=2&c=&é&copy=1"]),
+    ('<a title=it"s HREF=u/{i}&lt;>', ["u/{i}<"]),
+    ('<img alt="<a href=no>"><textarea><a href=t></textarea><a/href="v {i}" title="a > b">', ["v {i}"]),
+    ('<a href=one/{i} href=two/{i}></ <a href=no><p x=">"><a\thref=&NotEqualTilde;{i}&nosuch;>', ["one/{i}", "two/{i}", "\u2242\u0338{i}&nosuch;"]),
+]
+
+
+def _of_page(texts: list[str], shift: int) -> str:
+    """SQL for the text that a page's number picks."""
+    some = " ".join(f"when {k} then replace('{text}', '{{i}}', cast(page_id as varchar))" for k, text in enumerate(texts))
+    return f"case (page_id + {shift}) % {len(texts)} {some} end"
+
+
+def _linked(shift: int) -> str:
+    """SQL for the list of a form's links, none of which has the sign that parts them."""
+    joined = _of_page(["|".join(found) for _, found in _FORMS], shift)
+    return f"list_filter(string_split({joined}, '|'), lambda x: x <> '')"
+
+
+@query(f"""
+    with l as (select page_id, {_linked(0)} || regexp_extract_all(html, '{_HREF}', 1) || {_linked(1)} as ls from pages)
+    select page_id, cast(i - 1 as integer) as pos, ls[i] as link from l, unnest(range(1, len(ls) + 1)) as u(i)""")
+def browser_links(spark, sf_dir):
+    """Pages with comments, scripts, character references and odd quotes put around them."""
+    around = [F.expr(_of_page([markup for markup, _ in _FORMS], shift).replace("varchar", "string")) for shift in (0, 1)]
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(around[0], "html", around[1]).alias("html"))
+    return pages.select("page_id", F.posexplode(T.links(F.col("html"))).alias("pos", "link"))
+
+
+@query("""
+    with recursive n as (select page_id, regexp_replace(url, '#.*', '') as url from pages),
+    e as (select distinct a.url as src, b.url as dst from n a join n b on a.page_id % 7 <> 3 and b.page_id in (2 * a.page_id + 1, 2 * a.page_id + 2, a.page_id // 3) and (b.page_id <> a.page_id // 3 or a.page_id % 5 = 0)),
+    r as (select url, 0 as depth from n where page_id = 0 union select e.dst, depth + 1 from r join e on e.src = r.url where depth < 40)
+    select url, cast(min(depth) as integer) as depth from r group by url""")
+def reachable_pages(spark, sf_dir):
+    """Pages that link to three others, by an address without a scheme, by a path with dots, and in full."""
+    from .operators.crawl import link_graph, reachable
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    to = F.expr("case when page_id % 7 <> 3 then array(struct(2 * page_id + 1 as id, 1 as kind), struct(2 * page_id + 2 as id, 2 as kind), struct(if(page_id % 5 = 0, page_id div 3, -1) as id, 3 as kind)) end")
+    asked = pages.select("page_id", F.explode(to).alias("to")).select("page_id", "to.*")
+    target = pages.select(F.col("page_id").alias("id"), F.col("url").alias("there"))
+    scheme, host, path = (F.regexp_extract("there", "^([^:]*)://([^/]*)(.*)", i) for i in (1, 2, 3))
+    href = F.when(F.col("kind") == 2, F.concat(scheme, F.lit("://"), host, F.lit("/x/./../y/.."), path)).when(F.col("kind") == 1, F.concat(scheme, F.lit("://"), host, path)).otherwise(F.col("there"))
+    anchor = F.concat(F.lit("<a href='"), F.replace(href, F.lit("&"), F.lit("&amp;")), F.lit("'>"))
+    linked = asked.join(target, "id").groupBy("page_id").agg(F.array_join(F.collect_list(anchor), " ").alias("html"))
+    made = pages.join(linked, "page_id", "left")
+    return reachable(link_graph(made), pages.where("page_id = 0").select(F.regexp_replace("url", "#.*", "").alias("url")))
+
+
 _ARCHIVES = "select doc_id, 'a/' || lang || '-en' || case when doc_id % 3 = 0 then '.txt' else '.tgz' end as link from documents"
 
 
