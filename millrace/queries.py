@@ -511,6 +511,55 @@ def reachable_pages(spark, sf_dir):
     return reachable(link_graph(made), pages.where("page_id = 0").select(F.regexp_replace("url", "#.*", "").alias("url")))
 
 
+_UTF16 = """case doc_id % 7 when 0 then 'an odd number of bytes is no UTF-16' when 1 then 'a surrogate stands alone' when 2 then 'a surrogate stands alone' end"""
+
+
+def _in_utf16(text):
+    """Texts in both orders, with a mark or without; some with a byte too many or a surrogate that stands alone."""
+    little, big, binary = F.encode(text, "UTF-16LE"), F.encode(text, "UTF-16BE"), lambda x: F.unhex(F.lit(x))
+    kinds = [
+        F.concat(little, binary("41")), F.concat(binary("FFFE"), little, binary("3DD8"), little), F.concat(binary("FEFF"), big, binary("DE00")), F.concat(binary("FFFE"), little),
+        F.concat(binary("FEFF"), big), little, F.concat(binary("FFFE"), little, binary("3DD800DE")),
+    ]
+    return F.element_at(F.array(*kinds), (F.col("doc_id") % 7 + 1).cast("int"))
+
+
+@query(f"""
+    with t as (select doc_id, {_UTF16} as error, case when doc_id % 7 = 6 then text || chr(128512) else text end as text from documents)
+    select doc_id, case when error is null then md5(text) end as digest, error from t""")
+def utf16_texts(spark, sf_dir):
+    from .functions.encoding import utf16_text
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", _in_utf16(F.col("text")).alias("data"))
+    return docs.select("doc_id", utf16_text(F.col("data")).alias("u")).select("doc_id", F.md5(F.encode("u.text", "UTF-8")).alias("digest"), "u.error")
+
+
+_LINES = r"list_filter(string_split(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\r]', '', 'g'), chr(10)), lambda x: x <> '')"
+
+
+@query(f"""
+    with t as (select doc_id, lang, {_UTF16} as error, {_LINES} as ls from documents)
+    select doc_id || '.tmx' as member, cast(i - 1 as bigint) as seg_no, upper(lang) || '-01' as lang, ls[i] as text, cast(null as varchar) as error from t, unnest(range(1, len(ls) + 1)) as u(i) where error is null
+    union all select doc_id || '.tmx', 0, null, null, error from t where error is not null""")
+def memory_archives(spark, sf_dir):
+    """Every document as a translation memory in UTF-16, in archives that are read by ranges of members."""
+    from .sources.archives import memory_segments
+    from .sources.scratch import new_path
+    from .sources.zipped import written_archives
+
+    docs = table(spark, sf_dir, "documents")
+    escaped = F.replace(F.replace(F.regexp_replace("text", r"[\x00-\x08\x0B\x0C\x0E-\x1F\r]", ""), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    unit = lambda x: F.concat(F.lit('<tu><tuv lang="QQ-01"><seg>other</seg></tuv><tuv xml:lang="'), F.upper("lang"), F.lit('-01"><seg>'), x, F.lit("</seg></tuv></tu>"))
+    units = F.array_join(F.transform(F.filter(F.split(escaped, "\n", -1), lambda x: x != ""), unit), "")
+    memory = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><tmx><body>'), units, F.lit("</body></tmx>"))
+    rows = docs.select(F.concat("doc_id", F.lit(".tmx")).alias("member"), _in_utf16(memory).alias("data"))
+    folder = new_path(spark, "memories")
+    written_archives(rows, folder).write.format("noop").mode("overwrite").save()
+    found = memory_segments(spark, folder, None).where("lang <> 'QQ-01' or error is not null")
+    # a text with other signs after its end is no XML, and what comes before them is read
+    return found.where("error_kind is null or error_kind <> 'XmlParserError'").select("member", F.when(F.col("error").isNull(), F.floor((F.col("seg_no") - 1) / 2)).otherwise(0).alias("seg_no"), "lang", "text", "error")
+
+
 _ARCHIVES = "select doc_id, 'a/' || lang || '-en' || case when doc_id % 3 = 0 then '.txt' else '.tgz' end as link from documents"
 
 

@@ -1,6 +1,6 @@
 """Archives: translation memories in zip files, parallel texts in tar files.
 
-A file is read as one row, so it must fit in memory; members are opened one by one and segments leave in batches.
+A zip file's members are rows, read in ranges; a tar file is one row. Segments leave in batches.
 """
 
 from __future__ import annotations
@@ -8,8 +8,6 @@ from __future__ import annotations
 import io
 import tarfile
 import xml.etree.ElementTree as ET
-import zipfile
-import zlib
 from collections.abc import Iterator
 from itertools import islice
 
@@ -18,60 +16,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..functions.encoding import utf16_text
 from ..functions.text import BREAK, ISO_639
 from .files import binary_files, entities, position
+from .zipped import zip_members
 
 SEGMENTS = "path string, member string, seg_no long, lang string, text string, error_kind string, error string"
 SEGMENTS_AT_ONCE = 4096
 LANG = ("lang", "{http://www.w3.org/XML/1998/namespace}lang")
 
 
-def segments(data: bytes, prefix: str, only_tmx: bool) -> Iterator[tuple]:
-    """(member, seg_no, lang, text, error kind, error) of each segment whose language begins with the prefix."""
+def segments(text: str, prefix: str) -> Iterator[tuple]:
+    """(seg_no, lang, text, error kind, error) of each segment whose language begins with the prefix."""
+    n = 0
+    # the declaration still names the old encoding
+    if text.lstrip().startswith("<?xml"):
+        text = text[text.index("?>") + 2 :]
     try:
-        archive = zipfile.ZipFile(io.BytesIO(data))
-    except zipfile.BadZipFile as e:
-        yield None, None, None, None, schema.IO, str(e)
-        return
-    for name in archive.namelist():
-        if name.endswith("/") or only_tmx and not name.lower().endswith(".tmx"):
-            continue
-        n = 0
-        try:
-            text = archive.read(name).decode("utf-16")
-            # the declaration still names the old encoding
-            if text.lstrip().startswith("<?xml"):
-                text = text[text.index("?>") + 2 :]
-            for _, unit in ET.iterparse(io.StringIO(text)):
-                if unit.tag.rpartition("}")[2] != "tuv":
-                    continue
-                lang = next((unit.get(a) for a in LANG if unit.get(a)), "")
-                if lang.startswith(prefix):
-                    for seg in unit.iter():
-                        if seg.tag.rpartition("}")[2] == "seg":
-                            yield name, n, lang, "".join(seg.itertext()), None, None
-                            n += 1
-                unit.clear()
-        except (UnicodeError, zipfile.BadZipFile) as e:
-            yield name, n, None, None, schema.ENCODING, str(e)
-        except (ET.ParseError, ValueError) as e:
-            yield name, n, None, None, schema.XML, str(e)
-
-
-def memory_segments(spark: SparkSession, path: str, lang: str, only_tmx: bool = True) -> DataFrame:
-    """Segments of all translation memories of a folder in a language (ISO 639-3)."""
-    if lang not in ISO_639:
+        for _, unit in ET.iterparse(io.StringIO(text)):
+            if unit.tag.rpartition("}")[2] != "tuv":
+                continue
+            lang = next((unit.get(a) for a in LANG if unit.get(a)), "")
+            if lang.startswith(prefix):
+                for seg in unit.iter():
+                    if seg.tag.rpartition("}")[2] == "seg":
+                        yield n, lang, "".join(seg.itertext()), None, None
+                        n += 1
+            unit.clear()
+    except (ET.ParseError, ValueError) as e:
+        yield n, None, None, schema.XML, str(e)
+
+
+def memory_segments(spark: SparkSession, path: str, lang: str | None, only_tmx: bool = True) -> DataFrame:
+    """Segments of all translation memories of a folder in a language (ISO 639-3; none: in all)."""
+    if lang is not None and lang not in ISO_639:
         raise ValueError(f"no two-letter code for language {lang}")
-    prefix = ISO_639[lang].upper()
+    prefix = ISO_639[lang].upper() if lang else ""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for file, data in zip(batch["path"], batch["content"]):
-                found = ((file, *s) for s in segments(bytes(data), prefix, only_tmx))
+            for file, member, text in zip(batch["path"], batch["member"], batch["text"]):
+                found = ((file, member, *s) for s in segments(text, prefix))
                 while rows := list(islice(found, SEGMENTS_AT_ONCE)):
                     yield pd.DataFrame(rows, columns=["path", "member", "seg_no", "lang", "text", "error_kind", "error"]).astype({"seg_no": "Int64"})
 
-    return binary_files(spark, path, "zip").select("path", "content").mapInPandas(run, SEGMENTS)
+    members = zip_members(spark, path, ".tmx" if only_tmx else "").withColumn("u", utf16_text(F.col("data")))
+    found = members.where("u.text is not null").select("path", "member", "u.text").mapInPandas(run, SEGMENTS)
+    kind = F.when(F.col("error").isNull(), schema.ENCODING).when(F.col("member").isNull(), schema.IO).otherwise(schema.ENCODING)
+    bad = members.where("u.text is null").select("path", "member", F.lit(0).cast("long").alias("seg_no"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("text"), kind.alias("error_kind"), F.coalesce("error", "u.error").alias("error"))
+    return found.unionByName(bad)
 
 
 def translation_memories(spark: SparkSession, path: str, lang: str, source: str = "dgt", cap: int | None = None) -> DataFrame:
@@ -112,29 +105,3 @@ def parallel_texts(spark: SparkSession, path: str, lang: str) -> DataFrame:
                     yield pd.DataFrame([(file, *found)], columns=["path", "text", "error"], dtype=object)
 
     return binary_files(spark, path, "tgz").select("path", "content").mapInPandas(run, "path string, text string, error string")
-
-
-def zip_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
-    """(path, member, data, error): the files within the zip files of a folder whose names end so, whatever the case; an
-    error for an archive or a member that can't be read."""
-
-    def read(data: bytes) -> Iterator[tuple]:
-        try:
-            archive = zipfile.ZipFile(io.BytesIO(data))
-        except zipfile.BadZipFile as e:
-            yield None, None, str(e)
-            return
-        for name in archive.namelist():
-            if not name.endswith("/") and name.lower().endswith(suffix.lower()):
-                try:
-                    yield name, archive.read(name), None
-                except (zipfile.BadZipFile, zlib.error, OSError, RuntimeError) as e:
-                    yield name, None, f"{type(e).__name__}: {e}"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for file, data in zip(batch["path"], batch["content"]):
-                for found in read(bytes(data)):
-                    yield pd.DataFrame([(file, *found)], columns=["path", "member", "data", "error"], dtype=object)
-
-    return binary_files(spark, path, "zip").select("path", "content").mapInPandas(run, "path string, member string, data binary, error string")
