@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .scan import WIDTH, running_sums
 
 
 def union_all(sources: list[DataFrame]) -> DataFrame:
@@ -48,10 +49,10 @@ def without_stopwords(words: DataFrame, stopwords: DataFrame, word: str = "word"
     return words.join(stopwords.select(F.col(word).alias("__w")), words[word] == F.col("__w"), "left_anti")
 
 
-def capped(segments: DataFrame, member: list[str], order: str, text: str, cap: int) -> DataFrame:
-    """Segments of each member until their text has reached the cap; the one that reaches it stays."""
-    before = Window.partitionBy(*member).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return segments.withColumn("__before", F.coalesce(F.sum(F.octet_length(text)).over(before), F.lit(0))).where(F.col("__before") < cap).drop("__before")
+def capped(segments: DataFrame, member: list[str], order: str, text: str, cap: int, width: int = WIDTH) -> DataFrame:
+    """Segments of each member until their text has reached the cap; the one that reaches it stays. No task holds a member."""
+    size = F.coalesce(F.octet_length(text), F.lit(0))
+    return running_sums(segments, member, order, {"__upto": size}, width=width).where(F.col("__upto") - size < cap).drop("__upto")
 
 
 def write_text(corpus: DataFrame, path: str, mode: str = "overwrite", ordered: bool = False) -> None:

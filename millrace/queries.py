@@ -256,6 +256,26 @@ def tmx_cap(spark, sf_dir):
     return corpus.capped(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", 600).select("conv_id", "turn", "text")
 
 
+@query("select conv_id, turn, text from (select *, coalesce(sum(octet_length(encode(text))) over (order by conv_id * 64 + turn rows between unbounded preceding and 1 preceding), 0) as before from conversations) where before < 100000")
+def one_member_cap(spark, sf_dir):
+    """All turns as one member: its sizes are summed by blocks."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.lit("m").alias("member"), F.expr("conv_id * 64 + turn").alias("seg_no"))
+    return corpus.capped(turns, ["member"], "seg_no", "text", 100_000).select("conv_id", "turn", "text")
+
+
+@query("""
+    with c as (select doc_id, source, coalesce(text, '') as t from documents), e as (select *, length(t) - length(replace(t, chr(10), '')) as ends from c),
+    o as (select *, coalesce(sum(ends) over w, 0) as row, coalesce(sum(length(t)) over w, 0) as begins from e window w as (partition by source order by doc_id rows between unbounded preceding and 1 preceding)),
+    l as (select *, max(case when ends > 0 then begins + length(t) - instr(reverse(t), chr(10)) + 1 end) over (partition by source order by doc_id rows between unbounded preceding and 1 preceding) as line from o)
+    select doc_id, cast(row as bigint) as row, cast(begins - coalesce(line, 0) as bigint) as col from l""")
+def text_positions(spark, sf_dir):
+    """The texts of a source, one after the other, as one file: where each of them begins."""
+    from .operators.positions import text_positions as placed
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return placed(docs, ["source"], "doc_id", "text").select("doc_id", "row", "col")
+
+
 _INDEX = [
     "some words", "TITLE and AUTHOR                ETEXT NO.", "", "Die Leiden, by G                 12", " [Language: German]", "Tom, by M 13", "More of Tom, by M 14B", " [Subtitle: x]", " [Language: French]", "",
     "Lost, by N 15", "", "Twice, by O 16", "[Language: Italian]", "Twice again, by O 16", "[Language: Spanish]", " [Language: Dutch]", "no number here", "Bracket (x)17", "Last, by P 18", " [Language: Finnish]", "<==End of GUTINDEX.ALL==>", "After 99", " [Language: Greek]",
