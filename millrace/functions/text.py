@@ -76,6 +76,16 @@ def text2words(text: Column, stopwords: list[str] | None = None) -> Column:
     return F.regexp_replace(F.trim(text), r"([^\n])\z", "$1\n")
 
 
+def text2words_but(text: Column, stopped: Callable[[Column], Column], some: Column) -> Column:
+    """text2words without the words that are stopped, where there are some to stop: a function of a column, so that sets of
+    any number and size are data."""
+    for pattern, by in word_steps():
+        text = F.regexp_replace(text, pattern, by)
+    line = lambda x: F.array_join(F.filter(F.split(F.trim(x), " "), lambda w: ~stopped(w)), " ")
+    fewer = let(F.trim(text), lambda t: F.when(some, F.array_join(F.transform(F.split(t, "\n", -1), line), "\n")).otherwise(t))
+    return F.regexp_replace(fewer, r"([^\n])\z", "$1\n")
+
+
 def word_steps(stopwords: list[str] | None = None) -> list[tuple[str, str]]:
     """The replacements of text2words, in order."""
     keep = rf"{A}{X}*{A}{X}*|{SMALL}"

@@ -28,14 +28,46 @@ def run_stats(entities: DataFrame) -> DataFrame:
     return entities.groupBy("lang", "source").agg(F.count("*").alias("entities_read"), F.count_if(F.col("error").isNotNull()).alias("erroneous"))
 
 
-def to_corpus(entities: DataFrame, stopwords: dict[str, list[str]] | None = None) -> DataFrame:
+#: Parts of a set of stop words, so that a word is looked up among few.
+STOP_PARTS = 256
+#: Characters of stop words that are sent to all tasks; beyond that they meet the entities in a join by language.
+STOP_BOUND = 1 << 26
+
+
+def stop_sets(stopwords: DataFrame) -> DataFrame:
+    """(lang, stop) from (lang, word): each language's set, in parts by hash."""
+    part = F.pmod(F.xxhash64("word"), F.lit(STOP_PARTS)).cast("int").alias("part")
+    parts = stopwords.where("word is not null").groupBy("lang", part).agg(F.collect_set("word").alias("words"))
+    of_lang = parts.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("part", "words"))).alias("m"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(STOP_PARTS - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.array().cast("array<string>")))
+    return of_lang.select("lang", every.alias("stop"))
+
+
+def is_stopword(word: Column, stop: Column) -> Column:
+    return F.array_contains(F.get(stop, F.pmod(F.xxhash64(word), F.lit(STOP_PARTS)).cast("int")), word)
+
+
+def stopped_words(entities: DataFrame, stopwords: dict[str, list[str]] | DataFrame | None = None) -> DataFrame:
+    """entities with __words; stop words by language are data, so plans don't grow with them: (lang, word), or words by language."""
+    if not isinstance(stopwords, DataFrame):
+        pairs = [(lang, word) for lang, some in (stopwords or {}).items() for word in some]
+        if not pairs:
+            return entities.withColumn("__words", T.text2words(F.col("content")))
+        stopwords = entities.sparkSession.createDataFrame(pairs, "lang string, word string")
+        small = sum(len(word) for _, word in pairs) < STOP_BOUND
+    else:
+        small = (stopwords.agg(F.sum(F.length("word"))).first()[0] or 0) < STOP_BOUND
+    sets = stop_sets(stopwords)
+    joined = entities.join(F.broadcast(sets) if small else sets, "lang", "left")
+    return joined.withColumn("__words", T.text2words_but(F.col("content"), lambda w: is_stopword(w, F.col("stop")), F.col("stop").isNotNull())).drop("stop")
+
+
+def to_corpus(entities: DataFrame, stopwords: dict[str, list[str]] | DataFrame | None = None) -> DataFrame:
     """Words of the accepted entities; stop words by language, empty texts go."""
-    words: Column = T.text2words(F.col("content"))
-    for lang, some in (stopwords or {}).items():
-        words = F.when(F.col("lang") == lang, T.text2words(F.col("content"), some)).otherwise(words)
+    found = stopped_words(accepted(entities), stopwords)
     # a filter on the words would be computed below the projection, all over again; a generator is not moved
-    kept = F.filter(F.array(words), lambda w: w != "")
-    return accepted(entities).select("lang", "source", "entity_id", F.explode(kept).alias("words"))
+    kept = F.filter(F.array("__words"), lambda w: w != "")
+    return found.select("lang", "source", "entity_id", F.explode(kept).alias("words"))
 
 
 def to_contexts(corpus: DataFrame, *keys: str) -> DataFrame:
@@ -63,5 +95,19 @@ def write_text(corpus: DataFrame, path: str, mode: str = "overwrite", ordered: b
     lines.select(F.col("line").alias("value")).write.mode(mode).text(path)
 
 
+def quarantined(entities: DataFrame) -> Column:
+    """What can't be read, as a line of JSON: where it comes from, its error and the error's text."""
+    shown = T.error_text(F.col("error"), F.col("position")).alias("shown")
+    return F.to_json(F.struct("lang", "source", "entity_id", "position", "error", "content", shown))
+
+
+def with_sinks(entities: DataFrame, stopwords: dict[str, list[str]] | None = None) -> DataFrame:
+    """(sink, value): the corpus' lines, and those of the quarantine, from one pass over the entities."""
+    words = stopped_words(entities, stopwords)
+    lines = F.transform(T.contexts(F.col("__words")), lambda x: F.struct(F.lit("corpus").alias("sink"), x.alias("value")))
+    bad = F.array(F.struct(F.lit("quarantine").alias("sink"), quarantined(entities).alias("value")))
+    return words.select(F.explode(F.when(F.col("error").isNull(), F.coalesce(lines, F.array().cast("array<struct<sink string, value string>>"))).otherwise(bad)).alias("x")).select("x.*")
+
+
 def write_table(corpus: DataFrame, path: str, mode: str = "overwrite") -> None:
     corpus.write.mode(mode).partitionBy("lang", "source").parquet(path)

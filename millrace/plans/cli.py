@@ -17,6 +17,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("config")
     parser.add_argument("output")
     parser.add_argument("--strict", action="store_true", help="correct markup quirks")
+    parser.add_argument("--quarantine", help="where what can't be read goes, as JSON lines (OUTPUT.quarantine)")
     parser.add_argument("--ordered", action="store_true", help="lines by language, source and entity")
     try:
         args = parser.parse_args(argv)
@@ -37,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.errors import PySparkException
     from pyspark.sql import SparkSession
 
-    from .pipeline import build, is_writable
+    from .pipeline import AuditError, build, is_writable
 
     spark = SparkSession.builder.appName("millrace").getOrCreate()
     output = expanded(args.output)
@@ -45,11 +46,14 @@ def main(argv: list[str] | None = None) -> int:
         print(f"can't write {output}", file=sys.stderr)
         return NOT_WRITABLE
     try:
-        for row in build(spark, config, output, args.strict, args.ordered).orderBy("lang", "source").collect():
+        for row in build(spark, config, output, args.strict, args.ordered, args.quarantine and expanded(args.quarantine)).orderBy("lang", "source").collect():
             logging.info("%s %s: %d entities, %d erroneous", row.lang, row.source, row.entities_read, row.erroneous)
     except ConfigError as e:
         print(e, file=sys.stderr)
         return e.exit_code
+    except AuditError as e:
+        print(e, file=sys.stderr)
+        return WRITE_FAILED
     except PySparkException as e:
         print(str(e).splitlines()[0], file=sys.stderr)
         return WRITE_FAILED

@@ -9,7 +9,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.corpus import run_stats, to_corpus, union_all, write_text
+from ..operators.corpus import quarantine, quarantined, run_stats, to_corpus, union_all, with_sinks, write_text
 from ..sources.registry import REGISTRY
 from .config import ConfigError, LanguageConfig
 
@@ -48,24 +48,61 @@ def is_writable(spark: SparkSession, output: str) -> bool:
     return True
 
 
-def build(spark: SparkSession, config: dict[str, LanguageConfig], output: str, strict: bool = False, ordered: bool = False) -> DataFrame:
-    """Writes the corpus as text lines; the counts of each language and source that has entities.
+class AuditError(Exception):
+    """What was written doesn't add up to what was read."""
 
-    They are taken while it is written, in its last stage, whose tasks count once. ordered: not so, as a range shuffle
-    reads the sources again to sample its bounds, and so do tasks that are repeated before it; they are counted apart.
+
+def _moved(spark: SparkSession, source: str, target: str) -> None:
+    """A written folder takes the place of another; an empty one where nothing was written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(target), True)
+    if not files.exists(path(source)):
+        files.mkdirs(path(target))
+    elif not files.rename(path(source), path(target)):
+        raise AuditError(f"can't move what was written to {target}")
+
+
+def build(spark: SparkSession, config: dict[str, LanguageConfig], output: str, strict: bool = False, ordered: bool = False, bad: str | None = None) -> DataFrame:
+    """Writes the corpus as text lines to output, and what can't be read as JSON lines to bad (output.quarantine); the
+    counts of each language and source that has entities.
+
+    One pass: lines of both kinds are written to one folder by their sink, and its parts moved to their places. Counts
+    are taken while that is written, in its last stage, whose tasks count once, and held against the quarantine's lines.
+    ordered: not so, as a range shuffle reads the sources again to sample its bounds, and so do tasks that are repeated
+    before it; corpus, quarantine and counts are then taken apart.
     """
     every = entities(spark, config, strict)
     stopwords = {lang: c.stopwords for lang, c in config.items() if c.stopwords}
+    bad = bad or f"{output.rstrip('/')}.quarantine"
     if ordered:
         write_text(to_corpus(every, stopwords), output, ordered=True)
-        return run_stats(every)
-    keys = [(lang, name) for lang, given in config.items() for name in given.sources]
-    counts = []
-    for k, (lang, name) in enumerate(keys):
-        here = (F.col("lang") == lang) & (F.col("source") == name)
-        counts += [F.count_if(here).alias(f"read_{k}"), F.count_if(here & F.col("error").isNotNull()).alias(f"failed_{k}")]
-    seen = Observation()
-    write_text(to_corpus(every.observe(seen, *counts), stopwords), output)
-    found = seen.get
-    rows = [(*key, found.get(f"read_{k}", 0), found.get(f"failed_{k}", 0)) for k, key in enumerate(keys)]
-    return spark.createDataFrame([r for r in rows if r[2]], "lang string, source string, entities_read long, erroneous long")
+        quarantine(every).select(quarantined(every).alias("value")).write.mode("overwrite").text(bad)
+        counts = run_stats(every)
+    else:
+        keys = [(lang, name) for lang, given in config.items() for name in given.sources]
+        taken = []
+        for k, (lang, name) in enumerate(keys):
+            here = (F.col("lang") == lang) & (F.col("source") == name)
+            taken += [F.count_if(here).alias(f"read_{k}"), F.count_if(here & F.col("error").isNotNull()).alias(f"failed_{k}")]
+        seen = Observation()
+        staging = f"{output.rstrip('/')}.staging-{uuid.uuid4().hex}"
+        # two files are open at once instead of a sort by sink, which would not keep the lines' order
+        was = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "4")
+        try:
+            with_sinks(every.observe(seen, *taken), stopwords).write.partitionBy("sink").text(staging)
+        finally:
+            spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", was)
+        _moved(spark, f"{staging}/sink=corpus", output)
+        _moved(spark, f"{staging}/sink=quarantine", bad)
+        path = spark._jvm.org.apache.hadoop.fs.Path(staging)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        found = seen.get
+        rows = [(*key, found.get(f"read_{k}", 0), found.get(f"failed_{k}", 0)) for k, key in enumerate(keys)]
+        counts = spark.createDataFrame([r for r in rows if r[2]], "lang string, source string, entities_read long, erroneous long")
+    failed = counts.agg(F.coalesce(F.sum("erroneous"), F.lit(0))).first()[0]
+    kept = spark.read.schema("value string").text(bad).count()
+    if failed != kept:
+        raise AuditError(f"{failed} entities can't be read, {kept} are in {bad}")
+    return counts

@@ -580,6 +580,26 @@ def memory_archives(spark, sf_dir):
     return found.where("error_kind is null or error_kind <> 'XmlParserError'").select("member", F.when(F.col("error").isNull(), F.floor((F.col("seg_no") - 1) / 2)).otherwise(0).alias("seg_no"), "lang", "text", "error")
 
 
+@query(f"""
+    with {_BODY}
+    select lang, source, count(*) as entities_read, count(*) filter (where en is null) as erroneous from p group by lang, source""")
+def stream_counts(spark, sf_dir):
+    """The books as a stream of several batches, some of which bring entities that were there before."""
+    from . import schema
+    from .sources.scratch import new_path
+    from .streaming.stream import counted_stream, counts_so_far, told_apart
+
+    read = T.book_text(F.col("book"))
+    failed = F.when(read["error"].isNotNull(), F.struct(F.lit(schema.STRUCTURE).alias("kind"), read["error"].alias("message"), F.lit(None).cast("string").alias("lang")))
+    rows = _books(spark, sf_dir).select("lang", "source", F.col("doc_id").cast("string").alias("entity_id"), F.lit(None).cast(schema.POSITION).alias("position"), read["content"].alias("content"), failed.alias("error"), (F.col("doc_id") % 3).alias("part"))
+    folder = new_path(spark, "stream")
+    for part in (0, 1, 1, 2):
+        rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(schema.ENTITIES).option("maxFilesPerTrigger", 2 * spark.sparkContext.defaultParallelism).parquet(f"{folder}/in")
+    counted_stream(told_apart(stream), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return counts_so_far(spark, f"{folder}/out")
+
+
 _ARCHIVES = "select doc_id, 'a/' || lang || '-en' || case when doc_id % 3 = 0 then '.txt' else '.tgz' end as link from documents"
 
 
