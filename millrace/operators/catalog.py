@@ -78,9 +78,9 @@ def file_catalog(lines: DataFrame) -> DataFrame:
     return best.select("book_no", F.coalesce("utf8", "first").alias("path")).where("path is not null")
 
 
-def to_fetch(books: DataFrame, files: DataFrame, lang: str, present: DataFrame | None = None) -> DataFrame:
-    """Books of a language with their paths, without those that are present (name) already, by number."""
-    out = books.where(F.col("lang") == lang).join(files, "book_no").withColumn("name", F.element_at(F.split("path", "/"), -1))
+def to_fetch(books: DataFrame, files: DataFrame, lang: str | None = None, present: DataFrame | None = None) -> DataFrame:
+    """Books of a language (none: of all) with their paths, without those that are present (name) already, by number."""
+    out = (books if lang is None else books.where(F.col("lang") == lang)).join(files, "book_no").withColumn("name", F.element_at(F.split("path", "/"), -1))
     if present is not None:
         out = out.join(present.select("name"), "name", "left_anti")
     return out.orderBy("book_no")
@@ -110,6 +110,17 @@ def archive_link(links: DataFrame, lang: str) -> DataFrame:
     return some.agg(pick("link", "pos").alias("link")).select(F.coalesce("link", F.raise_error(F.lit(f"no archive for language {lang}"))).alias("link"))
 
 
+def archive_links(links: DataFrame) -> DataFrame:
+    """(lang, link): archive_link of every language of language_of_archives, in one pass over the links (pos, link)."""
+    archive = F.col("link").rlike(r"\w{2}-\w{2}\.tgz")
+    # a link counts for each pair of letters before a hyphen in it, and an archive for English besides
+    pairs = F.array_distinct(F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.length("link") - 2, F.lit(1))), lambda i: F.substring(F.col("link"), i, F.lit(3)).rlike(r"\w\w-")), lambda i: F.substring(F.col("link"), i, F.lit(2))))
+    named = F.when(archive, F.regexp_extract("link", r"(\w{2})-\w{2}\.tgz", 1))
+    rows = links.withColumn("named", named).select("pos", "link", "named", F.explode(F.array_union(F.filter(pairs, lambda p: p != "en"), F.when(archive, F.array(F.lit("en"))).otherwise(F.array().cast("array<string>")))).alias("lang"))
+    best = rows.groupBy("lang").agg(F.min_by("link", "pos").alias("first"), F.max_by("link", "pos").alias("last"), F.bool_or((F.col("named") == F.col("lang")) | (F.col("lang") == "en")).alias("asked"))
+    return best.where("asked").select("lang", F.when(F.col("lang") == "en", F.col("last")).otherwise(F.col("first")).alias("link"))
+
+
 def zip_links(links: DataFrame) -> DataFrame:
     """Links to zip files, whatever the case of their ending."""
     return links.where(F.lower("link").endswith(".zip"))

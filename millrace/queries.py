@@ -600,6 +600,52 @@ def stream_counts(spark, sf_dir):
     return counts_so_far(spark, f"{folder}/out")
 
 
+_LATER = "case when doc_id % 11 = 0 then text || '!' else text end"
+
+
+@query(f"""
+    with o as (select doc_id, md5(text) as h from documents where doc_id % 10 <> 0), n as (select doc_id, md5({_LATER}) as h from documents where doc_id % 7 <> 0)
+    select coalesce(n.doc_id, o.doc_id) as doc_id, case when o.doc_id is null then 'new' when n.doc_id is null then 'removed' when o.h = n.h then 'same' else 'changed' end as status from o full join n on o.doc_id = n.doc_id""")
+def snapshot_difference(spark, sf_dir):
+    """Two states of the documents: some were removed, some came, some have other texts."""
+    from .operators.manifest import difference, row_manifest
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    old, new = docs.where("doc_id % 10 <> 0"), docs.where("doc_id % 7 <> 0").withColumn("text", F.expr(_LATER))
+    return difference(row_manifest(old, "doc_id", "text"), row_manifest(new, "doc_id", "text")).select(F.col("path").cast("long").alias("doc_id"), "status")
+
+
+@query(f"""
+    with r as (select doc_id, 'built: ' || text as t from documents where not (doc_id % 5 = 0 and doc_id % 3 = 0))
+    select doc_id, md5(case when doc_id % 4 = 0 then t || '?' else t end) as digest from r""")
+def incremental_build(spark, sf_dir):
+    """A table that is built, and brought up to date after inputs came, went and changed."""
+    from .operators.manifest import rebuilt, row_manifest
+    from .sources.scratch import new_path
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    first = docs.where("doc_id % 5 <> 0 or doc_id % 2 = 0")
+    second = docs.where("not (doc_id % 5 = 0 and doc_id % 3 = 0)").withColumn("text", F.expr("case when doc_id % 4 = 0 then text || '?' else text end"))
+    folder = new_path(spark, "incremental")
+    for state in (first, second):
+        inputs = state.withColumn("path", F.col("doc_id").cast("string"))
+        build = lambda asked, inputs=inputs: inputs.join(asked, "path", "left_semi").select("path", "doc_id", F.md5(F.encode(F.concat(F.lit("built: "), "text"), "UTF-8")).alias("digest"))
+        rebuilt(spark, f"{folder}/table", f"{folder}/manifest", row_manifest(state, "doc_id", "text"), build)
+    return spark.read.parquet(f"{folder}/table").select("doc_id", "digest")
+
+
+_LISTED = f"(select lang, list(distinct w) as stops from (select lang, unnest({_tokens('text')}) as w from documents where doc_id % 50 = 0) where length(w) <= 5 group by lang)"
+
+
+@query(f"select doc_id, {_words(_BROKEN, 'and not coalesce(list_contains(stops, w), false)')} as words from documents d left join {_LISTED} s on s.lang = d.lang")
+def stopwords_as_data(spark, sf_dir):
+    """Stop words of each language from a table: the short words of some documents."""
+    docs = table(spark, sf_dir, "documents")
+    stop = docs.where("doc_id % 50 = 0").select("lang", F.explode(T.tokens(F.col("text"))).alias("word")).where("length(word) <= 5").distinct()
+    rows = docs.select("doc_id", "lang", broken_lines(F.col("text")).alias("content"))
+    return corpus.stopped_words(rows, stop).select("doc_id", F.col("__words").alias("words"))
+
+
 _ARCHIVES = "select doc_id, 'a/' || lang || '-en' || case when doc_id % 3 = 0 then '.txt' else '.tgz' end as link from documents"
 
 
@@ -609,10 +655,7 @@ _ARCHIVES = "select doc_id, 'a/' || lang || '-en' || case when doc_id % 3 = 0 th
     from (select distinct regexp_extract(link, '(\w\w)-\w\w\.tgz', 1) as lang from l where ends_with(link, '.tgz') union select 'en') where lang <> ''""")
 def archive_links(spark, sf_dir):
     found = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.expr("'a/' || lang || '-en' || case when doc_id % 3 = 0 then '.txt' else '.tgz' end").alias("link"))
-    langs = catalog.language_of_archives(found)
-    # one row for each language of a fixed list
-    links = [catalog.archive_link(found, lang).select(F.lit(lang).alias("lang"), "link") for lang in ("de", "en", "es", "fr")]
-    return langs.join(corpus.union_all(links), "lang")
+    return catalog.archive_links(found)
 
 
 @query("""
@@ -623,7 +666,7 @@ def to_fetch(spark, sf_dir):
     books = docs.select(F.col("doc_id").alias("book_no"), "lang")
     files = docs.where("doc_id % 3 <> 0").select(F.col("doc_id").alias("book_no"), F.expr("'d/' || doc_id % 10 || '/' || doc_id || '.txt'").alias("path"))
     present = table(spark, sf_dir, "labels").select(F.expr("doc_id || '.txt'").alias("name"))
-    return corpus.union_all([catalog.to_fetch(books, files, lang, present).select("book_no", "lang", "path") for lang in ("de", "en", "es", "fr")])
+    return catalog.to_fetch(books, files, None, present).select("book_no", "lang", "path")
 
 
 @query("""

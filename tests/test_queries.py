@@ -72,6 +72,14 @@ def test_archive_links(spark):
         catalog.archive_link(found, "qq").collect()
 
 
+def test_archive_links_of_all_languages(spark):
+    found = spark.createDataFrame([(0, "x/bg-en.tgz"), (1, "x/de-en.tgz"), (2, "x/readme"), (3, "de-notes"), (4, "y/bg-en.tgz"), (5, "fr-en.txt"), (6, "a-é-b")], "pos int, link string")
+    got = {r.lang: r.link for r in catalog.archive_links(found).collect()}
+    assert got == {"bg": "x/bg-en.tgz", "de": "x/de-en.tgz", "en": "y/bg-en.tgz"}
+    assert got == {lang: catalog.archive_link(found, lang).first().link for lang in got}
+    assert catalog.archive_links(found.where("pos = 2")).count() == 0
+
+
 def test_stale(spark):
     files = spark.sql("select 'a' as path, current_timestamp() - interval 3 days as modificationTime union all select 'b', current_timestamp()")
     assert [r.path for r in catalog.stale(files).collect()] == ["a"]
