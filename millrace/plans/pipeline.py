@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -16,14 +17,28 @@ from .config import ConfigError, LanguageConfig
 log = logging.getLogger("millrace")
 
 
+GLOB = re.compile(r"[*?\[{]")
+
+
+def full_address(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as files are called that are read from it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def entities(spark: SparkSession, config: dict[str, LanguageConfig], strict: bool = False) -> DataFrame:
-    """Entities of all languages and sources with plain texts; only configured sources are in the plan."""
+    """Entities of all languages and sources with plain texts: one scan for each source that is configured, however many
+    languages have it. Patterns of paths have a scan of their own."""
+    roots: dict[str, dict[str, list[str]]] = {}
     found = []
     for lang, given in config.items():
         log.info("%s: %s", lang, given.active())
         for name, path in given.sources.items():
-            spec = REGISTRY[name]
-            found.append(spec.plain(spec.reader(spark, path, lang), strict))
+            if GLOB.search(path):
+                found.append(REGISTRY[name].plain(REGISTRY[name].reader(spark, path, lang), strict))
+            else:
+                roots.setdefault(name, {}).setdefault(full_address(spark, path), []).append(lang)
+    found += [REGISTRY[name].plain(REGISTRY[name].entities(spark, some), strict) for name, some in roots.items()]
     if not found:
         raise ConfigError("no source is configured", 2)
     return union_all(found)

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from itertools import islice
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
@@ -21,7 +21,7 @@ from ..functions.text import BREAK, ISO_639
 from .files import binary_files, entities, position
 from .zipped import zip_members
 
-SEGMENTS = "path string, member string, seg_no long, lang string, text string, error_kind string, error string"
+SEGMENTS = "path string, asked string, member string, seg_no long, lang string, text string, error_kind string, error string"
 SEGMENTS_AT_ONCE = 4096
 LANG = ("lang", "{http://www.w3.org/XML/1998/namespace}lang")
 
@@ -47,43 +47,48 @@ def segments(text: str, prefix: str) -> Iterator[tuple]:
         yield n, None, None, schema.XML, str(e)
 
 
-def memory_segments(spark: SparkSession, path: str, lang: str | None, only_tmx: bool = True) -> DataFrame:
-    """Segments of all translation memories of a folder in a language (ISO 639-3; none: in all)."""
-    if lang is not None and lang not in ISO_639:
+def memory_segments(spark: SparkSession, path: str | list[str], lang: str | Column | None, only_tmx: bool = True) -> DataFrame:
+    """Segments of all translation memories of folders in a language (ISO 639-3; none: in all; a column: the array of those
+    that are asked of a path). asked: that language."""
+    if isinstance(lang, str) and lang not in ISO_639:
         raise ValueError(f"no two-letter code for language {lang}")
-    prefix = ISO_639[lang].upper() if lang else ""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for file, member, text in zip(batch["path"], batch["member"], batch["text"]):
-                found = ((file, member, *s) for s in segments(text, prefix))
+            for file, asked, member, text in zip(batch["path"], batch["asked"], batch["member"], batch["text"]):
+                found = ((file, asked, member, *s) for s in segments(text, ISO_639[asked].upper() if asked else ""))
                 while rows := list(islice(found, SEGMENTS_AT_ONCE)):
-                    yield pd.DataFrame(rows, columns=["path", "member", "seg_no", "lang", "text", "error_kind", "error"]).astype({"seg_no": "Int64"})
+                    yield pd.DataFrame(rows, columns=["path", "asked", "member", "seg_no", "lang", "text", "error_kind", "error"]).astype({"seg_no": "Int64"})
 
-    members = zip_members(spark, path, ".tmx" if only_tmx else "").withColumn("u", utf16_text(F.col("data")))
-    found = members.where("u.text is not null").select("path", "member", "u.text").mapInPandas(run, SEGMENTS)
-    kind = F.when(F.col("error").isNull(), schema.ENCODING).when(F.col("member").isNull(), schema.IO).otherwise(schema.ENCODING)
-    bad = members.where("u.text is null").select("path", "member", F.lit(0).cast("long").alias("seg_no"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("text"), kind.alias("error_kind"), F.coalesce("error", "u.error").alias("error"))
-    return found.unionByName(bad)
+    members = zip_members(spark, path, ".tmx" if only_tmx else "").withColumn("u", utf16_text(F.col("data"))).drop("data")
+    members = members.withColumn("asked", F.explode(lang) if isinstance(lang, Column) else F.lit(lang).cast("string"))
+    none = F.lit(None).cast("string")
+    bad = lambda kind, message: (F.lit(0).cast("long").alias("seg_no"), none.alias("lang"), none.alias("text"), kind.alias("error_kind"), message.alias("error"))
+    known = F.col("asked").isNull() | F.col("asked").isin(*ISO_639)
+    found = members.where(known & F.col("u.text").isNotNull()).select("path", "asked", "member", "u.text").mapInPandas(run, SEGMENTS)
+    kind = F.when(F.col("error").isNotNull() & F.col("member").isNull(), schema.IO).otherwise(schema.ENCODING)
+    unread = members.where(known & F.col("u.text").isNull()).select("path", "asked", "member", *bad(kind, F.coalesce("error", "u.error")))
+    unknown = members.where(~known).select("path", "asked").distinct().select("path", "asked", none.alias("member"), *bad(F.lit(schema.LANGUAGE), F.concat(F.lit("no two-letter code for language "), "asked")))
+    return found.unionByName(unread).unionByName(unknown)
 
 
-def translation_memories(spark: SparkSession, path: str, lang: str, source: str = "dgt", cap: int | None = None) -> DataFrame:
+def translation_memories(spark: SparkSession, path: str | list[str], lang: str | Column, source: str = "dgt", cap: int | None = None) -> DataFrame:
     """One entity per member with text: its segments with context breaks; an error row for what can't be read."""
     rows = memory_segments(spark, path, lang)
     if cap is not None:
         from ..operators.corpus import capped
 
-        rows = capped(rows.where("error is null"), ["path", "member"], "seg_no", "text", cap).unionByName(rows.where("error is not null"))
+        rows = capped(rows.where("error is null"), ["path", "asked", "member"], "seg_no", "text", cap).unionByName(rows.where("error is not null"))
     # a member with text and an error has a row for each; one pass over the archives
     segment = F.collect_list(F.when(F.col("error").isNull(), F.struct("seg_no", "text")))
-    failed = F.struct(F.col("error_kind").alias("kind"), F.col("error").alias("message"), F.lit(None).cast("string").alias("lang"))
-    members = rows.groupBy("path", "member").agg(F.array_sort(segment).alias("s"), F.collect_list(F.when(F.col("error").isNotNull(), failed)).alias("errors"))
+    failed = F.struct(F.col("error_kind").alias("kind"), F.col("error").alias("message"), F.when(F.col("error_kind") == schema.LANGUAGE, F.col("asked")).alias("lang"))
+    members = rows.groupBy("path", "asked", "member").agg(F.array_sort(segment).alias("s"), F.collect_list(F.when(F.col("error").isNotNull(), failed)).alias("errors"))
     text = F.array_join(F.transform("s", lambda s: F.concat(s["text"], F.lit(f" {BREAK} "))), "")
     members = members.withColumn("text", text).withColumn("text", F.when(F.col("text").endswith("\n"), F.col("text")).otherwise(F.concat("text", F.lit("\n"))))
     good = F.when(F.size("s") > 0, F.array(F.struct(F.col("text").alias("content"), F.lit(None).cast(schema.ERROR).alias("error")))).otherwise(F.array())
     bad = F.transform("errors", lambda e: F.struct(F.lit(None).cast("string").alias("content"), e.cast(schema.ERROR).alias("error")))
-    out = members.select("path", "member", F.explode(F.concat(good, bad)).alias("x"))
-    return entities(out.select(F.concat_ws("#", "path", "member").alias("entity_id"), position(F.col("path")).alias("position"), "x.content", "x.error"), lang, source)
+    out = members.select("path", "asked", "member", F.explode(F.concat(good, bad)).alias("x"))
+    return entities(out.select(F.concat_ws("#", "path", "member").alias("entity_id"), position(F.col("path")).alias("position"), "x.content", "x.error", "asked"), F.col("asked"), source)
 
 
 def parallel_texts(spark: SparkSession, path: str, lang: str) -> DataFrame:

@@ -14,7 +14,7 @@ def page_text(data: Column) -> Column:
     return F.array_join(F.try_variant_get(F.try_parse_json(data), "$.contentAsText", "array<string>"), "")
 
 
-def newspapers(spark: SparkSession, path: str, lang: str, source: str = "europeana", stream: bool = False) -> DataFrame:
+def newspapers(spark: SparkSession, path: str | list[str], lang: str | None, source: str = "europeana", stream: bool = False) -> DataFrame:
     files = binary_files(spark, path, "json", stream=stream)
     data = F.try_validate_utf8(F.col("content").cast("string"))
     rows = files.select(F.col("path").alias("entity_id"), position(F.col("path")).alias("position"), data.alias("data"))

@@ -12,19 +12,32 @@ from .. import schema
 from ..functions.markup import unformatted
 from ..functions.text import book_text
 from .archives import translation_memories
-from .files import text_files
+from .files import languages_of, text_files
 from .newspaper import newspapers
 from .wiki import wiki_pages
 
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """A source: reader(spark, path, lang) gives entities; preprocess and markup say how their text is freed of its format."""
+    """A source: reader(spark, path, lang) gives entities; preprocess and markup say how their text is freed of its format.
+
+    path may be a list of paths; lang is null then, as languages follow from paths, unless the reader asks_languages: it
+    gets them as a column of path, an array.
+    """
 
     name: str
-    reader: Callable[[SparkSession, str, str], DataFrame]
+    reader: Callable[[SparkSession, str | list[str], str | Column | None], DataFrame]
     preprocess: Callable[[Column], Column] | None = None
     markup: str | None = None
+    asks_languages: bool = False
+
+    def entities(self, spark: SparkSession, roots: dict[str, list[str]]) -> DataFrame:
+        """Entities of all languages from one scan: roots (full addresses) with the languages that lie there."""
+        paths = sorted(roots)
+        if self.asks_languages:
+            return self.reader(spark, paths, languages_of(address(F.col("path")), roots))
+        found = self.reader(spark, paths, None)
+        return found.withColumn("lang", F.explode(languages_of(F.col("position.path"), roots)))
 
     def plain(self, entities: DataFrame, strict: bool = False) -> DataFrame:
         """The entities with plain texts; what can't be read gets an error."""
@@ -41,6 +54,11 @@ def _apply(entities: DataFrame, result: Column) -> DataFrame:
     return out.withColumn("error", F.coalesce("error", F.when(F.col("__r.error").isNotNull(), new))).withColumn("content", F.col("__r.content")).drop("__r")
 
 
+def address(path: Column) -> Column:
+    """A path of this machine as the address that Spark gives its files."""
+    return F.when(path.startswith("/"), F.concat(F.lit("file:"), path)).otherwise(path)
+
+
 REGISTRY: dict[str, SourceSpec] = {}
 
 
@@ -54,6 +72,6 @@ for _spec in (
     SourceSpec("gutenberg", lambda s, p, lang: text_files(s, p, lang, "gutenberg"), preprocess=book_text, markup="markdown"),
     SourceSpec("europeana", newspapers),
     SourceSpec("codecivil", lambda s, p, lang: text_files(s, p, lang, "codecivil", "md"), markup="markdown"),
-    SourceSpec("dgt", translation_memories),
+    SourceSpec("dgt", translation_memories, asks_languages=True),
 ):
     register(_spec)

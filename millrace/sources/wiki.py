@@ -18,7 +18,7 @@ PAGE = "title string, ns long, id long, revision struct<text: string>, _corrupt_
 MARK = r"<page[\s>]|<page$|<id>"
 
 
-def page_places(spark: SparkSession, path: str) -> DataFrame:
+def page_places(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, id, row, col) of the pages of dumps, from 0; of several pages in one line only the first has a place."""
     marks = line_numbers(spark, path, MARK)
     begins = F.col("line").rlike(r"<page(?:[\s>]|$)")
@@ -30,7 +30,7 @@ def page_places(spark: SparkSession, path: str) -> DataFrame:
     return pages.where("id <> ''").groupBy("path", F.col("id").cast("long").alias("id")).agg(F.min("at").alias("at")).select("path", "id", "at.row", "at.col")
 
 
-def wiki_pages(spark: SparkSession, path: str, lang: str, source: str = "wikipedia", places: bool = True) -> DataFrame:
+def wiki_pages(spark: SparkSession, path: str | list[str], lang: str | None, source: str = "wikipedia", places: bool = True) -> DataFrame:
     """Articles as entities, without redirects and empty texts; records that are no XML have an error.
 
     places: row and column of each page, at the price of a join with the places by id.

@@ -7,6 +7,7 @@ members. Paths are those that Arrow opens (local, hdfs, s3, gs).
 from __future__ import annotations
 
 import io
+import json
 import re
 import struct
 import zipfile
@@ -105,12 +106,14 @@ def member_bytes(f, member: Member) -> bytes:
 
 class ZipReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.path, self.suffix, self.size = options["path"], options.get("suffix", ""), int(options.get("rangebytes", RANGE))
+        self.paths = json.loads(options["paths"]) if "paths" in options else [options["path"]]
+        self.suffix, self.size = options.get("suffix", ""), int(options.get("rangebytes", RANGE))
 
     def partitions(self) -> list[Range]:
         with ThreadPoolExecutor(THREADS) as pool:
-            found = list(pool.map(lambda p: ranges(p, self.suffix, self.size), archives(self.path)))
-        return [r for some in found for r in some] or [Range(self.path, [])]
+            files = sorted({x for some in pool.map(archives, self.paths) for x in some})
+            found = list(pool.map(lambda p: ranges(p, self.suffix, self.size), files))
+        return [r for some in found for r in some] or [Range(self.paths[0], [])]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if partition.error:
@@ -136,7 +139,7 @@ class ZipReader(DataSourceReader):
 
 
 class ZipSource(DataSource):
-    """format("zip_members"): options path, suffix, rangeBytes."""
+    """format("zip_members"): options path (or paths, as JSON), suffix, rangeBytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -149,11 +152,12 @@ class ZipSource(DataSource):
         return ZipReader(self.options)
 
 
-def zip_members(spark: SparkSession, path: str, suffix: str = "", range_bytes: int = RANGE) -> DataFrame:
-    """(path, member, nth, data, error): the members of a zip file, or of those of a folder, whose names end so; an error
-    for an archive or a member that can't be read."""
+def zip_members(spark: SparkSession, path: str | list[str], suffix: str = "", range_bytes: int = RANGE) -> DataFrame:
+    """(path, member, nth, data, error): the members of zip files, or of those of folders, whose names end so; an error for
+    an archive or a member that can't be read."""
     spark.dataSource.register(ZipSource)
-    return spark.read.format("zip_members").option("suffix", suffix).option("rangeBytes", str(range_bytes)).load(path)
+    paths = [path] if isinstance(path, str) else path
+    return spark.read.format("zip_members").option("suffix", suffix).option("rangeBytes", str(range_bytes)).option("paths", json.dumps(paths)).load()
 
 
 def written_archives(rows: DataFrame, folder: str) -> DataFrame:
