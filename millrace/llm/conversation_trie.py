@@ -128,7 +128,7 @@ def chains_of(nodes: DataFrame) -> DataFrame:
 
 
 def rolled_up(chains: DataFrame) -> DataFrame:
-    """(chain, n_leaves, saved) with the sums of all chains that hang on it, at once or through others."""
+    """(chain, above, n_leaves, saved) with the sums of all chains that hang on it, at once or through others."""
     sums = written(chains.select("chain", F.col("parent").alias("above"), "n_leaves", "saved"), "sums")
     while not sums.where("above is not null").isEmpty():
         # sums reach twice as far up as before
@@ -138,7 +138,7 @@ def rolled_up(chains: DataFrame) -> DataFrame:
         out = sums.join(add, "chain", "left").join(further, "above", "left").select("chain", F.col("next").alias("above"), total("n_leaves", "more_leaves"), total("saved", "more_saved"))
         last, sums = sums, written(out, "sums")
         drop_written(last)
-    return sums.select("chain", "n_leaves", "saved")
+    return sums
 
 
 def conversation_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def conversation_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     chains = written(chains_of(nodes), "chains")
     sums = rolled_up(chains)
     # what happens at a node: chains hang on it, a chain begins there, a chain ends there
-    below = chains.where("parent is not null").join(sums.withColumnsRenamed({"n_leaves": "leaves", "saved": "more"}), "chain").select(F.col("parent").alias("conv"), (F.col("first") - 1).alias("depth"), "leaves", "more", F.lit(1).alias("hangs"))
+    below = chains.where("parent is not null").select("chain", "parent", "first").join(sums.select("chain", F.col("n_leaves").alias("leaves"), F.col("saved").alias("more")), "chain").select(F.col("parent").alias("conv"), (F.col("first") - 1).alias("depth"), "leaves", "more", F.lit(1).alias("hangs"))
     begun = chains.select(F.col("chain").alias("conv"), F.col("first").alias("depth"), "parent", F.lit(1).alias("begins"))
     ended = chains.select(F.col("chain").alias("conv"), F.col("last").alias("depth"), F.col("n_leaves").alias("leaves"), F.lit(1).alias("ends"))
     events = below.unionByName(begun, allowMissingColumns=True).unionByName(ended, allowMissingColumns=True)
@@ -162,13 +162,18 @@ def conversation_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     # the chain's next node is a child too
     children = F.coalesce("hangs", F.lit(0)) + F.when(F.col("ends").isNull(), 1).otherwise(0)
     out = rolled.join(end_digests(rows), ["k1", "k2"], "left")
-    return out.select(
+    trie = out.select(
         F.col("conv").alias("conv_id"), "depth", F.when(F.col("begins").isNull(), F.col("conv")).otherwise(F.col("parent")).alias("parent_conv_id"),
         "n_convs", children.cast("long").alias("n_children"), "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"),
     )
+    last = written(trie, "trie")
+    drop_written(rows, nodes, chains, sums)
+    return last
 
 
 def trie_report(conversations: DataFrame) -> DataFrame:
     """The trie of the rebuilt conversations."""
     turns = written(numbered(conversations), "turns")
-    return conversation_trie(*rebuilt(turns))
+    trie = conversation_trie(*rebuilt(turns))
+    drop_written(turns)
+    return trie

@@ -1,14 +1,15 @@
 r"""License scans by conditional compression.
 
 Candidate blocks are runs of lines with license wording, at most `GAP` other lines apart; of a line longer than `SPAN`
-characters those around its cues are read. A block of many words is read in windows that overlap by half; words of a notice
+characters so many words on each side of its cues are read that no notice with a cue in it is cut. A block of many words is read in windows that overlap by half; words of a notice
 that is found are taken for all of them, and a notice that begins in the second half waits for the next window, so none is
 cut and none found twice.
 
 Method: a block is compressed alone and with each template as zstandard raw dictionary; templates rank by how much
-smaller that makes it. Those most of whose words the block has are compared word by word: a template is confirmed if its
-words stand in the block, with few missing and foreign ones. Of those whose words no other one covers the one with the fewest differences
-wins, and the verdict is exact if there is none. The words of a winner are taken out and what remains is ranked again,
+smaller that makes it. Down the rank, templates are compared word by word: one is confirmed if its words stand in the
+block, with few missing and foreign ones (those whose words the block lacks can't be, and are passed over). The first
+confirmed one that stands there word for word wins, with the verdict exact, else the first confirmed one, unless a longer
+one covers its words and more. The words of a winner are taken out and what remains is ranked again,
 until nothing is confirmed: a block has a row for each of its notices. Placeholders, in angle brackets, stand for any words.
 
 Defined cases: null and empty texts and texts without license wording give no rows; equal ranks go by template name;
@@ -19,6 +20,7 @@ texts are read whole.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -129,18 +131,22 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def blocks(text: str) -> Iterator[tuple[int, int]]:
-    """(begin, end) of candidate blocks."""
+def blocks(text: str, reach: int = STEP) -> Iterator[tuple[int, int]]:
+    """(begin, end) of candidate blocks; reach: words on each side of a cue that are read of a line longer than SPAN."""
     low = text.lower()
     if len(low) != len(text):
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
     runs: list[list[int]] = []
+    line, at = (-1, -1), []  # a long line, and the bounds of its words
     for m in CUE.finditer(low):
         begin = text.rfind("\n", 0, m.start()) + 1
         end = text.find("\n", m.end())
         end = len(text) if end < 0 else end
         if end - begin > SPAN:
-            begin, end = max(begin, m.start() - SPAN // 2), min(end, m.end() + SPAN // 2)
+            if (begin, end) != line:
+                line, at = (begin, end), [w.span() for w in WORD.finditer(text, begin, end)]
+            nth = bisect_right(at, (m.start(), end)) - 1
+            begin, end = at[max(0, nth - reach)][0], at[min(len(at) - 1, nth + reach)][1]
         if runs and (begin <= runs[-1][1] or text.count("\n", runs[-1][1], begin) <= GAP and begin - runs[-1][1] <= SPAN):
             runs[-1][1] = max(runs[-1][1], end)
         else:
@@ -193,20 +199,24 @@ class Scanner:
         foreign = sum(w is not None for a, b in gaps for w in block[a.b + a.size : b.b])
         return max(0, missing), foreign, found
 
-    def confirmed(self, rank: list[tuple[float, str]], block: list[str | None], possible: set[str], before: int) -> tuple | None:
-        """(license, reduction, missing, foreign, places) of the best template among those that begin before a place."""
-        some = []
+    def winner(self, rank: list[tuple[float, str]], block: list[str | None], possible: set[str], before: int) -> tuple | None:
+        """(license, reduction, missing, foreign, places): the first template down the rank that is confirmed, begins before a
+        place and has no words that a longer one covers with others besides."""
+        held: list[tuple] = []
         for gain, name in rank:
-            if name in possible:
-                missing, foreign, places = self.differences(name, block)
-                if places and max(missing, foreign) <= MISSING * len(self.words[name]) and min(places) < before:
-                    some.append((missing + foreign, -len(self.words[name]), name, gain, missing, foreign, places))
-        some = [x for x in some if not any(x[-1] < y[-1] for y in some)]
-        return min(some, key=lambda x: x[:3])[2:] if some else None
+            if name not in possible:
+                continue
+            missing, foreign, places = self.differences(name, block)
+            if not places or max(missing, foreign) > MISSING * len(self.words[name]) or min(places) >= before:
+                continue
+            held.append((name, gain, missing, foreign, places))
+        held = [x for x in held if not any(x[-1] < y[-1] for y in held)]
+        # one that stands there word for word is not a changed other one with it inside
+        return next((x for x in held if x[2] == x[3] == 0), held[0]) if held else None
 
     def scan(self, text: str) -> Iterator[tuple]:
         """(begin, length, license, reduction, missing, foreign, verdict) of each notice, or of a block without one."""
-        for begin, end in blocks(text):
+        for begin, end in blocks(text, self.step):
             every: list[str | None] = list(words(text[begin:end]))
             gains = [0.0]
             found = False
@@ -220,7 +230,7 @@ class Scanner:
                         break  # no template can be confirmed
                     rank = self.ranked(block)
                     gains.append(rank[0][0])
-                    best = self.confirmed(rank, block, possible, len(block) if last else self.step)
+                    best = self.winner(rank, block, possible, len(block) if last else self.step)
                     if best is None:
                         break
                     found = True

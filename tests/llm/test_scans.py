@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+from collections import Counter
 import re
 
 import pytest
@@ -214,6 +215,40 @@ def test_notices_within_and_instead():
     assert scan(L.TEMPLATES["apache-2.0-header"].replace("either express or implied", "of any sort")) == [("apache-2.0-header", "modified")]
 
 
+def test_the_rank_decides():
+    """Without it, other templates win where several are confirmed."""
+
+    class Flat(L.Scanner):
+        def ranked(self, block):
+            return sorted((0.0, name) for name in self.given)
+
+    ranked, flat = L.Scanner(L.TEMPLATES), Flat(L.TEMPLATES)
+    first = lambda scanner, text: next(scanner.scan(text))[2]
+    changed = {n: L.TEMPLATES[n].replace("This program", "This fine program").replace("either version", "at least version") for n in ("gpl-2.0-header", "gpl-3.0-header", "agpl-3.0-header", "lgpl-2.1-header")}
+    assert all(first(ranked, text) == n for n, text in changed.items())
+    assert any(first(flat, text) != n for n, text in changed.items())
+
+
+@pytest.mark.parametrize("name", ["gpl-3.0-header", "gpl-2.0-header", "lgpl-2.1-header", "agpl-3.0-header", "mit-permission", "bsd-2-clause", "bsd-3-clause", "isc", "zlib", "unlicense", "apache-2.0-header", "mpl-2.0-header"])
+def test_changed_notices_against_all_templates(name):
+    """The winner of a changed notice is the template with the fewest words to change, found by comparing all."""
+    rng, scanner = random.Random(name), L.Scanner(L.TEMPLATES)
+    for _ in range(6):
+        some = L.words(L.TEMPLATES[name])
+        for _ in range(rng.randrange(1, 1 + len(some) // 12)):
+            some[rng.randrange(len(some))] = rng.choice(["alpha", "beta", "gamma"])
+        got = next(scanner.scan("license " + " ".join(some)))
+        fewest = min(L.TEMPLATES, key=lambda n: (sum((Counter(L.words(L.TEMPLATES[n])) - Counter(some)).values()) + sum((Counter(some) - Counter(L.words(L.TEMPLATES[n]))).values())))
+        assert (got[2], got[6]) == (fewest, "modified") and fewest == name
+
+
+def test_long_lines_are_read_in_words():
+    scanner = L.Scanner(L.TEMPLATES)
+    for gap in (50, 3000, 20_000):
+        text = "word " * gap + L.TEMPLATES["bsd-3-clause"] + " word" * gap + " " + L.TEMPLATES["gpl-3.0-header"] + " word" * gap
+        assert [(r[2], r[6]) for r in scanner.scan(text)] == [("bsd-3-clause", "exact"), ("gpl-3.0-header", "exact")] or sorted((r[2], r[6]) for r in scanner.scan(text)) == [("bsd-3-clause", "exact"), ("gpl-3.0-header", "exact")]
+
+
 def exact_notices(text):
     """Every template against every place of a text, word by word; those that lie within another's are its own."""
     have = re.findall(r"\w+(?:\.\w+)*", text.lower())
