@@ -276,41 +276,56 @@ def text_positions(spark, sf_dir):
     return placed(docs, ["source"], "doc_id", "text").select("doc_id", "row", "col")
 
 
-_INDEX = [
-    "some words", "TITLE and AUTHOR                ETEXT NO.", "", "Die Leiden, by G                 12", " [Language: German]", "Tom, by M 13", "More of Tom, by M 14B", " [Subtitle: x]", " [Language: French]", "",
-    "Lost, by N 15", "", "Twice, by O 16", "[Language: Italian]", "Twice again, by O 16", "[Language: Spanish]", " [Language: Dutch]", "no number here", "Bracket (x)17", "Last, by P 18", " [Language: Finnish]", "<==End of GUTINDEX.ALL==>", "After 99", " [Language: Greek]",
-]
-_LISTING = [
-    ".:", "a.txt", "", "./1:", "1.txt", "12-8.txt", "", "./1/2:", "12.txt", "13.txt", "13-8.txt", "13-a.txt", "14.zip", "", "./1/2/old:", "13-8.txt", "15.txt", "", "./1/6:", "16.txt", "16-0.txt", "x16.txt", "18-8.txt", "", "./9:", "18-8.txt", "17.txt", "17.txt",
-]
+#: Lines of indexes of books, made of the documents: thirteen files, each with words before its table and after it.
+_INDEX = """
+    select 'i' || (10 + doc_id % 13) as path, cast(floor(doc_id / 13) as bigint) * 4 + 1 as lnum, case when doc_id % 3 = 0 then '' else ' [Subtitle: of ' || doc_id || ']' end as line from documents
+    union all select 'i' || (10 + doc_id % 13), cast(floor(doc_id / 13) as bigint) * 4 + 2, case doc_id % 7 when 0 then 'no number here' when 1 then 'Title (' || source || ')' || doc_id || 'B' when 2 then doc_id || ' alone' else 'Title of ' || source || ', by N      ' || doc_id end from documents
+    union all select 'i' || (10 + doc_id % 13), cast(floor(doc_id / 13) as bigint) * 4 + 3, case doc_id % 5 when 0 then 'Next of it, by M ' || (doc_id + 1000000) when 1 then ' [Subtitle: x]' when 2 then ''
+      else ' [Language: ' || case lang when 'de' then 'German' when 'fr' then 'French' when 'es' then 'Spanish' else 'English' end || ']' end from documents
+    union all select 'i' || (10 + doc_id % 13), cast(floor(doc_id / 13) as bigint) * 4 + 4, case doc_id % 4 when 0 then '[Language: Dutch]' when 1 then '  ' else 'Twice, by O ' || cast(floor(doc_id / 2) as bigint) || '   ' end from documents
+    union all select 'i' || (10 + doc_id % 13), lnum, line from documents, (select -2 as lnum, 'After nothing, by P 99' as line union all select -1, 'TITLE and AUTHOR    ETEXT NO.' union all select 4000000000, '<==End of GUTINDEX.ALL==>' union all select 4000000001, 'Later, by Q 98') as marks where doc_id < 13"""
 
+#: Recursive listings of folders, likewise.
+_LISTING = """
+    select 'l' || (10 + doc_id % 13) as path, cast(floor(doc_id / 13) as bigint) * 5 + 1 as lnum, case when doc_id % 17 = 0 then 'a.txt' else '' end as line from documents
+    union all select 'l' || (10 + doc_id % 13), cast(floor(doc_id / 13) as bigint) * 5 + 2, './' || doc_id % 10 || '/' || doc_id || case when doc_id % 11 = 0 then '/old' else '' end || ':' from documents
+    union all select 'l' || (10 + doc_id % 13), cast(floor(doc_id / 13) as bigint) * 5 + 3, doc_id || '.txt' from documents
+    union all select 'l' || (10 + doc_id % 13), cast(floor(doc_id / 13) as bigint) * 5 + 4, case doc_id % 4 when 0 then doc_id || '-8.txt' when 1 then doc_id || '-0.txt' when 2 then 'x' || doc_id || '.txt' else doc_id || '.zip' end from documents
+    union all select 'l' || (10 + doc_id % 13), cast(floor(doc_id / 13) as bigint) * 5 + 5, case when doc_id % 6 = 0 then cast(floor(doc_id / 2) as bigint) || '-8.txt' else (doc_id + 1) || '.txt  ' end from documents"""
 
-def _listed(lines: list[str]) -> str:
-    return ", ".join(f"('f', {i}, '{x}')" for i, x in enumerate(lines))
 
+def _lines(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    return spark.sql(sql.replace("from documents", "from {documents}"), documents=table(spark, sf_dir, "documents").select("doc_id", "lang", "source"))
 
-@query(f"""
-    with i(path, lnum, line) as (values {_listed(_INDEX)}),
-    b as (select * from i where lnum >= (select min(lnum) from i where line like 'TITLE and AUTHOR%ETEXT NO.') and lnum < (select min(lnum) from i where line like '<==End of GUTINDEX.ALL%')),
-    g as (select *, sum(case when trim(line) = '' then 1 else 0 end) over (order by lnum) as grp, regexp_matches(line, '^[\\s\\[]') as attr from b),
-    t as (select *, case when attr then nullif(regexp_extract(line, '\\[Language: (\\w+?)\\]', 1), '') end as lang, not attr and regexp_matches(line, '^(.*?)(\\s+|\\)|\\])(\\d+)[A-Z]?$') as is_title from g where trim(line) <> ''),
-    n as (select *, lead(lnum) over (partition by grp order by lnum) as nl, lead(lang) over (partition by grp order by lnum) as ng from t where is_title or lang is not null),
-    k as (select cast(regexp_extract(line, '^(.*?)(\\s+|\\)|\\])(\\d+)[A-Z]?$', 3) as bigint) as book_no, regexp_extract(line, '^(.*?)(\\s+|\\)|\\])(\\d+)[A-Z]?$', 1) as title, coalesce(ng, 'English') as lang, nl from n where is_title and nl is not null)
-    select book_no, max_by(lang, nl) as lang, max_by(title, nl) as title from k where title <> '' group by book_no""")
+
+_TITLE = r"^(.*?)(\s+|\)|\])(\d+)[A-Z]?$"
+
+
+@query(rf"""
+    with i as (select path, lnum, regexp_replace(line, '\s+$', '') as line from ({_INDEX})),
+    b as (select * from i where lnum >= (select min(j.lnum) from i j where j.path = i.path and j.line like 'TITLE and AUTHOR%ETEXT NO.') and lnum < (select min(j.lnum) from i j where j.path = i.path and j.line like '<==End of GUTINDEX.ALL%')),
+    g as (select *, sum(case when trim(line) = '' then 1 else 0 end) over (partition by path order by lnum) as grp, regexp_matches(line, '^[\s\[]') as attr from b),
+    t as (select *, case when attr then nullif(regexp_extract(line, '\[Language: (\w+?)\]', 1), '') end as lang, not attr and regexp_matches(line, '{_TITLE}') as is_title from g where trim(line) <> ''),
+    n as (select *, lead(lnum) over w as nl, lead(lang) over w as ng from t where is_title or lang is not null window w as (partition by path, grp order by lnum)),
+    k as (select cast(regexp_extract(line, '{_TITLE}', 3) as bigint) as book_no, regexp_extract(line, '{_TITLE}', 1) as title, coalesce(ng, 'English') as lang, path || (10000000000 + nl) as place from n where is_title and nl is not null)
+    select book_no, max_by(lang, place) as lang, max_by(title, place) as title from k where title <> '' group by book_no""")
 def book_catalog(spark, sf_dir):
-    return catalog.book_catalog(spark.sql(f"select * from values {_listed(_INDEX)} as t(path, lnum, line)"))
+    return catalog.book_catalog(_lines(spark, sf_dir, _INDEX))
 
 
-@query(f"""
-    with i(path, lnum, line) as (values {_listed(_LISTING)}),
-    g as (select *, sum(case when line = '' then 1 else 0 end) over (order by lnum) as grp, case when line like './%:' then substr(line, 3, length(line) - 3) end as folder from i),
-    o as (select *, sum(case when ends_with(folder, 'old') then 1 else 0 end) over (partition by grp order by lnum) as old from g),
-    d as (select *, last_value(folder ignore nulls) over (order by lnum rows between unbounded preceding and current row) as dir from o where old = 0 and line <> ''),
-    f as (select cast(regexp_extract(line, '^(\\d+)(-[0-9]|-[a-z])?(\\.[a-z]+)$', 1) as bigint) as book_no, dir || '/' || line as file, regexp_extract(line, '^(\\d+)(-[0-9]|-[a-z])?(\\.[a-z]+)$', 2) as suffix, lnum
-      from d where folder is null and ends_with(line, '.txt') and regexp_matches(line, '^(\\d+)(-[0-9]|-[a-z])?(\\.[a-z]+)$'))
-    select book_no, coalesce(max_by(file, lnum) filter (where suffix = '-8'), min_by(file, lnum) filter (where file is not null)) as path from f group by book_no""")
+_FILE = r"^(\d+)(-[0-9]|-[a-z])?(\.[a-z]+)$"
+
+
+@query(rf"""
+    with i as (select path, lnum, regexp_replace(line, '\s+$', '') as line from ({_LISTING})),
+    g as (select *, sum(case when line = '' then 1 else 0 end) over (partition by path order by lnum) as grp, case when line like './%:' then substr(line, 3, length(line) - 3) end as folder from i),
+    o as (select *, sum(case when ends_with(folder, 'old') then 1 else 0 end) over (partition by path, grp order by lnum) as old from g),
+    d as (select *, last_value(folder ignore nulls) over (partition by path order by lnum rows between unbounded preceding and current row) as dir from o where old = 0 and line <> ''),
+    f as (select cast(regexp_extract(line, '{_FILE}', 1) as bigint) as book_no, dir || '/' || line as file, regexp_extract(line, '{_FILE}', 2) as suffix, path || (10000000000 + lnum) as place
+      from d where folder is null and ends_with(line, '.txt') and regexp_matches(line, '{_FILE}'))
+    select * from (select book_no, coalesce(max_by(file, place) filter (where suffix = '-8'), min_by(file, place) filter (where file is not null)) as path from f group by book_no) where path is not null""")
 def file_catalog(spark, sf_dir):
-    return catalog.file_catalog(spark.sql(f"select * from values {_listed(_LISTING)} as t(path, lnum, line)"))
+    return catalog.file_catalog(_lines(spark, sf_dir, _LISTING))
 
 
 @query("""
