@@ -14,7 +14,7 @@ a logistic curve fitted to the examples' own leave-one-out votes makes the vote
 evidence. Only the text goes into a score.
 
 Defined cases: null text counts as empty; a text without terms of the vocabulary has the share of toxic labels among
-such examples; without labelled rows all scores are 0; a null id is not held out; null labels are left out, repeated ones
+such examples; of documents that share an id the one with the least text is the example; without labelled rows all scores are 0; a null id is not held out; null labels are left out, repeated ones
 count as their largest; ties go by the examples' text; repeated rows give repeated rows; an empty table gives no rows;
 other columns stay inside the struct `row`, whatever their names; texts are read whole.
 """
@@ -244,10 +244,11 @@ def _example_vectors(vocabulary: Vocabulary):
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, examples: int, vocabulary: int | None) -> Model | None:
     clean = labels.filter(F.col(label_col).isNotNull() & (F.pmod(crc32_of_id(id_col), F.lit(FOLDS)) != 0)).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("toxic"))
     known = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    # bounded: at most `examples` rows; those whose document is missing here go
+    # bounded: at most `examples` ids; those whose document is missing here go, of repeated ones the least text stays
     chosen = clean.orderBy(F.xxhash64("__id"), "__id").limit(examples)
+    texts = known.join(F.broadcast(chosen), "__id").groupBy("__id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     # written: it is read three times
-    sample = written(known.join(F.broadcast(chosen), "__id").select(F.col("__id").alias("id"), "toxic", "text", F.xxhash64("text").alias("tie")), "examples")
+    sample = written(texts.select(F.col("__id").alias("id"), "toxic", "text", F.xxhash64("text").alias("tie")), "examples")
     counted = sample.mapInArrow(_evidence_by_term, "term long, clean long, toxic long, n_clean long, n_toxic long")
     counted = counted.groupBy("term").agg(F.bit_or("clean").alias("clean"), F.bit_or("toxic").alias("toxic"), F.sum("n_clean").alias("n_clean"), F.sum("n_toxic").alias("n_toxic"))
     n = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}

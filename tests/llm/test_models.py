@@ -183,3 +183,13 @@ def test_toxicity_edges(spark):
     assert T.toxicity_report(odd.unionByName(odd), labels.unionByName(labels).withColumn("toxic", F.when(F.col("doc_id") > 5, F.col("toxic")))).count() == 2 * len(ODD)
     mixed = table.unionByName(docs(spark, ODD, 1000))
     assert T.toxicity_report(mixed, labels).count() == 80 + len(ODD)
+
+
+def test_examples_are_bounded_by_ids(spark):
+    """Documents that share an id are one example, the least text of them."""
+    rows = [(i, f"text {i} number {k:03d}", "en", "s", 9) for i in range(12) for k in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
+    model = T.fitted(table, labels, "doc_id", "text", "toxic", 4, None)
+    assert len(model.ids) <= 4 and model.examples.n <= 4
+    assert T.toxicity_report(table, labels, examples=4).count() == len(rows)
