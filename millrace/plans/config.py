@@ -23,6 +23,8 @@ class ConfigError(Exception):
 class LanguageConfig:
     sources: dict[str, str] = field(default_factory=dict)
     stopwords: list[str] = field(default_factory=list)
+    #: Patterns of paths to leave out, by source.
+    excluded: dict[str, list[str]] = field(default_factory=dict)
 
     def active(self) -> str:
         """The sources' names, for people."""
@@ -66,6 +68,16 @@ def read_config(path: str, section: str = "corpus") -> dict[str, LanguageConfig]
         unknown = set(given) - set(REGISTRY) - {"stopwords"}
         if unknown:
             raise ConfigError(f"{code}: unknown sources {', '.join(sorted(unknown))}", 2)
-        sources = {name: expanded(given[name]) for name in REGISTRY if given.get(name)}
-        out[code] = LanguageConfig(sources, parse_stopwords(given.get("stopwords")))
+        sources, excluded = {}, {}
+        for name in REGISTRY:
+            # a path, or a mapping with it and what is left out there
+            asked = given.get(name)
+            some = asked if isinstance(asked, dict) else {"path": asked}
+            if set(some) - {"path", "exclude"} or asked and not isinstance(some.get("path"), str):
+                raise ConfigError(f"{code}: {name} is neither a path nor a mapping of path and exclude", 2)
+            if some["path"]:
+                sources[name] = expanded(some["path"])
+            if patterns := some.get("exclude"):
+                excluded[name] = [patterns] if isinstance(patterns, str) else list(map(str, patterns))
+        out[code] = LanguageConfig(sources, parse_stopwords(given.get("stopwords")), excluded)
     return out

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import fnmatch
 import logging
 import re
 import uuid
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.corpus import quarantine, quarantined, run_stats, to_corpus, union_all, with_sinks, write_text
@@ -35,15 +37,24 @@ def entities(spark: SparkSession, config: dict[str, LanguageConfig], strict: boo
         log.info("%s: %s", lang, given.active())
         for name, path in given.sources.items():
             if GLOB.search(path):
-                found.append(REGISTRY[name].plain(REGISTRY[name].reader(spark, path, lang), strict))
+                found.append(REGISTRY[name].plain(left_in(REGISTRY[name].reader(spark, path, lang), name, {lang: given}), strict))
             else:
                 roots.setdefault(name, {}).setdefault(full_address(spark, path), []).append(lang)
-    found += [REGISTRY[name].plain(REGISTRY[name].entities(spark, some), strict) for name, some in roots.items()]
+    found += [REGISTRY[name].plain(left_in(REGISTRY[name].entities(spark, some), name, config), strict) for name, some in roots.items()]
     if not found:
         raise ConfigError("no source is configured", 2)
     return union_all(found)
 
 
+def left_in(entities: DataFrame, name: str, config: dict[str, LanguageConfig]) -> DataFrame:
+    """Entities of a source without those whose path a pattern of their language excludes."""
+    out = [(lang, fnmatch.translate(p)) for lang, given in config.items() for p in given.excluded.get(name, [])]
+    if not out:
+        return entities
+    path = F.col("position.path")
+    return entities.where(~reduce(Column.__or__, (F.coalesce((F.col("lang") == lang) & path.rlike(f"^{pattern}"), F.lit(False)) for lang, pattern in out)))
+
+
 def corpus(spark: SparkSession, config: dict[str, LanguageConfig], strict: bool = False) -> DataFrame:
     return to_corpus(entities(spark, config, strict), {lang: c.stopwords for lang, c in config.items() if c.stopwords})
 

@@ -661,6 +661,56 @@ def stopwords_as_data(spark, sf_dir):
     return corpus.stopped_words(rows, stop).select("doc_id", F.col("__words").alias("words"))
 
 
+_THREE = {"de": "deu", "en": "eng", "fr": "fra", "es": "spa"}
+_KINDS = ("gutenberg", "codecivil", "wikipedia", "europeana", "dgt")
+
+
+@query(f"""
+    with t as (select doc_id, lang, doc_id % 5 as kind, doc_id % 35 in (0, 1, 3, 4) as bad, doc_id % 35 = 2 as redirect, {_LETTERS} as ls from documents where lang in ('de', 'en', 'fr', 'es')),
+    u as (select *, case when kind = 0 and len(ls) > 10 then ls[11:] else ls end as used from t where not bad and not redirect),
+    s as (select lang, coalesce(array_to_string(list_transform(used, lambda x: x || ' ' || chr(7) || ' '), ''), '') as text from u),
+    w as (select {_words("text", _STOP)} as words from s),
+    l as (select unnest(string_split(regexp_replace(words, '\n$', ''), chr(10))) as line from w where words <> '')
+    select line, count(*) as n from l group by line
+    union all select 'quarantine: ' || case kind when 0 then 'gutenberg' when 1 then 'codecivil' when 3 then 'europeana' else 'dgt' end, count(*) from t where bad group by kind""")
+def corpus_from_sources(spark, sf_dir):
+    """The documents as books, Markdown, a dump, newspapers and translation memories of four languages, some of them broken,
+    and the corpus that is built of these files by its configuration."""
+    from .plans.config import LanguageConfig
+    from .plans.pipeline import build
+    from .sources.export import written_files
+    from .sources.scratch import new_path
+    from .sources.zipped import written_archives
+
+    lines = F.filter(F.transform(F.split(F.regexp_replace("text", "[^a-zA-Z\n ]", ""), "\n", -1), lambda x: F.trim(F.regexp_replace(x, " +", " "))), lambda x: x != "")
+    three = F.create_map(*(F.lit(x) for pair in _THREE.items() for x in pair))[F.col("lang")]
+    docs = table(spark, sf_dir, "documents").where(F.col("lang").isin(*_THREE)).select("doc_id", three.alias("code"), F.upper("lang").alias("short"), (F.col("doc_id") % 5).alias("kind"), (F.col("doc_id") % 35).isin(0, 1, 3, 4).alias("bad"), lines.alias("ls"))
+    paragraphs, raw = F.array_join("ls", "\n\n"), F.unhex(F.lit("FF"))
+    utf8 = lambda x: F.encode(x, "UTF-8")
+    folder = new_path(spark, "sources")
+    named = lambda kind, ending: F.concat("code", F.lit(f"/{kind}/"), "doc_id", F.lit(f".{ending}"))
+    book = F.concat(F.lit("*** START OF it\n"), paragraphs, F.lit("\n*** END OF it\n"))
+    news = F.to_json(F.struct(F.transform("ls", lambda x: F.concat(x, F.lit(f" {T.BREAK} "))).alias("contentAsText")))
+    files = docs.where("kind in (0, 1, 3)").select(
+        F.when(F.col("kind") == 0, named("gutenberg", "txt")).when(F.col("kind") == 1, named("codecivil", "md")).otherwise(named("europeana", "json")).alias("name"),
+        F.when(F.col("bad"), F.when(F.col("kind") == 0, utf8(paragraphs)).when(F.col("kind") == 1, raw).otherwise(utf8(F.lit("{")))).when(F.col("kind") == 0, utf8(book)).when(F.col("kind") == 1, utf8(paragraphs)).otherwise(utf8(news)).alias("data"),
+    )
+    written_files(files, folder).write.format("noop").mode("overwrite").save()
+    text = F.concat(F.when(F.col("doc_id") % 35 == 2, "#REDIRECT [[it]]\n").otherwise(""), paragraphs)
+    page = F.concat(F.lit("  <page>\n    <id>"), "doc_id", F.lit("</id>\n    <revision>\n      <text>"), text, F.lit("</text>\n    </revision>\n  </page>"))
+    docs.where("kind = 2").select("code", page.alias("value")).write.partitionBy("code").text(f"{folder}/dumps")
+    units = F.array_join(F.transform("ls", lambda x: F.concat(F.lit('<tu><tuv lang="'), "short", F.lit('-01"><seg>'), x, F.lit("</seg></tuv></tu>"))), "")
+    memory = F.concat(F.encode(F.concat(F.lit("<tmx><body>"), units, F.lit("</body></tmx>")), "UTF-16LE"), F.when(F.col("bad"), raw).otherwise(F.unhex(F.lit(""))))
+    # a folder for each language: a broken member is an error of every language that is read from its folder
+    for code in _THREE.values():
+        written_archives(docs.where((F.col("kind") == 4) & (F.col("code") == code)).select(F.concat("doc_id", F.lit(".tmx")).alias("member"), memory.alias("data")), f"{folder}/{code}/dgt").write.format("noop").mode("overwrite").save()
+    config = {code: LanguageConfig({k: f"{folder}/dumps/code={code}" if k == "wikipedia" else f"{folder}/{code}/{k}" for k in _KINDS}, T.parse_stopwords(STOPWORDS[lang])) for lang, code in _THREE.items()}
+    counts = build(spark, config, f"{folder}/out")
+    found = spark.read.schema("line string").text(f"{folder}/out").groupBy("line").agg(F.count("*").alias("n"))
+    failed = counts.where("erroneous > 0").groupBy(F.concat(F.lit("quarantine: "), "source").alias("line")).agg(F.sum("erroneous").alias("n"))
+    return found.unionByName(failed)
+
+
 _ARCHIVES = "select doc_id, 'a/' || lang || '-en' || case when doc_id % 3 = 0 then '.txt' else '.tgz' end as link from documents"
 
 

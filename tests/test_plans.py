@@ -2,9 +2,10 @@
 
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from millrace.plans.config import LanguageConfig
+from millrace.plans.config import ConfigError, LanguageConfig, read_config
 from millrace.plans.pipeline import build, entities
 from millrace.sources.files import languages_of
 
@@ -56,3 +57,18 @@ def test_patterns_of_paths(spark, tmp_path):
         (tmp_path / name / "x.md").write_text("text\n")
     config = {"deu": LanguageConfig({"codecivil": f"{tmp_path}/a*"}), "fra": LanguageConfig({"codecivil": f"{tmp_path}/b"})}
     assert sorted(r.lang for r in entities(spark, config).collect()) == ["deu", "deu", "fra"]
+
+
+def test_excluded_paths_of_a_configuration(spark, tmp_path):
+    for name in ("deu/.git/a.md", "deu/b.md", "deu/draft-c.md", "fra/draft-d.md", "glob1/draft-e.md", "glob2/f.md"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("text\n")
+    path = tmp_path / "c.yaml"
+    path.write_text(f"corpus:\n  deu:\n    codecivil: {{path: {tmp_path}/deu, exclude: ['*/.git/*', '*/draft-*']}}\n  fra:\n    codecivil: {tmp_path}/fra\n  spa:\n    codecivil: {{path: '{tmp_path}/glob*', exclude: '*/draft-*'}}\n")
+    config = read_config(str(path))
+    assert config["deu"].excluded == {"codecivil": ["*/.git/*", "*/draft-*"]} and config["fra"].excluded == {}
+    assert sorted((r.lang, r.entity_id.rsplit("/", 1)[1]) for r in entities(spark, config).collect()) == [("deu", "b.md"), ("fra", "draft-d.md"), ("spa", "f.md")]
+    for bad in ("{exclude: x}", "{path: a, other: b}", "3"):
+        path.write_text(f"corpus:\n  deu:\n    codecivil: {bad}\n")
+        with pytest.raises(ConfigError):
+            read_config(str(path))
