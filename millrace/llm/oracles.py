@@ -37,7 +37,7 @@ DECONTAMINATION = f"""
 CHAT_FORMATTING = """
     with recursive m as (select cast(conv_id as varchar) as conv, turn, role, text, conv_id + turn as nth, conv_id % 3 as kind from conversations),
     c as (select conv, conv || ':' || turn as id, turn, case when role = 'user' then 'reply' else 'set_context' end as name,
-        nth % 13 = 0 as raw, nth % 5 = 0 as other, nth % 11 = 0 as odd, nth % 7 = 0 or text is null as bare, text,
+        nth % 13 = 0 as raw, nth % 5 = 0 as other, nth % 11 = 0 as odd, nth % 7 = 0 or text is null as bare, text, nth,
         case when role = 'user' then conv || ':' || (turn + case when kind = 1 or kind = 2 and turn % 4 < 2 then 2 else -2 end) end as waits
       from m where role in ('user', 'system')),
     e as (select x.conv, x.id, x.waits from c x join c y on x.conv = y.conv and x.waits = y.id),
@@ -45,8 +45,10 @@ CHAT_FORMATTING = """
     w as (select conv, id, 0 as depth from c union all select e.conv, e.id, depth + 1 from w join e on e.conv = w.conv and e.waits = w.id join k on k.conv = w.conv where depth < k.n),
     l as (select w.conv, id, max(depth) as deepest, any_value(n) as n from w join k on k.conv = w.conv group by w.conv, id),
     d as (select c.*, case when deepest < n then cast(deepest as integer) end as level,
-        case when raw then 'json' else array_to_string(list_filter([case when bare then 'missing text' end, case when other then 'type turn' end, case when odd then 'unknown mood' end], lambda x: x is not null), ',') end as problems,
-        case when raw then '{"text":' || cast(to_json('no json: ' || coalesce(text, '')) as varchar) || '}' else '{' || case when odd then '"mood":"odd",' else '' end
+        case when raw then 'json' else array_to_string(list_filter([case when nth % 15 = 0 and nth % 9 <> 0 then 'choice meta.lang' end, case when nth % 12 = 0 then 'missing meta.tags[].k' end, case when bare then 'missing text' end, case when nth % 9 = 0 then 'type meta.lang' end,
+          case when other then 'type turn' end, case when nth % 21 = 0 then 'unknown meta.extra' end, case when odd then 'unknown mood' end], lambda x: x is not null), ',') end as problems,
+        case when raw then '{"text":' || cast(to_json('no json: ' || coalesce(text, '')) as varchar) || '}' else '{' || case when nth % 3 = 0 then '"meta":{' || case when nth % 21 = 0 then '"extra":true,' else '' end || '"lang":' || case when nth % 9 = 0 then '5' when nth % 15 = 0 then '"xx"' else '"en"' end
+            || ',"tags":[{"k":"a","n":1},{' || case when nth % 12 = 0 then '' else '"k":"b",' end || '"n":2}]},' else '' end || case when odd then '"mood":"odd",' else '' end
           || case when bare then '' else '"text":' || cast(to_json(text) as varchar) || ',' end || '"turn":' || case when other then '"' || turn || '"' else cast(turn as varchar) end || '}' end as arguments
       from c join l on c.conv = l.conv and c.id = l.id),
     r as (select conv, conv || ':' || (turn - 1) as id, turn as result_turn, text as result from m where role not in ('user', 'system') or role is null),

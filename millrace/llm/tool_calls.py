@@ -5,14 +5,17 @@ topological order of what the calls of its conversation depend on: its level, th
 dependencies below it. Levels come from pointer doubling: a call that waits for one other takes over what that one waits
 for, so a chain is half as long after each round, and a call that waits for several has its level once these do. What
 never resolves is in a cycle, or waits for one. Arguments are parsed to variants and held against the tool's fields, row
-by row. Every record becomes canonical JSON: sorted keys, no spaces, no nulls.
+by row, nested ones too. Every record becomes canonical JSON: sorted keys, no spaces, no nulls.
 
 Texts are written once and shuffled once; links, levels and all that decides about them are narrow. A row is one call or
 one stray result, so no conversation meets in one task; of an identifier that more than HOT rows share, those that can't
 link are set apart before the join.
 
 Tables: calls (conv, id, turn, name, arguments, depends: array of ids), results (conv, id, turn, content), schemas (name,
-field, type: string, integer, number, boolean, object, array or any; required).
+field, type: string, integer, number, boolean, object, array or any; required; choices: an array of strings, if there are
+any). A field is a path: `a.b` is in the object `a`, `a[]` is each element of the array `a`, `a[].b` a field of each; four
+levels of objects are looked at, and no arrays directly within arrays. A required inner field is missing where an object that could hold it has none. Objects of which some
+field is declared, and the arguments themselves, have no others. Choices hold for values of the right type.
 
 Defined cases: a null conversation or identifier links with nothing; of several calls, or results, of one identifier
 the one of the least turn links (ties: by content), the others have the status `repeated`; arguments that are no JSON
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import drop_written, written
 
+#: Levels of objects that are held against schemas, the arguments the first, and the innermost part of a path.
+DEPTH, INNERMOST = 4, r"(?:\.[^.\[\]]+|\[\])$"
 #: Rows of one identifier, above which those that can't link are set apart.
 HOT = 10_000
 CALLS = "conv string, id string, turn long, name string, arguments string, depends array<string>"
@@ -35,11 +40,9 @@ KIND = {"STRING": "string", "BIGINT": "integer", "DOUBLE": "number", "BOOLEAN":
 
 def kind_of(value: Column) -> Column:
     """The JSON type of a variant."""
-    name = F.schema_of_variant(value)
-    out = F.when(name.startswith("OBJECT"), "object").when(name.startswith("ARRAY"), "array").when(name.startswith("DECIMAL"), "number")
-    for spark_name, kind in KIND.items():
-        out = out.when(name == spark_name, kind)
-    return out.otherwise("null")
+    kinds = {"OBJECT": "object", "ARRAY": "array", "DECIMAL": "number", **KIND}
+    table = F.create_map(*(F.lit(x) for pair in kinds.items() for x in pair))
+    return F.coalesce(F.try_element_at(table, F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)), F.lit("null"))
 
 
 def _sign(edges: DataFrame) -> tuple:
@@ -95,25 +98,60 @@ def levels(calls: DataFrame) -> DataFrame:
     return every
 
 
+def flattened(v: Column, path: Column | None = None, depth: int = DEPTH) -> Column:
+    """array<struct<path, kind, text>> of the fields of an object, and of the objects in it down to a depth: `a.b` for a
+    field's field, `a[]` for each element of an array, `a[].b` for its fields. Null for what is no object."""
+
+    def entry(x: Column, here: Column) -> Column:
+        return F.array(F.struct(here.alias("path"), kind_of(x).alias("kind"), F.try_variant_get(x, "$", "string").alias("text")))
+
+    def field(e: Column) -> Column:
+        here = e["key"] if path is None else F.concat(path, F.lit("."), e["key"])
+        own = entry(e["value"], here)
+        if depth == 1:
+            return own
+        # the value itself, or the elements of an array: what may have fields
+        holder = lambda at, x, inner: F.struct(at.alias("at"), x.alias("x"), F.lit(inner).alias("inner"))
+        elements = F.transform(F.try_variant_get(e["value"], "$", "array<variant>"), lambda x: holder(F.concat(here, F.lit("[]")), x, True))
+        holders = F.coalesce(elements, F.array(holder(here, e["value"], False)))
+        none = F.array().cast("array<struct<path string, kind string, text string>>")
+        deeper = lambda h: F.concat(F.when(h["inner"], entry(h["x"], h["at"])).otherwise(none), F.coalesce(flattened(h["x"], h["at"], depth - 1), none))
+        return F.concat(own, F.flatten(F.transform(holders, deeper)))
+
+    return F.flatten(F.transform(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), field))
+
+
 def problems(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """calls with problems: what is wrong with their arguments, sorted. A map over the calls, where the tools are few enough
     for Spark to broadcast them."""
     v = F.try_parse_json("text")
     is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    kinds = F.when(is_object, F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), lambda _, x: kind_of(x)))
-    tools = schemas.groupBy("name").agg(F.collect_set(F.struct("field", F.col("type").alias("want"), F.col("required").alias("must"))).alias("__fields"))
-    rows = calls.withColumn("__kinds", kinds).join(tools, "name", "left")
-    kind = lambda f: F.coalesce(F.col("__kinds")[f["field"]], F.lit("null"))
-    wrong = lambda f: (kind(f) != "null") & (f["want"] != "any") & (f["want"] != kind(f)) & ~((f["want"] == "number") & (kind(f) == "integer"))
+    choices = F.col("choices") if "choices" in schemas.columns else F.lit(None).cast("array<string>")
+    above = F.regexp_replace("field", INNERMOST, "")
+    field = F.struct("field", F.when(above != F.col("field"), above).otherwise("").alias("above"), F.col("type").alias("want"), F.col("required").alias("must"), choices.alias("choices"))
+    tools = schemas.groupBy("name").agg(F.collect_set(field).alias("__fields"))
+    rows = calls.withColumn("__flat", F.when(is_object, flattened(v))).join(tools, "name", "left")
+    at = lambda f: F.filter("__flat", lambda e: (e["path"] == f["field"]) & (e["kind"] != "null"))
+    # a field of the arguments themselves has them above it, an inner one each object, or array, that can hold it
+    holders = lambda f: F.when(f["above"] == "", 1).otherwise(F.size(F.filter("__flat", lambda e: (e["path"] == f["above"]) & e["kind"].isin("object", "array"))))
+    lacking = lambda f: F.when(f["field"].endswith("[]"), (F.size(at(f)) == 0) & (holders(f) > 0)).otherwise(F.size(at(f)) < holders(f))
+    fits = lambda f, e: (f["want"] == "any") | (f["want"] == e["kind"]) | ((f["want"] == "number") & (e["kind"] == "integer"))
     told = lambda what, fields: F.transform(fields, lambda f: F.concat(F.lit(what), f))
     names = lambda fields: F.transform(fields, lambda f: f["field"])
+    # what is not declared is wrong in the arguments, and in objects of which some field is declared
+    strange = F.filter(
+        F.transform("__flat", lambda e: e["path"]),
+        lambda p: ~p.endswith("[]") & ~F.array_contains(names(F.col("__fields")), p) & F.exists("__fields", lambda f: f["above"] == F.when(p.rlike(INNERMOST), F.regexp_replace(p, INNERMOST, "")).otherwise("")),
+    )
+    none_declared = ~F.exists("__fields", lambda f: f["above"] == "")
     found = F.concat(
-        told("missing ", names(F.filter("__fields", lambda f: (kind(f) == "null") & F.coalesce(f["must"], F.lit(False))))),
-        told("type ", names(F.filter("__fields", wrong))),
-        told("unknown ", F.filter(F.map_keys("__kinds"), lambda k: ~F.array_contains(names(F.col("__fields")), k))),
+        told("missing ", names(F.filter("__fields", lambda f: F.coalesce(f["must"], F.lit(False)) & lacking(f)))),
+        told("type ", names(F.filter("__fields", lambda f: F.exists(at(f), lambda e: ~fits(f, e))))),
+        told("choice ", names(F.filter("__fields", lambda f: f["choices"].isNotNull() & F.exists(at(f), lambda e: fits(f, e) & ~F.coalesce(F.array_contains(f["choices"], e["text"]), F.lit(False)))))),
+        told("unknown ", F.when(none_declared, F.filter(F.transform("__flat", lambda e: e["path"]), lambda p: ~p.rlike(INNERMOST))).otherwise(strange)),
     )
-    what = F.when(F.col("__fields").isNull(), F.array(F.lit("tool"))).when(F.col("__kinds").isNull(), F.array(F.lit("json"))).otherwise(F.array_sort(F.array_distinct(found)))
-    return rows.withColumn("problems", F.when(F.col("is_call"), what)).drop("__kinds", "__fields")
+    what = F.when(F.col("__fields").isNull(), F.array(F.lit("tool"))).when(F.col("__flat").isNull(), F.array(F.lit("json"))).otherwise(F.array_sort(F.array_distinct(found)))
+    return rows.withColumn("problems", F.when(F.col("is_call"), what)).drop("__flat", "__fields")
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -180,7 +218,8 @@ def turns_as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     A user's turn calls for a reply, the assistant's next turn is the result; a system turn sets the context. So that order
     and validation have something to do, conversations are of three kinds by their number: a user's turn depends on the
     user's turn before; or on the one after; or turns wait for each other in pairs. Arguments are right or, by
-    numbers of conversation and turn, lack a field, have one too many, one of another type, or are no JSON.
+    numbers of conversation and turn, lack a field, have one too many, one of another type, or are no JSON; a third of them have
+an object within, with an array of objects, of which some are wrong likewise.
     """
     ident = lambda ahead: F.concat_ws(":", F.col("conv"), (F.col("turn") + ahead).cast("string"))
     number = F.try_to_number("conv", F.lit("999999999999999999")).cast("long")
@@ -190,6 +229,11 @@ def turns_as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     text = F.when(F.pmod(nth, F.lit(7)) == 0, None).otherwise(F.col("text")).alias("text")
     mood = F.when(F.pmod(nth, F.lit(11)) == 0, "odd").alias("mood")
     right, other = F.to_json(F.struct(mood, text, turn)), F.to_json(F.struct(mood, text, turn.cast("string").alias("turn")))
+    every = lambda n: F.pmod(nth, F.lit(n)) == 0
+    lang = F.when(every(9), "5").when(every(15), '"xx"').otherwise('"en"')
+    meta = F.concat(F.lit('{"meta":{'), F.when(every(21), '"extra":true,').otherwise(""), F.lit('"lang":'), lang, F.lit(',"tags":[{"k":"a","n":1},{'), F.when(every(12), "").otherwise('"k":"b",'), F.lit('"n":2}]},'))
+    nested = lambda x: F.when(every(3) & (x != "{}"), F.concat(meta, F.substring(x, F.lit(2), F.length(x)))).otherwise(x)
+    right, other = nested(right), nested(other)
     arguments = F.when(F.pmod(nth, F.lit(13)) == 0, F.concat(F.lit("no json: "), F.coalesce("text", F.lit("")))).when(F.pmod(nth, F.lit(5)) == 0, other).otherwise(right)
     calls = messages.filter("role in ('user', 'system')").select(
         "conv", F.when(known, ident(0)).alias("id"), "turn", F.when(F.col("role") == "user", "reply").otherwise("set_context").alias("name"),
@@ -197,7 +241,9 @@ def turns_as_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     )
     results = messages.filter("role not in ('user', 'system') or role is null").select("conv", F.when(known, ident(-1)).alias("id"), "turn", F.col("text").alias("content"))
     spark = messages.sparkSession
-    schemas = spark.sql("select * from values ('reply','text','string',true), ('reply','turn','integer',true), ('set_context','text','string',true), ('set_context','turn','integer',true) as t(name, field, type, required)")
+    fields = [("text", "string", True, None), ("turn", "integer", True, None), ("meta", "object", False, None), ("meta.lang", "string", True, ["en", "de"]), ("meta.tags", "array", False, None), ("meta.tags[].k", "string", True, None), ("meta.tags[].n", "integer", False, None)]
+    rows = ", ".join(f"('{tool}', '{f}', '{kind}', {str(must).lower()}, {'null' if some is None else 'array(' + ', '.join(map(repr, some)) + ')'})" for tool in ("reply", "set_context") for f, kind, must, some in fields)
+    schemas = spark.sql(f"select name, field, type, required, cast(choices as array<string>) as choices from values {rows} as t(name, field, type, required, choices)")
     return calls, results, schemas
 
 

@@ -281,6 +281,70 @@ def test_license_blocks(spark):
     assert L.license_blocks(empty(spark)).count() == 0
 
 
+def plain_problems(text, fields):
+    """Problems of arguments against (field, type, required, choices), by walking them."""
+    try:
+        value = json.loads(text)
+    except ValueError:
+        return ["json"]
+    if not isinstance(value, dict):
+        return ["json"]
+    kinds = {bool: "boolean", int: "integer", float: "number", str: "string", dict: "object", list: "array", type(None): "null"}
+    met = []
+
+    def walk(x, path):
+        if isinstance(x, dict):
+            for k, y in x.items():
+                here = f"{path}.{k}" if path else k
+                met.append((here, kinds[type(y)], y))
+                walk(y, here)
+        elif isinstance(x, list):
+            for y in x:
+                met.append((f"{path}[]", kinds[type(y)], y))
+                walk(y, f"{path}[]") if isinstance(y, dict) else None
+
+    walk(value, "")
+    above = lambda p: re.sub(r"(\.[^.\[\]]+|\[\])$", "", p) if re.search(r"[.\]]", p) else ""
+    out, known = set(), {f[0] for f in fields}
+    for field, want, must, choices in fields:
+        there = [(k, y) for p, k, y in met if p == field and k != "null"]
+        holders = sum(p == above(field) and k in ("object", "array") for p, k, _ in met) if above(field) else 1
+        if must and (not there and holders if field.endswith("[]") else len(there) < holders):
+            out.add(f"missing {field}")
+        fits = lambda k, want=want: want in ("any", k) or want == "number" and k == "integer"
+        if any(not fits(k) for k, _ in there):
+            out.add(f"type {field}")
+        if choices and any(fits(k) and y not in choices for k, y in there):
+            out.add(f"choice {field}")
+    for path, _, _ in met:
+        if not path.endswith("[]") and path not in known and (not above(path) or any(above(f) == above(path) for f in known)):
+            out.add(f"unknown {path}")
+    return sorted(out)
+
+
+def test_nested_arguments(spark):
+    rng = random.Random(8)
+    fields = [("to", "object", True, None), ("to.name", "string", True, None), ("to.kind", "string", False, ["a", "b"]), ("to.deep", "object", False, None), ("to.deep.er", "object", False, None), ("to.deep.er.n", "number", True, None), ("items", "array", False, None), ("items[]", "object", True, None), ("items[].price", "number", True, None), ("items[].tags", "array", False, None), ("items[].tags[]", "string", False, None), ("free", "object", False, None), ("any", "any", False, None)]
+    leaf = lambda: rng.choice([1, 2.5, "a", "b", "c", True, None, {}, [], {"x": 1}])
+
+    def made(depth=0):
+        out = {}
+        for k in ("name", "kind", "deep", "er", "n", "price", "tags", "other", "to", "items", "free", "any"):
+            if rng.random() < 0.35:
+                out[k] = leaf() if depth > 3 or rng.random() < 0.4 else rng.choice([made(depth + 1), [made(depth + 1) for _ in range(rng.randrange(3))], [leaf() for _ in range(rng.randrange(3))]])
+        return out
+
+    right = {"to": {"name": "x", "kind": "a", "deep": {"er": {"n": 1}}}, "items": [{"price": 1}, {"price": 2.5, "tags": ["u", "v"]}], "free": {"what": {"ever": 1}}, "any": [1]}
+    texts = [json.dumps(right), "{}", "[]", "3", "no json", "null", '{"to":{"name":"x"},"items":[]}', '{"to":{"name":"x"},"items":[{"price":1},{}]}', *(json.dumps(made()) for _ in range(150))]
+    calls = spark.createDataFrame([(True, str(i), "t", x) for i, x in enumerate(texts)], "is_call boolean, id string, name string, text string")
+    schemas = spark.createDataFrame([("t", *f) for f in fields], "name string, field string, type string, required boolean, choices array<string>")
+    got = {r.id: r.problems for r in C.problems(calls, schemas).collect()}
+    cut = lambda found: [x for x in found if x.count(".") <= 3]
+    for i, x in enumerate(texts):
+        assert cut(got[str(i)]) == cut(plain_problems(x, fields)) or got[str(i)] == ["json"] == plain_problems(x, fields), x
+    assert got["0"] == []
+
+
 # --- fingerprints ------------------------------------------------------------------------------------------------------
 
 
