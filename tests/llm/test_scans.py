@@ -524,7 +524,7 @@ def test_conversations(spark, sf):
             want.add((str(conv), f"{conv}:{turn - 1}", None, turn))
     assert {(r.conv, r.id, r.turn, r.result_turn) for r in rows} == want and len(rows) == len(want)
     told = {x for r in rows for x in r.problems or []}
-    assert told == {"json", "missing text", "type turn", "unknown mood"} and {r.status for r in rows} == {"linked", "cycle"} | {r.status for r in rows} and max(r.level or 0 for r in rows) > 1
+    assert told == {"json", "missing text", "type turn", "unknown mood", "choice meta.lang", "missing meta.tags[].k", "type meta.lang", "unknown meta.extra"} and {r.status for r in rows} == {"linked", "cycle"} | {r.status for r in rows} and max(r.level or 0 for r in rows) > 1
     for r in rows:
         assert r.json == json.dumps(json.loads(r.json), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
     assert C.conversation_calls(table.limit(0)).count() == 0
