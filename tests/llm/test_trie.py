@@ -83,14 +83,10 @@ def test_chains_that_hang_on_chains(spark):
     check(spark, rows)
 
 
-def test_only_the_trie_stays(spark, tmp_path):
-    was = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        C.trie_report(spark.createDataFrame(random_rows(9, range(8), 5, 2), SCHEMA)).collect()
-        assert [p.name.split("-")[0] for p in (tmp_path / "millrace").iterdir()] == ["trie"]
-    finally:
-        spark.conf.set("spark.checkpoint.dir", was) if was else spark.conf.unset("spark.checkpoint.dir")
+def test_only_the_trie_stays(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("millrace.llm.common.shared_dir", lambda session: str(tmp_path))
+    C.trie_report(spark.createDataFrame(random_rows(9, range(8), 5, 2), SCHEMA)).collect()
+    assert [p.name.split("-")[0] for p in (tmp_path / "millrace").iterdir()] == ["trie"]
 
 
 def test_report_of_the_table(spark, sf):
