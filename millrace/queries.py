@@ -705,7 +705,8 @@ def corpus_from_sources(spark, sf_dir):
     for code in _THREE.values():
         written_archives(docs.where((F.col("kind") == 4) & (F.col("code") == code)).select(F.concat("doc_id", F.lit(".tmx")).alias("member"), memory.alias("data")), f"{folder}/{code}/dgt").write.format("noop").mode("overwrite").save()
     config = {code: LanguageConfig({k: f"{folder}/dumps/code={code}" if k == "wikipedia" else f"{folder}/{code}/{k}" for k in _KINDS}, T.parse_stopwords(STOPWORDS[lang])) for lang, code in _THREE.items()}
-    counts = build(spark, config, f"{folder}/out")
+    # strict: the exact rule runs a first paragraph of one character into the next one
+    counts = build(spark, config, f"{folder}/out", strict=True)
     found = spark.read.schema("line string").text(f"{folder}/out").groupBy("line").agg(F.count("*").alias("n"))
     failed = counts.where("erroneous > 0").groupBy(F.concat(F.lit("quarantine: "), "source").alias("line")).agg(F.sum("erroneous").alias("n"))
     return found.unionByName(failed)

@@ -82,6 +82,12 @@ def test_bad_trees():
     assert M.tree_text(quote)[1] and M.tree_text(quote, True) == ("ab \x07 ", None)
 
 
+def test_a_first_context_of_one_character():
+    for markup in ("markdown", "mediawiki"):
+        assert M.unformat("A\n\nAll of it", markup, False)[0] == "A All of it \x07 "
+        assert M.unformat("A\n\nAll of it", markup, True)[0] == "A \x07 All of it \x07 "
+
+
 def test_readers():
     md = "# Head *x*\n\nSome **bold** text [link](http://a) ![a picture of cats](x.png) ![no](y)\n\n- a b\n- c d\n\n> quote\n\n```\ncode\n```\n1. one\n2. two\n\nSet\n===\n"
     content, _ = M.unformat(md, "markdown", False)

@@ -36,6 +36,15 @@ def test_query(spark, duck, sf, name):
     assert got
 
 
+def test_corpus_of_short_paragraphs(spark, tmp_path):
+    spark.createDataFrame([(k, "A\nAll rights reserved", ("de", "en", "fr", "es")[k // 35]) for k in range(140)], "doc_id long, text string, lang string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    with duckdb.connect() as c:
+        c.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+        want = sorted(c.execute(Q.ORACLE_SQL["corpus_from_sources"]).fetchall())
+    got = sorted((r.line, r.n) for r in Q.corpus_from_sources(spark, str(tmp_path)).collect())
+    assert got == want and dict(got)["A"] == 120
+
+
 def test_filters_reach_the_scan(spark, sf):
     plan = Q.not_present(spark, sf).where("lang = 'en'")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan and "text" not in plan
