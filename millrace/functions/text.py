@@ -63,6 +63,13 @@ def cleaned(text: Column, stopwords: list[str] | None = None) -> Column:
 #: One letter or digit of at most two bytes.
 SMALL = r"[0-9\p{IsAlphabetic}&&[\x00-\x{7FF}]]"
 _BEGIN, _END = r"(?<![^ \n])", r"(?![^ \n])"
+#: X without letters and digits; the part of X that is stripped from ends, and X without it.
+_APART, _QUOTE, _INNER = r"[\x27`‚‘’\-]", "[‚‘’]", r"[0-9\p{IsAlphabetic}\x27`\-]"
+#: White space; what is none is told by two comparisons.
+_BLANK = rf"[\x09-\x20\x{{85}}-\x{{3000}}&&[{WS}]]"
+_ODD = rf"[\x09-\x0D\x{{85}}-\x{{3000}}&&[{WS}]]"
+#: A word of two letters or more as clean_word leaves it, so far as no enclosing character ends it.
+_LONG = rf"{A}{_APART}*+{A}{_INNER}*+(?:{_QUOTE}++{_INNER}++)*+"
 
 
 def text2words(text: Column, stopwords: list[str] | None = None) -> Column:
@@ -73,35 +80,43 @@ def text2words(text: Column, stopwords: list[str] | None = None) -> Column:
     """
     for pattern, by in word_steps(stopwords):
         text = F.regexp_replace(text, pattern, by)
-    return F.regexp_replace(F.trim(text), r"([^\n])\z", "$1\n")
+    return ended(F.trim(text))
 
 
-def text2words_but(text: Column, stopped: Callable[[Column], Column], some: Column) -> Column:
-    """text2words without the words that are stopped, where there are some to stop: a function of a column, so that sets of
+def ended(text: Column) -> Column:
+    """With a line feed at the end of a last line that has something."""
+    return F.regexp_replace(text, r"\z(?<=[^\n])", "\n")
+
+
+def text2words_but(text: Column, stopped: Callable[[Column, Column], Column], stop: Column) -> Column:
+    """text2words without the words that are stopped by a set, where there is one: a function of columns, so that sets of
     any number and size are data."""
     for pattern, by in word_steps():
         text = F.regexp_replace(text, pattern, by)
-    line = lambda x: F.array_join(F.filter(F.split(F.trim(x), " "), lambda w: ~stopped(w)), " ")
-    fewer = let(F.trim(text), lambda t: F.when(some, F.array_join(F.transform(F.split(t, "\n", -1), line), "\n")).otherwise(t))
-    return F.regexp_replace(fewer, r"([^\n])\z", "$1\n")
+
+    def fewer(t: Column, some: Column) -> Column:
+        line = lambda x: F.array_join(F.filter(F.split(x, " "), lambda w: ~stopped(w, some)), " ")
+        return F.when(some.isNotNull(), F.array_join(F.transform(F.split(t, "\n", -1), line), "\n")).otherwise(t)
+
+    return ended(let(F.trim(text), lambda t: let(stop, lambda some: fewer(t, some))))
 
 
 def word_steps(stopwords: list[str] | None = None) -> list[tuple[str, str]]:
-    """The replacements of text2words, in order."""
-    keep = rf"{A}{X}*{A}{X}*|{SMALL}"
+    """The replacements of text2words, in order.
+
+    The third one reads each word once: a run of clean words stays as it is, a word between signs loses these, any other
+    one goes with the space after it. What clean_word strips of a word is punctuation, enclosing characters before that,
+    and punctuation before these; where these are there, quotation signs before them stay.
+    """
+    steps = [
+        (rf" {_BLANK}++|{_ODD}{_BLANK}*+", " "),
+        (r"\x07(?<![^ ]\x07)(?![^ ])", "\n"),
+        (rf"((?:{_LONG}(?: |\z))++)|{E}*+({_LONG}|{SMALL}){E}*+{P}*+{_END}|{E}*+({A}{_APART}*+{A}{X}*+|{SMALL}){P}++{E}++{P}*+{_END}|[^ \n]++ ?", "$1$2$3"),
+    ]
     if stopwords:
         literal = "|".join(re.escape(w) for w in stopwords)
-        keep = rf"(?!(?:{literal}){_END})(?:{keep})"
-    return [
-        (f"[{WS}]+", " "),
-        (r"(?<![^ ])\x07(?![^ ])", "\n"),
-        (rf"{P}+{_END}", ""),
-        (rf"{E}+{_END}|{_BEGIN}{E}+", ""),
-        (rf"{P}+{_END}", ""),
-        (rf"{_BEGIN}(?!(?:{keep}){_END})[^ \n]++", ""),
-        (r" *\n *", "\n"),
-        (r" {2,}", " "),
-    ]
+        steps.append((rf"{_BEGIN}(?:{literal}){_END} ?", ""))
+    return [*steps, (r" *\n *", "\n")]
 
 
 def parse_stopwords(text: str | None) -> list[str]:

@@ -28,23 +28,28 @@ def run_stats(entities: DataFrame) -> DataFrame:
     return entities.groupBy("lang", "source").agg(F.count("*").alias("entities_read"), F.count_if(F.col("error").isNotNull()).alias("erroneous"))
 
 
-#: Parts of a set of stop words, so that a word is looked up among few.
-STOP_PARTS = 256
+#: Words in a part of a set of stop words, on average: a word is looked up among so many, however large the set is.
+STOP_PART = 2
 #: Characters of stop words that are sent to all tasks; beyond that they meet the entities in a join by language.
 STOP_BOUND = 1 << 26
 
 
 def stop_sets(stopwords: DataFrame) -> DataFrame:
-    """(lang, stop) from (lang, word): each language's set, in parts by hash."""
-    part = F.pmod(F.xxhash64("word"), F.lit(STOP_PARTS)).cast("int").alias("part")
-    parts = stopwords.where("word is not null").groupBy("lang", part).agg(F.collect_set("word").alias("words"))
-    of_lang = parts.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("part", "words"))).alias("m"))
-    every = F.transform(F.sequence(F.lit(0), F.lit(STOP_PARTS - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.array().cast("array<string>")))
-    return of_lang.select("lang", every.alias("stop"))
+    """(lang, stop) from (lang, word): each language's set, in parts by hash, as many as its words ask for."""
+    words = stopwords.where("lang is not null and word is not null").select("lang", "word").distinct()
+    sizes = words.groupBy("lang").agg(F.ceil(F.count("*") / STOP_PART).cast("int").alias("parts"))
+    parts = words.join(sizes, "lang").groupBy("lang", _part("word", F.col("parts")).alias("part")).agg(F.collect_list("word").alias("words"))
+    every = sizes.select("lang", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(parts, ["lang", "part"], "left")
+    part = F.struct("part", F.coalesce("words", F.array().cast("array<string>")).alias("words"))
+    return every.groupBy("lang").agg(F.sort_array(F.collect_list(part))["words"].alias("stop"))
+
+
+def _part(word: Column | str, parts: Column) -> Column:
+    return F.pmod(F.xxhash64(word), parts).cast("int")
 
 
 def is_stopword(word: Column, stop: Column) -> Column:
-    return F.array_contains(F.get(stop, F.pmod(F.xxhash64(word), F.lit(STOP_PARTS)).cast("int")), word)
+    return F.array_contains(F.get(stop, _part(word, F.size(stop))), word)
 
 
 def stopped_words(entities: DataFrame, stopwords: dict[str, list[str]] | DataFrame | None = None) -> DataFrame:
@@ -59,7 +64,7 @@ def stopped_words(entities: DataFrame, stopwords: dict[str, list[str]] | DataFra
         small = (stopwords.agg(F.sum(F.length("word"))).first()[0] or 0) < STOP_BOUND
     sets = stop_sets(stopwords)
     joined = entities.join(F.broadcast(sets) if small else sets, "lang", "left")
-    return joined.withColumn("__words", T.text2words_but(F.col("content"), lambda w: is_stopword(w, F.col("stop")), F.col("stop").isNotNull())).drop("stop")
+    return joined.withColumn("__words", T.text2words_but(F.col("content"), is_stopword, F.col("stop"))).drop("stop")
 
 
 def to_corpus(entities: DataFrame, stopwords: dict[str, list[str]] | DataFrame | None = None) -> DataFrame:
