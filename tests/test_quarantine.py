@@ -98,3 +98,10 @@ def test_plans_do_not_grow_with_stop_words(spark):
     plan = lambda out: out._jdf.queryExecution().optimizedPlan().toString().count("\n")
     assert plan(corpus.to_corpus(df, many)) == plan(corpus.to_corpus(df, {"l1": ["w0x1"]}))
     assert [x.words for x in corpus.to_corpus(df, many).orderBy("lang").collect()] == ["other w1000x1\n", "w0x1 w1x1 other w1000x1\n"]
+
+
+def test_parts_of_stop_words_stay_small(spark):
+    many = spark.range(20_000).selectExpr("if(id % 10 = 0, 'eng', 'deu') as lang", "concat('w', id) as word")
+    sets = {x.lang: x.stop for x in corpus.stop_sets(many).collect()}
+    assert {lang: sum(map(len, stop)) for lang, stop in sets.items()} == {"eng": 2000, "deu": 18_000}
+    assert all(max(map(len, stop)) < 16 for stop in sets.values())
