@@ -587,7 +587,8 @@ def memory_archives(spark, sf_dir):
     unit = lambda x: F.concat(F.lit('<tu><tuv lang="QQ-01"><seg>other</seg></tuv><tuv xml:lang="'), F.upper("lang"), F.lit('-01"><seg>'), x, F.lit("</seg></tuv></tu>"))
     units = F.array_join(F.transform(F.filter(F.split(escaped, "\n", -1), lambda x: x != ""), unit), "")
     memory = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><tmx><body>'), units, F.lit("</body></tmx>"))
-    rows = docs.select(F.concat("doc_id", F.lit(".tmx")).alias("member"), _in_utf16(memory).alias("data"))
+    # a column of its own is made once, however often it is encoded
+    rows = docs.select("doc_id", memory.alias("memory")).select(F.concat("doc_id", F.lit(".tmx")).alias("member"), _in_utf16(F.col("memory")).alias("data"))
     folder = new_path(spark, "memories")
     written_archives(rows, folder).write.format("noop").mode("overwrite").save()
     found = memory_segments(spark, folder, None).where("lang <> 'QQ-01' or error is not null")

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from .files import binary_files, entities, position
 from .zipped import zip_members
 
 SEGMENTS = "path string, asked string, member string, seg_no long, lang string, text string, error_kind string, error string"
+COLUMNS = pa.schema([("path", pa.string()), ("asked", pa.string()), ("member", pa.string()), ("seg_no", pa.int64()), ("lang", pa.string()), ("text", pa.string()), ("error_kind", pa.string()), ("error", pa.string())])
+#: Segments that leave a task at once, of any number of members.
 SEGMENTS_AT_ONCE = 4096
 LANG = ("lang", "{http://www.w3.org/XML/1998/namespace}lang")
 
@@ -53,23 +56,31 @@ def memory_segments(spark: SparkSession, path: str | list[str], lang: str | Colu
     if isinstance(lang, str) and lang not in ISO_639:
         raise ValueError(f"no two-letter code for language {lang}")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for file, asked, member, text in zip(batch["path"], batch["asked"], batch["member"], batch["text"]):
-                found = ((file, asked, member, *s) for s in segments(text, ISO_639[asked].upper() if asked else ""))
-                while rows := list(islice(found, SEGMENTS_AT_ONCE)):
-                    yield pd.DataFrame(rows, columns=["path", "asked", "member", "seg_no", "lang", "text", "error_kind", "error"]).astype({"seg_no": "Int64"})
+            for row in zip(*batch.columns):  # one member at a time becomes Python's
+                file, asked, member, text, kind, error = (x.as_py() for x in row)
+                if kind is not None:
+                    yield file, asked, member, 0, None, None, kind, error
+                else:
+                    for s in segments(text, ISO_639[asked].upper() if asked else ""):
+                        yield file, asked, member, *s
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = found(batches)
+        while some := list(islice(rows, SEGMENTS_AT_ONCE)):
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*some), COLUMNS)], schema=COLUMNS)
 
     members = zip_members(spark, path, ".tmx" if only_tmx else "").withColumn("u", utf16_text(F.col("data"))).drop("data")
     members = members.withColumn("asked", F.explode(lang) if isinstance(lang, Column) else F.lit(lang).cast("string"))
-    none = F.lit(None).cast("string")
-    bad = lambda kind, message: (F.lit(0).cast("long").alias("seg_no"), none.alias("lang"), none.alias("text"), kind.alias("error_kind"), message.alias("error"))
+    # an archive has one error for a language without a code: that of its first member, or of itself
     known = F.col("asked").isNull() | F.col("asked").isin(*ISO_639)
-    found = members.where(known & F.col("u.text").isNotNull()).select("path", "asked", "member", "u.text").mapInPandas(run, SEGMENTS)
-    kind = F.when(F.col("error").isNotNull() & F.col("member").isNull(), schema.IO).otherwise(schema.ENCODING)
-    unread = members.where(known & F.col("u.text").isNull()).select("path", "asked", "member", *bad(kind, F.coalesce("error", "u.error")))
-    unknown = members.where(~known).select("path", "asked").distinct().select("path", "asked", none.alias("member"), *bad(F.lit(schema.LANGUAGE), F.concat(F.lit("no two-letter code for language "), "asked")))
-    return found.unionByName(unread).unionByName(unknown)
+    members = members.where(known | F.coalesce(F.col("nth") == 0, F.lit(True)))
+    kind = F.when(~known, schema.LANGUAGE).when(F.col("u.text").isNotNull(), None).when(F.col("error").isNotNull() & F.col("member").isNull(), schema.IO).otherwise(schema.ENCODING)
+    message = F.when(known, F.coalesce("error", "u.error")).otherwise(F.concat(F.lit("no two-letter code for language "), "asked"))
+    # what is read and what is not leaves in one pass over the archives
+    rows = members.select("path", "asked", F.when(known, F.col("member")).alias("member"), F.when(known, F.col("u.text")).alias("text"), kind.alias("error_kind"), message.alias("error"))
+    return rows.mapInArrow(run, SEGMENTS)
 
 
 def translation_memories(spark: SparkSession, path: str | list[str], lang: str | Column, source: str = "dgt", cap: int | None = None) -> DataFrame:

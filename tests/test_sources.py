@@ -172,3 +172,22 @@ def test_stream_equals_batch(spark, tree, tmp_path):
 def test_index_lines(spark, tree):
     (tree / "index.lst").write_text(".:\na.txt\n")
     assert [(r.lnum, r.line) for r in lines(spark, str(tree / "index.lst")).collect()] == [(0, ".:"), (1, "a.txt"), (2, "")]
+
+
+def test_archives_are_read_in_one_pass(spark, tmp_path):
+    import zipfile
+
+    from pyspark.sql import functions as F
+
+    unit = '<tu><tuv lang="DE-01"><seg>eins</seg></tuv></tu>'
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for k in range(3):
+            z.writestr(f"m{k}.tmx", f"<tmx><body>{unit * (k + 1)}</body></tmx>".encode("utf-16"))
+        z.writestr("odd.tmx", b"\xff\xfea")
+    (tmp_path / "b.zip").write_bytes(b"no archive")
+    asked = F.array(F.lit("deu"), F.lit("qqq"))
+    found = memory_segments(spark, str(tmp_path), asked)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("zip_members") == 1
+    got = sorted((r.asked, r.path.rsplit("/", 1)[1], r.member or "", r.seg_no, r.text or "", r.error_kind or "") for r in found.collect())
+    segs = [("deu", "a.zip", f"m{k}.tmx", n, "eins", "") for k in range(3) for n in range(k + 1)]
+    assert got == sorted([*segs, ("deu", "a.zip", "odd.tmx", 0, "", "EncodingError"), ("deu", "b.zip", "", 0, "", "IoError"), ("qqq", "a.zip", "", 0, "", "InvalidLanguageError"), ("qqq", "b.zip", "", 0, "", "InvalidLanguageError")])
