@@ -101,3 +101,17 @@ def test_columns(spark):
     df = spark.createDataFrame([("<ref>p</ref>q",), (None,), ("r<b",)], "x string")
     got = [(r.r.content, r.r.error) for r in df.select(M.wikitext(F.col("x")).alias("r")).collect()]
     assert got == [("q", None), (None, None), (None, "text after opening <: b")]
+
+
+def test_results_do_not_wait_as_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["x" * 1_000_000] * 100 + [None, "k<"])
+    tracemalloc.start()
+    got = M._results(texts, M.strip_wikitext)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 102 and got[99]["content"].as_py() == "x" * 1_000_000 and got[101]["error"].as_py() == "text after opening <: "
+    assert got[100].as_py() == {"content": None, "error": None} and peak < 20_000_000
