@@ -115,3 +115,13 @@ def test_results_do_not_wait_as_objects():
     tracemalloc.stop()
     assert len(got) == 102 and got[99]["content"].as_py() == "x" * 1_000_000 and got[101]["error"].as_py() == "text after opening <: "
     assert got[100].as_py() == {"content": None, "error": None} and peak < 20_000_000
+
+
+def test_plain_texts_are_not_searched_for_spans(monkeypatch):
+    class Never:
+        def finditer(self, text):
+            raise AssertionError(text)
+
+    assert [x["t"] for x in M._inline("a *b* c")] == ["Str", "Space", "Emph", "Space", "Str"]
+    monkeypatch.setattr(M, "_INLINE", Never())
+    assert M.unformat("# Head\n\nplain words (of a line), and more.", "markdown", False)[0] == "Head \x07 plain words (of a line), and more. \x07 "
