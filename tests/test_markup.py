@@ -125,3 +125,13 @@ def test_plain_texts_are_not_searched_for_spans(monkeypatch):
     assert [x["t"] for x in M._inline("a *b* c")] == ["Str", "Space", "Emph", "Space", "Str"]
     monkeypatch.setattr(M, "_INLINE", Never())
     assert M.unformat("# Head\n\nplain words (of a line), and more.", "markdown", False)[0] == "Head \x07 plain words (of a line), and more. \x07 "
+
+
+def test_results_leave_the_worker_piece_by_piece(spark):
+    import pyarrow as pa
+
+    df = spark.range(42, numPartitions=1).select("id", F.expr("if(id = 40, null, repeat(chr(97 + cast(id % 26 as int)), if(id = 41, 0, 1000000)))").alias("x"))
+    rows = df.select("id", "x", M._mapped(F.col("x"), lambda t: (t, str(pa.total_allocated_bytes()))).alias("r")).collect()
+    assert [r.id for r in rows] == list(range(42)) and all(r.x == r.r.content for r in rows)
+    held = [int(r.r.error) for r in rows if r.x is not None]
+    assert rows[40].r == (None, None) and max(held) < 10_000_000  # of 40 MB of results in all
