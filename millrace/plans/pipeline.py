@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.corpus import quarantine, quarantined, run_stats, to_corpus, union_all, with_sinks, write_text
+from ..sources.folders import full_address
 from ..sources.registry import REGISTRY
 from .config import ConfigError, LanguageConfig
 
@@ -22,12 +23,6 @@ log = logging.getLogger("millrace")
 GLOB = re.compile(r"[*?\[{]")
 
 
-def full_address(spark: SparkSession, path: str) -> str:
-    """A path with its scheme, as files are called that are read from it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
-
-
 def entities(spark: SparkSession, config: dict[str, LanguageConfig], strict: bool = False) -> DataFrame:
     """Entities of all languages and sources with plain texts: one scan for each source that is configured, however many
     languages have it. Patterns of paths have a scan of their own."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
+from .folders import files_of
 
 
 def position(path: Column, row: Column | None = None, col: Column | None = None) -> Column:
@@ -32,8 +33,10 @@ def binary_files(spark: SparkSession, path: str | list[str], extension: str, rec
 
     exclude: a pattern of paths to leave out, such as `*/.git/*`.
     """
-    reader = spark.readStream.schema("path string, modificationTime timestamp, length long, content binary") if stream else spark.read
-    files = reader.format("binaryFile").option("pathGlobFilter", f"*.{extension}").option("recursiveFileLookup", str(recursive).lower()).load(path)
+    files = None if stream else files_of(spark, [path] if isinstance(path, str) else path, extension, recursive)
+    if files is None:
+        reader = spark.readStream.schema("path string, modificationTime timestamp, length long, content binary") if stream else spark.read
+        files = reader.format("binaryFile").option("pathGlobFilter", f"*.{extension}").option("recursiveFileLookup", str(recursive).lower()).load(path)
     files = files.where(~F.col("path").endswith(f"/.{extension}"))
     return files if exclude is None else files.where(~F.col("path").rlike("^" + fnmatch.translate(exclude)))
 
